@@ -13,9 +13,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourgrid.functions.scalar import shift_time
-from hourgrid.operators.aggregate import pivot_any
+from hourgrid.operators.aggregate import county_mean, pivot_any, rounded
+from hourgrid.operators.clean import clean_series_nulls
+from hourgrid.operators.timeseries import add_lags_and_rollings, fill_segment, interpolate_segment, keep_last
 from hourgrid.plans import reports, standins
-from hourgrid.plans.features import MergeKeys, merge_fact
+from hourgrid.plans.features import (
+    LAG_SPECS_FEATURES,
+    MergeKeys,
+    add_ratio_features,
+    add_time_features,
+    merge_fact,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,7 +52,113 @@ def monthly_change(spark: SparkSession, d: str) -> DataFrame:
     return reports.monthly_change(o, "o_orderdate", "o_totalprice", F.col("is_final"), name="consumption")
 
 
+# ------------------------------------------------------------- time series
+
+SERIES = ["event_type"]
+ROLL_SPECS = {
+    "2d": {"6h": ["mean", "std", "median", "count"], "24h": ["mean"], "168h": ["mean"]},
+    "3d": None,
+    "7d": {"12h": ["mean", "std"]},
+}
+
+
+def _round_new(df: DataFrame, before: list[str], k: int = 4) -> DataFrame:
+    """Round the new floating columns (engine-stable comparison)."""
+    fl = {c for c, t in df.dtypes if t in ("double", "float")}
+    return df.select(*[rounded(c, k).alias(c) if c not in before and c in fl else F.col(c) for c in df.columns])
+
+
+def lag_rolling_features(spark: SparkSession, d: str) -> DataFrame:
+    """W3 + W4: exact lags 2d/3d/7d and [t-w, t) rollings over the lag columns."""
+    h = standins.hourly(spark, d).select("event_type", "datetime", "target")
+    out = add_lags_and_rollings(h, "target", ROLL_SPECS, "datetime", SERIES, bucket="auto", dtype=None)
+    return _round_new(out, h.columns)
+
+
+def feature_table(spark: SparkSession, d: str) -> DataFrame:
+    """Flagship: merged hourly table + DST/calendar + lags/rollings + ratios."""
+    m = merged_hourly(spark, d)
+    base = m.columns
+    out = add_time_features(m)
+    out = add_lags_and_rollings(out, "target", LAG_SPECS_FEATURES, "datetime", SERIES, dtype=None)
+    out = add_ratio_features(out)
+    keep = base + ["dst", "hour", "day_of_week", "month", "quarter", "day_of_month", "day_of_year", "week_of_year"]
+    return _round_new(out, keep)
+
+
+def capacity_fill(spark: SparkSession, d: str) -> DataFrame:
+    """Back-fill, forward-fill inside the series, then 1.0."""
+    h = standins.holes(spark, d).select("event_type", "datetime", "target")
+    return fill_segment(h, "target", "datetime", SERIES, default=1.0, out_col="target_filled", bucket_days=3)
+
+
+def interpolate_gaps(spark: SparkSession, d: str) -> DataFrame:
+    """Linear interpolation by row position inside each series."""
+    h = standins.holes(spark, d).select("event_type", "datetime", "target")
+    out = interpolate_segment(h, "target", "datetime", SERIES, out_col="target_interp", bucket_days=3)
+    return out.withColumn("target_interp", rounded("target_interp", 4))
+
+
+def clean_train(spark: SparkSession, d: str) -> DataFrame:
+    """P15 (+P3 path): drop every second NULL timestamp, interpolate the rest."""
+    h = standins.holes(spark, d).select("event_type", "datetime", "target")
+    out = clean_series_nulls(h, "datetime", "target", SERIES)
+    return out.withColumn("target", rounded("target", 4))
+
+
+# ------------------------------------------------------------- weather
+
+WEATHER_MEASURES = ["quantity", "price", "discount", "tax"]
+
+
+def _round_cols(df: DataFrame, cols: list[str], k: int = 4) -> DataFrame:
+    return df.withColumns({c: rounded(c, k) for c in cols})
+
+
+def forecast_county(spark: SparkSession, d: str) -> DataFrame:
+    """A1 + J9: county and overall (label 12) means in one grouping-sets pass."""
+    agg = county_mean(standins.forecast_grid(spark, d), standins.stations(spark, d), ["station"], "county")
+    return _round_cols(agg, WEATHER_MEASURES)
+
+
+def _forecast_dedup(spark: SparkSession, d: str) -> DataFrame:
+    agg = county_mean(standins.forecast_grid(spark, d), standins.stations(spark, d), ["station"], "county")
+    return keep_last(agg, ["county", "forecast_datetime", "data_block_id"], ["origin_datetime", "hours_ahead"])
+
+
+def forecast_dedup(spark: SparkSession, d: str) -> DataFrame:
+    """Keep the latest origin (then longest horizon) per forecast hour and block."""
+    return _round_cols(_forecast_dedup(spark, d), WEATHER_MEASURES)
+
+
+def _history_county(spark: SparkSession, d: str) -> DataFrame:
+    return county_mean(standins.history_grid(spark, d), standins.stations(spark, d), ["station"], "county")
+
+
+def history_county(spark: SparkSession, d: str) -> DataFrame:
+    """A1 on point readings (time keys: datetime, block)."""
+    return _round_cols(_history_county(spark, d), WEATHER_MEASURES)
+
+
+def weather_joined(spark: SparkSession, d: str) -> DataFrame:
+    """f0d (forecast + 1 day), f1d, h2d (+2 days, block + 1 up to 10:00), h1d (+1 day)."""
+    fact = standins.county_fact(spark, d)
+    out = merge_fact(fact, forecast=_forecast_dedup(spark, d), historical=_history_county(spark, d),
+                     keys=MergeKeys(unit=("county",)))
+    meas = [c for c in out.columns if c.split("_", 1)[-1] in WEATHER_MEASURES and "_" in c]
+    return _round_cols(out, meas)
+
+
 QUERIES: dict[str, Query] = {
     "merged_hourly": merged_hourly,
     "monthly_change": monthly_change,
+    "lag_rolling_features": lag_rolling_features,
+    "feature_table": feature_table,
+    "capacity_fill": capacity_fill,
+    "interpolate_gaps": interpolate_gaps,
+    "clean_train": clean_train,
+    "forecast_county": forecast_county,
+    "forecast_dedup": forecast_dedup,
+    "history_county": history_county,
+    "weather_joined": weather_joined,
 }

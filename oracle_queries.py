@@ -88,3 +88,233 @@ SELECT month, consumption, consumption - LAG(consumption) OVER (ORDER BY month)
        {rnd("(consumption - LAG(consumption) OVER (ORDER BY month)) / NULLIF(LAG(consumption) OVER (ORDER BY month), 0) * 100.0", 2)} AS MoM_diff_pct
 FROM monthly
 """
+
+# ------------------------------------------------------------------ time series
+
+HOLES = """
+holes AS (
+  SELECT event_type, datetime,
+         CASE WHEN date_diff('hour', TIMESTAMP '2024-01-01 00:00:00', datetime) % 17 <> 0 THEN target END AS target
+  FROM hourly)"""
+
+_US = {"h": 3_600_000_000, "d": 86_400_000_000}
+
+
+def _us(text: str) -> int:
+    return int(text[:-1]) * _US[text[-1]]
+
+
+def lag_joins(src: str, lags) -> tuple[str, str]:
+    """SELECT list and LEFT JOINs that read the value at exactly t - lag (self-join oracle)."""
+    sel, joins = [], []
+    for i, lag in enumerate(lags):
+        a = f"l{i}"
+        sel.append(f"{a}.target AS target_lag_{lag}")
+        hours = _us(lag) // _US["h"]
+        joins.append(f"LEFT JOIN {src} {a} ON {a}.event_type = b.event_type "
+                     f"AND {a}.datetime = b.datetime - to_hours({hours})")
+    return ", ".join(sel), "\n".join(joins)
+
+
+def rolling_select(specs) -> tuple[list[str], list[str]]:
+    """Window expressions over [t - w, t) of each lag column, plus WINDOW definitions."""
+    exprs, wins = [], {}
+    for lag, ws in specs.items():
+        for w, funcs in (ws or {}).items():
+            wn = f"w_{w}"
+            wins[wn] = (f"{wn} AS (PARTITION BY event_type ORDER BY epoch_us(datetime) "
+                        f"RANGE BETWEEN {_us(w)} PRECEDING AND 1 PRECEDING)")
+            x = f"target_lag_{lag}"
+            for fn in funcs:
+                name = f"{x}_{w}_win_{fn}"
+                if fn == "mean":
+                    e = rnd(f"AVG({x}) OVER {wn}", 4)
+                elif fn == "std":
+                    e = rnd(f"STDDEV_SAMP({x}) OVER {wn}", 4)
+                elif fn == "median":
+                    e = rnd(f"QUANTILE_CONT({x}, 0.5) OVER {wn}", 4)
+                elif fn == "count":
+                    e = f"CASE WHEN COUNT(*) OVER {wn} > 0 THEN COUNT({x}) OVER {wn} END"
+                else:
+                    raise ValueError(fn)
+                exprs.append(f"{e} AS {name}")
+    return exprs, list(wins.values())
+
+
+ROLL_SPECS = {
+    "2d": {"6h": ["mean", "std", "median", "count"], "24h": ["mean"], "168h": ["mean"]},
+    "3d": None,
+    "7d": {"12h": ["mean", "std"]},
+}
+LAG_SPECS_FEATURES = {"2d": {"6h": ["mean"], "12h": ["mean"], "24h": ["mean"], "168h": ["mean"]},
+                      "3d": {"6h": ["mean"], "12h": ["mean"]}, "7d": {"12h": ["mean"], "24h": ["mean"]}}
+
+
+def _lag_rolling_sql() -> str:
+    sel, joins = lag_joins("h", ROLL_SPECS)
+    exprs, wins = rolling_select(ROLL_SPECS)
+    return _with(HOURLY) + f"""
+, h AS (SELECT event_type, datetime, target FROM hourly)
+, lagged AS (SELECT b.event_type, b.datetime, b.target, {sel} FROM h b
+{joins})
+SELECT event_type, datetime, target, {", ".join(f"target_lag_{lag}" for lag in ROLL_SPECS)},
+       {", ".join(exprs)}
+FROM lagged
+WINDOW {", ".join(wins)}
+"""
+
+
+SQL["lag_rolling_features"] = _lag_rolling_sql()
+
+
+def _feature_table_sql() -> str:
+    sel, joins = lag_joins("m", LAG_SPECS_FEATURES)
+    exprs, wins = rolling_select(LAG_SPECS_FEATURES)
+    merged = SQL["merged_hourly"].replace("SELECT h.event_type", "SELECT h.event_type", 1)
+    body = merged.split("\nSELECT h.event_type", 1)
+    ctes = body[0]
+    merged_select = "SELECT h.event_type" + body[1]
+    return ctes + f"""
+, m AS ({merged_select})
+, lagged AS (SELECT b.*, {sel} FROM m b
+{joins})
+SELECT lagged.*,
+       datetime < TIMESTAMP '2021-10-31 03:00:00'
+         OR (datetime >= TIMESTAMP '2022-03-27 03:00:00' AND datetime < TIMESTAMP '2022-10-30 03:00:00')
+         OR datetime >= TIMESTAMP '2023-03-26 03:00:00' AS dst,
+       CAST(hour(datetime) AS INTEGER) AS hour, CAST(isodow(datetime) - 1 AS INTEGER) AS day_of_week,
+       CAST(month(datetime) AS INTEGER) AS month, CAST(quarter(datetime) AS INTEGER) AS quarter,
+       CAST(dayofmonth(datetime) AS INTEGER) AS day_of_month, CAST(dayofyear(datetime) AS INTEGER) AS day_of_year,
+       CAST(weekofyear(datetime) AS INTEGER) AS week_of_year,
+       {", ".join(exprs)},
+       {rnd("target_lag_2d / NULLIF(installed_capacity, 0)", 4)} AS target_to_capacity,
+       {rnd("installed_capacity / NULLIF(eic_count, 0)", 4)} AS capacity_to_eic
+FROM lagged
+WINDOW {", ".join(wins)}
+"""
+
+
+SQL["feature_table"] = _feature_table_sql()
+
+SQL["capacity_fill"] = _with(HOURLY, HOLES) + """
+SELECT event_type, datetime, target,
+       COALESCE(target,
+                FIRST_VALUE(target IGNORE NULLS) OVER (PARTITION BY event_type ORDER BY datetime
+                    ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING),
+                LAST_VALUE(target IGNORE NULLS) OVER (PARTITION BY event_type ORDER BY datetime
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+                1.0) AS target_filled
+FROM holes
+"""
+
+
+def _interp_sql(src: str, out: str, keep_name: bool = False) -> str:
+    w = "PARTITION BY event_type ORDER BY datetime"
+    value = "target" if not keep_name else "target AS _orig"
+    res = "target" if keep_name else out
+    return f"""
+, pos AS (SELECT event_type, datetime, {value}, ROW_NUMBER() OVER ({w}) AS p FROM {src})
+, nb AS (
+  SELECT *,
+    LAST_VALUE({'_orig' if keep_name else 'target'} IGNORE NULLS) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pv,
+    LAST_VALUE(CASE WHEN {'_orig' if keep_name else 'target'} IS NOT NULL THEN p END IGNORE NULLS) OVER ({w} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pp,
+    FIRST_VALUE({'_orig' if keep_name else 'target'} IGNORE NULLS) OVER ({w} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS nv,
+    FIRST_VALUE(CASE WHEN {'_orig' if keep_name else 'target'} IS NOT NULL THEN p END IGNORE NULLS) OVER ({w} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS np
+  FROM pos)
+SELECT event_type, datetime, {'' if keep_name else 'target, '}
+  {rnd(f"CASE WHEN {'_orig' if keep_name else 'target'} IS NOT NULL THEN {'_orig' if keep_name else 'target'} "
+       "WHEN pv IS NOT NULL AND nv IS NOT NULL THEN pv + (nv - pv) * (p - pp) / (np - pp) "
+       "WHEN pv IS NOT NULL THEN pv END", 4)} AS {res}
+FROM nb
+"""
+
+
+SQL["interpolate_gaps"] = _with(HOURLY, HOLES) + _interp_sql("holes", "target_interp")
+
+SQL["clean_train"] = _with(HOURLY, HOLES) + """
+, null_ts AS (SELECT datetime, ROW_NUMBER() OVER (ORDER BY datetime) AS k
+              FROM (SELECT DISTINCT datetime FROM holes WHERE target IS NULL OR event_type IS NULL) d)
+, kept AS (SELECT * FROM holes WHERE datetime NOT IN (SELECT datetime FROM null_ts WHERE k % 2 = 0))
+""" + _interp_sql("kept", "target", keep_name=True)
+
+# ------------------------------------------------------------------ weather
+
+STATIONS = """
+stations AS (
+  SELECT s_suppkey AS station, lower(n_name) AS county_name, CAST(s_nationkey AS INTEGER) AS county
+  FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey)"""
+
+FGRID = """
+fgrid AS (
+  SELECT l_suppkey AS station, l_shipdate AS origin_datetime, CAST(l_linenumber * 6 AS INTEGER) AS hours_ahead,
+         l_shipdate + to_hours(l_linenumber * 6) AS forecast_datetime,
+         CAST(floor(date_diff('day', DATE '1995-01-01', CAST(l_shipdate AS DATE)) / 2) AS INTEGER) AS data_block_id,
+         l_quantity AS quantity, l_extendedprice AS price, l_discount AS discount, l_tax AS tax
+  FROM lineitem)"""
+
+HGRID = """
+hgrid AS (
+  SELECT l_suppkey AS station, l_shipdate + to_hours(l_linenumber * 3) AS datetime,
+         CAST(floor(date_diff('day', DATE '1995-01-01', CAST(l_shipdate AS DATE)) / 2) AS INTEGER) AS data_block_id,
+         l_quantity AS quantity, l_extendedprice AS price, l_discount AS discount, l_tax AS tax
+  FROM lineitem)"""
+
+_M = ["quantity", "price", "discount", "tax"]
+
+
+def _county_mean_sql(grid: str, tkeys: str, name: str) -> str:
+    avgs = ", ".join(f"{rnd(f'AVG({m})', 4)} AS {m}" for m in _M)
+    return f"""
+{name} AS (
+  SELECT CAST(12 AS INTEGER) AS county, {tkeys}, {avgs}
+  FROM (SELECT s.county, g.* EXCLUDE (station) FROM {grid} g JOIN stations s ON s.station = g.station
+        WHERE s.county <> 12) x
+  GROUP BY {tkeys}
+  UNION ALL
+  SELECT county, {tkeys}, {avgs}
+  FROM (SELECT s.county, g.* EXCLUDE (station) FROM {grid} g JOIN stations s ON s.station = g.station
+        WHERE s.county <> 12) y
+  GROUP BY county, {tkeys})"""
+
+
+FKEYS = "origin_datetime, hours_ahead, forecast_datetime, data_block_id"
+FCOUNTY = _county_mean_sql("fgrid", FKEYS, "fcounty")
+HCOUNTY = _county_mean_sql("hgrid", "datetime, data_block_id", "hcounty")
+FDEDUP = """
+fdedup AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY county, forecast_datetime, data_block_id
+                                 ORDER BY origin_datetime DESC, hours_ahead DESC) AS rn
+    FROM fcounty) z WHERE rn = 1)"""
+
+SQL["forecast_county"] = _with(STATIONS, FGRID, FCOUNTY) + "SELECT * FROM fcounty"
+SQL["forecast_dedup"] = _with(STATIONS, FGRID, FCOUNTY, FDEDUP) + "SELECT * FROM fdedup"
+SQL["history_county"] = _with(STATIONS, HGRID, HCOUNTY) + "SELECT * FROM hcounty"
+
+COUNTY_FACT = """
+county_fact AS (
+  SELECT county, datetime, target,
+         CAST(floor(date_diff('day', DATE '1995-01-01', CAST(datetime AS DATE)) / 2) AS INTEGER) AS data_block_id
+  FROM (SELECT CAST(s_nationkey AS INTEGER) AS county, l_shipdate + to_hours(l_linenumber * 6) AS datetime,
+               CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS target
+        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2) x)"""
+
+
+def _pref(alias: str, p: str) -> str:
+    return ", ".join(f"{alias}.{m} AS {p}_{m}" for m in _M)
+
+
+SQL["weather_joined"] = _with(STATIONS, FGRID, HGRID, FCOUNTY, HCOUNTY, FDEDUP, COUNTY_FACT) + f"""
+SELECT c.county, c.datetime, c.target, {_pref("f0", "f0d")}, {_pref("f1", "f1d")}, {_pref("h2", "h2d")},
+       {_pref("h1", "h1d")}
+FROM county_fact c
+LEFT JOIN fdedup f0 ON f0.county = c.county AND f0.forecast_datetime + INTERVAL 1 DAY = c.datetime
+                   AND f0.data_block_id = c.data_block_id
+LEFT JOIN fdedup f1 ON f1.county = c.county AND f1.forecast_datetime = c.datetime
+                   AND f1.data_block_id = c.data_block_id
+LEFT JOIN hcounty h2 ON h2.county = c.county AND h2.datetime + INTERVAL 2 DAY = c.datetime
+                   AND (CASE WHEN hour(h2.datetime) <= 10 THEN h2.data_block_id + 1 ELSE h2.data_block_id END)
+                       = c.data_block_id
+LEFT JOIN hcounty h1 ON h1.county = c.county AND h1.datetime + INTERVAL 1 DAY = c.datetime
+                   AND h1.data_block_id = c.data_block_id
+"""
