@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,8 +47,18 @@ def fits_in_rows(df: DataFrame, max_rows: int) -> bool:
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only when the row count is proven small; else unchanged."""
-    return F.broadcast(df) if fits_in_rows(df, max_rows) else df
+    """Broadcast hint only when the row count is proven small; else unchanged.
+
+    The dimension is persisted while it is counted, so a small one is
+    computed once (the broadcast reads the cached blocks); a large one is
+    unpersisted and left to the planner (sort-merge join, or AQE's runtime
+    conversion when the shuffled side turns out small).
+    """
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    if fits_in_rows(cached, max_rows):
+        return F.broadcast(cached)
+    cached.unpersist()
+    return df
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -12,9 +12,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hourgrid.functions import calendar as cal
+from hourgrid.functions import scalar as fx
 from hourgrid.functions.scalar import shift_time
+from hourgrid.operators import aggregate as agg
+from hourgrid.operators import clean
 from hourgrid.operators.aggregate import county_mean, pivot_any, rounded
 from hourgrid.operators.clean import clean_series_nulls
+from hourgrid.operators.joins import duplicate_keys
 from hourgrid.operators.timeseries import add_lags_and_rollings, fill_segment, interpolate_segment, keep_last
 from hourgrid.plans import reports, standins
 from hourgrid.plans.features import (
@@ -22,7 +27,9 @@ from hourgrid.plans.features import (
     MergeKeys,
     add_ratio_features,
     add_time_features,
+    merge_alternate,
     merge_fact,
+    prepare_holidays,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -149,7 +156,258 @@ def weather_joined(spark: SparkSession, d: str) -> DataFrame:
     return _round_cols(out, meas)
 
 
-QUERIES: dict[str, Query] = {
+def weather_joined_alt(spark: SparkSession, d: str) -> DataFrame:
+    """Alternate merge with an inner join type, f1_ unshifted, h2_ without block."""
+    fact = standins.county_fact(spark, d)
+    fc = county_mean(standins.forecast_grid(spark, d), standins.stations(spark, d), ["station"], "county")
+    out = merge_alternate(fact, forecast=fc, historical=_history_county(spark, d), how="inner",
+                          keys=MergeKeys(unit=("county",)))
+    meas = [c for c in out.columns if c.split("_", 1)[-1] in WEATHER_MEASURES and "_" in c]
+    return _round_cols(out, meas)
+
+
+def forecast_county_union(spark: SparkSession, d: str) -> DataFrame:
+    """The two-aggregate + UNION ALL form of A1 (differential to the grouping-sets form)."""
+    fg = standins.forecast_grid(spark, d)
+    st = standins.stations(spark, d).filter(F.col("county") != 12).select("station", "county")
+    mapped = fg.join(st, ["station"], "inner")
+    tk = agg.weather_time_keys(fg.columns)
+    means = [F.avg(m).alias(m) for m in WEATHER_MEASURES]
+    overall = mapped.groupBy(*tk).agg(*means).withColumn("county", F.lit(12).cast("int"))
+    per = mapped.groupBy("county", *tk).agg(*means)
+    return _round_cols(agg.union_all([overall.select("county", *tk, *WEATHER_MEASURES), per]), WEATHER_MEASURES)
+
+
+def dedupe_readings(spark: SparkSession, d: str) -> DataFrame:
+    """One reading per (station, datetime, block); smallest measures win."""
+    hg = standins.history_grid(spark, d)
+    return clean.dedupe_on_keys(hg, ["station", "datetime", "data_block_id"])
+
+
+# ------------------------------------------------------------- reports
+
+
+def _orders(spark: SparkSession, d: str) -> DataFrame:
+    return standins.orders_fact(spark, d)
+
+
+def null_profile(spark: SparkSession, d: str) -> DataFrame:
+    """A2: NULL counts per column of the merged table, one pass."""
+    cols = ["target", "datetime", "eic_count", "installed_capacity", "lowest_price_per_mwh",
+            "highest_price_per_mwh", "euros_per_mwh"]
+    return reports.null_report(merged_hourly(spark, d), cols)
+
+
+def column_profile(spark: SparkSession, d: str) -> DataFrame:
+    """Non-null count and type per column."""
+    return agg.column_profile(merged_hourly(spark, d))
+
+
+def first_rows(spark: SparkSession, d: str) -> DataFrame:
+    """O1: ORDER BY six columns LIMIT 5."""
+    return reports.first_rows(merged_hourly(spark, d),
+                              ["datetime", "event_type", "is_consumption", "target", "n", "eic_count"], 5)
+
+
+def series_completeness(spark: SparkSession, d: str) -> DataFrame:
+    """A3: non-null values per (user, event type) series, summarised."""
+    ev = read_events(spark, d)
+    return reports.series_completeness(ev, ["user_id", "event_type"], "value")
+
+
+def read_events(spark: SparkSession, d: str) -> DataFrame:
+    from hourgrid.sources.readers import read_table
+    return read_table(spark, d, "events")
+
+
+def avg_monthly_by_flag(spark: SparkSession, d: str) -> DataFrame:
+    """A4: average monthly total per flag, rounded, in millions."""
+    return reports.avg_monthly_total(_orders(spark, d), "o_orderdate", "o_totalprice", "is_final")
+
+
+def growth_rate(spark: SparkSession, d: str) -> DataFrame:
+    """A5 (+J10, F13): compound annual growth between first and last timestamp."""
+    return reports.growth_rate(_orders(spark, d), "o_orderdate", "o_totalprice")
+
+
+def category_segment(spark: SparkSession, d: str) -> DataFrame:
+    """A6 for the segment column."""
+    return reports.category_summary(_orders(spark, d), "c_mktsegment", "is_final", "o_totalprice")
+
+
+def category_priority(spark: SparkSession, d: str) -> DataFrame:
+    """A6 for the priority column."""
+    return reports.category_summary(_orders(spark, d), "o_orderpriority", "is_final", "o_totalprice")
+
+
+def category_nation(spark: SparkSession, d: str) -> DataFrame:
+    """A6 for the nation column."""
+    return reports.category_summary(_orders(spark, d), "c_nationkey", "is_final", "o_totalprice")
+
+
+def category_all(spark: SparkSession, d: str) -> DataFrame:
+    """A6 for all three category columns from one grouping-sets aggregate."""
+    return reports.category_summaries(_orders(spark, d), ["c_mktsegment", "o_orderpriority", "c_nationkey"],
+                                      "is_final", "o_totalprice")
+
+
+def top5_month(spark: SparkSession, d: str) -> DataFrame:
+    """O2 + P9: top-5 (nation, segment) totals of final orders in March 1996."""
+    return reports.top_groups_in_period(_orders(spark, d), ["c_nationkey", "c_mktsegment"], "o_orderdate",
+                                        "o_totalprice", "1996-03-01", "1996-04-01", F.col("is_final"), 5)
+
+
+def daily_moving_avg(spark: SparkSession, d: str) -> DataFrame:
+    """A8 + W2: daily totals, 3/7-row means, then the March 1996 filter."""
+    out = reports.daily_moving_averages(_orders(spark, d), "o_orderdate", "o_totalprice", "1996-03-01",
+                                        "1996-04-01", F.col("is_final") & (F.col("c_mktsegment") == "BUILDING"))
+    return out.withColumns({c: rounded(c, 4) for c in ["consumption_MA_3d", "consumption_MA_7d"]})
+
+
+def holiday_pivot(spark: SparkSession, d: str) -> DataFrame:
+    """One boolean column per flag type, absent → False."""
+    return prepare_holidays(standins.flags(spark, d), standins.EVENT_TYPES)
+
+
+# ------------------------------------------------------------- functions
+
+
+def calendar_features(spark: SparkSession, d: str) -> DataFrame:
+    """F3 + F4 + F5 on event timestamps."""
+    ev = read_events(spark, d).select("event_id", "ts")
+    out = cal.add_calendar_features(ev, "ts").withColumn("dst", cal.dst_flag("ts"))
+    cyc = cal.add_cyclic_features(ev, "ts", drop_raw=True)
+    cyc_cols = [c for c in cyc.columns if c.endswith("_sin") or c.endswith("_cos")]
+    out = out.join(cyc.select("event_id", *[rounded(F.col(c).cast("double"), 4).alias(c) for c in cyc_cols]),
+                   "event_id")
+    return out
+
+
+def scalar_functions(spark: SparkSession, d: str) -> DataFrame:
+    """F1, F2, F6-F11, F13, F14, F16-F19 on lineitem columns."""
+    li = from_table(spark, d, "lineitem")
+    return li.select(
+        "l_orderkey", "l_linenumber", "l_partkey",
+        fx.shift_time("l_shipdate", "36h").alias("ship_plus_36h"),
+        fx.trunc_ts("month", "l_shipdate").alias("ship_month"),
+        fx.to_day("l_shipdate").alias("ship_day"),
+        fx.grid_key(F.col("l_discount") * 10 + 55.0).alias("grid_lat"),
+        fx.zero_below(fx.m_to_mm(F.col("l_tax") / 100.0), 0.1).alias("precip_mm"),
+        rounded(fx.wind_speed("l_quantity", F.col("l_discount") * 100), 6).alias("windspeed"),
+        rounded(fx.wind_u("l_quantity", F.col("l_linenumber") * 45), 6).alias("u_component"),
+        rounded(fx.wind_v("l_quantity", F.col("l_linenumber") * 45), 6).alias("v_component"),
+        fx.clip_lower(F.col("l_extendedprice") - 50000.0, 0.0).alias("clipped"),
+        rounded(fx.snow_cm_to_mm("l_tax"), 6).alias("snow_mm"),
+        rounded(fx.safe_ratio("l_extendedprice", "l_discount"), 4).alias("price_per_discount"),
+        fx.abs_error("l_extendedprice", F.col("l_quantity") * 1000.0).alias("abs_err"),
+        F.when(F.col("l_returnflag") == "R", "returned").otherwise("kept").alias("label"),
+        fx.round_half_even(F.col("l_extendedprice").cast("decimal(18,2)"), 1).cast("double").alias("price_even"),
+        fx.round_half_up(F.col("l_extendedprice").cast("decimal(18,2)"), 1).cast("double").alias("price_up"),
+        fx.elapsed_seconds(F.lit("1995-01-01").cast("timestamp_ntz"), "l_shipdate").alias("elapsed_s"),
+        (F.col("l_shipdate") + fx.hours_to_interval("l_linenumber")).alias("ship_plus_lines_h"),
+    )
+
+
+def from_table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    from hourgrid.sources.readers import read_table
+    return read_table(spark, d, name)
+
+
+def yield_target(spark: SparkSession, d: str) -> DataFrame:
+    """production yield = target / max(capacity, 1), and its inverse."""
+    m = merged_hourly(spark, d).select("event_type", "datetime", "target", "installed_capacity", "is_consumption")
+    y = fx.yield_of("target", "installed_capacity", "is_consumption")
+    return m.select("event_type", "datetime", rounded(y, 6).alias("yield"),
+                    rounded(fx.from_yield(y, "installed_capacity"), 4).alias("target_back"))
+
+
+# ------------------------------------------------------------- small relational ops
+
+
+def time_span(spark: SparkSession, d: str) -> DataFrame:
+    """A10: first/last timestamp and span."""
+    return agg.time_span(standins.hourly(spark, d), "datetime")
+
+
+def value_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Rows per value."""
+    return agg.value_counts(from_table(spark, d, "lineitem"), ["l_returnflag", "l_linestatus"])
+
+
+def distinct_values(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct values / distinct NULL timestamps."""
+    h = standins.holes(spark, d)
+    return agg.distinct_values(h.filter(F.col("target").isNull()), ["datetime"])
+
+
+def range_filter(spark: SparkSession, d: str) -> DataFrame:
+    """Equality + inclusive time range."""
+    return clean.between(standins.hourly(spark, d), "datetime", "2024-01-08 00:00:00", "2024-01-14 23:00:00",
+                         event_type="click")
+
+
+def not_null_filter(spark: SparkSession, d: str) -> DataFrame:
+    """P10: IS NOT NULL."""
+    return clean.not_null(standins.holes(spark, d), "target")
+
+
+def semi_join_filter(spark: SparkSession, d: str) -> DataFrame:
+    """Membership in a computed key set (left semi join)."""
+    o = from_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    keys = from_table(spark, d, "customer").filter(F.col("c_mktsegment") == "BUILDING").select(
+        F.col("c_custkey").alias("o_custkey"))
+    return clean.semi_filter(o, keys, "o_custkey")
+
+
+def anti_join_filter(spark: SparkSession, d: str) -> DataFrame:
+    """Negated membership (left anti join) and a literal isin."""
+    o = from_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    keys = from_table(spark, d, "customer").filter(F.col("c_mktsegment") == "BUILDING").select(
+        F.col("c_custkey").alias("o_custkey"))
+    out = clean.semi_filter(o, keys, "o_custkey", negate=True)
+    return clean.semi_filter(out, ["1-URGENT", "2-HIGH"], "o_orderpriority")
+
+
+def train_window(spark: SparkSession, d: str) -> DataFrame:
+    """P14 (+P7): rows of a time window with helper columns dropped."""
+    return clean.split_features_target(standins.hourly(spark, d), "datetime", "2024-01-08 00:00:00",
+                                       "2024-01-21 23:00:00", to_drop=["n", "data_block_id"])
+
+
+def duplicate_line_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Keys that break a declared uniqueness, with multiplicity."""
+    return duplicate_keys(from_table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+def cast_and_fill(spark: SparkSession, d: str) -> DataFrame:
+    """P2 + P4 + P5: declared casts, constant NULL fill, renames on the merged table."""
+    m = merged_hourly(spark, d).select("event_type", "datetime", "eic_count", "installed_capacity", "n")
+    m = clean.cast_columns(m, {"eic_count": "double", "n": "int"})
+    m = clean.fill_constants(m, {"eic_count": 0.0, "installed_capacity": 1.0})
+    return clean.rename(m, {"eic_count": "eic", "installed_capacity": "capacity"})
+
+
+def _dates_as_timestamps(fn: Query) -> Query:
+    """Registered outputs carry calendar days as TIMESTAMP_NTZ (midnight).
+
+    DATE values travel differently through the Spark and DuckDB clients;
+    timestamps compare the same way in both. The library functions keep DATE.
+    """
+    from pyspark.sql import types as T
+
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        df = fn(spark, d)
+        dates = {f.name for f in df.schema.fields if isinstance(f.dataType, T.DateType)}
+        if not dates:
+            return df
+        return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in dates else F.col(c) for c in df.columns])
+
+    run.__doc__ = fn.__doc__
+    run.__name__ = fn.__name__
+    return run
+
+
+_QUERIES: dict[str, Query] = {
     "merged_hourly": merged_hourly,
     "monthly_change": monthly_change,
     "lag_rolling_features": lag_rolling_features,
@@ -161,4 +419,35 @@ QUERIES: dict[str, Query] = {
     "forecast_dedup": forecast_dedup,
     "history_county": history_county,
     "weather_joined": weather_joined,
+    "weather_joined_alt": weather_joined_alt,
+    "forecast_county_union": forecast_county_union,
+    "dedupe_readings": dedupe_readings,
+    "null_profile": null_profile,
+    "column_profile": column_profile,
+    "first_rows": first_rows,
+    "series_completeness": series_completeness,
+    "avg_monthly_by_flag": avg_monthly_by_flag,
+    "growth_rate": growth_rate,
+    "category_segment": category_segment,
+    "category_priority": category_priority,
+    "category_nation": category_nation,
+    "category_all": category_all,
+    "top5_month": top5_month,
+    "daily_moving_avg": daily_moving_avg,
+    "holiday_pivot": holiday_pivot,
+    "calendar_features": calendar_features,
+    "scalar_functions": scalar_functions,
+    "yield_target": yield_target,
+    "time_span": time_span,
+    "value_counts": value_counts,
+    "distinct_values": distinct_values,
+    "range_filter": range_filter,
+    "not_null_filter": not_null_filter,
+    "semi_join_filter": semi_join_filter,
+    "anti_join_filter": anti_join_filter,
+    "train_window": train_window,
+    "duplicate_line_keys": duplicate_line_keys,
+    "cast_and_fill": cast_and_fill,
 }
+
+QUERIES: dict[str, Query] = {k: _dates_as_timestamps(v) for k, v in _QUERIES.items()}

@@ -52,6 +52,7 @@ __all__ = [
     "aggregate_forecast",
     "aggregate_historical",
     "merge_fact",
+    "merge_alternate",
     "add_time_features",
     "add_ratio_features",
     "build_feature_table",
@@ -290,3 +291,44 @@ def build_feature_table(
     out = add_lags_and_rollings(out, "target", lag_specs, "datetime", list(group_cols), bucket=bucket,
                                 validate=validate)
     return add_ratio_features(out)
+
+
+def merge_alternate(
+    train: DataFrame,
+    client: DataFrame | None = None,
+    gas: DataFrame | None = None,
+    electricity: DataFrame | None = None,
+    forecast: DataFrame | None = None,
+    historical: DataFrame | None = None,
+    holidays: DataFrame | None = None,
+    how: str = "left",
+    keys: MergeKeys = MergeKeys(),
+    f_prefix: str = "f1_",
+    h_prefix: str = "h2_",
+) -> DataFrame:
+    """The second merge variant (J12): join type as a parameter.
+
+    The forecast aggregate is joined unshifted on (county, forecast time,
+    block) with prefix ``f1_`` (no keep-last step); the historical aggregate
+    is joined on (county, time + 2 days) *without* the block key, prefix
+    ``h2_``. Holidays as in :func:`merge_fact`.
+    """
+    df = train
+    if client is not None:
+        df = lookup_join(df, client, [*keys.unit, keys.block], how, False, BROADCAST_MAX_ROWS, "client")
+    if gas is not None:
+        df = lookup_join(df, gas, [keys.block], how, False, BROADCAST_MAX_ROWS, "gas_prices")
+    if electricity is not None:
+        df = lookup_join(df, electricity, [keys.time, keys.block], how, False, BROADCAST_MAX_ROWS, "electricity")
+    if forecast is not None:
+        df = shifted_lookup(df, forecast, [keys.county, keys.time, keys.block],
+                            [keys.county, keys.forecast_time, keys.block], f_prefix, None,
+                            drop=keys.forecast_drop, how=how)
+    if historical is not None:
+        df = shifted_lookup(df, historical, [keys.county, keys.time], [keys.county, keys.time], h_prefix,
+                            {keys.time: "2d"}, drop=[keys.block], how=how)
+    if holidays is not None:
+        flags = [c for c in holidays.columns if c != keys.date]
+        df = lookup_join(df, holidays, [keys.date], how, False, BROADCAST_MAX_ROWS, "holidays")
+        df = df.withColumns({c: F.coalesce(F.col(c), F.lit(False)) for c in flags})
+    return df

@@ -318,3 +318,207 @@ LEFT JOIN hcounty h2 ON h2.county = c.county AND h2.datetime + INTERVAL 2 DAY =
 LEFT JOIN hcounty h1 ON h1.county = c.county AND h1.datetime + INTERVAL 1 DAY = c.datetime
                    AND h1.data_block_id = c.data_block_id
 """
+
+# ------------------------------------------------------------------ batch 3
+
+_MERGED_CTES, _MERGED_BODY = SQL["merged_hourly"].split("\nSELECT h.event_type", 1)
+MERGED = _MERGED_CTES + "\n, merged AS (SELECT h.event_type" + _MERGED_BODY + ")\n"
+
+SQL["weather_joined_alt"] = _with(STATIONS, FGRID, HGRID, FCOUNTY, HCOUNTY, COUNTY_FACT) + f"""
+SELECT c.county, c.datetime, c.target, c.data_block_id, {_pref("f1", "f1")}, {_pref("h2", "h2")}
+FROM county_fact c
+JOIN fcounty f1 ON f1.county = c.county AND f1.forecast_datetime = c.datetime AND f1.data_block_id = c.data_block_id
+JOIN hcounty h2 ON h2.county = c.county AND h2.datetime + INTERVAL 2 DAY = c.datetime
+"""
+
+SQL["forecast_county_union"] = SQL["forecast_county"]
+
+SQL["dedupe_readings"] = _with(HGRID) + """
+SELECT station, datetime, data_block_id, quantity, price, discount, tax FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY station, datetime, data_block_id
+                               ORDER BY quantity, price, discount, tax) AS rn FROM hgrid) z WHERE rn = 1
+"""
+
+SQL["null_profile"] = MERGED + """
+SELECT COUNT(*) FILTER (WHERE target IS NULL) AS target_nulls,
+       COUNT(*) FILTER (WHERE datetime IS NULL) AS datetime_nulls,
+       COUNT(*) FILTER (WHERE eic_count IS NULL) AS eic_count_nulls,
+       COUNT(*) FILTER (WHERE installed_capacity IS NULL) AS installed_capacity_nulls,
+       COUNT(*) FILTER (WHERE lowest_price_per_mwh IS NULL) AS lowest_price_per_mwh_nulls,
+       COUNT(*) FILTER (WHERE highest_price_per_mwh IS NULL) AS highest_price_per_mwh_nulls,
+       COUNT(*) FILTER (WHERE euros_per_mwh IS NULL) AS euros_per_mwh_nulls
+FROM merged
+"""
+
+_PROFILE_COLS = [("datetime", "timestamp_ntz"), ("event_type", "string"), ("target", "double"), ("n", "bigint"),
+                 ("is_consumption", "boolean"), ("eic_count", "bigint"), ("installed_capacity", "double"),
+                 ("lowest_price_per_mwh", "double"), ("highest_price_per_mwh", "double"),
+                 ("euros_per_mwh", "double"), ("click", "boolean"), ("error", "boolean"),
+                 ("purchase", "boolean"), ("signup", "boolean"), ("view", "boolean")]
+SQL["column_profile"] = MERGED + "\n".join(
+    ("SELECT " if i == 0 else "UNION ALL SELECT ")
+    + f"CAST({i} AS INTEGER) AS position, '{c}' AS \"column\", COUNT({c}) AS non_null, '{t}' AS dtype FROM merged"
+    for i, (c, t) in enumerate(_PROFILE_COLS)
+)
+
+SQL["first_rows"] = MERGED + """
+SELECT * FROM merged ORDER BY datetime, event_type, is_consumption, target, n, eic_count LIMIT 5
+"""
+
+SQL["series_completeness"] = f"""
+SELECT CAST(COUNT(*) AS BIGINT) AS number_of_timeseries, MIN(number_of_entries) AS min_entries,
+       {rnd("AVG(number_of_entries)", 2)} AS avg_entries,
+       CAST(PERCENTILE_DISC(0.5) WITHIN GROUP (ORDER BY number_of_entries) AS BIGINT) AS median_entries,
+       MAX(number_of_entries) AS max_entries
+FROM (SELECT user_id, event_type, COUNT(value) AS number_of_entries FROM events GROUP BY 1, 2) t
+"""
+
+_OSUM = "CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE)"
+
+SQL["avg_monthly_by_flag"] = _with(ORDERS_FACT) + f"""
+SELECT is_final, {rnd("AVG(sum_target)", 2)} / 1000000.0 AS avg_monthly_target_GWh
+FROM (SELECT date_trunc('month', o_orderdate) AS month, is_final, {_OSUM} AS sum_target
+      FROM orders_fact GROUP BY 1, 2) t
+GROUP BY is_final
+"""
+
+SQL["growth_rate"] = _with(ORDERS_FACT) + f"""
+, per_ts AS (SELECT o_orderdate, {_OSUM} AS v FROM orders_fact WHERE o_totalprice IS NOT NULL GROUP BY 1)
+, bounds AS (SELECT MIN(o_orderdate) AS first_dt, MAX(o_orderdate) AS last_dt FROM per_ts)
+, vals AS (SELECT SUM(CASE WHEN o_orderdate = first_dt THEN v END) AS first_val,
+                  SUM(CASE WHEN o_orderdate = last_dt THEN v END) AS last_val FROM per_ts, bounds)
+SELECT {rnd("(POWER(last_val / first_val, 1.0 / (date_diff('second', first_dt, last_dt) / 86400.0 / 365.25)) - 1) * 100", 2)}
+       AS capacity_CAGR
+FROM bounds, vals
+"""
+
+
+def _cat_sql(cat: str) -> str:
+    return _with(ORDERS_FACT) + f"""
+SELECT {cat}, is_final, {rnd("AVG(o_totalprice)", 2)} AS avg_hourly_target, {_OSUM} AS total_target
+FROM orders_fact GROUP BY {cat}, is_final
+"""
+
+
+SQL["category_segment"] = _cat_sql("c_mktsegment")
+SQL["category_priority"] = _cat_sql("o_orderpriority")
+SQL["category_nation"] = _cat_sql("c_nationkey")
+SQL["category_all"] = _with(ORDERS_FACT) + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS category, CAST({c} AS VARCHAR) AS category_value, is_final, "
+    f"{rnd('AVG(o_totalprice)', 2)} AS avg_hourly_target, {_OSUM} AS total_target "
+    f"FROM orders_fact GROUP BY {c}, is_final"
+    for c in ["c_mktsegment", "o_orderpriority", "c_nationkey"]
+)
+
+SQL["top5_month"] = _with(ORDERS_FACT) + f"""
+SELECT c_nationkey, c_mktsegment, {_OSUM} AS consumption
+FROM orders_fact
+WHERE is_final AND o_orderdate >= TIMESTAMP '1996-03-01' AND o_orderdate < TIMESTAMP '1996-04-01'
+GROUP BY 1, 2
+ORDER BY consumption DESC, c_nationkey, c_mktsegment
+LIMIT 5
+"""
+
+SQL["daily_moving_avg"] = _with(ORDERS_FACT) + f"""
+, daily AS (SELECT CAST(o_orderdate AS DATE) AS date, {_OSUM} AS consumption
+            FROM orders_fact WHERE is_final AND c_mktsegment = 'BUILDING' GROUP BY 1)
+, ma AS (SELECT date, consumption,
+                {rnd("AVG(consumption) OVER (ORDER BY date ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)", 4)} AS consumption_MA_3d,
+                {rnd("AVG(consumption) OVER (ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)", 4)} AS consumption_MA_7d
+         FROM daily)
+SELECT CAST(date AS TIMESTAMP) AS date, consumption, consumption_MA_3d, consumption_MA_7d
+FROM ma WHERE date >= DATE '1996-03-01' AND date < DATE '1996-04-01'
+"""
+
+SQL["holiday_pivot"] = _with(FLAGS, FLAGS_PIVOT) + "SELECT * REPLACE (CAST(date AS TIMESTAMP) AS date) FROM flags_pivot"
+
+_CYC = [("hour", "hour(ts)", 24.0), ("day_of_week", "isodow(ts) - 1", 7.0), ("day_of_month", "dayofmonth(ts)", 30.4),
+        ("month", "month(ts)", 12.0), ("day_of_year", "dayofyear(ts)", 365.0),
+        ("week_of_year", "weekofyear(ts)", 52.0), ("quarter", "quarter(ts)", 4.0)]
+SQL["calendar_features"] = "SELECT event_id, ts, " + ", ".join(
+    f"CAST({e} AS INTEGER) AS {n}" for n, e, _ in _CYC
+) + """,
+       ts < TIMESTAMP '2021-10-31 03:00:00'
+         OR (ts >= TIMESTAMP '2022-03-27 03:00:00' AND ts < TIMESTAMP '2022-10-30 03:00:00')
+         OR ts >= TIMESTAMP '2023-03-26 03:00:00' AS dst, """ + ", ".join(
+    f"{rnd(f'CAST(CAST({fn}(2 * pi() * ({e}) / {p}) AS FLOAT) AS DOUBLE)', 4)} AS {n}_{fn}"
+    for n, e, p in _CYC for fn in ("sin", "cos")
+) + " FROM events"
+
+SQL["scalar_functions"] = f"""
+SELECT l_orderkey, l_linenumber, l_partkey,
+       l_shipdate + INTERVAL 36 HOUR AS ship_plus_36h,
+       CAST(date_trunc('month', l_shipdate) AS TIMESTAMP) AS ship_month,
+       CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) AS ship_day,
+       CAST(round((l_discount * 10 + 55.0) * 10) AS INTEGER) AS grid_lat,
+       CASE WHEN abs(l_tax / 100.0 * 1000.0) >= 0.1 THEN l_tax / 100.0 * 1000.0 ELSE 0.0 END AS precip_mm,
+       {rnd("sqrt(l_quantity * l_quantity + (l_discount * 100) * (l_discount * 100))", 6)} AS windspeed,
+       {rnd("-l_quantity * sin(radians(l_linenumber * 45))", 6)} AS u_component,
+       {rnd("-l_quantity * cos(radians(l_linenumber * 45))", 6)} AS v_component,
+       CASE WHEN l_extendedprice - 50000.0 < 0.0 THEN 0.0 ELSE l_extendedprice - 50000.0 END AS clipped,
+       {rnd("l_tax * 10.0 * 0.1", 6)} AS snow_mm,
+       {rnd("l_extendedprice / NULLIF(l_discount, 0)", 4)} AS price_per_discount,
+       abs(l_extendedprice - l_quantity * 1000.0) AS abs_err,
+       CASE WHEN l_returnflag = 'R' THEN 'returned' ELSE 'kept' END AS label,
+       CAST(round_even(CAST(l_extendedprice AS DECIMAL(18,2)), 1) AS DOUBLE) AS price_even,
+       CAST(round(CAST(l_extendedprice AS DECIMAL(18,2)), 1) AS DOUBLE) AS price_up,
+       date_diff('microsecond', TIMESTAMP '1995-01-01', l_shipdate) / 1e6 AS elapsed_s,
+       l_shipdate + to_hours(l_linenumber) AS ship_plus_lines_h
+FROM lineitem
+"""
+
+SQL["yield_target"] = MERGED + f"""
+, y AS (SELECT event_type, datetime, installed_capacity,
+               CASE WHEN NOT is_consumption THEN target / (CASE WHEN installed_capacity < 1.0 THEN 1.0
+                                                           ELSE installed_capacity END) END AS yv
+        FROM merged)
+SELECT event_type, datetime, {rnd("yv", 6)} AS yield,
+       {rnd("yv * (CASE WHEN installed_capacity < 1.0 THEN 1.0 ELSE installed_capacity END)", 4)} AS target_back
+FROM y
+"""
+
+SQL["time_span"] = _with(HOURLY) + """
+SELECT MIN(datetime) AS first_ts, MAX(datetime) AS last_ts, date_diff('hour', MIN(datetime), MAX(datetime)) AS span_hours
+FROM hourly
+"""
+
+SQL["value_counts"] = """
+SELECT l_returnflag, l_linestatus, COUNT(*) AS n_rows FROM lineitem GROUP BY 1, 2
+"""
+
+SQL["distinct_values"] = _with(HOURLY, HOLES) + "SELECT DISTINCT datetime FROM holes WHERE target IS NULL"
+
+SQL["range_filter"] = _with(HOURLY) + """
+SELECT * FROM hourly
+WHERE datetime BETWEEN TIMESTAMP '2024-01-08 00:00:00' AND TIMESTAMP '2024-01-14 23:00:00' AND event_type = 'click'
+"""
+
+SQL["not_null_filter"] = _with(HOURLY) + """
+SELECT * FROM hourly WHERE date_diff('hour', TIMESTAMP '2024-01-01 00:00:00', datetime) % 17 <> 0
+"""
+
+SQL["semi_join_filter"] = """
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')
+"""
+
+SQL["anti_join_filter"] = """
+SELECT o_orderkey, o_custkey, o_orderpriority FROM orders
+WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_mktsegment = 'BUILDING' AND c_custkey = o_custkey)
+  AND o_orderpriority IN ('1-URGENT', '2-HIGH')
+"""
+
+SQL["train_window"] = _with(HOURLY) + """
+SELECT event_type, datetime, target, is_consumption FROM hourly
+WHERE datetime BETWEEN TIMESTAMP '2024-01-08 00:00:00' AND TIMESTAMP '2024-01-21 23:00:00'
+"""
+
+SQL["duplicate_line_keys"] = """
+SELECT l_orderkey, l_linenumber, COUNT(*) AS n_rows FROM lineitem GROUP BY 1, 2 HAVING COUNT(*) > 1
+"""
+
+SQL["cast_and_fill"] = MERGED + """
+SELECT event_type, datetime, COALESCE(CAST(eic_count AS DOUBLE), 0.0) AS eic,
+       COALESCE(installed_capacity, 1.0) AS capacity, CAST(n AS INTEGER) AS n
+FROM merged
+"""
