@@ -387,6 +387,151 @@ def cast_and_fill(spark: SparkSession, d: str) -> DataFrame:
     return clean.rename(m, {"eic_count": "eic", "installed_capacity": "capacity"})
 
 
+# ------------------------------------------------------------- backtest
+
+from hourgrid.operators.timeseries import add_lags  # noqa: E402
+from hourgrid.plans import backtest as bt  # noqa: E402
+
+FOLD_ARGS = dict(train_share=0.64, val_share=0.16, n_val_splits=3, n_test_splits=3, fh=2)
+EVAL_DAYS = 3
+
+
+def month_folds(spark: SparkSession, d: str) -> DataFrame:
+    """Expanding month folds from the first order date."""
+    return bt.month_folds(_orders(spark, d), "o_orderdate", train_range=60, test_range=1, shift=1, splits=4)
+
+
+def _hourly_folds(spark: SparkSession, d: str) -> DataFrame:
+    return bt.share_folds(standins.hourly(spark, d), "datetime", **FOLD_ARGS)
+
+
+def share_folds(spark: SparkSession, d: str) -> DataFrame:
+    """Validation and test folds from day shares."""
+    return _hourly_folds(spark, d)
+
+
+def _labelled(spark: SparkSession, d: str) -> DataFrame:
+    h = standins.hourly(spark, d).select("event_type", "datetime", "target", "is_consumption")
+    lagged = add_lags(h, "target", ["2d", "7d"], "datetime", SERIES)
+    return bt.assign_folds(lagged, _hourly_folds(spark, d), "datetime", eval_days=EVAL_DAYS)
+
+
+def fold_membership(spark: SparkSession, d: str) -> DataFrame:
+    """Every row with its folds and its part (train / eval / test)."""
+    return _labelled(spark, d).select("event_type", "datetime", "kind", "fold", "part")
+
+
+def eval_holdout(spark: SparkSession, d: str) -> DataFrame:
+    """T4: seeded sample of 100 rows, stable under any partitioning."""
+    return bt.sample_holdout(standins.hourly(spark, d), 100, ["event_type", "datetime"], seed=10)
+
+
+def naive_scores(spark: SparkSession, d: str) -> DataFrame:
+    """M5 + A14: 2-day-lag forecast, MAE per fold, flag and part."""
+    pred = bt.naive_predictions(_labelled(spark, d), "target_lag_2d")
+    return _round_cols(bt.fold_scores(pred, ["kind", "fold", "is_consumption", "part"]), ["mae"])
+
+
+def mae_ratio(spark: SparkSession, d: str) -> DataFrame:
+    """Train and test MAE side by side and their ratio."""
+    pred = bt.naive_predictions(_labelled(spark, d), "target_lag_2d")
+    sc = bt.fold_scores(pred, ["kind", "fold", "is_consumption", "part"])
+    out = agg.train_test_ratio(sc, ["kind", "fold", "is_consumption"], "part", "mae")
+    return _round_cols(out, ["train_mae", "test_mae", "ratio"])
+
+
+def error_percentiles(spark: SparkSession, d: str) -> DataFrame:
+    """P50/P60/P75 of the absolute error on test rows."""
+    pred = bt.naive_predictions(_labelled(spark, d), "target_lag_2d").filter(F.col("part") == "test")
+    out = agg.error_percentiles(pred, ["is_consumption"], "target", "preds")
+    return _round_cols(out, ["p50", "p60", "p75"])
+
+
+def residuals_by_hour(spark: SparkSession, d: str) -> DataFrame:
+    """Mean absolute error by hour of day and weekday, per flag."""
+    pred = bt.naive_predictions(_labelled(spark, d), "target_lag_2d").filter(F.col("part") == "test")
+    e = fx.abs_error("target", "preds")
+    out = pred.groupBy("is_consumption", F.hour("datetime").alias("hour"),
+                       F.weekday("datetime").alias("day_of_week")).agg(F.avg(e).alias("mae"))
+    return _round_cols(out, ["mae"])
+
+
+def residuals_weekly(spark: SparkSession, d: str) -> DataFrame:
+    """Mean absolute error per Sunday-ending week and series."""
+    pred = bt.naive_predictions(_labelled(spark, d), "target_lag_2d").filter(F.col("part") == "test")
+    e = fx.abs_error("target", "preds")
+    out = pred.groupBy("event_type", agg.weekly_bin("datetime").alias("week")).agg(F.avg(e).alias("mae"))
+    return _round_cols(out, ["mae"])
+
+
+def score_compare(spark: SparkSession, d: str) -> DataFrame:
+    """Two score tables joined on (fold, segment)."""
+    lab = _labelled(spark, d).filter(F.col("part") == "test")
+    keys = ["kind", "fold", "is_consumption"]
+    s2 = bt.fold_scores(bt.naive_predictions(lab, "target_lag_2d"), keys).withColumnsRenamed(
+        {"mae": "mae_lag_2d", "n_scored": "n_lag_2d"})
+    s7 = bt.fold_scores(bt.naive_predictions(lab, "target_lag_7d"), keys).withColumnsRenamed(
+        {"mae": "mae_lag_7d", "n_scored": "n_lag_7d"})
+    return _round_cols(s2.join(s7, keys, "left"), ["mae_lag_2d", "mae_lag_7d"])
+
+
+def _ml_frame(spark: SparkSession, d: str) -> DataFrame:
+    """Hourly features for the learners: lags, rollings, calendar."""
+    h = standins.hourly(spark, d).select("event_type", "datetime", "target", "is_consumption")
+    out = add_lags_and_rollings(h, "target", {"2d": {"6h": ["mean"], "24h": ["mean"]}, "3d": None,
+                                              "7d": {"12h": ["mean"]}}, "datetime", SERIES)
+    return cal.add_calendar_features(out, "datetime")
+
+
+def gbt_backtest(spark: SparkSession, d: str) -> DataFrame:
+    """M1 + M3 + M4: GBT per (fold, flag) with early stopping; prediction table."""
+    folds = _hourly_folds(spark, d).filter(F.col("kind") == "test")
+    preds = bt.backtest_models(_ml_frame(spark, d), folds, "datetime", ["is_consumption"],
+                               [bt.FitSpec("gbt_abs", "gbt", {"lossType": "absolute", "maxIter": 10})],
+                               eval_days=EVAL_DAYS)
+    return preds.withColumn("abs_error", fx.abs_error("target", "preds"))
+
+
+def objective_comparison(spark: SparkSession, d: str) -> DataFrame:
+    """M2: absolute / squared GBT, Huber linear, Tweedie GLM; MAE per fold and flag."""
+    folds = _hourly_folds(spark, d).filter((F.col("kind") == "test") & (F.col("fold") == 0))
+    specs = [
+        bt.FitSpec("gbt_absolute", "gbt", {"lossType": "absolute", "maxIter": 10}),
+        bt.FitSpec("gbt_squared", "gbt", {"lossType": "squared", "maxIter": 10}),
+        bt.FitSpec("linear_huber", "linear", {"loss": "huber", "maxIter": 50}),
+        *[bt.FitSpec(f"glm_tweedie_{p}", "glm", {"family": "tweedie", "variancePower": p, "linkPower": 0.0,
+                                                  "maxIter": 25}) for p in (1.35, 1.5, 1.65)],
+    ]
+    preds = bt.backtest_models(_ml_frame(spark, d), folds, "datetime", ["is_consumption"], specs,
+                               eval_days=EVAL_DAYS)
+    return bt.fold_scores(preds, ["model_label", "kind", "fold", "is_consumption"])
+
+
+def param_search(spark: SparkSession, d: str) -> DataFrame:
+    """M6: seeded random search on validation folds; best candidate by mean MAE."""
+    folds = _hourly_folds(spark, d).filter((F.col("kind") == "val") & (F.col("fold") < 2))
+    per_cand, best = bt.param_search(_ml_frame(spark, d), folds, "datetime", ["is_consumption"],
+                                     {"maxDepth": [3, 5], "stepSize": [0.1, 0.3], "maxIter": [5, 10]},
+                                     n_candidates=3, eval_days=EVAL_DAYS)
+    return per_cand.join(best.select(F.col("model_label"), F.lit(True).alias("is_best")), "model_label", "left")
+
+
+def gain_summary(spark: SparkSession, d: str) -> DataFrame:
+    """M7 + A17: GBT feature importances per segment; top/bottom 5 features."""
+    rows = []
+
+    def keep(meta, model, assembled):
+        for name, v in bt.feature_importances(model, assembled):
+            rows.append((str(meta["is_consumption"]), int(meta["fold"]), name, v))
+
+    folds = _hourly_folds(spark, d).filter(F.col("kind") == "test")
+    preds = bt.backtest_models(_ml_frame(spark, d), folds, "datetime", ["is_consumption"],
+                               [bt.FitSpec("gbt", "gbt", {"maxIter": 10})], eval_days=EVAL_DAYS, on_model=keep)
+    preds.count()
+    imp = spark.createDataFrame(rows, "segment string, fold int, feature string, gain double")
+    return agg.top_bottom_by_group(imp, ["segment"], "feature", "gain", 5)
+
+
 def _dates_as_timestamps(fn: Query) -> Query:
     """Registered outputs carry calendar days as TIMESTAMP_NTZ (midnight).
 
@@ -448,6 +593,20 @@ _QUERIES: dict[str, Query] = {
     "train_window": train_window,
     "duplicate_line_keys": duplicate_line_keys,
     "cast_and_fill": cast_and_fill,
+    "month_folds": month_folds,
+    "share_folds": share_folds,
+    "fold_membership": fold_membership,
+    "eval_holdout": eval_holdout,
+    "naive_scores": naive_scores,
+    "mae_ratio": mae_ratio,
+    "error_percentiles": error_percentiles,
+    "residuals_by_hour": residuals_by_hour,
+    "residuals_weekly": residuals_weekly,
+    "score_compare": score_compare,
+    "gbt_backtest": gbt_backtest,
+    "objective_comparison": objective_comparison,
+    "param_search": param_search,
+    "gain_summary": gain_summary,
 }
 
 QUERIES: dict[str, Query] = {k: _dates_as_timestamps(v) for k, v in _QUERIES.items()}

@@ -522,3 +522,111 @@ SELECT event_type, datetime, COALESCE(CAST(eic_count AS DOUBLE), 0.0) AS eic,
        COALESCE(installed_capacity, 1.0) AS capacity, CAST(n AS INTEGER) AS n
 FROM merged
 """
+
+# ------------------------------------------------------------------ backtest
+
+SQL["month_folds"] = _with(ORDERS_FACT) + """
+, b AS (SELECT MIN(o_orderdate) AS start FROM orders_fact)
+SELECT 'test' AS kind, CAST(r.fold AS INTEGER) AS fold, start AS train_start,
+       start + to_months(CAST(60 + r.fold AS INTEGER)) - INTERVAL 1 HOUR AS train_end,
+       start + to_months(CAST(60 + r.fold AS INTEGER)) AS test_start,
+       start + to_months(CAST(61 + r.fold AS INTEGER)) - INTERVAL 1 HOUR AS test_end
+FROM b CROSS JOIN range(0, 4) r(fold)
+"""
+
+SHARE_FOLDS = """
+share_b AS (SELECT MIN(CAST(datetime AS DATE)) AS d0, MAX(CAST(datetime AS DATE)) AS d1 FROM hourly),
+share_c AS (
+  SELECT CAST(d0 AS TIMESTAMP) AS ts0, CAST(d1 AS TIMESTAMP) + INTERVAL 1 DAY AS end_excl,
+         CAST(ceil(CAST((date_diff('day', d0, d1) + 1) * 86400000000000 AS DOUBLE) * 0.64 / 86400000000000.0) AS BIGINT) AS train_days,
+         CAST(ceil(CAST((date_diff('day', d0, d1) + 1) * 86400000000000 AS DOUBLE) * 0.16 / 86400000000000.0) AS BIGINT) AS val_days
+  FROM share_b),
+share_d AS (
+  SELECT *, ts0 + to_days(CAST(train_days AS INTEGER)) AS val_start,
+         ts0 + to_days(CAST(train_days + val_days AS INTEGER)) AS test_start0,
+         CAST(ceil(val_days / 3.0) AS BIGINT) AS val_step
+  FROM share_c),
+share_e AS (
+  SELECT *, CAST(ceil(date_diff('hour', test_start0, end_excl) / 72.0) AS BIGINT) AS test_step FROM share_d),
+folds AS (
+  SELECT 'val' AS kind, CAST(r.fold AS INTEGER) AS fold,
+         ts0 + to_days(CAST(r.fold * val_step AS INTEGER)) AS train_start,
+         val_start + to_days(CAST(r.fold * val_step AS INTEGER)) - INTERVAL 1 HOUR AS train_end,
+         val_start + to_days(CAST(r.fold * val_step AS INTEGER)) AS test_start,
+         val_start + to_days(CAST(r.fold * val_step AS INTEGER)) + INTERVAL 1 DAY + INTERVAL 23 HOUR AS test_end
+  FROM share_e CROSS JOIN range(0, 3) r(fold)
+  UNION ALL
+  SELECT 'test', CAST(r.fold AS INTEGER),
+         ts0 + to_days(CAST(val_days + r.fold * test_step AS INTEGER)),
+         test_start0 + to_days(CAST(r.fold * test_step AS INTEGER)) - INTERVAL 1 HOUR,
+         test_start0 + to_days(CAST(r.fold * test_step AS INTEGER)),
+         test_start0 + to_days(CAST(r.fold * test_step AS INTEGER)) + INTERVAL 1 DAY + INTERVAL 23 HOUR
+  FROM share_e CROSS JOIN range(0, 3) r(fold))"""
+
+SQL["share_folds"] = _with(HOURLY, SHARE_FOLDS) + "SELECT * FROM folds"
+
+LABELLED = """
+lh AS (SELECT event_type, datetime, target, is_consumption FROM hourly),
+lagged2 AS (
+  SELECT b.*, l2.target AS target_lag_2d, l7.target AS target_lag_7d FROM lh b
+  LEFT JOIN lh l2 ON l2.event_type = b.event_type AND l2.datetime = b.datetime - INTERVAL 2 DAY
+  LEFT JOIN lh l7 ON l7.event_type = b.event_type AND l7.datetime = b.datetime - INTERVAL 7 DAY),
+labelled AS (
+  SELECT x.*, f.kind, f.fold,
+         CASE WHEN x.datetime >= f.test_start THEN 'test'
+              WHEN x.datetime >= date_trunc('day', f.train_end) - INTERVAL 3 DAY THEN 'eval'
+              ELSE 'train' END AS part
+  FROM lagged2 x JOIN folds f ON x.datetime BETWEEN f.train_start AND f.test_end)"""
+
+_LAB = _with(HOURLY, SHARE_FOLDS, LABELLED)
+
+SQL["fold_membership"] = _LAB + "SELECT event_type, datetime, kind, fold, part FROM labelled"
+
+SQL["naive_scores"] = _LAB + f"""
+SELECT kind, fold, is_consumption, part, {rnd("AVG(abs(target - target_lag_2d))", 4)} AS mae,
+       COUNT(abs(target - target_lag_2d)) AS n_scored
+FROM labelled WHERE target_lag_2d IS NOT NULL GROUP BY 1, 2, 3, 4
+"""
+
+SQL["mae_ratio"] = _LAB + f"""
+, sc AS (SELECT kind, fold, is_consumption, part, AVG(abs(target - target_lag_2d)) AS mae
+         FROM labelled WHERE target_lag_2d IS NOT NULL GROUP BY 1, 2, 3, 4)
+, w AS (SELECT kind, fold, is_consumption, MAX(CASE WHEN part = 'train' THEN mae END) AS train_mae,
+               MAX(CASE WHEN part = 'test' THEN mae END) AS test_mae FROM sc GROUP BY 1, 2, 3)
+SELECT kind, fold, is_consumption, {rnd("train_mae", 4)} AS train_mae, {rnd("test_mae", 4)} AS test_mae,
+       {rnd("train_mae / NULLIF(test_mae, 0)", 4)} AS ratio
+FROM w
+"""
+
+SQL["error_percentiles"] = _LAB + f"""
+SELECT is_consumption,
+       {rnd("quantile_cont(abs(target - target_lag_2d), 0.5)", 4)} AS p50,
+       {rnd("quantile_cont(abs(target - target_lag_2d), 0.6)", 4)} AS p60,
+       {rnd("quantile_cont(abs(target - target_lag_2d), 0.75)", 4)} AS p75
+FROM labelled WHERE target_lag_2d IS NOT NULL AND part = 'test' GROUP BY 1
+"""
+
+SQL["residuals_by_hour"] = _LAB + f"""
+SELECT is_consumption, CAST(hour(datetime) AS INTEGER) AS hour, CAST(isodow(datetime) - 1 AS INTEGER) AS day_of_week,
+       {rnd("AVG(abs(target - target_lag_2d))", 4)} AS mae
+FROM labelled WHERE target_lag_2d IS NOT NULL AND part = 'test' GROUP BY 1, 2, 3
+"""
+
+SQL["residuals_weekly"] = _LAB + f"""
+SELECT event_type,
+       CAST(CAST(datetime AS DATE) + CAST((7 - isodow(datetime)) % 7 AS INTEGER) AS TIMESTAMP) AS week,
+       {rnd("AVG(abs(target - target_lag_2d))", 4)} AS mae
+FROM labelled WHERE target_lag_2d IS NOT NULL AND part = 'test' GROUP BY 1, 2
+"""
+
+SQL["score_compare"] = _LAB + f"""
+, s2 AS (SELECT kind, fold, is_consumption, AVG(abs(target - target_lag_2d)) AS mae_lag_2d,
+                COUNT(*) AS n_lag_2d
+         FROM labelled WHERE part = 'test' AND target_lag_2d IS NOT NULL GROUP BY 1, 2, 3)
+, s7 AS (SELECT kind, fold, is_consumption, AVG(abs(target - target_lag_7d)) AS mae_lag_7d,
+                COUNT(*) AS n_lag_7d
+         FROM labelled WHERE part = 'test' AND target_lag_7d IS NOT NULL GROUP BY 1, 2, 3)
+SELECT s2.kind, s2.fold, s2.is_consumption, {rnd("mae_lag_2d", 4)} AS mae_lag_2d, n_lag_2d,
+       {rnd("mae_lag_7d", 4)} AS mae_lag_7d, n_lag_7d
+FROM s2 LEFT JOIN s7 ON s2.kind = s7.kind AND s2.fold = s7.fold AND s2.is_consumption = s7.is_consumption
+"""
