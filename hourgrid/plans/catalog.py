@@ -532,6 +532,22 @@ def gain_summary(spark: SparkSession, d: str) -> DataFrame:
     return agg.top_bottom_by_group(imp, ["segment"], "feature", "gain", 5)
 
 
+SUPPLIER_SPECS = {"7d": {"28d": ["mean", "std", "count"], "7d": ["median"]}, "28d": None, "364d": None}
+
+
+def supplier_daily_features(spark: SparkSession, d: str) -> DataFrame:
+    """W3 + W4 at scale: one daily series per supplier (grows with the data).
+
+    Lags 7d/28d/364d and rollings over the 7-day lag; the halo-bucketed
+    windows split every series into ~4x-halo time buckets.
+    """
+    li = from_table(spark, d, "lineitem")
+    daily = li.groupBy("l_suppkey", F.col("l_shipdate").alias("day")).agg(
+        agg.exact_sum("l_extendedprice").alias("revenue"))
+    out = add_lags_and_rollings(daily, "revenue", SUPPLIER_SPECS, "day", ["l_suppkey"], dtype=None)
+    return _round_new(out, daily.columns)
+
+
 def _dates_as_timestamps(fn: Query) -> Query:
     """Registered outputs carry calendar days as TIMESTAMP_NTZ (midnight).
 
@@ -607,6 +623,7 @@ _QUERIES: dict[str, Query] = {
     "objective_comparison": objective_comparison,
     "param_search": param_search,
     "gain_summary": gain_summary,
+    "supplier_daily_features": supplier_daily_features,
 }
 
 QUERIES: dict[str, Query] = {k: _dates_as_timestamps(v) for k, v in _QUERIES.items()}

@@ -630,3 +630,21 @@ SELECT s2.kind, s2.fold, s2.is_consumption, {rnd("mae_lag_2d", 4)} AS mae_lag_2d
        {rnd("mae_lag_7d", 4)} AS mae_lag_7d, n_lag_7d
 FROM s2 LEFT JOIN s7 ON s2.kind = s7.kind AND s2.fold = s7.fold AND s2.is_consumption = s7.is_consumption
 """
+
+SQL["supplier_daily_features"] = f"""
+WITH daily AS (SELECT l_suppkey, l_shipdate AS day, CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue
+               FROM lineitem GROUP BY 1, 2)
+, lagged AS (
+  SELECT b.*, a.revenue AS revenue_lag_7d, c.revenue AS revenue_lag_28d, e.revenue AS revenue_lag_364d FROM daily b
+  LEFT JOIN daily a ON a.l_suppkey = b.l_suppkey AND a.day = b.day - INTERVAL 7 DAY
+  LEFT JOIN daily c ON c.l_suppkey = b.l_suppkey AND c.day = b.day - INTERVAL 28 DAY
+  LEFT JOIN daily e ON e.l_suppkey = b.l_suppkey AND e.day = b.day - INTERVAL 364 DAY)
+SELECT l_suppkey, day, revenue, revenue_lag_7d, revenue_lag_28d, revenue_lag_364d,
+  {rnd("AVG(revenue_lag_7d) OVER w28", 4)} AS revenue_lag_7d_28d_win_mean,
+  {rnd("STDDEV_SAMP(revenue_lag_7d) OVER w28", 4)} AS revenue_lag_7d_28d_win_std,
+  CASE WHEN COUNT(*) OVER w28 > 0 THEN COUNT(revenue_lag_7d) OVER w28 END AS revenue_lag_7d_28d_win_count,
+  {rnd("QUANTILE_CONT(revenue_lag_7d, 0.5) OVER w7", 4)} AS revenue_lag_7d_7d_win_median
+FROM lagged
+WINDOW w28 AS (PARTITION BY l_suppkey ORDER BY epoch_us(day) RANGE BETWEEN {28 * 86_400_000_000} PRECEDING AND 1 PRECEDING),
+       w7 AS (PARTITION BY l_suppkey ORDER BY epoch_us(day) RANGE BETWEEN {7 * 86_400_000_000} PRECEDING AND 1 PRECEDING)
+"""
