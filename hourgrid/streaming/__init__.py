@@ -1,0 +1,8 @@
+"""Incremental loading of daily availability blocks (Structured Streaming).
+
+The source data becomes available one block per day. Instead of re-reading
+everything (the batch reload, S5), new CSV files are picked up by a file
+stream and appended exactly once to the day-partitioned fact table (S7).
+"""
+
+from hourgrid.streaming.blocks import load_new_blocks  # noqa: F401

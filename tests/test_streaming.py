@@ -1,0 +1,34 @@
+"""Incremental block loading: new files are appended once, re-runs are no-ops."""
+
+import os
+import tempfile
+
+from hourgrid.sources import schemas
+from hourgrid.streaming import load_new_blocks
+
+HEADER = "county,is_business,product_type,target,is_consumption,datetime,data_block_id,row_id,prediction_unit_id\n"
+
+
+def _write(d, name, rows):
+    with open(os.path.join(d, name), "w") as f:
+        f.write(HEADER)
+        for r in rows:
+            f.write(",".join(str(x) for x in r) + "\n")
+
+
+def test_blocks_are_loaded_once(spark):
+    base = tempfile.mkdtemp(prefix="hourgrid-stream-", dir="/tmp")
+    src, out = os.path.join(base, "src"), os.path.join(base, "out")
+    os.makedirs(src)
+    _write(src, "block0.csv", [(0, "false", 1, 0.7, "false", "2021-09-01 00:00:00", 0, 0, 0),
+                               (0, "false", 1, 96.6, "true", "2021-09-01 00:00:00", 0, 1, 0)])
+    n1 = load_new_blocks(spark, src, schemas.TRAIN, out, "train_test_once")
+    assert n1 == 2
+    _write(src, "block1.csv", [(0, "false", 1, 1.1, "false", "2021-09-02 00:00:00", 1, 2, 0),
+                               (0, "false", 1, None, "true", "2021-09-02 01:00:00", 1, 3, 0)])
+    n2 = load_new_blocks(spark, src, schemas.TRAIN, out, "train_test_once", key_cols=("target",))
+    assert n2 == 2
+    assert load_new_blocks(spark, src, schemas.TRAIN, out, "train_test_once") == 0
+    back = spark.read.parquet(out)
+    assert back.count() == 3
+    assert sorted(r["day"].isoformat() for r in back.select("day").distinct().collect()) == ["2021-09-01", "2021-09-02"]
