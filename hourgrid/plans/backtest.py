@@ -6,7 +6,10 @@ are assigned to folds by a broadcast range join whose fold side is bounded by
 the ``splits`` parameter. Models are Spark ML estimators: every fit is
 distributed over the rows of its (fold, segment); the independent fits are
 submitted a few at a time from a small driver thread pool, as
-``CrossValidator(parallelism=...)`` does. Training rows never reach the driver.
+``CrossValidator(parallelism=...)`` does. The feature table is materialised
+once (time-sorted Parquet in the shared checkpoint folder) so fits skip row
+groups outside their fold instead of recomputing features. Training rows never
+reach the driver.
 """
 
 from __future__ import annotations
@@ -269,32 +272,44 @@ def backtest_models(
 ) -> DataFrame:
     """Train one model per (fold, segment, spec) and predict the fold's test rows (M1-M4).
 
-    The list of (fold, segment) pairs comes from a distinct over the
-    fold-assigned table (bounded by folds x segments). Returns the union of
+    The feature table is written once, sorted by time inside each task, under
+    the shared checkpoint folder; each fit's time-range filter is pushed to
+    the Parquet scan and skips row groups outside its fold, and train / eval /
+    test come from the fold's literal bounds. The fold table (bounded, checked) and the segment values
+    are the only things brought to the driver. Returns the union of the
     prediction tables with fold, segment, model label, target and preds.
     """
-    labelled = assign_folds(df, folds, time_col, eval_days)
-    fold_keys = ["kind", "fold"]
-    combos = labelled.select(*fold_keys, *segment_cols).distinct().collect()
-    drop = set(exclude) | {time_col, label, "part", "train_start", "train_end", "test_start", "test_end",
-                           *fold_keys, *segment_cols}
+    from hourgrid.session import materialize
+
+    if not fits_in_rows(folds, MAX_FOLDS):
+        raise ValueError(f"more than {MAX_FOLDS} folds")
+    fold_rows = folds.collect()
+    feats = materialize(df, "features", sort_by=[time_col])
+    segments = feats.select(*segment_cols).distinct().collect()
+    drop = set(exclude) | {time_col, label, *segment_cols}
     num, cat = feature_columns(df, sorted(drop))
+    t = F.col(time_col)
 
     def run(args):
-        combo, spec = args
-        cond = F.lit(True)
-        for k in (*fold_keys, *segment_cols):
-            cond = cond & (F.col(k) == F.lit(combo[k]))
-        part = labelled.filter(cond)
-        train = part.filter(F.col("part") != "test")
-        test = part.filter(F.col("part") == "test").drop(*[c for c in ("train_start", "train_end", "test_start",
-                                                                          "test_end") if c in part.columns])
+        fold, seg, spec = args
+        cond = t.between(F.lit(fold["train_start"]), F.lit(fold["test_end"]))
+        for k in segment_cols:
+            cond = cond & (F.col(k) == F.lit(seg[k]))
+        part = F.when(t >= F.lit(fold["test_start"]), F.lit("test"))
+        if eval_days:
+            eval_start = F.timestamp_add("DAY", F.lit(-eval_days), trunc_ts("day", F.lit(fold["train_end"])))
+            part = part.when(t >= eval_start, F.lit("eval"))
+        rows = feats.filter(cond).withColumn("part", part.otherwise(F.lit("train")))
+        rows = rows.withColumns({"kind": F.lit(fold["kind"]), "fold": F.lit(fold["fold"])})
+        train = rows.filter(F.col("part") != "test")
+        test = rows.filter(F.col("part") == "test")
         model, pred, assembled = fit_predict(train, test, spec, label, num, cat)
         if on_model is not None:
-            on_model({**combo.asDict(), "model_label": spec.label}, model, assembled)
+            on_model({"kind": fold["kind"], "fold": fold["fold"], **seg.asDict(), "model_label": spec.label},
+                     model, assembled)
         return pred.withColumn("model_label", F.lit(spec.label))
 
-    jobs = [(c, s) for c in combos for s in specs]
+    jobs = [(f, s, sp) for f in fold_rows for s in segments for sp in specs]
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         preds = list(pool.map(run, jobs))
     out = preds[0]

@@ -1,4 +1,4 @@
-"""Session settings shared by the library, the tests and the bench."""
+"""Session settings shared by the library, the tests and the bench; lineage cuts."""
 
 from __future__ import annotations
 
@@ -57,3 +57,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def materialize(df, name: str, partition_by: list[str] | None = None, sort_by: list[str] | None = None):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage (a lost executor re-reads files instead of recomputing
+    the whole plan). Later readers prune by ``partition_by`` directories, or,
+    with ``sort_by``, by Parquet row-group statistics (rows are sorted inside
+    each task, no shuffle). Never a machine-local folder on a cluster: the
+    location comes from ``spark.checkpoint.dir``.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    if sort_by:
+        df = df.sortWithinPartitions(*sort_by)
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    return spark.read.parquet(path)

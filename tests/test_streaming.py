@@ -2,6 +2,7 @@
 
 import os
 import tempfile
+import uuid
 
 from hourgrid.sources import schemas
 from hourgrid.streaming import load_new_blocks
@@ -20,15 +21,16 @@ def test_blocks_are_loaded_once(spark):
     base = tempfile.mkdtemp(prefix="hourgrid-stream-", dir="/tmp")
     src, out = os.path.join(base, "src"), os.path.join(base, "out")
     os.makedirs(src)
+    name = f"train_{uuid.uuid4().hex}"   # stream progress is kept per name in the shared checkpoint dir
     _write(src, "block0.csv", [(0, "false", 1, 0.7, "false", "2021-09-01 00:00:00", 0, 0, 0),
                                (0, "false", 1, 96.6, "true", "2021-09-01 00:00:00", 0, 1, 0)])
-    n1 = load_new_blocks(spark, src, schemas.TRAIN, out, "train_test_once")
+    n1 = load_new_blocks(spark, src, schemas.TRAIN, out, name)
     assert n1 == 2
     _write(src, "block1.csv", [(0, "false", 1, 1.1, "false", "2021-09-02 00:00:00", 1, 2, 0),
                                (0, "false", 1, None, "true", "2021-09-02 01:00:00", 1, 3, 0)])
-    n2 = load_new_blocks(spark, src, schemas.TRAIN, out, "train_test_once", key_cols=("target",))
+    n2 = load_new_blocks(spark, src, schemas.TRAIN, out, name, key_cols=("target",))
     assert n2 == 2
-    assert load_new_blocks(spark, src, schemas.TRAIN, out, "train_test_once") == 0
+    assert load_new_blocks(spark, src, schemas.TRAIN, out, name) == 0
     back = spark.read.parquet(out)
     assert back.count() == 3
     assert sorted(r["day"].isoformat() for r in back.select("day").distinct().collect()) == ["2021-09-01", "2021-09-02"]
