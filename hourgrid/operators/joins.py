@@ -16,12 +16,15 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hourgrid.functions.scalar import shift_time
 
 __all__ = [
     "DuplicateKeyError",
     "BROADCAST_MAX_ROWS",
+    "BROADCAST_MAX_BYTES",
+    "row_width",
     "fits_in_rows",
     "checked_broadcast",
     "duplicate_keys",
@@ -29,12 +32,15 @@ __all__ = [
     "lookup_join",
     "prefix_columns",
     "shifted_lookup",
+    "multi_shift_lookup",
     "with_scalars",
 ]
 
-# Default bound for broadcasting a dimension (rows). A few million narrow
-# rows stay well under the executors' broadcast budget.
+# Default bounds for broadcasting a dimension: rows and estimated bytes
+# (rows x schema width). The byte bound keeps a broadcast well inside the
+# driver's and each executor's memory budget.
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 16 * 1024 * 1024
 
 
 class DuplicateKeyError(ValueError):
@@ -46,17 +52,51 @@ def fits_in_rows(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only when the row count is proven small; else unchanged.
+def _type_width(t: T.DataType) -> int:
+    # Spark's default size estimates per type (bytes).
+    if isinstance(t, (T.ByteType, T.BooleanType)):
+        return 1
+    if isinstance(t, T.ShortType):
+        return 2
+    if isinstance(t, (T.IntegerType, T.FloatType, T.DateType)):
+        return 4
+    if isinstance(t, (T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType, T.DayTimeIntervalType)):
+        return 8
+    if isinstance(t, T.DecimalType):
+        return 8 if t.precision <= 18 else 16
+    if isinstance(t, T.StringType):
+        return 20
+    if isinstance(t, T.ArrayType):
+        return _type_width(t.elementType)
+    if isinstance(t, T.MapType):
+        return _type_width(t.keyType) + _type_width(t.valueType)
+    if isinstance(t, T.StructType):
+        return sum(_type_width(f.dataType) for f in t.fields)
+    return 100
 
-    The dimension is persisted while it is counted, so a small one is
-    computed once (the broadcast reads the cached blocks); a large one is
-    unpersisted and left to the planner (sort-merge join, or AQE's runtime
-    conversion when the shuffled side turns out small).
+
+def row_width(df: DataFrame) -> int:
+    """Estimated bytes per row from default type sizes (+ row header)."""
+    return 8 + sum(_type_width(f.dataType) for f in df.schema.fields)
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                      max_bytes: int = BROADCAST_MAX_BYTES, keep_cached: bool = False) -> DataFrame:
+    """Broadcast hint only when the size is proven small; else unchanged.
+
+    The bound is ``min(max_rows, max_bytes / row width)`` rows, checked with a
+    bounded count. The dimension is persisted while it is counted, so a small
+    one is computed once (the broadcast reads the cached blocks). A large one
+    is left to the planner (sort-merge join, or AQE's runtime conversion when
+    the shuffled side turns out small); with ``keep_cached`` it stays
+    persisted, for a dimension that is joined more than once.
     """
+    limit = max(1, min(max_rows, max_bytes // row_width(df)))
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if fits_in_rows(cached, max_rows):
+    if fits_in_rows(cached, limit):
         return F.broadcast(cached)
+    if keep_cached:
+        return cached
     cached.unpersist()
     return df
 
@@ -157,6 +197,54 @@ def shifted_lookup(
     return out.drop(*pk, *[prefix + c for c in drop])
 
 
+def multi_shift_lookup(
+    fact: DataFrame,
+    dim: DataFrame,
+    fact_keys: Sequence[str],
+    dim_keys: Sequence[str],
+    variants: Sequence[tuple[str, dict[str, str | Column] | None]],
+    drop: Sequence[str] = (),
+    how: str = "left",
+    validate: bool = False,
+    broadcast_max_rows: int | None = None,
+) -> DataFrame:
+    """Several shifted copies of one dimension joined to the fact in ONE join.
+
+    Equivalent to one :func:`shifted_lookup` per ``(prefix, shift)`` variant
+    when each variant is unique on its shifted keys (the m:1 contract). The
+    dimension rows are exploded into their variants in a single pass and
+    folded into one wide row per key (``max`` per variant in a hash
+    aggregate), so the dimension is computed once and the fact is joined
+    once, whatever the number of variants.
+    """
+    keys = list(dim_keys)
+    measures = [c for c in dim.columns if c not in keys and c not in drop]
+    copies = []
+    for i, (_, shift) in enumerate(variants):
+        shift = shift or {}
+        fields = [F.lit(i).alias("_variant")]
+        for k in keys:
+            s = shift.get(k)
+            e = shift_time(k, s) if isinstance(s, str) else (s if s is not None else F.col(k))
+            fields.append(e.alias(k))
+        copies.append(F.struct(*fields))
+    exploded = dim.select(F.explode(F.array(*copies)).alias("_s"), *measures).select("_s.*", *measures)
+    if validate:
+        check_unique(exploded, ["_variant", *keys], "shifted dimension")
+    v = F.col("_variant")
+    wide = exploded.groupBy(*keys).agg(*[
+        F.max(F.when(v == i, F.col(m))).alias(prefix + m)
+        for i, (prefix, _) in enumerate(variants) for m in measures
+    ])
+    pk = [f"_k_{k}" for k in keys]
+    wide = wide.select(*[F.col(k).alias(a) for k, a in zip(keys, pk)],
+                       *[c for c in wide.columns if c not in keys])
+    if broadcast_max_rows:
+        wide = checked_broadcast(wide, broadcast_max_rows)
+    cond = [fact[f] == wide[d] for f, d in zip(fact_keys, pk)]
+    return fact.join(wide, cond, how).drop(*pk)
+
+
 def with_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of a one-row aggregate to every row.
 

@@ -34,7 +34,7 @@ from hourgrid.functions.scalar import (
 )
 from hourgrid.operators.aggregate import county_mean, pivot_any
 from hourgrid.operators.clean import drop_null_rows, fill_constants
-from hourgrid.operators.joins import BROADCAST_MAX_ROWS, checked_broadcast, lookup_join, shifted_lookup
+from hourgrid.operators.joins import BROADCAST_MAX_ROWS, lookup_join, multi_shift_lookup, shifted_lookup
 from hourgrid.operators.timeseries import add_lags_and_rollings, keep_first, keep_last
 
 __all__ = [
@@ -217,9 +217,9 @@ def merge_fact(
     * holiday flags by date, absent → False — J8
 
     ``validate`` checks every dimension key for uniqueness first (J11).
-    ``how`` is passed to every join (J12). Each weather aggregate is
-    size-checked once (and persisted while checked), so it is computed once
-    for its two joins and broadcast only when proven small.
+    ``how`` is passed to every join (J12). Each weather aggregate is computed
+    once and joined once: its two shifted copies are folded into one wide
+    row per (county, time, block) before the join (:func:`multi_shift_lookup`).
     """
     p = keys.prefixes
     df = train
@@ -233,24 +233,24 @@ def merge_fact(
     fkeys = [keys.county, keys.time, keys.block]
     if forecast is not None:
         dk = [keys.county, keys.forecast_time, keys.block]
-        forecast = checked_broadcast(forecast, b) if b else forecast
-        df = shifted_lookup(df, forecast, fkeys, dk, p["f0d"], {keys.forecast_time: "1d"},
-                            drop=keys.forecast_drop, how=how, validate=validate)
-        df = shifted_lookup(df, forecast, fkeys, dk, p["f1d"], None,
-                            drop=keys.forecast_drop, how=how, validate=validate)
+        df = multi_shift_lookup(df, forecast, fkeys, dk,
+                                [(p["f0d"], {keys.forecast_time: "1d"}), (p["f1d"], None)],
+                                drop=keys.forecast_drop, how=how, validate=validate)
     if historical is not None:
         dk = [keys.county, keys.time, keys.block]
-        historical = checked_broadcast(historical, b) if b else historical
-        shift2 = {keys.time: "2d"}
+        shift2: dict = {keys.time: "2d"}
         if h2d_block_shift:
             blk = F.col(keys.block)
             shift2[keys.block] = F.when(F.hour(keys.time) <= 10, blk + 1).otherwise(blk).cast(
                 historical.schema[keys.block].dataType)
-        df = shifted_lookup(df, historical, fkeys if h2d_block_shift else fkeys[:2],
-                            dk if h2d_block_shift else dk[:2], p["h2d"], shift2,
-                            drop=[] if h2d_block_shift else [keys.block], how=how, validate=validate)
-        df = shifted_lookup(df, historical, fkeys, dk, p["h1d"], {keys.time: "1d"}, how=how,
-                            validate=validate)
+            df = multi_shift_lookup(df, historical, fkeys, dk,
+                                    [(p["h2d"], shift2), (p["h1d"], {keys.time: "1d"})], how=how,
+                                    validate=validate)
+        else:
+            df = shifted_lookup(df, historical, fkeys[:2], dk[:2], p["h2d"], shift2, drop=[keys.block], how=how,
+                                validate=validate)
+            df = shifted_lookup(df, historical, fkeys, dk, p["h1d"], {keys.time: "1d"}, how=how,
+                                validate=validate)
     if holidays is not None:
         flags = [c for c in holidays.columns if c != keys.date]
         df = lookup_join(df, holidays, [keys.date], how, validate, b, "holidays")
