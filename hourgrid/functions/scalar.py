@@ -110,8 +110,25 @@ def hours_to_interval(c: str | Column) -> Column:
 
 
 def trunc_ts(unit: str, c: str | Column) -> Column:
-    """``date_trunc`` that returns TIMESTAMP_NTZ again (F2)."""
-    return F.date_trunc(unit, col_of(c)).cast("timestamp_ntz")
+    """Truncate a wall-clock TIMESTAMP_NTZ to hour/day/month/year (F2).
+
+    Built from its calendar fields with ``make_timestamp_ntz``, so the result
+    never depends on the session time zone (``date_trunc`` would go through
+    a zoned timestamp and can shift at DST switches). Other units fall back
+    to ``date_trunc``.
+    """
+    t = col_of(c)
+    zero = F.lit(0)
+    u = unit.lower()
+    if u == "hour":
+        return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), zero, zero)
+    if u == "day":
+        return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), zero, zero, zero)
+    if u == "month":
+        return F.make_timestamp_ntz(F.year(t), F.month(t), F.lit(1), zero, zero, zero)
+    if u == "year":
+        return F.make_timestamp_ntz(F.year(t), F.lit(1), F.lit(1), zero, zero, zero)
+    return F.date_trunc(unit, t).cast("timestamp_ntz")
 
 
 def to_day(c: str | Column) -> Column:

@@ -28,6 +28,7 @@ __all__ = [
     "value_counts",
     "distinct_values",
     "mae_by",
+    "exact_percentiles",
     "error_percentiles",
     "train_test_ratio",
     "top_bottom_by_group",
@@ -155,18 +156,74 @@ def mae_by(df: DataFrame, keys: Sequence[str], target: str = "target", pred: str
     return df.groupBy(*keys).agg(e, n) if keys else df.agg(e, n)
 
 
+def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str | Column, qs: Sequence[float],
+                      buckets: int = 256, prefix: str = "p") -> DataFrame:
+    """Exact linear-interpolated percentiles per group, without one-task groups.
+
+    ``percentile`` keeps every distinct value of a group in one buffer, so a
+    group holding a large share of the rows would sit in one task. Instead:
+
+    1. count rows per distinct (group, value) — duplicates combine map-side;
+    2. split each group's distinct values into ``buckets`` value ranges
+       (bounds from ``percentile_approx``; the bounds only balance the work,
+       the result stays exact);
+    3. a running count inside each (group, bucket) plus per-bucket offsets
+       gives every distinct value its rank range ``[start, end)``;
+    4. the values at ranks ``floor``/``ceil`` of ``q * (n - 1)`` are picked
+       by a broadcast range join and interpolated (the definition of
+       ``percentile`` / ``quantile_cont``).
+
+    Groups whose values are all NULL give NULL percentiles.
+    """
+    keys = list(keys)
+    gk = keys or ["_all"]
+    base = df if keys else df.withColumn("_all", F.lit(0))
+    v = base.select(*gk, col_of(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
+    d = v.groupBy(*gk, "_x").agg(F.count(F.lit(1)).alias("_c"))
+    fracs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    bounds = d.groupBy(*gk).agg(F.percentile_approx("_x", fracs, 10000).alias("_b"), F.sum("_c").alias("_n"))
+    bounds = checked_broadcast(bounds)
+    db = d.join(bounds.select(*gk, "_b"), gk).withColumn(
+        "_bk", F.size(F.filter(F.col("_b"), lambda b: b < F.col("_x")))).drop("_b")
+    run = Window.partitionBy(*gk, "_bk").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
+    db = db.withColumn("_cum", F.sum("_c").over(run))
+    per_bucket = db.groupBy(*gk, "_bk").agg(F.sum("_c").alias("_bc"))
+    before = Window.partitionBy(*gk).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    per_bucket = per_bucket.select(*gk, "_bk", F.coalesce(F.sum("_bc").over(before), F.lit(0)).alias("_off"))
+    db = db.join(checked_broadcast(per_bucket), [*gk, "_bk"]).select(
+        *gk, "_x", (F.col("_off") + F.col("_cum") - F.col("_c")).alias("_start"),
+        (F.col("_off") + F.col("_cum")).alias("_end"))
+    qarr = F.array(*[F.struct(F.lit(i).alias("_qi"), F.lit(float(q)).alias("_q")) for i, q in enumerate(qs)])
+    need = bounds.select(*gk, "_n", F.explode(qarr).alias("_qq")).select(
+        *gk, F.col("_qq._qi").alias("_qi"), (F.col("_qq._q") * (F.col("_n") - 1)).alias("_h"))
+    need = need.withColumns({"_lo": F.floor("_h"), "_hi": F.ceil("_h")})
+    ranks = checked_broadcast(need.select(*gk, "_qi", "_h", "_lo", "_hi",
+                                          F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_rank")))
+    cond = [db[k] == ranks[k] for k in gk] + [ranks["_rank"] >= db["_start"], ranks["_rank"] < db["_end"]]
+    hit = db.join(ranks, cond).select(*[db[k] for k in gk], "_x", "_qi", "_h", "_lo", "_hi", "_rank")
+    vals = hit.groupBy(*gk, "_qi").agg(
+        F.max(F.when(F.col("_rank") == F.col("_lo"), F.col("_x"))).alias("_xl"),
+        F.max(F.when(F.col("_rank") == F.col("_hi"), F.col("_x"))).alias("_xh"),
+        F.first("_h").alias("_h"), F.first("_lo").alias("_lo"),
+    ).withColumn("_p", F.col("_xl") + (F.col("_h") - F.col("_lo")) * (F.col("_xh") - F.col("_xl")))
+    wide = vals.groupBy(*gk).agg(*[
+        F.max(F.when(F.col("_qi") == i, F.col("_p"))).alias(f"{prefix}{int(round(q * 100))}") for i, q in enumerate(qs)
+    ])
+    out = base.select(*gk).distinct().join(wide, gk, "left")
+    return out if keys else out.drop("_all")
+
+
 def error_percentiles(df: DataFrame, keys: Sequence[str], target: str = "target", pred: str = "preds",
                       qs: Sequence[float] = (0.5, 0.6, 0.75), exact: bool = True) -> DataFrame:
     """Linear-interpolated percentiles of the absolute error.
 
-    ``exact=False`` switches to ``percentile_approx`` (bounded memory per
-    group) for very large groups.
+    ``exact`` uses :func:`exact_percentiles` (distributed order statistic);
+    ``exact=False`` uses ``percentile_approx`` (one bounded sketch per group).
     """
     e = abs_error(target, pred)
     if exact:
-        p = F.percentile(e, F.array(*[F.lit(q) for q in qs]))
-    else:
-        p = F.percentile_approx(e, F.array(*[F.lit(q) for q in qs]), 100000)
+        return exact_percentiles(df, keys, e, qs)
+    p = F.percentile_approx(e, F.array(*[F.lit(q) for q in qs]), 100000)
     out = (df.groupBy(*keys) if keys else df.groupBy()).agg(p.alias("_p"))
     return out.select(*keys, *[F.col("_p")[i].alias(f"p{int(round(q * 100))}") for i, q in enumerate(qs)])
 

@@ -100,3 +100,24 @@ def test_scores_and_ratio(spark):
     p = agg.error_percentiles(pred.filter("target is not null"), [], "target", "preds").collect()[0]
     # errors 1, 0, 4 -> linear percentiles
     assert math.isclose(p["p50"], 1.0) and math.isclose(p["p60"], 1.6) and math.isclose(p["p75"], 2.5)
+
+
+def test_exact_percentiles_match_numpy_on_skewed_groups(spark):
+    import numpy as np
+
+    from hourgrid.operators.aggregate import exact_percentiles
+
+    rng = np.random.default_rng(7)
+    hot = rng.exponential(3.0, 3000).round(3)
+    rows = [("hot", float(x)) for x in hot] + [("a", 1.0), ("a", 2.0), ("b", 5.0), ("c", None)]
+    rows += [("hot", float(x)) for x in hot[:50]]          # duplicated values
+    df = spark.createDataFrame(rows, "g string, x double")
+    out = {r["g"]: r for r in exact_percentiles(df, ["g"], "x", [0.5, 0.6, 0.75, 0.0, 1.0], buckets=7).collect()}
+    allhot = np.concatenate([hot, hot[:50]])
+    for q in (0.5, 0.6, 0.75, 0.0, 1.0):
+        assert math.isclose(out["hot"][f"p{int(q * 100)}"], float(np.percentile(allhot, q * 100)), abs_tol=1e-9)
+    assert out["a"]["p50"] == 1.5 and out["b"]["p75"] == 5.0
+    assert out["c"]["p50"] is None
+    glob = exact_percentiles(df, [], "x", [0.5], buckets=3).collect()[0]
+    allv = np.array([x for _, x in rows if x is not None])
+    assert math.isclose(glob["p50"], float(np.percentile(allv, 50)))

@@ -138,3 +138,14 @@ def test_pivot_any_two_types_one_date(spark):
         "date date, holiday_type string")
     got = {r["date"]: (r["a"], r["b"]) for r in pivot_any(hol, "date", "holiday_type", ["a", "b"]).collect()}
     assert got == {dt.date(2022, 1, 1): (True, True), dt.date(2022, 1, 2): (False, True)}
+
+
+def test_trunc_is_time_zone_free(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Tallinn")
+    try:
+        df = spark.createDataFrame([("2022-03-27 03:30:00",)], "s string").select(
+            F.col("s").cast("timestamp_ntz").alias("t"))
+        r = df.select(fx.trunc_ts("hour", "t").alias("h"), fx.trunc_ts("month", "t").alias("m")).collect()[0]
+        assert r["h"] == dt.datetime(2022, 3, 27, 3) and r["m"] == dt.datetime(2022, 3, 1)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
