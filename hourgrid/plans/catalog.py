@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hourgrid.functions import calendar as cal
 from hourgrid.functions import scalar as fx
@@ -20,8 +21,10 @@ from hourgrid.operators import clean
 from hourgrid.operators.aggregate import county_mean, pivot_any, rounded
 from hourgrid.operators.clean import clean_series_nulls
 from hourgrid.operators.joins import duplicate_keys
-from hourgrid.operators.timeseries import add_lags_and_rollings, fill_segment, interpolate_segment, keep_last
+from hourgrid.operators.timeseries import add_lags, add_lags_and_rollings, fill_segment, interpolate_segment, keep_last
+from hourgrid.plans import backtest as bt
 from hourgrid.plans import reports, standins
+from hourgrid.sources.readers import read_table
 from hourgrid.plans.features import (
     LAG_SPECS_FEATURES,
     MergeKeys,
@@ -216,7 +219,6 @@ def series_completeness(spark: SparkSession, d: str) -> DataFrame:
 
 
 def read_events(spark: SparkSession, d: str) -> DataFrame:
-    from hourgrid.sources.readers import read_table
     return read_table(spark, d, "events")
 
 
@@ -309,7 +311,6 @@ def scalar_functions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def from_table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    from hourgrid.sources.readers import read_table
     return read_table(spark, d, name)
 
 
@@ -389,8 +390,6 @@ def cast_and_fill(spark: SparkSession, d: str) -> DataFrame:
 
 # ------------------------------------------------------------- backtest
 
-from hourgrid.operators.timeseries import add_lags  # noqa: E402
-from hourgrid.plans import backtest as bt  # noqa: E402
 
 FOLD_ARGS = dict(train_share=0.64, val_share=0.16, n_val_splits=3, n_test_splits=3, fh=2)
 EVAL_DAYS = 3
@@ -554,8 +553,6 @@ def _dates_as_timestamps(fn: Query) -> Query:
     DATE values travel differently through the Spark and DuckDB clients;
     timestamps compare the same way in both. The library functions keep DATE.
     """
-    from pyspark.sql import types as T
-
     def run(spark: SparkSession, d: str) -> DataFrame:
         df = fn(spark, d)
         dates = {f.name for f in df.schema.fields if isinstance(f.dataType, T.DateType)}
