@@ -27,6 +27,7 @@ __all__ = [
     "row_width",
     "fits_in_rows",
     "checked_broadcast",
+    "checked_broadcast_all",
     "duplicate_keys",
     "check_unique",
     "lookup_join",
@@ -101,6 +102,23 @@ def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     return df
 
 
+def checked_broadcast_all(dfs: Sequence[DataFrame | None], max_rows: int = BROADCAST_MAX_ROWS,
+                          max_bytes: int = BROADCAST_MAX_BYTES) -> list[DataFrame | None]:
+    """:func:`checked_broadcast` for several independent dimensions at once.
+
+    The bounded counts are separate Spark jobs; they are submitted together
+    from a small driver thread pool so they run concurrently on the cluster.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    todo = [d for d in dfs if d is not None]
+    if not todo:
+        return list(dfs)
+    with ThreadPoolExecutor(max_workers=min(8, len(todo))) as pool:
+        done = iter(list(pool.map(lambda d: checked_broadcast(d, max_rows, max_bytes), todo)))
+    return [next(done) if d is not None else None for d in dfs]
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key values that occur more than once, with their multiplicity.
 

@@ -34,7 +34,13 @@ from hourgrid.functions.scalar import (
 )
 from hourgrid.operators.aggregate import county_mean, pivot_any
 from hourgrid.operators.clean import drop_null_rows, fill_constants
-from hourgrid.operators.joins import BROADCAST_MAX_ROWS, lookup_join, multi_shift_lookup, shifted_lookup
+from hourgrid.operators.joins import (
+    BROADCAST_MAX_ROWS,
+    checked_broadcast_all,
+    lookup_join,
+    multi_shift_lookup,
+    shifted_lookup,
+)
 from hourgrid.operators.timeseries import add_lags_and_rollings, keep_first, keep_last
 
 __all__ = [
@@ -223,7 +229,11 @@ def merge_fact(
     """
     p = keys.prefixes
     df = train
-    b = broadcast_max_rows
+    if broadcast_max_rows:
+        # size checks of the small dimensions run as concurrent jobs
+        client, gas, electricity, holidays = checked_broadcast_all([client, gas, electricity, holidays],
+                                                                   broadcast_max_rows)
+    b = None
     if client is not None:
         df = lookup_join(df, client, [*keys.unit, keys.block], how, validate, b, "client")
     if gas is not None:
