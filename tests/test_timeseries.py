@@ -184,3 +184,28 @@ def test_lags_only(spark):
     df = spark.createDataFrame(_series(), SCHEMA)
     out = add_lags(df, "target", ["1h"], "datetime", ["seg"]).filter("seg = 'a'").orderBy("datetime").collect()
     assert out[1]["target_lag_1h"] == out[0]["target"]
+
+
+def test_hot_series_is_split_over_tasks(spark):
+    """One series holding every row: halo buckets spread it, the plain window does not."""
+    from pyspark.sql import functions as F
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        days = 3 * 365
+        df = spark.range(days * 24).select(
+            F.lit("hot").alias("seg"),
+            F.timestamp_add("HOUR", F.col("id").cast("int"), F.lit(T0)).alias("datetime"),
+            (F.col("id") % 97).cast("double").alias("target"))
+        specs = {"2d": {"24h": ["mean"]}, "7d": None}
+
+        def tasks(bucket):
+            out = add_lags_and_rollings(df, "target", specs, "datetime", ["seg"], bucket=bucket)
+            # keep a window column in the projection so the window is not pruned away
+            tagged = out.select(F.spark_partition_id().alias("p"), "target_lag_2d_24h_win_mean")
+            return tagged.filter(F.col("target_lag_2d_24h_win_mean").isNotNull()).select("p").distinct().count()
+
+        assert tasks(None) == 1
+        assert tasks("auto") >= 4
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
