@@ -44,6 +44,7 @@ __all__ = [
 
 NS_PER_DAY = 86_400_000_000_000
 MAX_FOLDS = 10_000
+MAX_SEGMENTS = 10_000
 
 
 def _ts(x: Any) -> Column:
@@ -285,7 +286,10 @@ def backtest_models(
         raise ValueError(f"more than {MAX_FOLDS} folds")
     fold_rows = folds.collect()
     feats = materialize(df, "features", sort_by=[time_col])
-    segments = feats.select(*segment_cols).distinct().collect()
+    seg_df = feats.select(*segment_cols).distinct()
+    if not fits_in_rows(seg_df, MAX_SEGMENTS):
+        raise ValueError(f"more than {MAX_SEGMENTS} segments: one model per segment and fold is not sensible")
+    segments = seg_df.collect()
     drop = set(exclude) | {time_col, label, *segment_cols}
     num, cat = feature_columns(df, sorted(drop))
     t = F.col(time_col)
