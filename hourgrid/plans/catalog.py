@@ -23,6 +23,7 @@ from hourgrid.operators.clean import clean_series_nulls
 from hourgrid.operators.joins import duplicate_keys
 from hourgrid.operators.timeseries import add_lags, add_lags_and_rollings, fill_segment, interpolate_segment, keep_last
 from hourgrid.plans import backtest as bt
+from hourgrid.plans import report_sql as rsql
 from hourgrid.plans import reports, standins
 from hourgrid.sources.readers import read_table
 from hourgrid.plans.features import (
@@ -547,6 +548,62 @@ def supplier_daily_features(spark: SparkSession, d: str) -> DataFrame:
     return _round_new(out, daily.columns)
 
 
+# ------------------------------------------------------------- reports as SQL text
+
+
+def sql_null_profile(spark: SparkSession, d: str) -> DataFrame:
+    """S8 + A2 as SQL text."""
+    cols = ["target", "datetime", "eic_count", "installed_capacity", "lowest_price_per_mwh",
+            "highest_price_per_mwh", "euros_per_mwh"]
+    counts = ", ".join(f"CAST(COUNT_IF({c} IS NULL) AS BIGINT) AS {c}_nulls" for c in cols)
+    return rsql.run_report(merged_hourly(spark, d), rsql.NULLS, counts=counts)
+
+
+def sql_series_completeness(spark: SparkSession, d: str) -> DataFrame:
+    """S8 + A3 as SQL text."""
+    return rsql.run_report(read_events(spark, d), rsql.COMPLETENESS, series="user_id, event_type", v="value")
+
+
+def sql_avg_monthly_by_flag(spark: SparkSession, d: str) -> DataFrame:
+    """S8 + A4 as SQL text."""
+    return rsql.run_report(_orders(spark, d), rsql.AVG_MONTHLY, t="o_orderdate", v="o_totalprice", flag="is_final")
+
+
+def sql_growth_rate(spark: SparkSession, d: str) -> DataFrame:
+    """S8 + A5 as SQL text."""
+    return rsql.run_report(_orders(spark, d), rsql.GROWTH, t="o_orderdate", v="o_totalprice")
+
+
+def sql_category_segment(spark: SparkSession, d: str) -> DataFrame:
+    """S8 + A6 as SQL text (one template per category column, as in the original loop)."""
+    return rsql.run_report(_orders(spark, d), rsql.CATEGORY, cat="c_mktsegment", flag="is_final", v="o_totalprice")
+
+
+def sql_monthly_change(spark: SparkSession, d: str) -> DataFrame:
+    """S8 + A7/W1 as SQL text."""
+    return rsql.run_report(_orders(spark, d), rsql.MONTHLY_CHANGE, t="o_orderdate", v="o_totalprice",
+                           pred="is_final")
+
+
+def sql_top5_month(spark: SparkSession, d: str) -> DataFrame:
+    """S8 + O2 as SQL text."""
+    return rsql.run_report(_orders(spark, d), rsql.TOP_GROUPS, groups="c_nationkey, c_mktsegment",
+                           t="o_orderdate", v="o_totalprice", pred="is_final", start="1996-03-01 00:00:00",
+                           end="1996-04-01 00:00:00", n=5)
+
+
+def sql_daily_moving_avg(spark: SparkSession, d: str) -> DataFrame:
+    """S8 + A8/W2 as SQL text."""
+    return rsql.run_report(_orders(spark, d), rsql.MOVING_AVG, t="o_orderdate", v="o_totalprice",
+                           pred="is_final AND c_mktsegment = 'BUILDING'", start="1996-03-01", end="1996-04-01")
+
+
+def sql_first_rows(spark: SparkSession, d: str) -> DataFrame:
+    """S8 + O1 as SQL text."""
+    return rsql.run_report(merged_hourly(spark, d), rsql.FIRST_ROWS,
+                           order="datetime, event_type, is_consumption, target, n, eic_count", n=5)
+
+
 def _dates_as_timestamps(fn: Query) -> Query:
     """Registered outputs carry calendar days as TIMESTAMP_NTZ (midnight).
 
@@ -621,6 +678,15 @@ _QUERIES: dict[str, Query] = {
     "param_search": param_search,
     "gain_summary": gain_summary,
     "supplier_daily_features": supplier_daily_features,
+    "sql_null_profile": sql_null_profile,
+    "sql_series_completeness": sql_series_completeness,
+    "sql_avg_monthly_by_flag": sql_avg_monthly_by_flag,
+    "sql_growth_rate": sql_growth_rate,
+    "sql_category_segment": sql_category_segment,
+    "sql_monthly_change": sql_monthly_change,
+    "sql_top5_month": sql_top5_month,
+    "sql_daily_moving_avg": sql_daily_moving_avg,
+    "sql_first_rows": sql_first_rows,
 }
 
 QUERIES: dict[str, Query] = {k: _dates_as_timestamps(v) for k, v in _QUERIES.items()}

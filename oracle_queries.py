@@ -648,3 +648,8 @@ FROM lagged
 WINDOW w28 AS (PARTITION BY l_suppkey ORDER BY epoch_us(day) RANGE BETWEEN {28 * 86_400_000_000} PRECEDING AND 1 PRECEDING),
        w7 AS (PARTITION BY l_suppkey ORDER BY epoch_us(day) RANGE BETWEEN {7 * 86_400_000_000} PRECEDING AND 1 PRECEDING)
 """
+
+# The SQL-text reports (S8) must equal their DataFrame twins.
+for _name in ["null_profile", "series_completeness", "avg_monthly_by_flag", "growth_rate", "category_segment",
+              "monthly_change", "top5_month", "daily_moving_avg", "first_rows"]:
+    SQL[f"sql_{_name}"] = SQL[_name]
