@@ -604,6 +604,13 @@ def sql_first_rows(spark: SparkSession, d: str) -> DataFrame:
                            order="datetime, event_type, is_consumption, target, n, eic_count", n=5)
 
 
+def sql_merged(spark: SparkSession, d: str) -> DataFrame:
+    """S8 + J1-J3: the merged table as SQL text (the transform's CTAS body)."""
+    h = standins.hourly(spark, d).select("event_type", "datetime", "target", "is_consumption", "data_block_id")
+    return rsql.run_merge(h, standins.daily_dim(spark, d), standins.daily_price(spark, d),
+                          standins.hour_price(spark, d), unit="event_type")
+
+
 def _dates_as_timestamps(fn: Query) -> Query:
     """Registered outputs carry calendar days as TIMESTAMP_NTZ (midnight).
 
@@ -687,6 +694,7 @@ _QUERIES: dict[str, Query] = {
     "sql_top5_month": sql_top5_month,
     "sql_daily_moving_avg": sql_daily_moving_avg,
     "sql_first_rows": sql_first_rows,
+    "sql_merged": sql_merged,
 }
 
 QUERIES: dict[str, Query] = {k: _dates_as_timestamps(v) for k, v in _QUERIES.items()}

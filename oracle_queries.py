@@ -653,3 +653,12 @@ WINDOW w28 AS (PARTITION BY l_suppkey ORDER BY epoch_us(day) RANGE BETWEEN {28 *
 for _name in ["null_profile", "series_completeness", "avg_monthly_by_flag", "growth_rate", "category_segment",
               "monthly_change", "top5_month", "daily_moving_avg", "first_rows"]:
     SQL[f"sql_{_name}"] = SQL[_name]
+
+SQL["sql_merged"] = _with(HOURLY, DAILY_DIM, DAILY_PRICE, HOUR_PRICE) + """
+SELECT h.event_type, h.datetime, h.target, h.is_consumption, h.data_block_id,
+       c.eic_count, c.installed_capacity, g.lowest_price_per_mwh, g.highest_price_per_mwh, e.euros_per_mwh
+FROM hourly h
+LEFT JOIN daily_dim c ON c.event_type = h.event_type AND c.data_block_id = h.data_block_id
+LEFT JOIN daily_price g ON g.data_block_id = h.data_block_id
+LEFT JOIN hour_price e ON e.origin_date + INTERVAL 2 DAY = h.datetime AND e.data_block_id = h.data_block_id
+"""
