@@ -14,6 +14,7 @@ reach the driver.
 
 from __future__ import annotations
 
+import json
 import random
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -39,7 +40,9 @@ __all__ = [
     "fit_predict",
     "backtest_models",
     "feature_importances",
+    "sample_candidates",
     "param_search",
+    "refit_best",
 ]
 
 NS_PER_DAY = 86_400_000_000_000
@@ -307,7 +310,7 @@ def backtest_models(
         rows = rows.withColumns({"kind": F.lit(fold["kind"]), "fold": F.lit(fold["fold"])})
         train = rows.filter(F.col("part") != "test")
         test = rows.filter(F.col("part") == "test")
-        model, pred, assembled = fit_predict(train, test, spec, label, num, cat)
+        model, pred, assembled = fit_predict(train, test, spec, label, num, cat, use_eval=bool(eval_days))
         if on_model is not None:
             on_model({"kind": fold["kind"], "fold": fold["fold"], **seg.asDict(), "model_label": spec.label},
                      model, assembled)
@@ -330,12 +333,40 @@ def feature_importances(model, assembled: Sequence[str]) -> list[tuple[str, floa
     return [(n, float(v)) for n, v in zip(names, imp)]
 
 
+def sample_candidates(space: Mapping[str, Any], n_candidates: int = 4, seed: int = 10,
+                      kind: str = "gbt", base: Mapping[str, Any] | None = None) -> list[FitSpec]:
+    """Seeded random candidates from a search space (M6).
+
+    A list/set of values is a categorical choice; a ``(lo, hi)`` tuple is a
+    uniform range (integers when both ends are ints). Duplicates are skipped.
+    """
+    rng = random.Random(seed)
+    keys = sorted(space)
+    out, seen = [], set()
+    for _ in range(n_candidates * 20):
+        params = {}
+        for k in keys:
+            dom = space[k]
+            if isinstance(dom, tuple) and len(dom) == 2:
+                lo, hi = dom
+                params[k] = rng.randint(lo, hi) if isinstance(lo, int) and isinstance(hi, int) else rng.uniform(lo, hi)
+            else:
+                params[k] = rng.choice(list(dom))
+        sig = tuple(params[k] for k in keys)
+        if sig not in seen:
+            seen.add(sig)
+            out.append(FitSpec(label=f"cand{len(out)}", kind=kind, params={**(base or {}), **params}))
+        if len(out) == n_candidates:
+            break
+    return out
+
+
 def param_search(
     df: DataFrame,
     val_folds: DataFrame,
     time_col: str,
     segment_cols: Sequence[str],
-    grid: Mapping[str, Sequence[Any]],
+    grid: Mapping[str, Any],
     n_candidates: int = 4,
     seed: int = 10,
     label: str = "target",
@@ -343,32 +374,43 @@ def param_search(
     parallelism: int = 4,
     eval_days: int | None = 21,
 ) -> tuple[DataFrame, DataFrame]:
-    """Seeded random search over ``grid`` (M6).
+    """Seeded random search on validation folds (M6).
 
     Every candidate is scored on every validation fold; the mean of fold MAEs
     per candidate is computed in Spark and the best one is picked with
-    ``min_by``. Returns (per-candidate scores, best candidate row).
+    ``min_by``. Returns (per-candidate scores with params, best candidate).
     """
-    rng = random.Random(seed)
-    keys = sorted(grid)
-    cands = []
-    seen = set()
-    for _ in range(n_candidates * 10):
-        c = tuple(rng.choice(list(grid[k])) for k in keys)
-        if c not in seen:
-            seen.add(c)
-            cands.append(c)
-        if len(cands) == n_candidates:
-            break
-    specs = [FitSpec(label=f"cand{i}", kind="gbt", params=dict(zip(keys, c))) for i, c in enumerate(cands)]
+    specs = sample_candidates(grid, n_candidates, seed)
     preds = backtest_models(df, val_folds, time_col, segment_cols, specs, label, exclude, eval_days=eval_days,
                             parallelism=parallelism)
     per_fold = fold_scores(preds, ["model_label", "kind", "fold"], label)
     per_cand = per_fold.groupBy("model_label").agg(F.avg("mae").alias("mean_mae"),
                                                    F.count(F.lit(1)).cast("long").alias("n_folds"))
     params = df.sparkSession.createDataFrame(
-        [(s.label, str(dict(s.params or {}))) for s in specs], "model_label string, params string")
+        [(s.label, json.dumps(dict(s.params or {}), sort_keys=True)) for s in specs],
+        "model_label string, params string")
     per_cand = per_cand.join(F.broadcast(params), "model_label")
     best = per_cand.agg(F.min_by("model_label", "mean_mae").alias("model_label"),
-                        F.min("mean_mae").alias("mean_mae"))
+                        F.min("mean_mae").alias("mean_mae"), F.min_by("params", "mean_mae").alias("params"))
     return per_cand, best
+
+
+def refit_best(
+    df: DataFrame,
+    best: DataFrame,
+    test_folds: DataFrame,
+    time_col: str,
+    segment_cols: Sequence[str],
+    label: str = "target",
+    exclude: Sequence[str] = (),
+    parallelism: int = 4,
+) -> DataFrame:
+    """Refit the selected candidate on each test fold (no eval split) and score it (M6).
+
+    Only the one-row selection (label and params) is read on the driver.
+    """
+    row = best.first()
+    spec = FitSpec(label=row["model_label"], kind="gbt", params=json.loads(row["params"]))
+    preds = backtest_models(df, test_folds, time_col, segment_cols, [spec], label, exclude, eval_days=None,
+                            parallelism=parallelism)
+    return fold_scores(preds, ["model_label", "kind", "fold", *segment_cols], label)

@@ -507,15 +507,28 @@ def objective_comparison(spark: SparkSession, d: str) -> DataFrame:
     return bt.fold_scores(preds, ["model_label", "kind", "fold", "is_consumption"])
 
 
+SEARCH_SPACE = {"maxDepth": (3, 6), "stepSize": (0.05, 0.3), "maxIter": [5, 10], "subsamplingRate": (0.5, 1.0)}
+
+
+def _search(spark: SparkSession, d: str):
+    folds = _hourly_folds(spark, d).filter((F.col("kind") == "val") & (F.col("fold") < 2))
+    return bt.param_search(_ml_frame(spark, d), folds, "datetime", [], SEARCH_SPACE, n_candidates=3,
+                           eval_days=EVAL_DAYS)
+
+
 def param_search(spark: SparkSession, d: str) -> DataFrame:
     """M6: seeded random search on validation folds; best candidate by mean MAE."""
-    folds = _hourly_folds(spark, d).filter((F.col("kind") == "val") & (F.col("fold") < 2))
-    per_cand, best = bt.param_search(_ml_frame(spark, d), folds, "datetime", ["is_consumption"],
-                                     {"maxDepth": [3, 5], "stepSize": [0.1, 0.3], "maxIter": [5, 10]},
-                                     n_candidates=3, eval_days=EVAL_DAYS)
+    per_cand, best = _search(spark, d)
     return per_cand.join(best.select(F.col("model_label"), F.lit(True).alias("is_best")), "model_label", "left")
 
 
+def best_model_holdout(spark: SparkSession, d: str) -> DataFrame:
+    """M6: refit the selected candidate on the test folds and score the holdout."""
+    _, best = _search(spark, d)
+    test = _hourly_folds(spark, d).filter(F.col("kind") == "test")
+    return bt.refit_best(_ml_frame(spark, d), best, test, "datetime", [])
+
+
 def gain_summary(spark: SparkSession, d: str) -> DataFrame:
     """M7 + A17: GBT feature importances per segment; top/bottom 5 features."""
     rows = []
@@ -683,6 +696,7 @@ _QUERIES: dict[str, Query] = {
     "gbt_backtest": gbt_backtest,
     "objective_comparison": objective_comparison,
     "param_search": param_search,
+    "best_model_holdout": best_model_holdout,
     "gain_summary": gain_summary,
     "supplier_daily_features": supplier_daily_features,
     "sql_null_profile": sql_null_profile,
