@@ -63,7 +63,8 @@ def _rolling_expr(func: str, x: Column, frame) -> Column:
         return F.percentile(x, F.lit(0.5)).over(frame)
     if func == "count":
         # no row in the frame -> NULL, rows but all null -> 0 (pandas rules)
-        return F.when(F.count(F.lit(1)).over(frame) > 0, F.count(x).over(frame))
+        # DOUBLE like the pandas result (NULL-able counts)
+        return F.when(F.count(F.lit(1)).over(frame) > 0, F.count(x).over(frame).cast("double"))
     if func == "sum":
         return F.when(F.count(x).over(frame) > 0, F.sum(x).over(frame))
     if func == "min":

@@ -81,7 +81,7 @@ def hourly(spark: SparkSession, d: str) -> DataFrame:
 def daily_dim(spark: SparkSession, d: str) -> DataFrame:
     ev = read_table(spark, d, "events")
     out = ev.groupBy("event_type", F.to_date("ts").alias("date")).agg(
-        F.count_distinct("user_id").cast("long").alias("eic_count"), exact_sum("value").alias("installed_capacity")
+        F.count_distinct("user_id").cast("double").alias("eic_count"), exact_sum("value").alias("installed_capacity")
     )
     return out.select("event_type", "eic_count", "installed_capacity",
                       _block(F.col("date"), EVENT_BASE, 2).alias("data_block_id"))

@@ -16,7 +16,7 @@ hourly AS (
 
 DAILY_DIM = """
 daily_dim AS (
-  SELECT event_type, CAST(COUNT(DISTINCT user_id) AS BIGINT) AS eic_count,
+  SELECT event_type, CAST(COUNT(DISTINCT user_id) AS DOUBLE) AS eic_count,
          CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS installed_capacity,
          CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) + 2 AS INTEGER) AS data_block_id
   FROM events GROUP BY event_type, CAST(ts AS DATE))"""
@@ -134,7 +134,7 @@ def rolling_select(specs) -> tuple[list[str], list[str]]:
                 elif fn == "median":
                     e = rnd(f"QUANTILE_CONT({x}, 0.5) OVER {wn}", 4)
                 elif fn == "count":
-                    e = f"CASE WHEN COUNT(*) OVER {wn} > 0 THEN COUNT({x}) OVER {wn} END"
+                    e = f"CASE WHEN COUNT(*) OVER {wn} > 0 THEN CAST(COUNT({x}) OVER {wn} AS DOUBLE) END"
                 else:
                     raise ValueError(fn)
                 exprs.append(f"{e} AS {name}")
@@ -351,7 +351,7 @@ FROM merged
 """
 
 _PROFILE_COLS = [("datetime", "timestamp_ntz"), ("event_type", "string"), ("target", "double"), ("n", "bigint"),
-                 ("is_consumption", "boolean"), ("eic_count", "bigint"), ("installed_capacity", "double"),
+                 ("is_consumption", "boolean"), ("eic_count", "double"), ("installed_capacity", "double"),
                  ("lowest_price_per_mwh", "double"), ("highest_price_per_mwh", "double"),
                  ("euros_per_mwh", "double"), ("click", "boolean"), ("error", "boolean"),
                  ("purchase", "boolean"), ("signup", "boolean"), ("view", "boolean")]
@@ -642,7 +642,7 @@ WITH daily AS (SELECT l_suppkey, l_shipdate AS day, CAST(SUM(CAST(l_extendedpric
 SELECT l_suppkey, day, revenue, revenue_lag_7d, revenue_lag_28d, revenue_lag_364d,
   {rnd("AVG(revenue_lag_7d) OVER w28", 4)} AS revenue_lag_7d_28d_win_mean,
   {rnd("STDDEV_SAMP(revenue_lag_7d) OVER w28", 4)} AS revenue_lag_7d_28d_win_std,
-  CASE WHEN COUNT(*) OVER w28 > 0 THEN COUNT(revenue_lag_7d) OVER w28 END AS revenue_lag_7d_28d_win_count,
+  CASE WHEN COUNT(*) OVER w28 > 0 THEN CAST(COUNT(revenue_lag_7d) OVER w28 AS DOUBLE) END AS revenue_lag_7d_28d_win_count,
   {rnd("QUANTILE_CONT(revenue_lag_7d, 0.5) OVER w7", 4)} AS revenue_lag_7d_7d_win_median
 FROM lagged
 WINDOW w28 AS (PARTITION BY l_suppkey ORDER BY epoch_us(day) RANGE BETWEEN {28 * 86_400_000_000} PRECEDING AND 1 PRECEDING),
