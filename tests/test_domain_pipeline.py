@@ -65,3 +65,14 @@ def test_feature_table_end_to_end(spark):
     assert r["dst"] is True
     z = out.filter("datetime = '2021-09-01 05:00:00' AND NOT is_consumption").collect()[0]
     assert z["f1d_direct_solar_radiation"] is None or z["f1d_direct_solar_radiation"] >= 0.0
+
+
+def test_staged_workflow_equals_one_call(spark):
+    from hourgrid.plans.workflow import FeatureWorkflow
+
+    tables = _tables(spark)
+    wf = (FeatureWorkflow(spark).load(tables).prepare().merge().transform_datetime()
+          .add_lags_and_rollings("target", LAG_SPECS_BASELINE).add_ratio_features())
+    one = build_feature_table(tables, LAG_SPECS_BASELINE)
+    assert wf.df.columns == one.columns
+    assert wf.df.exceptAll(one).count() == 0 and one.exceptAll(wf.df).count() == 0
