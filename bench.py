@@ -39,6 +39,7 @@ HEADLINE = [
     "naive_scores",
     "fold_membership",
     "gbt_backtest",
+    "supplier_gbt_backtest",
 ]
 
 

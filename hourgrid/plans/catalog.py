@@ -561,6 +561,20 @@ def supplier_daily_features(spark: SparkSession, d: str) -> DataFrame:
     return _round_new(out, daily.columns)
 
 
+def supplier_gbt_backtest(spark: SparkSession, d: str) -> DataFrame:
+    """M1 + T1 at scale: one GBT per month fold on the supplier daily series (grows with the data).
+
+    Features: lags 7d/28d/364d, rollings over the 7-day lag, calendar parts.
+    Two expanding month folds (train 60 months, test the next month), no
+    segmentation: one model per fold over all suppliers.
+    """
+    feats = cal.add_calendar_features(supplier_daily_features(spark, d), "day")
+    folds = bt.month_folds(feats, "day", train_range=60, test_range=1, shift=1, splits=2)
+    preds = bt.backtest_models(feats, folds, "day", [], [bt.FitSpec("gbt", "gbt", {"maxIter": 20, "maxDepth": 6})],
+                               label="revenue", exclude=["l_suppkey"], eval_days=None, parallelism=2)
+    return bt.fold_scores(preds, ["model_label", "kind", "fold"], "revenue")
+
+
 # ------------------------------------------------------------- reports as SQL text
 
 
@@ -709,6 +723,7 @@ _QUERIES: dict[str, Query] = {
     "sql_daily_moving_avg": sql_daily_moving_avg,
     "sql_first_rows": sql_first_rows,
     "sql_merged": sql_merged,
+    "supplier_gbt_backtest": supplier_gbt_backtest,
 }
 
 QUERIES: dict[str, Query] = {k: _dates_as_timestamps(v) for k, v in _QUERIES.items()}
