@@ -548,6 +548,26 @@ def gain_summary(spark: SparkSession, d: str) -> DataFrame:
 SUPPLIER_SPECS = {"7d": {"28d": ["mean", "std", "count"], "7d": ["median"]}, "28d": None, "364d": None}
 
 
+def yield_backtest(spark: SparkSession, d: str) -> DataFrame:
+    """W5 + F15 + M1 + A14: train on production yield, score in target units.
+
+    Capacity is filled inside each series (back, forward, then 1.0); the
+    model learns target / max(capacity, 1) on production rows; predictions
+    are turned back into target units before the MAE.
+    """
+    m = merged_hourly(spark, d).select("event_type", "datetime", "target", "is_consumption", "installed_capacity",
+                                       "eic_count", "euros_per_mwh")
+    m = fill_segment(m, "installed_capacity", "datetime", SERIES, default=1.0, out_col="capacity")
+    m = add_lags_and_rollings(m, "target", {"2d": {"24h": ["mean"]}, "7d": None}, "datetime", SERIES)
+    prod = m.filter(~F.col("is_consumption")).withColumn(
+        "yield", fx.yield_of("target", "capacity", "is_consumption"))
+    folds = _hourly_folds(spark, d).filter(F.col("kind") == "test")
+    preds = bt.backtest_models(prod, folds, "datetime", [], [bt.FitSpec("gbt_yield", "gbt", {"maxIter": 10})],
+                               label="yield", exclude=["target", "installed_capacity"], eval_days=EVAL_DAYS)
+    back = preds.withColumn("preds", fx.from_yield("preds", "capacity"))
+    return bt.fold_scores(back, ["model_label", "kind", "fold"], "target")
+
+
 def supplier_daily_features(spark: SparkSession, d: str) -> DataFrame:
     """W3 + W4 at scale: one daily series per supplier (grows with the data).
 
@@ -724,6 +744,7 @@ _QUERIES: dict[str, Query] = {
     "sql_first_rows": sql_first_rows,
     "sql_merged": sql_merged,
     "supplier_gbt_backtest": supplier_gbt_backtest,
+    "yield_backtest": yield_backtest,
 }
 
 QUERIES: dict[str, Query] = {k: _dates_as_timestamps(v) for k, v in _QUERIES.items()}

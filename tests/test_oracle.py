@@ -12,7 +12,7 @@ from tests.conftest import SF_SMALL
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
 SQL = entry.oracle_sql()
-ML_ONLY = {"gbt_backtest", "objective_comparison", "param_search", "gain_summary", "best_model_holdout", "supplier_gbt_backtest"}
+ML_ONLY = {"gbt_backtest", "objective_comparison", "param_search", "gain_summary", "best_model_holdout", "supplier_gbt_backtest", "yield_backtest"}
 
 
 def _norm(v):
