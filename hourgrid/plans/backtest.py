@@ -271,7 +271,7 @@ def backtest_models(
     label: str = "target",
     exclude: Sequence[str] = (),
     eval_days: int | None = 21,
-    parallelism: int = 4,
+    parallelism: int = 8,
     on_model: Callable[[dict, Any, list[str]], None] | None = None,
 ) -> DataFrame:
     """Train one model per (fold, segment, spec) and predict the fold's test rows (M1-M4).
@@ -371,7 +371,7 @@ def param_search(
     seed: int = 10,
     label: str = "target",
     exclude: Sequence[str] = (),
-    parallelism: int = 4,
+    parallelism: int = 8,
     eval_days: int | None = 21,
 ) -> tuple[DataFrame, DataFrame]:
     """Seeded random search on validation folds (M6).
@@ -403,7 +403,7 @@ def refit_best(
     segment_cols: Sequence[str],
     label: str = "target",
     exclude: Sequence[str] = (),
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> DataFrame:
     """Refit the selected candidate on each test fold (no eval split) and score it (M6).
 
