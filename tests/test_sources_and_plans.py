@@ -115,3 +115,22 @@ def test_no_python_udfs_in_query_plans(spark):
 def test_grouping_sets_single_aggregate(spark):
     plan = _plan(catalog.QUERIES["forecast_county"](spark, SF_SMALL))
     assert plan.count("Expand") == 1
+
+
+def test_load_table_sets(spark):
+    d = _scratch()
+    main, extra, pq = os.path.join(d, "main"), os.path.join(d, "extra"), os.path.join(d, "pq")
+    os.makedirs(main)
+    os.makedirs(extra)
+    with open(os.path.join(main, "gas_prices.csv"), "w") as f:
+        f.write("forecast_date,lowest_price_per_mwh,highest_price_per_mwh,origin_date,data_block_id\n")
+        f.write("2021-09-01,45.23,46.32,2021-08-31,1\n")
+    with open(os.path.join(extra, "holidays.csv"), "w") as f:
+        f.write("date,name,holiday_type\n2021-12-24,Christmas Eve,public\n")
+    got = readers.load_csv_tables(spark, main, extra, names=["gas_prices", "holidays"])
+    assert got["gas_prices"].schema == schemas.GAS_PRICES and got["gas_prices"].count() == 1
+    assert got["holidays"].first()["holiday_type"] == "public"
+    for name, df in got.items():
+        df.write.mode("overwrite").parquet(os.path.join(pq, name))
+    back = readers.load_parquet_tables(spark, pq + "/", names=["gas_prices", "holidays"])
+    assert {n: df.count() for n, df in back.items()} == {"gas_prices": 1, "holidays": 1}
