@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourgrid.functions.scalar import abs_error, col_of
-from hourgrid.operators.joins import checked_broadcast
+from hourgrid.operators.joins import check_unique, checked_broadcast
 
 __all__ = [
     "exact_sum",
@@ -63,6 +63,7 @@ def county_mean(
     exclude_county: int | None = 12,
     overall_label: int = 12,
     round_cols: Sequence[str] | None = None,
+    validate: bool = False,
 ) -> DataFrame:
     """Mean of every measure per (time keys, county) and per (time keys) (A1).
 
@@ -78,6 +79,9 @@ def county_mean(
     tkeys = list(time_cols) if time_cols is not None else weather_time_keys(weather.columns)
     measures = [c for c in weather.columns if c not in (*tkeys, *points, county_col)]
     st = stations.select(*points, county_col)
+    if validate:
+        # one county per point: the mapping side of the 1:m contract
+        check_unique(st, points, "stations")
     if exclude_county is not None:
         st = st.filter(F.col(county_col) != exclude_county)
     mapped = weather.join(checked_broadcast(st), points, "inner")

@@ -153,22 +153,28 @@ def lookup_join(
     dim: DataFrame,
     on: Sequence[str] | dict[str, str],
     how: str = "left",
-    validate: bool = False,
+    validate: bool | str = False,
     broadcast_max_rows: int | None = BROADCAST_MAX_ROWS,
     name: str = "dimension",
 ) -> DataFrame:
     """Many-to-one join of a fact to a dimension.
 
     ``on`` is a list of shared key names or a mapping fact column → dim column
-    (dimension key columns are dropped from the output). With ``validate`` the
-    dimension keys are checked to be unique first (the ``m:1`` contract).
+    (dimension key columns are dropped from the output). ``validate`` is the
+    join-cardinality contract (J11): ``True``/``"m:1"`` checks the dimension
+    keys are unique, ``"1:m"`` the fact keys, ``"1:1"`` both.
     """
     if isinstance(on, dict):
-        dim_keys = list(on.values())
+        fact_keys, dim_keys = list(on.keys()), list(on.values())
     else:
-        dim_keys = list(on)
-    if validate:
+        fact_keys = dim_keys = list(on)
+    contract = "m:1" if validate is True else (validate or "")
+    if contract not in ("", "m:1", "1:m", "1:1"):
+        raise ValueError(f"unknown join contract {validate!r}")
+    if contract in ("m:1", "1:1"):
         check_unique(dim, dim_keys, name)
+    if contract in ("1:m", "1:1"):
+        check_unique(fact, fact_keys, "fact")
     if broadcast_max_rows:
         dim = checked_broadcast(dim, broadcast_max_rows)
     if isinstance(on, dict):

@@ -177,20 +177,20 @@ def prepare_holidays(hol: DataFrame, types: Sequence[str] | None = None) -> Data
 
 
 def aggregate_forecast(fw: DataFrame, stations: DataFrame, point_cols=("latitude", "longitude"),
-                       county_col: str = "county", keys: MergeKeys = MergeKeys()) -> DataFrame:
+                       county_col: str = "county", keys: MergeKeys = MergeKeys(), validate: bool = False) -> DataFrame:
     """County means of the forecast, then one row per (county, forecast time, block).
 
     Two origins can forecast the same hour inside one block (DST); the latest
     origin, then the longest horizon, wins.
     """
-    agg = county_mean(fw, stations, point_cols, county_col)
+    agg = county_mean(fw, stations, point_cols, county_col, validate=validate)
     return keep_last(agg, [county_col, keys.forecast_time, keys.block], ["origin_datetime", "hours_ahead"])
 
 
 def aggregate_historical(hw: DataFrame, stations: DataFrame, point_cols=("latitude", "longitude"),
-                         county_col: str = "county") -> DataFrame:
+                         county_col: str = "county", validate: bool = False) -> DataFrame:
     """County means of the historical weather (A1)."""
-    return county_mean(hw, stations, point_cols, county_col)
+    return county_mean(hw, stations, point_cols, county_col, validate=validate)
 
 
 # ------------------------------------------------------------------ merge
@@ -294,8 +294,8 @@ def build_feature_table(
 ) -> DataFrame:
     """Domain pipeline from raw source tables to the wide feature table."""
     st = prepare_stations(tables["weather_station_to_county_mapping"])
-    fw = aggregate_forecast(prepare_forecast_weather(tables["forecast_weather"]), st)
-    hw = aggregate_historical(prepare_historical_weather(tables["historical_weather"]), st)
+    fw = aggregate_forecast(prepare_forecast_weather(tables["forecast_weather"]), st, validate=validate)
+    hw = aggregate_historical(prepare_historical_weather(tables["historical_weather"]), st, validate=validate)
     hol = prepare_holidays(tables["holidays"]) if "holidays" in tables else None
     merged = merge_fact(
         prepare_train(tables["train"]), prepare_client(tables["client"]), prepare_gas_prices(tables["gas_prices"]),

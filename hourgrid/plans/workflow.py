@@ -62,7 +62,8 @@ class FeatureWorkflow:
         st = p["weather_station_to_county_mapping"]
         self.df = fe.merge_fact(
             p["train"], p["client"], p["gas_prices"], p["electricity_prices"],
-            fe.aggregate_forecast(p["forecast_weather"], st), fe.aggregate_historical(p["historical_weather"], st),
+            fe.aggregate_forecast(p["forecast_weather"], st, validate=validate),
+            fe.aggregate_historical(p["historical_weather"], st, validate=validate),
             p.get("holidays"), validate=validate,
         )
         return self

@@ -61,3 +61,24 @@ def test_county_mean_over_stations_not_counties(spark):
     w = spark.createDataFrame([(1, 1, 0.0), (2, 1, 0.0), (3, 1, 9.0)], "station long, data_block_id int, t double")
     out = {r["county"]: r["t"] for r in county_mean(w, st, ["station"], "county").collect()}
     assert math.isclose(out[12], 3.0) and out[0] == 0.0 and out[1] == 9.0
+
+
+def test_join_contracts(spark):
+    import pytest
+
+    from hourgrid.operators.joins import DuplicateKeyError
+
+    fact = spark.createDataFrame([(1, 1.0), (1, 2.0)], "k int, v double")
+    dim = spark.createDataFrame([(1, "a")], "k int, name string")
+    assert lookup_join(fact, dim, ["k"], validate="m:1").count() == 2
+    with pytest.raises(DuplicateKeyError):
+        lookup_join(fact, dim, ["k"], validate="1:1")
+    with pytest.raises(DuplicateKeyError):
+        lookup_join(dim, fact, ["k"], validate="m:1")
+    assert lookup_join(dim, fact, ["k"], validate="1:m").count() == 2
+    with pytest.raises(ValueError):
+        lookup_join(fact, dim, ["k"], validate="many")
+    st = spark.createDataFrame([(1, 0), (1, 5)], "station long, county int")
+    w = spark.createDataFrame([(1, 1, 0.0)], "station long, data_block_id int, t double")
+    with pytest.raises(DuplicateKeyError):
+        county_mean(w, st, ["station"], "county", validate=True)
