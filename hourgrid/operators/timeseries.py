@@ -311,13 +311,21 @@ def interpolate_segment(
 # ---------------------------------------------------------------- dedupe
 
 
-def keep_last(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
+def keep_last(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
+              order_key: Column | None = None) -> DataFrame:
     """One row per ``keys``: the row with the largest ``order_cols``.
 
-    Expressed as ``max_by`` in a hash aggregate, so duplicates are combined
-    map-side before the shuffle (no sort of the whole table).
+    Expressed as ``max_by`` in an aggregate, so duplicates are combined
+    map-side before the shuffle. With a struct ordering Spark plans a
+    sort-based aggregate; when ``order_key`` is given — one numeric
+    expression that orders like ``order_cols`` and is unique within each
+    key group — every column is picked with ``max_by(col, order_key)`` in a
+    hash aggregate instead (no sort).
     """
     others = [c for c in df.columns if c not in keys]
+    if order_key is not None:
+        agg = df.groupBy(*keys).agg(*[F.max_by(c, order_key).alias(c) for c in others])
+        return agg.select(*df.columns)
     agg = df.groupBy(*keys).agg(F.max_by(F.struct(*others), F.struct(*order_cols)).alias("_r"))
     return agg.select(*[F.col(c) if c in keys else F.col(f"_r.{c}").alias(c) for c in df.columns])
 

@@ -31,6 +31,7 @@ from hourgrid.plans.features import (
     MergeKeys,
     add_ratio_features,
     add_time_features,
+    forecast_order_key,
     merge_alternate,
     merge_fact,
     prepare_holidays,
@@ -134,7 +135,8 @@ def forecast_county(spark: SparkSession, d: str) -> DataFrame:
 
 def _forecast_dedup(spark: SparkSession, d: str) -> DataFrame:
     agg = county_mean(standins.forecast_grid(spark, d), standins.stations(spark, d), ["station"], "county")
-    return keep_last(agg, ["county", "forecast_datetime", "data_block_id"], ["origin_datetime", "hours_ahead"])
+    return keep_last(agg, ["county", "forecast_datetime", "data_block_id"], ["origin_datetime", "hours_ahead"],
+                     order_key=forecast_order_key())
 
 
 def forecast_dedup(spark: SparkSession, d: str) -> DataFrame:

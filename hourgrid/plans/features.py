@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from hourgrid.functions.calendar import add_calendar_features, dst_flag
 from hourgrid.functions.scalar import (
     clip_lower,
+    epoch_us,
     grid_key,
     m_to_mm,
     safe_ratio,
@@ -184,7 +185,18 @@ def aggregate_forecast(fw: DataFrame, stations: DataFrame, point_cols=("latitude
     origin, then the longest horizon, wins.
     """
     agg = county_mean(fw, stations, point_cols, county_col, validate=validate)
-    return keep_last(agg, [county_col, keys.forecast_time, keys.block], ["origin_datetime", "hours_ahead"])
+    return keep_last(agg, [county_col, keys.forecast_time, keys.block], ["origin_datetime", "hours_ahead"],
+                     order_key=forecast_order_key())
+
+
+def forecast_order_key(origin: str = "origin_datetime", hours_ahead: str = "hours_ahead"):
+    """(origin, horizon) packed into one long: epoch µs x 1000 + horizon.
+
+    Orders like (origin, hours_ahead) for horizons in [0, 1000) and dates
+    before 2262; unique within a (county, forecast hour, block) group, since
+    the origin fixes the horizon there. ANSI mode raises on overflow.
+    """
+    return epoch_us(origin) * 1000 + F.col(hours_ahead)
 
 
 def aggregate_historical(hw: DataFrame, stations: DataFrame, point_cols=("latitude", "longitude"),

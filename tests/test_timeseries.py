@@ -167,6 +167,12 @@ def test_keep_last_picks_latest_origin(spark):
     got = {r["county"]: r["temperature"] for r in out.collect()}
     assert got == {1: 2.0, 2: 5.0}
     assert out.columns == df.columns
+    from hourgrid.plans.features import forecast_order_key
+
+    packed = keep_last(df, ["county", "forecast_datetime", "data_block_id"], ["origin_datetime", "hours_ahead"],
+                       order_key=forecast_order_key())
+    assert packed.exceptAll(out).count() == 0 and out.exceptAll(packed).count() == 0
+    assert "SortAggregate" not in packed._jdf.queryExecution().executedPlan().toString()
 
 
 def test_period_over_period_and_moving_average(spark):
