@@ -161,7 +161,7 @@ def mae_by(df: DataFrame, keys: Sequence[str], target: str = "target", pred: str
 
 
 def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str | Column, qs: Sequence[float],
-                      buckets: int = 256, prefix: str = "p") -> DataFrame:
+                      buckets: int = 256, prefix: str = "p", discrete: bool = False) -> DataFrame:
     """Exact linear-interpolated percentiles per group, without one-task groups.
 
     ``percentile`` keeps every distinct value of a group in one buffer, so a
@@ -177,6 +177,10 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str | Column, q
        by a broadcast range join and interpolated (the definition of
        ``percentile`` / ``quantile_cont``).
 
+    With ``discrete`` the result is ``percentile_disc``: the value at
+    0-based rank ``ceil(q * n) - 1`` (the first value whose cumulative
+    distribution reaches ``q``), no interpolation.
+
     Groups whose values are all NULL give NULL percentiles.
     """
     keys = list(keys)
@@ -199,8 +203,12 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str | Column, q
         (F.col("_off") + F.col("_cum")).alias("_end"))
     qarr = F.array(*[F.struct(F.lit(i).alias("_qi"), F.lit(float(q)).alias("_q")) for i, q in enumerate(qs)])
     need = bounds.select(*gk, "_n", F.explode(qarr).alias("_qq")).select(
-        *gk, F.col("_qq._qi").alias("_qi"), (F.col("_qq._q") * (F.col("_n") - 1)).alias("_h"))
-    need = need.withColumns({"_lo": F.floor("_h"), "_hi": F.ceil("_h")})
+        *gk, "_n", F.col("_qq._qi").alias("_qi"), F.col("_qq._q").alias("_q"))
+    if discrete:
+        h = F.greatest(F.ceil(F.col("_q") * F.col("_n")) - 1, F.lit(0)).cast("double")
+    else:
+        h = F.col("_q") * (F.col("_n") - 1)
+    need = need.withColumn("_h", h).withColumns({"_lo": F.floor("_h"), "_hi": F.ceil("_h")})
     ranks = checked_broadcast(need.select(*gk, "_qi", "_h", "_lo", "_hi",
                                           F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_rank")))
     cond = [db[k] == ranks[k] for k in gk] + [ranks["_rank"] >= db["_start"], ranks["_rank"] < db["_end"]]

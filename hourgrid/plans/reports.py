@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hourgrid.functions.scalar import trunc_ts
-from hourgrid.operators.aggregate import exact_sum, null_counts, rounded, top_k
+from hourgrid.operators.aggregate import exact_percentiles, exact_sum, null_counts, rounded, top_k
+from hourgrid.operators.joins import with_scalars
 from hourgrid.operators.timeseries import moving_average, period_over_period
 
 __all__ = [
@@ -44,17 +45,21 @@ def series_completeness(df: DataFrame, series_cols: Sequence[str], value_col: st
     """Non-null values per series, summarised: count/min/avg/median/max (A3).
 
     The median is the discrete one (a value that occurs), like
-    ``PERCENTILE_DISC(0.5)``.
+    ``PERCENTILE_DISC(0.5)``; it comes from the distributed order statistic
+    (:func:`exact_percentiles`), so no single task buffers one value per
+    series, and is attached to the one-row summary as a scalar subquery.
     """
     per = df.groupBy(*series_cols).agg(F.count(value_col).cast("long").alias("number_of_entries"))
     n = F.col("number_of_entries")
-    return per.agg(
+    summary = per.agg(
         F.count(F.lit(1)).cast("long").alias("number_of_timeseries"),
         F.min(n).alias("min_entries"),
         rounded(F.avg(n), 2).alias("avg_entries"),
-        F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY number_of_entries)").cast("long").alias("median_entries"),
         F.max(n).alias("max_entries"),
     )
+    med = exact_percentiles(per, [], "number_of_entries", [0.5], discrete=True)
+    out = with_scalars(summary, med.select(F.col("p50").cast("long").alias("median_entries")))
+    return out.select("number_of_timeseries", "min_entries", "avg_entries", "median_entries", "max_entries")
 
 
 def avg_monthly_total(df: DataFrame, time_col: str, value_col: str, flag_col: str,

@@ -121,3 +121,18 @@ def test_exact_percentiles_match_numpy_on_skewed_groups(spark):
     glob = exact_percentiles(df, [], "x", [0.5], buckets=3).collect()[0]
     allv = np.array([x for _, x in rows if x is not None])
     assert math.isclose(glob["p50"], float(np.percentile(allv, 50)))
+
+
+def test_discrete_percentiles_match_percentile_disc(spark):
+    import random
+
+    from hourgrid.operators.aggregate import exact_percentiles
+
+    rnd = random.Random(3)
+    for n in (1, 2, 3, 4, 5, 10, 11, 100):
+        df = spark.createDataFrame([(rnd.randint(0, 50),) for _ in range(n)], "x int")
+        qs = [0.0, 0.25, 0.5, 0.75, 1.0]
+        got = exact_percentiles(df, [], "x", qs, buckets=3, discrete=True).first()
+        for q in qs:
+            want = df.selectExpr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY x)").first()[0]
+            assert float(got[f"p{int(q * 100)}"]) == float(want), (n, q)
