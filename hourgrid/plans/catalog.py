@@ -355,6 +355,12 @@ def not_null_filter(spark: SparkSession, d: str) -> DataFrame:
     return clean.not_null(standins.holes(spark, d), "target")
 
 
+def drop_nulls(spark: SparkSession, d: str) -> DataFrame:
+    """P3 + P1: project, then drop rows with any NULL/NaN in the projected set."""
+    h = clean.project(standins.holes(spark, d), ["event_type", "datetime", "target", "data_block_id"])
+    return clean.drop_null_rows(h)
+
+
 def semi_join_filter(spark: SparkSession, d: str) -> DataFrame:
     """Membership in a computed key set (left semi join)."""
     o = from_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
@@ -714,6 +720,7 @@ _QUERIES: dict[str, Query] = {
     "distinct_values": distinct_values,
     "range_filter": range_filter,
     "not_null_filter": not_null_filter,
+    "drop_nulls": drop_nulls,
     "semi_join_filter": semi_join_filter,
     "anti_join_filter": anti_join_filter,
     "train_window": train_window,

@@ -662,3 +662,9 @@ LEFT JOIN daily_dim c ON c.event_type = h.event_type AND c.data_block_id = h.dat
 LEFT JOIN daily_price g ON g.data_block_id = h.data_block_id
 LEFT JOIN hour_price e ON e.origin_date + INTERVAL 2 DAY = h.datetime AND e.data_block_id = h.data_block_id
 """
+
+SQL["drop_nulls"] = _with(HOURLY) + """
+SELECT event_type, datetime, target, data_block_id FROM hourly
+WHERE date_diff('hour', TIMESTAMP '2024-01-01 00:00:00', datetime) % 17 <> 0
+  AND event_type IS NOT NULL AND datetime IS NOT NULL AND target IS NOT NULL AND data_block_id IS NOT NULL
+"""
