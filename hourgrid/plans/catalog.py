@@ -361,6 +361,22 @@ def drop_nulls(spark: SparkSession, d: str) -> DataFrame:
     return clean.drop_null_rows(h)
 
 
+def day_partition_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """S5 + S7: write the hourly fact partitioned by day (shared checkpoint folder), read one week back.
+
+    The read is partition-pruned: only the directories of the requested days
+    are listed and scanned.
+    """
+    import uuid
+
+    from hourgrid.session import checkpoint_dir
+    from hourgrid.sources import sinks
+
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/hourly-days-{uuid.uuid4().hex}"
+    sinks.write_partitioned_by_day(standins.hourly(spark, d), path)
+    return sinks.read_day_range(spark, path, "2024-01-03", "2024-01-10")
+
+
 def semi_join_filter(spark: SparkSession, d: str) -> DataFrame:
     """Membership in a computed key set (left semi join)."""
     o = from_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
@@ -721,6 +737,7 @@ _QUERIES: dict[str, Query] = {
     "range_filter": range_filter,
     "not_null_filter": not_null_filter,
     "drop_nulls": drop_nulls,
+    "day_partition_roundtrip": day_partition_roundtrip,
     "semi_join_filter": semi_join_filter,
     "anti_join_filter": anti_join_filter,
     "train_window": train_window,

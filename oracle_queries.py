@@ -668,3 +668,8 @@ SELECT event_type, datetime, target, data_block_id FROM hourly
 WHERE date_diff('hour', TIMESTAMP '2024-01-01 00:00:00', datetime) % 17 <> 0
   AND event_type IS NOT NULL AND datetime IS NOT NULL AND target IS NOT NULL AND data_block_id IS NOT NULL
 """
+
+SQL["day_partition_roundtrip"] = _with(HOURLY) + """
+SELECT *, CAST(CAST(datetime AS DATE) AS TIMESTAMP) AS day FROM hourly
+WHERE CAST(datetime AS DATE) >= DATE '2024-01-03' AND CAST(datetime AS DATE) < DATE '2024-01-10'
+"""
