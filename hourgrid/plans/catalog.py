@@ -377,6 +377,46 @@ def day_partition_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return sinks.read_day_range(spark, path, "2024-01-03", "2024-01-10")
 
 
+def _scratch_path(spark: SparkSession, name: str) -> str:
+    import uuid
+
+    from hourgrid.session import checkpoint_dir
+
+    return f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+
+
+ORDERS_SCHEMA = T.StructType([
+    T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
+    T.StructField("o_orderstatus", T.StringType()), T.StructField("o_totalprice", T.DoubleType()),
+    T.StructField("o_orderdate", T.TimestampNTZType()), T.StructField("o_orderpriority", T.StringType()),
+])
+
+
+def csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Orders written as CSV with a header, read back with a declared schema (no inference)."""
+    from hourgrid.sources.readers import read_csv_table
+
+    path = _scratch_path(spark, "orders-csv")
+    from_table(spark, d, "orders").write.mode("overwrite").option("header", True).csv(path)
+    return read_csv_table(spark, path, ORDERS_SCHEMA)
+
+
+def json_map_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """The nation id → name mapping as one JSON object, parsed back into rows.
+
+    The object is built from the 25-row nation dimension (a fixed-size
+    domain table), so one task writing it is bounded.
+    """
+    from hourgrid.sources.readers import read_id_name_map
+
+    path = _scratch_path(spark, "nation-json")
+    n = from_table(spark, d, "nation")
+    obj = n.agg(F.to_json(F.map_from_entries(F.collect_list(
+        F.struct(F.col("n_nationkey").cast("string"), F.col("n_name"))))).alias("value"))
+    obj.coalesce(1).write.mode("overwrite").text(path)
+    return read_id_name_map(spark, path, "county", "county_name")
+
+
 def semi_join_filter(spark: SparkSession, d: str) -> DataFrame:
     """Membership in a computed key set (left semi join)."""
     o = from_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
@@ -738,6 +778,8 @@ _QUERIES: dict[str, Query] = {
     "not_null_filter": not_null_filter,
     "drop_nulls": drop_nulls,
     "day_partition_roundtrip": day_partition_roundtrip,
+    "csv_roundtrip": csv_roundtrip,
+    "json_map_roundtrip": json_map_roundtrip,
     "semi_join_filter": semi_join_filter,
     "anti_join_filter": anti_join_filter,
     "train_window": train_window,

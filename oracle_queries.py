@@ -673,3 +673,6 @@ SQL["day_partition_roundtrip"] = _with(HOURLY) + """
 SELECT *, CAST(CAST(datetime AS DATE) AS TIMESTAMP) AS day FROM hourly
 WHERE CAST(datetime AS DATE) >= DATE '2024-01-03' AND CAST(datetime AS DATE) < DATE '2024-01-10'
 """
+
+SQL["csv_roundtrip"] = "SELECT * FROM orders"
+SQL["json_map_roundtrip"] = "SELECT CAST(n_nationkey AS INTEGER) AS county, n_name AS county_name FROM nation"
