@@ -134,3 +134,13 @@ def test_load_table_sets(spark):
         df.write.mode("overwrite").parquet(os.path.join(pq, name))
     back = readers.load_parquet_tables(spark, pq + "/", names=["gas_prices", "holidays"])
     assert {n: df.count() for n, df in back.items()} == {"gas_prices": 1, "holidays": 1}
+
+
+def test_declared_ddl_creates_matching_tables(spark):
+    for name, schema in schemas.SCHEMAS.items():
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(schemas.ddl(name))
+        spark.sql(schemas.ddl(name))          # IF NOT EXISTS: re-running is a no-op
+        got = spark.table(name).schema
+        assert [(f.name, f.dataType) for f in got.fields] == [(f.name, f.dataType) for f in schema.fields], name
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
