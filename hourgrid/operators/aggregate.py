@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -187,7 +188,8 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str | Column, q
     gk = keys or ["_all"]
     base = df if keys else df.withColumn("_all", F.lit(0))
     v = base.select(*gk, col_of(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
-    d = v.groupBy(*gk, "_x").agg(F.count(F.lit(1)).alias("_c"))
+    # read by the bounds and by the ranking: persisted once
+    d = v.groupBy(*gk, "_x").agg(F.count(F.lit(1)).alias("_c")).persist(StorageLevel.MEMORY_AND_DISK)
     fracs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
     bounds = d.groupBy(*gk).agg(F.percentile_approx("_x", fracs, 10000).alias("_b"), F.sum("_c").alias("_n"))
     bounds = checked_broadcast(bounds)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Any
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -153,6 +154,7 @@ def clean_series_nulls(
     the data range.
     """
     cols = list(check_cols) if check_cols is not None else df.columns
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)   # read twice: NULL timestamps and the anti join
     any_null = F.lit(False)
     for c in cols:
         any_null = any_null | F.col(c).isNull()

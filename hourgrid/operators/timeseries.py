@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -217,6 +218,10 @@ def _segment_scan(df: DataFrame, value_col: str, time_col: str, group_cols: Sequ
             "_nr": F.first(valid_rn, ignorenulls=True).over(wb.rowsBetween(0, Window.unboundedFollowing)),
         }
     )
+    # ``d`` feeds both the per-bucket summary and the final join. Adaptive
+    # execution does not reuse the shared exchange here, so the frame is
+    # persisted once (lost blocks are recomputed from lineage).
+    d = d.persist(StorageLevel.MEMORY_AND_DISK)
     # One row per (series, bucket): size and first/last valid value.
     summary = d.groupBy(*g, _BK).agg(
         F.count(F.lit(1)).alias("_n"),
@@ -237,7 +242,14 @@ def _segment_scan(df: DataFrame, value_col: str, time_col: str, group_cols: Sequ
             "_cnp": F.first(F.col("_off") + F.col("_fr"), ignorenulls=True).over(after),
         }
     ).select(*g, _BK, "_off", "_cpv", "_cpp", "_cnv", "_cnp")
-    j = d.join(summary, [*g, _BK], "left")
+    # Null-safe keys: no inferred isnotnull filter lands on only one branch,
+    # so both branches stay identical and Spark reuses the exchange of ``d``
+    # (the input is computed once); NULL series keys still find their bucket.
+    sk = [f"_s_{c}" for c in (*g, _BK)]
+    summary = summary.select(*[F.col(c).alias(a) for c, a in zip((*g, _BK), sk)],
+                             *[c for c in summary.columns if c not in (*g, _BK)])
+    cond = [d[c].eqNullSafe(summary[a]) for c, a in zip((*g, _BK), sk)]
+    j = d.join(summary, cond, "left").drop(*sk)
     pos = F.col("_off") + F.col("_rn")
     return j.withColumns(
         {
