@@ -18,9 +18,12 @@ BASE_CONF = {
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
-    "spark.sql.shuffle.partitions": "8",
 }
 
+# Only for local runs (tests, bench): a cluster keeps its own shuffle
+# partition count, sized to the data (AQE coalesces small partitions).
+LOCAL_CONF = {"spark.sql.shuffle.partitions": "8"}
+
 
 def get_session(
     master: str | None = None,
@@ -36,6 +39,8 @@ def get_session(
     if master:
         builder = builder.master(master)
     merged = dict(BASE_CONF)
+    if master and master.startswith("local"):
+        merged.update(LOCAL_CONF)
     merged.update(conf or {})
     for key, value in merged.items():
         builder = builder.config(key, value)
