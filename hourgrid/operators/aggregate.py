@@ -162,7 +162,8 @@ def mae_by(df: DataFrame, keys: Sequence[str], target: str = "target", pred: str
 
 
 def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str | Column, qs: Sequence[float],
-                      buckets: int = 256, prefix: str = "p", discrete: bool = False) -> DataFrame:
+                      buckets: int = 256, prefix: str = "p", discrete: bool = False,
+                      small_group: int = 100_000) -> DataFrame:
     """Exact linear-interpolated percentiles per group, without one-task groups.
 
     ``percentile`` keeps every distinct value of a group in one buffer, so a
@@ -182,6 +183,10 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str | Column, q
     0-based rank ``ceil(q * n) - 1`` (the first value whose cumulative
     distribution reaches ``q``), no interpolation.
 
+    Size check: when every group has at most ``small_group`` distinct
+    values (known after step 1), the built-in exact aggregate is used
+    instead — its per-group buffer is then proven small.
+
     Groups whose values are all NULL give NULL percentiles.
     """
     keys = list(keys)
@@ -190,6 +195,17 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str | Column, q
     v = base.select(*gk, col_of(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
     # read by the bounds and by the ranking: persisted once
     d = v.groupBy(*gk, "_x").agg(F.count(F.lit(1)).alias("_c")).persist(StorageLevel.MEMORY_AND_DISK)
+    largest = d.groupBy(*gk).agg(F.count(F.lit(1)).alias("_k")).agg(F.max("_k")).first()[0] or 0
+    if largest <= small_group:
+        d.unpersist()
+
+        def one(q: float) -> Column:
+            if discrete:
+                return F.expr(f"percentile_disc({float(q)}) WITHIN GROUP (ORDER BY _x)")
+            return F.percentile("_x", F.lit(float(q)))
+        small = v.groupBy(*gk).agg(*[one(q).cast("double").alias(f"{prefix}{int(round(q * 100))}") for q in qs])
+        out = base.select(*gk).distinct().join(small, gk, "left")
+        return out if keys else out.drop("_all")
     fracs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
     bounds = d.groupBy(*gk).agg(F.percentile_approx("_x", fracs, 10000).alias("_b"), F.sum("_c").alias("_n"))
     bounds = checked_broadcast(bounds)
