@@ -215,3 +215,28 @@ def test_hot_series_is_split_over_tasks(spark):
         assert tasks("auto") >= 4
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_fill_and_interp_windows_are_bucketed(spark):
+    """Every window of the scans is partitioned by (series, bucket) or runs on per-bucket summaries."""
+    import re
+
+    df = spark.createDataFrame(_series(), SCHEMA)
+    for out in (fill_segment(df, "target", "datetime", ["seg"]), interpolate_segment(df, "target", "datetime", ["seg"])):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        specs = re.findall(r"windowspecdefinition\(([^,]+), ([^,]+),", plan)
+        assert specs, plan
+        # data-sized windows are partitioned by (seg, _bk); the only series-wide
+        # windows run over the per-bucket summary (ordered by _bk)
+        for first, second in specs:
+            assert "_bk" in second or "_bk" in first, (first, second)
+
+
+def test_exact_percentiles_large_path_has_no_single_buffer(spark):
+    from hourgrid.operators.aggregate import exact_percentiles
+
+    df = spark.range(2000).selectExpr("id % 3 AS g", "CAST(id AS DOUBLE) AS x")
+    out = exact_percentiles(df, ["g"], "x", [0.5], small_group=10)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "percentile(" not in plan and "percentile_disc" not in plan
+    assert {r["g"]: r["p50"] for r in out.collect()} == {0: 999.0, 1: 1000.0, 2: 999.5}
