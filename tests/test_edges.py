@@ -82,3 +82,19 @@ def test_join_contracts(spark):
     w = spark.createDataFrame([(1, 1, 0.0)], "station long, data_block_id int, t double")
     with pytest.raises(DuplicateKeyError):
         county_mean(w, st, ["station"], "county", validate=True)
+
+
+def test_lookup_join_with_key_mapping(spark):
+    fact = spark.createDataFrame([(1, 10.0), (2, 20.0)], "unit int, v double")
+    dim = spark.createDataFrame([(1, "a")], "unit_id int, name string")
+    out = lookup_join(fact, dim, {"unit": "unit_id"})
+    assert out.columns == ["unit", "v", "name"]
+    assert {r["unit"]: r["name"] for r in out.collect()} == {1: "a", 2: None}
+
+
+def test_top_k_per_group(spark):
+    from hourgrid.operators.aggregate import top_k_per_group
+
+    df = spark.createDataFrame([("a", 1), ("a", 3), ("a", 2), ("b", 5)], "g string, v int")
+    out = top_k_per_group(df, ["g"], [F.col("v").desc()], 2)
+    assert sorted((r["g"], r["v"], r["rank"]) for r in out.collect()) == [("a", 2, 2), ("a", 3, 1), ("b", 5, 1)]
