@@ -440,6 +440,13 @@ def train_window(spark: SparkSession, d: str) -> DataFrame:
                                        "2024-01-21 23:00:00", to_drop=["n", "data_block_id"])
 
 
+def top_bottom_items(spark: SparkSession, d: str) -> DataFrame:
+    """A17 (+O3): mean per (group, item) and the first/last 5 items of each group."""
+    li = from_table(spark, d, "lineitem").select("l_returnflag", "l_suppkey", "l_quantity")
+    out = agg.top_bottom_by_group(li, ["l_returnflag"], "l_suppkey", "l_quantity", 5)
+    return out.withColumn("mean_l_quantity", rounded("mean_l_quantity", 6))
+
+
 def duplicate_line_keys(spark: SparkSession, d: str) -> DataFrame:
     """Keys that break a declared uniqueness, with multiplicity."""
     return duplicate_keys(from_table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
@@ -784,6 +791,7 @@ _QUERIES: dict[str, Query] = {
     "anti_join_filter": anti_join_filter,
     "train_window": train_window,
     "duplicate_line_keys": duplicate_line_keys,
+    "top_bottom_items": top_bottom_items,
     "cast_and_fill": cast_and_fill,
     "month_folds": month_folds,
     "share_folds": share_folds,

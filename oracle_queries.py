@@ -676,3 +676,12 @@ WHERE CAST(datetime AS DATE) >= DATE '2024-01-03' AND CAST(datetime AS DATE) < D
 
 SQL["csv_roundtrip"] = "SELECT * FROM orders"
 SQL["json_map_roundtrip"] = "SELECT CAST(n_nationkey AS INTEGER) AS county, n_name AS county_name FROM nation"
+
+SQL["top_bottom_items"] = f"""
+WITH m AS (SELECT l_returnflag, l_suppkey, AVG(l_quantity) AS mq FROM lineitem GROUP BY 1, 2),
+r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_returnflag ORDER BY mq DESC NULLS LAST, l_suppkey) AS rank_top,
+             ROW_NUMBER() OVER (PARTITION BY l_returnflag ORDER BY mq ASC NULLS LAST, l_suppkey) AS rank_bottom
+      FROM m)
+SELECT l_returnflag, l_suppkey, {rnd("mq", 6)} AS mean_l_quantity, rank_top, rank_bottom
+FROM r WHERE rank_top <= 5 OR rank_bottom <= 5
+"""
