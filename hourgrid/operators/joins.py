@@ -82,15 +82,16 @@ def row_width(df: DataFrame) -> int:
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                      max_bytes: int = BROADCAST_MAX_BYTES, keep_cached: bool = False) -> DataFrame:
-    """Broadcast hint only when the size is proven small; else unchanged.
+                      max_bytes: int = BROADCAST_MAX_BYTES, keep_cached: bool = True) -> DataFrame:
+    """Broadcast hint only when the size is proven small; else no hint.
 
     The bound is ``min(max_rows, max_bytes / row width)`` rows, checked with a
-    bounded count. The dimension is persisted while it is counted, so a small
-    one is computed once (the broadcast reads the cached blocks). A large one
-    is left to the planner (sort-merge join, or AQE's runtime conversion when
-    the shuffled side turns out small); with ``keep_cached`` it stays
-    persisted, for a dimension that is joined more than once.
+    bounded count. The dimension is persisted (MEMORY_AND_DISK) while it is
+    counted, so a small one is computed once (the broadcast reads the cached
+    blocks). A large one is left to the planner (sort-merge join, or AQE's
+    runtime conversion when the shuffled side turns out small); by default it
+    stays persisted, so the partitions the count already computed are not
+    computed again by the join (``keep_cached=False`` releases them).
     """
     limit = max(1, min(max_rows, max_bytes // row_width(df)))
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
