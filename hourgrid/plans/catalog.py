@@ -564,7 +564,7 @@ def gbt_backtest(spark: SparkSession, d: str) -> DataFrame:
 
 
 def objective_comparison(spark: SparkSession, d: str) -> DataFrame:
-    """M2: absolute / squared GBT, Huber linear, Tweedie GLM; MAE per fold and flag."""
+    """M2: absolute / squared GBT, Huber linear, Tweedie GLM; MAE per fold and flag, best per flag."""
     folds = _hourly_folds(spark, d).filter((F.col("kind") == "test") & (F.col("fold") == 0))
     specs = [
         bt.FitSpec("gbt_absolute", "gbt", {"lossType": "absolute", "maxIter": 10}),
@@ -575,7 +575,11 @@ def objective_comparison(spark: SparkSession, d: str) -> DataFrame:
     ]
     preds = bt.backtest_models(_ml_frame(spark, d), folds, "datetime", ["is_consumption"], specs,
                                eval_days=EVAL_DAYS)
-    return bt.fold_scores(preds, ["model_label", "kind", "fold", "is_consumption"])
+    scores = bt.fold_scores(preds, ["model_label", "kind", "fold", "is_consumption"])
+    # the objective kept per segment: lowest mean MAE over the folds
+    per_model = scores.groupBy("is_consumption", "model_label").agg(F.avg("mae").alias("_mean"))
+    best = per_model.groupBy("is_consumption").agg(F.min_by("model_label", "_mean").alias("best_model_label"))
+    return scores.join(best, "is_consumption").withColumn("is_best", F.col("model_label") == F.col("best_model_label"))
 
 
 SEARCH_SPACE = {"maxDepth": (3, 6), "stepSize": (0.05, 0.3), "maxIter": [5, 10], "subsamplingRate": (0.5, 1.0)}
