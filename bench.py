@@ -3,7 +3,7 @@
 Each query is executed to completion with the ``noop`` sink (full
 computation including any plan-time jobs such as broadcast size checks and
 model fits; no collect to the driver). Every query runs ``$BENCH_REPEAT``
-times (default 2) and the best wall time is reported (the first run pays
+times (default 3) and the best wall time is reported (the first run pays
 code generation for that plan shape). Prints ONE JSON line:
 {"metric", "value", "unit", "queries": {name: sec}, "sf"}.
 """
@@ -53,7 +53,7 @@ def main() -> None:
                          "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
     # warm-up: JIT, class loading, file listing
     QUERIES["monthly_change"](spark, sf_dir).write.format("noop").mode("overwrite").save()
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     times = {}
     for name in names:
         best = None
