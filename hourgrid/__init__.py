@@ -12,6 +12,6 @@ Every operator takes column names as parameters and returns a lazy DataFrame,
 so Catalyst sees one plan from scan to sink.
 """
 
-from hourgrid.session import get_session, checkpoint_dir
+from hourgrid.session import checkpoint_dir, get_session, materialize
 
-__all__ = ["get_session", "checkpoint_dir"]
+__all__ = ["get_session", "checkpoint_dir", "materialize"]
