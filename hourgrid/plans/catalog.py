@@ -402,17 +402,22 @@ def csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 
 
 def json_map_roundtrip(spark: SparkSession, d: str) -> DataFrame:
-    """The nation id → name mapping as one JSON object, parsed back into rows.
+    """An id → name JSON object (nation → "name:customers"), parsed back into rows.
 
-    The object is built from the 25-row nation dimension (a fixed-size
-    domain table), so one task writing it is bounded.
+    The labels aggregate the whole customer table (the work grows with the
+    data); the object itself has one entry per nation, so the single task
+    that assembles and writes it handles a bounded, 25-entry document.
     """
     from hourgrid.sources.readers import read_id_name_map
 
     path = _scratch_path(spark, "nation-json")
-    n = from_table(spark, d, "nation")
+    per_nation = from_table(spark, d, "customer").groupBy("c_nationkey").agg(
+        F.count(F.lit(1)).alias("n_customers"))
+    n = from_table(spark, d, "nation").join(
+        per_nation, F.col("n_nationkey") == F.col("c_nationkey"), "left")
+    label = F.concat(F.col("n_name"), F.lit(":"), F.coalesce(F.col("n_customers"), F.lit(0)).cast("string"))
     obj = n.agg(F.to_json(F.map_from_entries(F.collect_list(
-        F.struct(F.col("n_nationkey").cast("string"), F.col("n_name"))))).alias("value"))
+        F.struct(F.col("n_nationkey").cast("string"), label)))).alias("value"))
     obj.coalesce(1).write.mode("overwrite").text(path)
     return read_id_name_map(spark, path, "county", "county_name")
 

@@ -675,7 +675,11 @@ WHERE CAST(datetime AS DATE) >= DATE '2024-01-03' AND CAST(datetime AS DATE) < D
 """
 
 SQL["csv_roundtrip"] = "SELECT * FROM orders"
-SQL["json_map_roundtrip"] = "SELECT CAST(n_nationkey AS INTEGER) AS county, n_name AS county_name FROM nation"
+SQL["json_map_roundtrip"] = """
+SELECT CAST(n_nationkey AS INTEGER) AS county,
+       n_name || ':' || CAST(COALESCE(c.n, 0) AS VARCHAR) AS county_name
+FROM nation LEFT JOIN (SELECT c_nationkey, COUNT(*) AS n FROM customer GROUP BY 1) c ON c.c_nationkey = n_nationkey
+"""
 
 SQL["top_bottom_items"] = f"""
 WITH m AS (SELECT l_returnflag, l_suppkey, AVG(l_quantity) AS mq FROM lineitem GROUP BY 1, 2),
