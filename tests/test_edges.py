@@ -98,3 +98,30 @@ def test_top_k_per_group(spark):
     df = spark.createDataFrame([("a", 1), ("a", 3), ("a", 2), ("b", 5)], "g string, v int")
     out = top_k_per_group(df, ["g"], [F.col("v").desc()], 2)
     assert sorted((r["g"], r["v"], r["rank"]) for r in out.collect()) == [("a", 2, 2), ("a", 3, 1), ("b", 5, 1)]
+
+
+def test_merge_alternate_join_type_and_holidays(spark):
+    from hourgrid.plans.features import MergeKeys, merge_alternate
+
+    fact = spark.createDataFrame(
+        [(0, dt.datetime(2022, 1, 3, 10), 1, dt.date(2022, 1, 3)), (0, dt.datetime(2022, 1, 4, 10), 2, dt.date(2022, 1, 4))],
+        "county int, datetime timestamp_ntz, data_block_id int, date date")
+    gas = spark.createDataFrame([(1, 40.0, 50.0)], "data_block_id int, lowest_price_per_mwh double, highest_price_per_mwh double")
+    hol = spark.createDataFrame([(dt.date(2022, 1, 3), True)], "date date, public boolean")
+    keys = MergeKeys(unit=("county",))
+    left = merge_alternate(fact, gas=gas, holidays=hol, how="left", keys=keys)
+    inner = merge_alternate(fact, gas=gas, holidays=hol, how="inner", keys=keys)
+    assert left.count() == 2 and inner.count() == 1
+    flags = {r["data_block_id"]: r["public"] for r in left.collect()}
+    assert flags == {1: True, 2: False}
+
+
+def test_with_scalars_attaches_one_row_without_join(spark):
+    from hourgrid.operators.joins import with_scalars
+
+    df = spark.range(5).withColumnRenamed("id", "x")
+    bounds = df.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+    out = with_scalars(df, bounds)
+    assert {(r["lo"], r["hi"]) for r in out.collect()} == {(0, 4)}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
