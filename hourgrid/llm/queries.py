@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from hourgrid.llm.bpe import op3_bpe_transducer
 from hourgrid.llm.mixing import op9_mix_by_threshold
 from hourgrid.llm.pii import op1_pii_checksums
+from hourgrid.llm.quality import op6_decision_list
 from hourgrid.llm.sharding import op4_hash_tree_shards
 from hourgrid.llm.simhash import op2_simhash_trie
 from hourgrid.llm.url_filter import op7_url_reputation
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_trie": op2_simhash_trie,
     "op3_bpe_transducer": op3_bpe_transducer,
     "op4_hash_tree_shards": op4_hash_tree_shards,
+    "op6_decision_list": op6_decision_list,
     "op7_url_reputation": op7_url_reputation,
     "op9_mix_by_threshold": op9_mix_by_threshold,
 }
