@@ -84,7 +84,10 @@ def with_statistics(docs: DataFrame, text_col: str, out: str) -> DataFrame:
     }
     counts = [c["n"].alias("n_words"), c["chars"].alias("word_chars"), c["symbols"].alias("n_symbols"),
               (c["n_lines"] - c["d_lines"]).cast("long").alias("n_dup_lines"), c["rep"].alias("n_repeat_words")]
-    return df.select(*own, F.struct(*counts, *[shares[k].alias(k) for k in FEATURES]).alias(out))
+    stats = F.struct(*counts, *[shares[k].alias(k) for k in FEATURES])
+    # generated, not projected: a filter on the statistics must not be pushed below the
+    # steps above, where it would compute all of them again inside one expression
+    return df.select(*own, F.explode(F.array(stats)).alias(out))
 
 
 def base_failed(stats: Column) -> Column:
