@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from hourgrid.llm.bpe import op3_bpe_transducer
+from hourgrid.llm.licenses import op5_signature_rules
 from hourgrid.llm.mixing import op9_mix_by_threshold
 from hourgrid.llm.pii import op1_pii_checksums
 from hourgrid.llm.quality import op6_decision_list
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_trie": op2_simhash_trie,
     "op3_bpe_transducer": op3_bpe_transducer,
     "op4_hash_tree_shards": op4_hash_tree_shards,
+    "op5_signature_rules": op5_signature_rules,
     "op6_decision_list": op6_decision_list,
     "op7_url_reputation": op7_url_reputation,
     "op9_mix_by_threshold": op9_mix_by_threshold,
