@@ -6,10 +6,10 @@ children with different bits add one, and a pair over the bit budget is pruned
 with everything below it. Small pairs of subtrees are compared directly.
 
 On the cluster the top of the trie is cut into leaves of at most ``LEAF``
-distinct fingerprints (or 1/4096 of all), heavier prefixes being cut deeper. The
-walk over the leaves' trie gives the pairs of leaves that can hold a link; each
-pair of leaves is one group, which continues the walk and returns a spanning
-forest of its links, never the pairs themselves. Components follow from the
+distinct fingerprints (or 1/16384 of all), heavier prefixes being cut deeper. The
+walk over the leaves' trie gives the pairs of leaves that can hold a link; a leaf
+and a few of its near leaves are one group, which continues the walk and returns
+a spanning forest of its links, never the pairs themselves. Components follow from the
 forests. Copies share a fingerprint and are one key.
 
 Defined results: a null or empty text, or one of white space, has fingerprint
@@ -32,7 +32,9 @@ from hourgrid.llm.components import connected_components
 from hourgrid.session import materialize
 
 SHINGLE, BITS = 3, 2
-LEAF, LEAVES, STEP = 20_000, 4096, 8
+LEAF, LEAVES, STEP = 100_000, 16_384, 4
+#: Leaves that are near one leaf and meet it in the same group.
+NEAR_LEAVES = 4
 #: Node pairs walked at once, and the most comparisons a node pair may hold to be compared directly.
 FRONTIER, DIRECT = 100_000, 32
 _BLOCK = 1 << 16
@@ -195,11 +197,21 @@ def trie_forest(keys: DataFrame, total: int, bits: int = BITS, leaf: int = LEAF)
     leaves = _cut(keys, total, max(leaf, total // LEAVES))
     pairs = _leaf_pairs(leaves, bits)
     starts = np.array([p << (64 - d) for d, p in leaves], dtype=np.uint64)
-    cells = [[] for _ in leaves]
-    for n, (i, j) in enumerate(pairs):
-        cells[i].append((n, 0))
+    near = [[] for _ in leaves]
+    for i, j in pairs:
         if i != j:
-            cells[j].append((n, 1))
+            near[min(i, j)].append(max(i, j))
+    # a leaf meets its later near leaves a few at a time; the first such group also joins it with itself
+    cells, first_cells = [[] for _ in leaves], set()
+    n = 0
+    for i, others in enumerate(near):
+        for k in range(0, max(1, len(others)), NEAR_LEAVES):
+            cells[i].append((n, 0))
+            for j in others[k:k + NEAR_LEAVES]:
+                cells[j].append((n, 1))
+            if not k:
+                first_cells.add(n)
+            n += 1
     first = np.cumsum([0] + [len(x) for x in cells])
     flat = np.array([y for x in cells for y in x], dtype=np.int64).reshape(-1, 2)
 
@@ -217,15 +229,16 @@ def trie_forest(keys: DataFrame, total: int, bits: int = BITS, leaf: int = LEAF)
         a, b = np.sort(fps[side == 0]), np.sort(fps[side == 1])
         both = np.concatenate([a, b])
         parent = np.arange(len(both))
-        # a cell of one leaf has one side; a cell of two may have an empty side, then nothing links
-        if len(b) or table.column("cell")[0].as_py() in alone:
-            for i, j in trie_links(a, b if len(b) else None, bits):
-                _unite(parent, i, j + (len(a) if len(b) else 0))
+        if table.column("cell")[0].as_py() in first_cells:
+            for i, j in trie_links(a, None, bits):
+                _unite(parent, i, j)
+        if len(a) and len(b):
+            for i, j in trie_links(a, b, bits):
+                _unite(parent, i, j + len(a))
         root = _find(parent, parent)
         linked = root != np.arange(len(both))
         return pa.table({"a": both[linked].view(np.int64), "b": both[root[linked]].view(np.int64)})
 
-    alone = {n for n, (i, j) in enumerate(pairs) if i == j}
     dealt = keys.select("fp").mapInArrow(deal, "cell long, side byte, fp long")
     return dealt.groupBy("cell").applyInArrow(join, "a long, b long")
 
