@@ -1,7 +1,8 @@
-"""Connected components of a link table by alternating star contractions."""
+"""Connected components: of a link table by alternating star contractions, and inside a task."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,3 +44,22 @@ def connected_components(edges: DataFrame) -> DataFrame:
             break
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+
+
+def find(parent: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Roots of the nodes ``x`` in a forest of parent positions."""
+    while True:
+        up = parent[x]
+        if np.array_equal(up, x):
+            return x
+        x = up
+
+
+def unite(parent: np.ndarray, x: np.ndarray, y: np.ndarray) -> None:
+    """Join the trees of x[k] and y[k] for all k; the smaller root stays."""
+    while len(x):
+        x, y = find(parent, x), find(parent, y)
+        parent[:] = parent[parent]
+        apart = x != y
+        x, y = x[apart], y[apart]
+        np.minimum.at(parent, np.maximum(x, y), np.minimum(x, y))

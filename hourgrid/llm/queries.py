@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from hourgrid.llm.bpe import op3_bpe_transducer
+from hourgrid.llm.cover_tree import op8_cover_tree
 from hourgrid.llm.licenses import op5_signature_rules
 from hourgrid.llm.mixing import op9_mix_by_threshold
 from hourgrid.llm.pii import op1_pii_checksums
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_signature_rules": op5_signature_rules,
     "op6_decision_list": op6_decision_list,
     "op7_url_reputation": op7_url_reputation,
+    "op8_cover_tree": op8_cover_tree,
     "op9_mix_by_threshold": op9_mix_by_threshold,
 }
 

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from hourgrid.llm.common import read
-from hourgrid.llm.components import connected_components
+from hourgrid.llm.components import connected_components, find, unite
 from hourgrid.session import materialize
 
 SHINGLE, BITS = 3, 2
@@ -70,23 +70,6 @@ def with_fingerprint(docs: DataFrame, text_col: str = "text", shingle: int = SHI
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(out, LongType())]))
 
 
-def _find(parent: np.ndarray, x: np.ndarray) -> np.ndarray:
-    while True:
-        up = parent[x]
-        if np.array_equal(up, x):
-            return x
-        x = up
-
-
-def _unite(parent: np.ndarray, x: np.ndarray, y: np.ndarray) -> None:
-    while len(x):
-        x, y = _find(parent, x), _find(parent, y)
-        parent[:] = parent[parent]
-        apart = x != y
-        x, y = x[apart], y[apart]
-        np.minimum.at(parent, np.maximum(x, y), np.minimum(x, y))
-
-
 def _spread(lo: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(index of the range, position) for every position of the ranges [lo, lo + size)."""
     which = np.repeat(np.arange(len(lo)), size)
@@ -231,11 +214,11 @@ def trie_forest(keys: DataFrame, total: int, bits: int = BITS, leaf: int = LEAF)
         parent = np.arange(len(both))
         if table.column("cell")[0].as_py() in first_cells:
             for i, j in trie_links(a, None, bits):
-                _unite(parent, i, j)
+                unite(parent, i, j)
         if len(a) and len(b):
             for i, j in trie_links(a, b, bits):
-                _unite(parent, i, j + len(a))
-        root = _find(parent, parent)
+                unite(parent, i, j + len(a))
+        root = find(parent, parent)
         linked = root != np.arange(len(both))
         return pa.table({"a": both[linked].view(np.int64), "b": both[root[linked]].view(np.int64)})
 
