@@ -15,6 +15,7 @@ from hourgrid.llm.quality import op6_decision_list
 from hourgrid.llm.sharding import op4_hash_tree_shards
 from hourgrid.llm.simhash import op2_simhash_trie
 from hourgrid.llm.url_filter import op7_url_reputation
+from hourgrid.llm.warc import op10_zip_archives
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_checksums": op1_pii_checksums,
@@ -26,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_url_reputation": op7_url_reputation,
     "op8_cover_tree": op8_cover_tree,
     "op9_mix_by_threshold": op9_mix_by_threshold,
+    "op10_zip_archives": op10_zip_archives,
 }
 
 SQL: dict[str, str] = {}
