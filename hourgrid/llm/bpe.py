@@ -40,9 +40,10 @@ from hourgrid.llm.common import read
 from hourgrid.session import checkpoint_dir
 
 LEXICON, UNITS = 100_000, 300_000
-#: Characters encoded at once, units remembered by a task, longest unit that is remembered.
-CHUNK, MEMO, MEMO_CHARS = 1 << 20, 300_000, 64
-_SHORT = 24  # merged by scanning; longer words by a heap
+#: Characters encoded at once; units remembered by a task.
+CHUNK, MEMO = 1 << 20, 300_000
+_SHORT = 64  # words up to this many bytes are merged together, longer ones by a heap
+_NONE = np.int64(2**62)
 # fixed values: white space of the split pattern, and the pattern
 _SPACE = r"\t-\r \x85\xa0  -     　"
 _PIECE = (rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+"
@@ -81,26 +82,66 @@ class Bpe:
             a, b = pair.split(" ") if isinstance(pair, str) else pair
             self.merges.setdefault((vocab[a] << 20) | vocab[b], (rank, vocab[a + b]))
         self.texts = [str(i) for i in range(size)]
-
-    def merge(self, word: bytes) -> tuple[int, ...]:
-        """Ids of one word: the pair of lowest rank first, the leftmost of equal ones."""
-        ids = [self.byte_ids[b] for b in word]
-        return tuple(self._scan(ids) if len(ids) <= _SHORT else self._heap(ids))
-
-    def _scan(self, ids: list[int]) -> list[int]:
-        get = self.merges.get
-        pairs = [get((a << 20) | b) for a, b in zip(ids, ids[1:])]
+        keys = sorted(self.merges)
+        self.pair_keys = np.array(keys, dtype=np.int64)
+        self.pair_ranks = np.array([self.merges[k][0] for k in keys], dtype=np.int64)
+        self.merged = np.zeros(len(spec["model"]["merges"]), dtype=np.int64)
+        for rank, new in self.merges.values():
+            self.merged[rank] = new
+        self.byte_array = np.array(self.byte_ids, dtype=np.int64)
+
+    def merge(self, words: list[bytes]) -> list[tuple[int, ...]]:
+        """Ids of words: the pair of lowest rank first, the leftmost of equal ones."""
+        short = [i for i, w in enumerate(words) if 0 < len(w) <= _SHORT]
+        out: list[tuple[int, ...]] = [()] * len(words)
+        for i, ids in zip(short, self._together([words[i] for i in short])):
+            out[i] = ids
+        for i, w in enumerate(words):
+            if len(w) > _SHORT:
+                out[i] = tuple(self._heap([self.byte_ids[b] for b in w]))
+        return out
+
+    def _place(self, left: np.ndarray, right: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """rank * 64 + position for pairs that merge, _NONE for others."""
+        key = (left << 20) | right
+        i = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[i] == key, (self.pair_ranks[i] << 6) | at, _NONE)
+
+    def _together(self, words: list[bytes]) -> list[tuple[int, ...]]:
+        """One merge in every word at a time, until no word has a pair left."""
+        if not words:
+            return []
+        sizes = np.array([len(w) for w in words], dtype=np.int64)
+        start = np.cumsum(sizes) - sizes
+        ids = self.byte_array[np.frombuffer(b"".join(words), dtype=np.uint8)]
+        n = len(ids)
+        local = np.arange(n) - np.repeat(start, sizes)
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        after[start + sizes - 1], before[start] = -1, -1
+        best = np.full(n, _NONE)
+        has = np.nonzero(after >= 0)[0]
+        best[has] = self._place(ids[has], ids[has + 1], local[has])
         while True:
-            best = min((p for p in pairs if p), default=None)
-            if best is None:
-                return ids
-            i = pairs.index(best)
-            ids[i:i + 2] = [best[1]]
-            del pairs[i]
-            if i:
-                pairs[i - 1] = get((ids[i - 1] << 20) | best[1])
-            if i + 1 < len(ids):
-                pairs[i] = get((best[1] << 20) | ids[i + 1])
+            low = np.minimum.reduceat(best, start)
+            busy = np.nonzero(low < _NONE)[0]
+            if not len(busy):
+                break
+            i = start[busy] + (low[busy] & 63)
+            j = after[i]
+            k = after[j]
+            ids[i], ids[j], best[j] = self.merged[low[busy] >> 6], -1, _NONE
+            after[i] = k
+            more = k >= 0
+            before[k[more]] = i[more]
+            best[i] = _NONE
+            best[i[more]] = self._place(ids[i[more]], ids[k[more]], local[i[more]])
+            h = before[i]
+            more = h >= 0
+            best[h[more]] = self._place(ids[h[more]], ids[i[more]], local[h[more]])
+        kept = ids >= 0
+        stop = np.cumsum(np.add.reduceat(kept.astype(np.int64), start)).tolist()
+        flat = ids[kept].tolist()
+        return [tuple(flat[x:y]) for x, y in zip([0, *stop], stop)]
 
     def _heap(self, ids: list[int]) -> list[int]:
         get, n = self.merges.get, len(ids)
@@ -243,34 +284,46 @@ class Encoder:
 
     def learn(self, units: set[str]) -> dict[str, tuple[int, ...]]:
         """Ids of units that are not remembered."""
-        pieces = {u: (u,) if u in self.bpe.special else self.pieces(u) for u in units}
-        words = [w for w in set(chain.from_iterable(pieces.values()))]
+        # a run of ASCII letters, with one space before it or not, is one piece
+        pieces = {u: (u,) if u in self.bpe.special or (u.isascii() and u.removeprefix(" ").isalpha()) else self.pieces(u) for u in units}
+        words = list(set(chain.from_iterable(pieces.values())))
         raw = [w.encode() for w in words]
-        known = self.lexicon.find(raw) if self.lexicon else [None] * len(words)
-        ids = {w: k if k is not None else self.bpe.merge(b) for w, b, k in zip(words, raw, known)}
+        ids = dict(zip(words, self.lexicon.find(raw))) if self.lexicon else dict.fromkeys(words)
+        unseen = [(w, b) for w, b in zip(words, raw) if ids[w] is None]
+        ids |= zip([w for w, _ in unseen], self.bpe.merge([b for _, b in unseen]))
         ids |= {w: (i,) for w, i in self.bpe.special.items()}
         return {u: tuple(chain.from_iterable(map(ids.__getitem__, p))) for u, p in pieces.items()}
 
+    def remember(self, units: set[str]) -> None:
+        """Make sure that all of ``units`` are remembered: new ones are looked up together."""
+        if new := units.difference(self.units):
+            if len(self.units) + len(new) > MEMO:
+                self.units.clear()
+                new = units
+            self.units |= self.learn(new)
+
     def encode(self, texts: list[str]):
-        """Yield, for each text, an iterator of lists of ids, segment by segment."""
+        """Yield, for each text, its ids as lists, one per segment; texts are taken in groups of about CHUNK characters."""
+        group, size = [], 0
         for text in texts:
-            yield self._lists(text)
-
-    def _lists(self, text: str):
-        for segment in self.segments(text):
-            units = self.units_of(segment)
-            memo = self.units
-            if new := set(units).difference(memo):
-                if len(memo) > MEMO:
-                    memo.clear()
-                    new = set(units)
-                memo |= self.learn(new)
-                ids = list(chain.from_iterable(map(memo.__getitem__, units)))
-                for u in [u for u in new if len(u) > MEMO_CHARS]:
-                    del memo[u]
-                yield ids
-            else:
-                yield list(chain.from_iterable(map(memo.__getitem__, units)))
+            if len(text) > CHUNK:  # segment by segment, so that only one is held
+                yield from self._group(group)
+                group, size = [], 0
+                yield (ids for segment in self.segments(text) for ids in next(self._group([segment])))
+                continue
+            group.append(text)
+            size += len(text)
+            if size > CHUNK:
+                yield from self._group(group)
+                group, size = [], 0
+        yield from self._group(group)
+
+    def _group(self, texts: list[str]):
+        cut = [[self.units_of(segment) for segment in self.segments(text)] for text in texts]
+        self.remember(set(chain.from_iterable(chain.from_iterable(cut))))
+        get = self.units.__getitem__
+        for segments in cut:
+            yield [list(chain.from_iterable(map(get, units))) for units in segments]
 
 
 def count_words(docs: DataFrame, text_col: str = "text", units: int = UNITS) -> DataFrame:
@@ -308,7 +361,8 @@ def build_lexicon(docs: DataFrame, bpe: Bpe, text_col: str = "text", size: int =
 
     spark = docs.sparkSession
     top = count_words(docs, text_col).orderBy(F.desc("n"), "word").limit(size).collect()
-    data = compile_lexicon({w: bpe.merge(w) for w in (r["word"].encode() for r in top) if w})
+    words = [w for w in (r["word"].encode() for r in top) if w]
+    data = compile_lexicon(dict(zip(words, bpe.merge(words))))
     name = f"lexicon-{uuid.uuid4().hex}.npy"
     folder = checkpoint_dir(spark).rstrip("/")
     store, path = fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
@@ -337,10 +391,9 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
         encoder = Encoder(tables, Lexicon(np.load(SparkFiles.get(name), mmap_mode="r")))
         texts_of, bytes_of = tables.texts.__getitem__, tables.bytes_of.__getitem__
 
-        def row(text):
+        def row(segments):
             n, ids, digest, plain, parts = 0, [], hashlib.sha256(), hashlib.sha256(), []
-            rest = b""
-            for part in encoder._lists(text or ""):
+            for part in segments:
                 if "ids_sha256" in columns and part:
                     digest.update(((b"," if n else b"") + ",".join(map(texts_of, part)).encode()))
                 if "ids" in columns:
@@ -356,8 +409,9 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
 
         for batch in batches:
             start, held = 0, []
-            for i, text in enumerate(batch.column(1)):
-                held.append(row(text.as_py()))
+            texts = (text.as_py() or "" for text in batch.column(1))
+            for i, segments in enumerate(encoder.encode(texts)):
+                held.append(row(segments))
                 if i + 1 - start >= 2000 or i + 1 == batch.num_rows:
                     yield pa.RecordBatch.from_arrays(
                         [batch.column(0).slice(start, i + 1 - start), *[pa.array([h[c] for h in held], arrow[c]) for c in columns]],
