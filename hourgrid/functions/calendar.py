@@ -70,7 +70,7 @@ def dst_flag(c: str | Column, switches: Sequence[str] = DST_SWITCHES,
 def add_calendar_features(df: DataFrame, time_col: str = "datetime") -> DataFrame:
     """Hour, weekday (Monday = 0), month, quarter, day of month/year, ISO week."""
     if time_col not in df.columns:
-        raise KeyError(f"Column {time_col} not in DataFrame")
+        raise KeyError(f"no time column named {time_col!r}")
     t = F.col(time_col)
     return df.withColumns(
         {

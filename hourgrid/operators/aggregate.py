@@ -9,16 +9,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourgrid.functions.scalar import abs_error, col_of
-from hourgrid.operators.joins import check_unique, checked_broadcast
+from hourgrid.operators.joins import check_unique
 
 __all__ = [
-    "exact_sum",
+    "total",
     "rounded",
     "weather_time_keys",
     "county_mean",
@@ -40,9 +39,9 @@ __all__ = [
 ]
 
 
-def exact_sum(c: str | Column, scale: int = 2) -> Column:
-    """Sum of a money-like double, exact in DECIMAL, returned as DOUBLE."""
-    return F.sum(col_of(c).cast(f"decimal(18,{scale})")).cast("double")
+def total(c: str | Column) -> Column:
+    """Sum in double precision; the inputs are not rounded (reports round their results)."""
+    return F.sum(col_of(c).cast("double"))
 
 
 def rounded(c: str | Column, scale: int) -> Column:
@@ -85,7 +84,7 @@ def county_mean(
         check_unique(st, points, "stations")
     if exclude_county is not None:
         st = st.filter(F.col(county_col) != exclude_county)
-    mapped = weather.join(checked_broadcast(st), points, "inner")
+    mapped = weather.join(st, points, "inner")
     types = dict(weather.dtypes)
     ints = set(round_cols) if round_cols is not None else {
         c for c in measures if isinstance(weather.schema[c].dataType, T.IntegralType)
@@ -162,8 +161,7 @@ def mae_by(df: DataFrame, keys: Sequence[str], target: str = "target", pred: str
 
 
 def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str | Column, qs: Sequence[float],
-                      buckets: int = 256, prefix: str = "p", discrete: bool = False,
-                      small_group: int = 100_000) -> DataFrame:
+                      buckets: int = 256, prefix: str = "p", discrete: bool = False) -> DataFrame:
     """Exact linear-interpolated percentiles per group, without one-task groups.
 
     ``percentile`` keeps every distinct value of a group in one buffer, so a
@@ -175,72 +173,44 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str | Column, q
        the result stays exact);
     3. a running count inside each (group, bucket) plus per-bucket offsets
        gives every distinct value its rank range ``[start, end)``;
-    4. the values at ranks ``floor``/``ceil`` of ``q * (n - 1)`` are picked
-       by a broadcast range join and interpolated (the definition of
-       ``percentile`` / ``quantile_cont``).
+    4. each distinct value keeps the wanted ranks that fall into its range,
+       and the values at ranks ``floor``/``ceil`` of ``q * (n - 1)`` are
+       interpolated (the definition of ``percentile`` / ``quantile_cont``).
 
     With ``discrete`` the result is ``percentile_disc``: the value at
     0-based rank ``ceil(q * n) - 1`` (the first value whose cumulative
     distribution reaches ``q``), no interpolation.
 
-    Size check: when every group has at most ``small_group`` distinct
-    values (known after step 1), the built-in exact aggregate is used
-    instead — its per-group buffer is then proven small.
-
-    Groups whose values are all NULL give NULL percentiles.
+    Group keys travel as one struct, so a group whose key is NULL is a group
+    like any other. Groups whose values are all NULL give NULL percentiles.
     """
     keys = list(keys)
-    gk = keys or ["_all"]
-    base = df if keys else df.withColumn("_all", F.lit(0))
-    v = base.select(*gk, col_of(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
-    # read by the bounds and by the ranking: persisted once
-    d = v.groupBy(*gk, "_x").agg(F.count(F.lit(1)).alias("_c")).persist(StorageLevel.MEMORY_AND_DISK)
-    largest = d.groupBy(*gk).agg(F.count(F.lit(1)).alias("_k")).agg(F.max("_k")).first()[0] or 0
-    if largest <= small_group:
-        d.unpersist()
-
-        def one(q: float) -> Column:
-            if discrete:
-                return F.expr(f"percentile_disc({float(q)}) WITHIN GROUP (ORDER BY _x)")
-            return F.percentile("_x", F.lit(float(q)))
-        small = v.groupBy(*gk).agg(*[one(q).cast("double").alias(f"{prefix}{int(round(q * 100))}") for q in qs])
-        out = base.select(*gk).distinct().join(small, gk, "left")
-        return out if keys else out.drop("_all")
+    group = F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0).alias("_all"))
+    base = df.select(group.alias("_g"), col_of(value).cast("double").alias("_x"))
+    d = base.filter(F.col("_x").isNotNull()).groupBy("_g", "_x").agg(F.count(F.lit(1)).alias("_c"))
     fracs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    bounds = d.groupBy(*gk).agg(F.percentile_approx("_x", fracs, 10000).alias("_b"), F.sum("_c").alias("_n"))
-    bounds = checked_broadcast(bounds)
-    db = d.join(bounds.select(*gk, "_b"), gk).withColumn(
-        "_bk", F.size(F.filter(F.col("_b"), lambda b: b < F.col("_x")))).drop("_b")
-    run = Window.partitionBy(*gk, "_bk").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
+    bounds = d.groupBy("_g").agg(F.percentile_approx("_x", fracs, 10000).alias("_b"), F.sum("_c").alias("_n"))
+    db = d.join(bounds, "_g").withColumn("_bk", F.size(F.filter(F.col("_b"), lambda b: b < F.col("_x")))).drop("_b")
+    run = Window.partitionBy("_g", "_bk").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
     db = db.withColumn("_cum", F.sum("_c").over(run))
-    per_bucket = db.groupBy(*gk, "_bk").agg(F.sum("_c").alias("_bc"))
-    before = Window.partitionBy(*gk).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    per_bucket = per_bucket.select(*gk, "_bk", F.coalesce(F.sum("_bc").over(before), F.lit(0)).alias("_off"))
-    db = db.join(checked_broadcast(per_bucket), [*gk, "_bk"]).select(
-        *gk, "_x", (F.col("_off") + F.col("_cum") - F.col("_c")).alias("_start"),
-        (F.col("_off") + F.col("_cum")).alias("_end"))
-    qarr = F.array(*[F.struct(F.lit(i).alias("_qi"), F.lit(float(q)).alias("_q")) for i, q in enumerate(qs)])
-    need = bounds.select(*gk, "_n", F.explode(qarr).alias("_qq")).select(
-        *gk, "_n", F.col("_qq._qi").alias("_qi"), F.col("_qq._q").alias("_q"))
-    if discrete:
-        h = F.greatest(F.ceil(F.col("_q") * F.col("_n")) - 1, F.lit(0)).cast("double")
-    else:
-        h = F.col("_q") * (F.col("_n") - 1)
-    need = need.withColumn("_h", h).withColumns({"_lo": F.floor("_h"), "_hi": F.ceil("_h")})
-    ranks = checked_broadcast(need.select(*gk, "_qi", "_h", "_lo", "_hi",
-                                          F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_rank")))
-    cond = [db[k] == ranks[k] for k in gk] + [ranks["_rank"] >= db["_start"], ranks["_rank"] < db["_end"]]
-    hit = db.join(ranks, cond).select(*[db[k] for k in gk], "_x", "_qi", "_h", "_lo", "_hi", "_rank")
-    vals = hit.groupBy(*gk, "_qi").agg(
-        F.max(F.when(F.col("_rank") == F.col("_lo"), F.col("_x"))).alias("_xl"),
-        F.max(F.when(F.col("_rank") == F.col("_hi"), F.col("_x"))).alias("_xh"),
-        F.first("_h").alias("_h"), F.first("_lo").alias("_lo"),
-    ).withColumn("_p", F.col("_xl") + (F.col("_h") - F.col("_lo")) * (F.col("_xh") - F.col("_xl")))
-    wide = vals.groupBy(*gk).agg(*[
-        F.max(F.when(F.col("_qi") == i, F.col("_p"))).alias(f"{prefix}{int(round(q * 100))}") for i, q in enumerate(qs)
-    ])
-    out = base.select(*gk).distinct().join(wide, gk, "left")
-    return out if keys else out.drop("_all")
+    before = Window.partitionBy("_g").orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    per_bucket = db.groupBy("_g", "_bk").agg(F.sum("_c").alias("_bc")).select(
+        "_g", "_bk", F.coalesce(F.sum("_bc").over(before), F.lit(0)).alias("_off"))
+    end = F.col("_off") + F.col("_cum")
+    ranked = db.join(per_bucket, ["_g", "_bk"]).select("_g", "_x", "_n", (end - F.col("_c")).alias("_start"), end.alias("_end"))
+    aggs = []
+    for i, q in enumerate(qs):
+        h = F.greatest(F.ceil(F.lit(float(q)) * F.col("_n")) - 1, F.lit(0)).cast("double") if discrete else \
+            F.lit(float(q)) * (F.col("_n") - 1)
+        for side, rank in (("lo", F.floor(h)), ("hi", F.ceil(h))):
+            here = (rank >= F.col("_start")) & (rank < F.col("_end"))
+            aggs.append(F.max(F.when(here, F.col("_x"))).alias(f"_{side}{i}"))
+        aggs.append(F.max(h - F.floor(h)).alias(f"_w{i}"))
+    picked = ranked.groupBy("_g").agg(*aggs)
+    lo, hi, w = ([F.col(f"_{s}{i}") for i in range(len(qs))] for s in ("lo", "hi", "w"))
+    wide = picked.select("_g", *[(lo[i] + w[i] * (hi[i] - lo[i])).alias(f"{prefix}{int(round(q * 100))}") for i, q in enumerate(qs)])
+    out = base.select("_g").distinct().join(wide, "_g", "left")
+    return out.select(*([F.col("_g")[k].alias(k) for k in keys]), *[c for c in wide.columns if c != "_g"])
 
 
 def error_percentiles(df: DataFrame, keys: Sequence[str], target: str = "target", pred: str = "preds",
@@ -276,8 +246,20 @@ def top_bottom_by_group(df: DataFrame, group_cols: Sequence[str], item_col: str,
     w = Window.partitionBy(*group_cols)
     desc = w.orderBy(F.col(f"mean_{value_col}").desc_nulls_last(), F.col(item_col))
     asc = w.orderBy(F.col(f"mean_{value_col}").asc_nulls_last(), F.col(item_col))
-    m = m.withColumns({"rank_top": F.row_number().over(desc), "rank_bottom": F.row_number().over(asc)})
-    return m.filter((F.col("rank_top") <= n) | (F.col("rank_bottom") <= n))
+    # each rank alone is a limit per group: tasks keep n rows of a group before the shuffle
+    top = m.withColumn("_k", F.row_number().over(desc)).filter(F.col("_k") <= n).drop("_k")
+    bottom = m.withColumn("_k", F.row_number().over(asc)).filter(F.col("_k") <= n).drop("_k")
+    picked = top.union(bottom).distinct()
+    # at most 2n picks per group; a pick's ranks are counts of the items before it
+    p, r = picked.alias("p"), m.alias("r")
+    same = [F.col(f"p.{c}").eqNullSafe(F.col(f"r.{c}")) for c in group_cols]
+    px, rx = F.col(f"p.mean_{value_col}"), F.col(f"r.mean_{value_col}")
+    pi, ri = F.col(f"p.{item_col}"), F.col(f"r.{item_col}")
+    first_item = (ri.isNull() & pi.isNotNull()) | (ri < pi)
+    tie_or_null = (rx.isNotNull() & px.isNull()) | (rx.eqNullSafe(px) & first_item)
+    return r.join(p, reduce(lambda x, y: x & y, same)).groupBy(*[F.col(f"p.{c}") for c in m.columns]).agg(
+        (F.count_if((rx > px) | tie_or_null) + 1).cast("int").alias("rank_top"),
+        (F.count_if((rx < px) | tie_or_null) + 1).cast("int").alias("rank_bottom"))
 
 
 def weekly_bin(c: str | Column) -> Column:

@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourgrid.operators.joins import checked_broadcast
+from hourgrid.functions.scalar import epoch_us
 from hourgrid.operators.timeseries import interpolate_segment, keep_first
 
 __all__ = [
@@ -97,14 +96,14 @@ def semi_filter(df: DataFrame, keys: DataFrame | Sequence[Any], on: str | Sequen
     """Membership filter.
 
     With a literal list it is ``isin``; with a DataFrame of keys it is a
-    ``left_semi``/``left_anti`` join (the key side is broadcast only when its
-    size is proven small).
+    ``left_semi``/``left_anti`` join. A NULL is in neither, so the negated
+    filter keeps it in both forms.
     """
     if isinstance(keys, DataFrame):
         on_cols = [on] if isinstance(on, str) else list(on)
-        return df.join(checked_broadcast(keys.select(*on_cols).distinct()), on_cols,
+        return df.join(keys.select(*on_cols).distinct(), on_cols,
                        "left_anti" if negate else "left_semi")
-    cond = F.col(on).isin(list(keys))
+    cond = F.coalesce(F.col(on).isin(list(keys)), F.lit(False))
     return df.filter(~cond if negate else cond)
 
 
@@ -144,22 +143,29 @@ def clean_series_nulls(
     value_col: str,
     group_cols: Sequence[str],
     check_cols: Sequence[str] | None = None,
+    bucket_days: int = 28,
 ) -> DataFrame:
     """Alternate train cleaning.
 
     The distinct timestamps that carry a NULL (in ``check_cols``) are numbered
     in time order; every second one (the missing spring hour of a DST pair) is
     removed, then the remaining NULL targets are interpolated inside each
-    series (W6). The distinct-timestamp set holds at most one row per hour of
-    the data range.
+    series (W6). Timestamps are numbered within buckets of ``bucket_days`` and
+    shifted by the counts of the buckets before, so data of any resolution is
+    numbered in many tasks. A row without a time is never removed.
     """
     cols = list(check_cols) if check_cols is not None else df.columns
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)   # read twice: NULL timestamps and the anti join
     any_null = F.lit(False)
     for c in cols:
         any_null = any_null | F.col(c).isNull()
-    bad = df.filter(any_null).select(time_col).distinct()
-    ranked = bad.withColumn("_k", F.row_number().over(Window.orderBy(time_col)))
-    drop_ts = ranked.filter(F.col("_k") % 2 == 0).select(time_col)
-    kept = df.join(checked_broadcast(drop_ts), [time_col], "left_anti")
+    bad = df.filter(any_null & F.col(time_col).isNotNull()).select(time_col).distinct()
+    bad = bad.withColumn("_b", F.floor(epoch_us(time_col) / F.lit(bucket_days * 86_400_000_000)))
+    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per bucket of days
+    starts = bad.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    inside = F.row_number().over(Window.partitionBy("_b").orderBy(time_col))
+    ranked = bad.withColumn("_k", inside).join(starts, "_b")
+    drop_ts = ranked.filter((F.col("_off") + F.col("_k")) % 2 == 0).select(time_col)
+    kept = df.join(drop_ts, [time_col], "left_anti")
     return interpolate_segment(kept, value_col, time_col, group_cols)

@@ -1,35 +1,25 @@
 """Joins: dimension lookups, shifted-key joins and cardinality contracts.
 
-Broadcast policy
-----------------
-A dimension is broadcast only after its row count has been *proven* to be
-below ``max_rows`` (a bounded ``limit(max_rows + 1).count()``). Otherwise the
-plain join is left to the planner: Spark's size estimate and, at run time,
-AQE (which turns a sort-merge join into a broadcast join when the shuffled
-side is small) decide. Nothing grows unchecked into a broadcast.
+No join carries a broadcast hint: the planner broadcasts a side whose estimated
+size is below ``spark.sql.autoBroadcastJoinThreshold``, and adaptive execution
+does so at run time when a shuffled side turns out to be that small. The m:1
+contract of a lookup is part of the plan: a key that occurs twice on the
+dimension side raises when the join runs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
 from hourgrid.functions.scalar import shift_time
 
 __all__ = [
     "DuplicateKeyError",
-    "BROADCAST_MAX_ROWS",
-    "BROADCAST_MAX_BYTES",
-    "row_width",
-    "fits_in_rows",
-    "checked_broadcast",
-    "checked_broadcast_all",
     "duplicate_keys",
     "check_unique",
+    "unique_rows",
     "lookup_join",
     "prefix_columns",
     "shifted_lookup",
@@ -37,89 +27,10 @@ __all__ = [
     "with_scalars",
 ]
 
-# Default bounds for broadcasting a dimension: rows and estimated bytes
-# (rows x schema width). The byte bound keeps a broadcast well inside the
-# driver's and each executor's memory budget.
-BROADCAST_MAX_ROWS = 2_000_000
-BROADCAST_MAX_BYTES = 16 * 1024 * 1024
-
-
 class DuplicateKeyError(ValueError):
     """Raised when a join side violates its declared uniqueness."""
 
 
-def fits_in_rows(df: DataFrame, max_rows: int) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def _type_width(t: T.DataType) -> int:
-    # Spark's default size estimates per type (bytes).
-    if isinstance(t, (T.ByteType, T.BooleanType)):
-        return 1
-    if isinstance(t, T.ShortType):
-        return 2
-    if isinstance(t, (T.IntegerType, T.FloatType, T.DateType)):
-        return 4
-    if isinstance(t, (T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType, T.DayTimeIntervalType)):
-        return 8
-    if isinstance(t, T.DecimalType):
-        return 8 if t.precision <= 18 else 16
-    if isinstance(t, T.StringType):
-        return 20
-    if isinstance(t, T.ArrayType):
-        return _type_width(t.elementType)
-    if isinstance(t, T.MapType):
-        return _type_width(t.keyType) + _type_width(t.valueType)
-    if isinstance(t, T.StructType):
-        return sum(_type_width(f.dataType) for f in t.fields)
-    return 100
-
-
-def row_width(df: DataFrame) -> int:
-    """Estimated bytes per row from default type sizes (+ row header)."""
-    return 8 + sum(_type_width(f.dataType) for f in df.schema.fields)
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                      max_bytes: int = BROADCAST_MAX_BYTES, keep_cached: bool = True) -> DataFrame:
-    """Broadcast hint only when the size is proven small; else no hint.
-
-    The bound is ``min(max_rows, max_bytes / row width)`` rows, checked with a
-    bounded count. The dimension is persisted (MEMORY_AND_DISK) while it is
-    counted, so a small one is computed once (the broadcast reads the cached
-    blocks). A large one is left to the planner (sort-merge join, or AQE's
-    runtime conversion when the shuffled side turns out small); by default it
-    stays persisted, so the partitions the count already computed are not
-    computed again by the join (``keep_cached=False`` releases them).
-    """
-    limit = max(1, min(max_rows, max_bytes // row_width(df)))
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if fits_in_rows(cached, limit):
-        return F.broadcast(cached)
-    if keep_cached:
-        return cached
-    cached.unpersist()
-    return df
-
-
-def checked_broadcast_all(dfs: Sequence[DataFrame | None], max_rows: int = BROADCAST_MAX_ROWS,
-                          max_bytes: int = BROADCAST_MAX_BYTES) -> list[DataFrame | None]:
-    """:func:`checked_broadcast` for several independent dimensions at once.
-
-    The bounded counts are separate Spark jobs; they are submitted together
-    from a small driver thread pool so they run concurrently on the cluster.
-    """
-    from concurrent.futures import ThreadPoolExecutor
-
-    todo = [d for d in dfs if d is not None]
-    if not todo:
-        return list(dfs)
-    with ThreadPoolExecutor(max_workers=min(8, len(todo))) as pool:
-        done = iter(list(pool.map(lambda d: checked_broadcast(d, max_rows, max_bytes), todo)))
-    return [next(done) if d is not None else None for d in dfs]
-
-
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key values that occur more than once, with their multiplicity.
 
@@ -144,6 +55,23 @@ def check_unique(df: DataFrame, keys: Sequence[str], name: str = "table") -> Dat
     return df
 
 
+def unique_rows(df: DataFrame, keys: Sequence[str], name: str = "dimension") -> DataFrame:
+    """``df`` with one row per key; a key of several rows raises when it is computed.
+
+    The check is an aggregate inside the plan: no job runs before the query.
+    Rows whose key has a NULL never match a join and are not checked.
+    """
+    others = [c for c in df.columns if c not in keys]
+    whole = F.lit(True)
+    for k in keys:
+        whole = whole & F.col(k).isNotNull()
+    once = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), F.first(F.struct(F.lit(0).alias("_one"), *others)).alias("_row"))
+    error = F.raise_error(F.concat(F.lit(f"{name}: keys {list(keys)} not unique: "), F.to_json(F.struct(*keys))))
+    checked = F.when(whole & (F.col("_rows") > 1), error.cast("int")).otherwise(F.col("_row._one"))
+    # the filter keeps the check in the plan even if no other column is used
+    return once.filter(checked == 0).select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
+
+
 def prefix_columns(df: DataFrame, prefix: str, exclude: Sequence[str] = ()) -> DataFrame:
     """Prefix every column except ``exclude``."""
     return df.select(*[F.col(c) if c in exclude else F.col(c).alias(prefix + c) for c in df.columns])
@@ -154,16 +82,16 @@ def lookup_join(
     dim: DataFrame,
     on: Sequence[str] | dict[str, str],
     how: str = "left",
-    validate: bool | str = False,
-    broadcast_max_rows: int | None = BROADCAST_MAX_ROWS,
+    validate: bool | str = True,
     name: str = "dimension",
 ) -> DataFrame:
     """Many-to-one join of a fact to a dimension.
 
     ``on`` is a list of shared key names or a mapping fact column → dim column
     (dimension key columns are dropped from the output). ``validate`` is the
-    join-cardinality contract (J11): ``True``/``"m:1"`` checks the dimension
-    keys are unique, ``"1:m"`` the fact keys, ``"1:1"`` both.
+    join-cardinality contract (J11): ``True``/``"m:1"`` requires unique
+    dimension keys (checked inside the plan), ``"1:m"`` unique fact keys,
+    ``"1:1"`` both; ``False`` allows any.
     """
     if isinstance(on, dict):
         fact_keys, dim_keys = list(on.keys()), list(on.values())
@@ -173,11 +101,9 @@ def lookup_join(
     if contract not in ("", "m:1", "1:m", "1:1"):
         raise ValueError(f"unknown join contract {validate!r}")
     if contract in ("m:1", "1:1"):
-        check_unique(dim, dim_keys, name)
+        dim = unique_rows(dim, dim_keys, name)
     if contract in ("1:m", "1:1"):
         check_unique(fact, fact_keys, "fact")
-    if broadcast_max_rows:
-        dim = checked_broadcast(dim, broadcast_max_rows)
     if isinstance(on, dict):
         cond = [fact[f] == dim[d] for f, d in on.items()]
         out = fact.join(dim, cond, how)
@@ -195,7 +121,6 @@ def shifted_lookup(
     drop: Sequence[str] = (),
     how: str = "left",
     validate: bool = False,
-    broadcast_max_rows: int | None = None,
 ) -> DataFrame:
     """Join a dimension whose key columns are first shifted.
 
@@ -212,11 +137,9 @@ def shifted_lookup(
     # All shifted expressions read the original row: evaluate in one select.
     shifted = dim.select(*[exprs.get(c, F.col(c)).alias(c) for c in dim.columns])
     if validate:
-        check_unique(shifted, dim_keys, prefix.rstrip("_") or "dimension")
+        shifted = unique_rows(shifted, dim_keys, prefix.rstrip("_") or "dimension")
     shifted = prefix_columns(shifted, prefix)
     pk = [prefix + k for k in dim_keys]
-    if broadcast_max_rows:
-        shifted = checked_broadcast(shifted, broadcast_max_rows)
     cond = [fact[f] == shifted[d] for f, d in zip(fact_keys, pk)]
     out = fact.join(shifted, cond, how)
     return out.drop(*pk, *[prefix + c for c in drop])
@@ -230,17 +153,16 @@ def multi_shift_lookup(
     variants: Sequence[tuple[str, dict[str, str | Column] | None]],
     drop: Sequence[str] = (),
     how: str = "left",
-    validate: bool = False,
-    broadcast_max_rows: int | None = None,
 ) -> DataFrame:
     """Several shifted copies of one dimension joined to the fact in ONE join.
 
-    Equivalent to one :func:`shifted_lookup` per ``(prefix, shift)`` variant
-    when each variant is unique on its shifted keys (the m:1 contract). The
-    dimension rows are exploded into their variants in a single pass and
+    Equivalent to one :func:`shifted_lookup` per ``(prefix, shift)`` variant.
+    The dimension rows are exploded into their variants in a single pass and
     folded into one wide row per key (``max`` per variant in a hash
     aggregate), so the dimension is computed once and the fact is joined
-    once, whatever the number of variants.
+    once, whatever the number of variants. The same aggregate counts the rows
+    of each variant: two rows on one shifted key break the m:1 contract and
+    raise, they are never blended.
     """
     keys = list(dim_keys)
     measures = [c for c in dim.columns if c not in keys and c not in drop]
@@ -254,18 +176,18 @@ def multi_shift_lookup(
             fields.append(e.alias(k))
         copies.append(F.struct(*fields))
     exploded = dim.select(F.explode(F.array(*copies)).alias("_s"), *measures).select("_s.*", *measures)
-    if validate:
-        check_unique(exploded, ["_variant", *keys], "shifted dimension")
     v = F.col("_variant")
-    wide = exploded.groupBy(*keys).agg(*[
-        F.max(F.when(v == i, F.col(m))).alias(prefix + m)
-        for i, (prefix, _) in enumerate(variants) for m in measures
-    ])
+    wide = exploded.groupBy(*keys).agg(
+        *[F.max(F.when(v == i, F.col(m))).alias(prefix + m) for i, (prefix, _) in enumerate(variants) for m in measures],
+        F.greatest(F.lit(0), *[F.count_if(v == i) for i in range(len(variants))]).alias("_rows"))
+    whole = F.lit(True)
+    for k in keys:
+        whole = whole & F.col(k).isNotNull()
+    error = F.raise_error(F.concat(F.lit(f"shifted dimension: keys {keys} not unique: "), F.to_json(F.struct(*keys))))
+    wide = wide.filter(F.when(whole & (F.col("_rows") > 1), error.cast("int")).otherwise(F.lit(0)) == 0)
     pk = [f"_k_{k}" for k in keys]
     wide = wide.select(*[F.col(k).alias(a) for k, a in zip(keys, pk)],
-                       *[c for c in wide.columns if c not in keys])
-    if broadcast_max_rows:
-        wide = checked_broadcast(wide, broadcast_max_rows)
+                       *[c for c in wide.columns if c not in keys and c != "_rows"])
     cond = [fact[f] == wide[d] for f, d in zip(fact_keys, pk)]
     return fact.join(wide, cond, how).drop(*pk)
 

@@ -17,12 +17,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourgrid.functions.scalar import epoch_us, parse_duration_us
 from hourgrid.operators.joins import check_unique
+from hourgrid.session import materialize
 
 __all__ = [
     "ROLLING_FUNCS",
@@ -93,7 +93,8 @@ def _with_buckets(df: DataFrame, halo_us: int, bucket_us: int) -> DataFrame:
     t = F.col(_T)
     home = F.floor(t / F.lit(bucket_us))
     last = F.floor((t + F.lit(halo_us)) / F.lit(bucket_us))
-    return df.withColumn(_BK, F.explode(F.sequence(home, last))).withColumn(_HOME, F.col(_BK) == home)
+    # outer and null-safe: a row without a time has no bucket to go to and stays as it is
+    return df.withColumn(_BK, F.explode_outer(F.sequence(home, last))).withColumn(_HOME, F.col(_BK).eqNullSafe(home))
 
 
 def add_lags_and_rollings(
@@ -195,75 +196,80 @@ def add_rollings(
 # ---------------------------------------------------------------- scans
 
 
+def _bucketed(df: DataFrame, time_col: str, group_cols: Sequence[str], bucket_us: int) -> DataFrame:
+    """Add the time in microseconds and ``_bk_key``, the (series, bucket) as one struct that is never NULL."""
+    t = epoch_us(time_col)
+    keys = [F.col(c).alias(f"s{i}") for i, c in enumerate(group_cols)]
+    return df.withColumn(_T, t).withColumn("_bk_key", F.struct(*keys, F.floor(F.col(_T) / F.lit(bucket_us)).alias("bk")))
+
+
+def _series(n: int) -> Column:
+    return F.struct(*[F.col("_bk_key")[f"s{i}"].alias(f"s{i}") for i in range(n)]) if n else F.struct(F.lit(0).alias("s0"))
+
+
+def _carried(summary: DataFrame, n: int, before: Mapping[str, Column], after: Mapping[str, Column]) -> DataFrame:
+    """Last values before and first values after each bucket of a series; one row per (series, bucket)."""
+    summary = summary.withColumns({"_series": _series(n), "_bk_no": F.col("_bk_key")["bk"]})
+    ws = Window.partitionBy("_series").orderBy("_bk_no")
+    back, ahead = ws.rowsBetween(Window.unboundedPreceding, -1), ws.rowsBetween(1, Window.unboundedFollowing)
+    return summary.select(
+        "_bk_key", *[F.last(c, ignorenulls=True).over(back).alias(k) for k, c in before.items()],
+        *[F.first(c, ignorenulls=True).over(ahead).alias(k) for k, c in after.items()])
+
+
+def _fill_scan(df: DataFrame, value_col: str, time_col: str, group_cols: Sequence[str], bucket_us: int) -> DataFrame:
+    """Previous (``_prev_v``) and next (``_next_v``) valid value of every row.
+
+    The window and the join share the exchange on (series, bucket); the summary
+    is a partial aggregate of the input, not of the window's output.
+    """
+    x, n = F.col(value_col), len(group_cols)
+    d = _bucketed(df, time_col, group_cols, bucket_us)
+    valid_t = F.when(x.isNotNull(), F.col(_T))
+    summary = d.groupBy("_bk_key").agg(F.max_by(x, valid_t).alias("_lv"), F.min_by(x, valid_t).alias("_fv"))
+    carried = _carried(summary, n, {"_cpv": F.col("_lv")}, {"_cnv": F.col("_fv")})
+    wb = Window.partitionBy("_bk_key").orderBy(_T)
+    d = d.withColumns({"_pv": F.last(x, ignorenulls=True).over(wb.rowsBetween(Window.unboundedPreceding, 0)),
+                       "_nv": F.first(x, ignorenulls=True).over(wb.rowsBetween(0, Window.unboundedFollowing))})
+    return d.join(carried, "_bk_key", "left").withColumns(
+        {"_prev_v": F.coalesce("_pv", "_cpv"), "_next_v": F.coalesce("_nv", "_cnv")})
+
+
 def _segment_scan(df: DataFrame, value_col: str, time_col: str, group_cols: Sequence[str],
                   bucket_us: int) -> DataFrame:
     """Previous/next valid value (and their positions) for every row.
 
     Adds ``_pos`` (1-based row position in the series), ``_prev_v``/``_prev_p``
     (last non-null value at or before the row) and ``_next_v``/``_next_p``
-    (first non-null value at or after the row).
+    (first non-null value at or after the row). Positions need the row numbers
+    of the buckets, so the numbered rows are written once to the shared folder
+    and read by both the summary and the join.
     """
-    g = list(group_cols)
-    x = F.col(value_col)
-    t = epoch_us(time_col)
-    d = df.withColumns({_T: t, _BK: F.floor(t / F.lit(bucket_us))})
-    wb = Window.partitionBy(*g, _BK).orderBy(_T)
-    d = d.withColumn("_rn", F.row_number().over(wb))
+    x, n = F.col(value_col), len(group_cols)
+    wb = Window.partitionBy("_bk_key").orderBy(_T)
+    d = _bucketed(df, time_col, group_cols, bucket_us).withColumn("_rn", F.row_number().over(wb))
     valid_rn = F.when(x.isNotNull(), F.col("_rn"))
-    d = d.withColumns(
-        {
-            "_pv": F.last(x, ignorenulls=True).over(wb.rowsBetween(Window.unboundedPreceding, 0)),
-            "_pr": F.last(valid_rn, ignorenulls=True).over(wb.rowsBetween(Window.unboundedPreceding, 0)),
-            "_nv": F.first(x, ignorenulls=True).over(wb.rowsBetween(0, Window.unboundedFollowing)),
-            "_nr": F.first(valid_rn, ignorenulls=True).over(wb.rowsBetween(0, Window.unboundedFollowing)),
-        }
-    )
-    # ``d`` feeds both the per-bucket summary and the final join. Adaptive
-    # execution does not reuse the shared exchange here, so the frame is
-    # persisted once (lost blocks are recomputed from lineage).
-    d = d.persist(StorageLevel.MEMORY_AND_DISK)
-    # One row per (series, bucket): size and first/last valid value.
-    summary = d.groupBy(*g, _BK).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.max_by(x, F.when(x.isNotNull(), F.col(_T))).alias("_lv"),
-        F.max(F.when(x.isNotNull(), F.col("_rn"))).alias("_lr"),
-        F.min_by(x, F.when(x.isNotNull(), F.col(_T))).alias("_fv"),
-        F.min(F.when(x.isNotNull(), F.col("_rn"))).alias("_fr"),
-    )
-    ws = Window.partitionBy(*g).orderBy(_BK)
-    before = ws.rowsBetween(Window.unboundedPreceding, -1)
-    after = ws.rowsBetween(1, Window.unboundedFollowing)
-    offset = F.coalesce(F.sum("_n").over(before), F.lit(0))
-    summary = summary.withColumn("_off", offset).withColumns(
-        {
-            "_cpv": F.last("_lv", ignorenulls=True).over(before),
-            "_cpp": F.last(F.col("_off") + F.col("_lr"), ignorenulls=True).over(before),
-            "_cnv": F.first("_fv", ignorenulls=True).over(after),
-            "_cnp": F.first(F.col("_off") + F.col("_fr"), ignorenulls=True).over(after),
-        }
-    ).select(*g, _BK, "_off", "_cpv", "_cpp", "_cnv", "_cnp")
-    # Null-safe keys: no inferred isnotnull filter lands on only one branch,
-    # so both branches stay identical and Spark reuses the exchange of ``d``
-    # (the input is computed once); NULL series keys still find their bucket.
-    sk = [f"_s_{c}" for c in (*g, _BK)]
-    summary = summary.select(*[F.col(c).alias(a) for c, a in zip((*g, _BK), sk)],
-                             *[c for c in summary.columns if c not in (*g, _BK)])
-    cond = [d[c].eqNullSafe(summary[a]) for c, a in zip((*g, _BK), sk)]
-    j = d.join(summary, cond, "left").drop(*sk)
-    pos = F.col("_off") + F.col("_rn")
-    return j.withColumns(
-        {
-            "_pos": pos,
-            "_prev_v": F.coalesce(F.col("_pv"), F.col("_cpv")),
-            "_prev_p": F.coalesce(F.col("_off") + F.col("_pr"), F.col("_cpp")),
-            "_next_v": F.coalesce(F.col("_nv"), F.col("_cnv")),
-            "_next_p": F.coalesce(F.col("_off") + F.col("_nr"), F.col("_cnp")),
-        }
-    )
-
-
-_SCAN_COLS = ["_t_us", "_bk", "_rn", "_pv", "_pr", "_nv", "_nr", "_off", "_cpv", "_cpp", "_cnv", "_cnp",
-              "_pos", "_prev_v", "_prev_p", "_next_v", "_next_p"]
+    upto, onward = wb.rowsBetween(Window.unboundedPreceding, 0), wb.rowsBetween(0, Window.unboundedFollowing)
+    d = d.withColumns({
+        "_pv": F.last(x, ignorenulls=True).over(upto), "_pr": F.last(valid_rn, ignorenulls=True).over(upto),
+        "_nv": F.first(x, ignorenulls=True).over(onward), "_nr": F.first(valid_rn, ignorenulls=True).over(onward),
+    })
+    d = materialize(d, "series-scan")
+    summary = d.groupBy("_bk_key").agg(
+        F.count(F.lit(1)).alias("_n"), F.max_by(x, valid_rn).alias("_lv"), F.max(valid_rn).alias("_lr"),
+        F.min_by(x, valid_rn).alias("_fv"), F.min(valid_rn).alias("_fr"))
+    summary = summary.withColumns({"_series": _series(n), "_bk_no": F.col("_bk_key")["bk"]})
+    ws = Window.partitionBy("_series").orderBy("_bk_no")
+    offset = F.coalesce(F.sum("_n").over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    summary = summary.withColumn("_off", offset)
+    carried = _carried(summary, n, {"_cpv": F.col("_lv"), "_cpp": F.col("_off") + F.col("_lr")},
+                       {"_cnv": F.col("_fv"), "_cnp": F.col("_off") + F.col("_fr")})
+    j = d.join(summary.select("_bk_key", "_off").join(carried, "_bk_key"), "_bk_key", "left")
+    return j.withColumns({
+        "_pos": F.col("_off") + F.col("_rn"),
+        "_prev_v": F.coalesce("_pv", "_cpv"), "_prev_p": F.coalesce(F.col("_off") + F.col("_pr"), F.col("_cpp")),
+        "_next_v": F.coalesce("_nv", "_cnv"), "_next_p": F.coalesce(F.col("_off") + F.col("_nr"), F.col("_cnp")),
+    })
 
 
 def fill_segment(
@@ -281,7 +287,7 @@ def fill_segment(
     another series.
     """
     cols = list(df.columns)
-    s = _segment_scan(df, value_col, time_col, group_cols, bucket_days * DAY_US)
+    s = _fill_scan(df, value_col, time_col, group_cols, bucket_days * DAY_US)
     filled = F.coalesce(F.col(value_col), F.col("_next_v"), F.col("_prev_v"))
     if default is not None:
         filled = F.coalesce(filled, F.lit(default))
@@ -323,21 +329,13 @@ def interpolate_segment(
 # ---------------------------------------------------------------- dedupe
 
 
-def keep_last(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
-              order_key: Column | None = None) -> DataFrame:
+def keep_last(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
     """One row per ``keys``: the row with the largest ``order_cols``.
 
     Expressed as ``max_by`` in an aggregate, so duplicates are combined
-    map-side before the shuffle. With a struct ordering Spark plans a
-    sort-based aggregate; when ``order_key`` is given — one numeric
-    expression that orders like ``order_cols`` and is unique within each
-    key group — every column is picked with ``max_by(col, order_key)`` in a
-    hash aggregate instead (no sort).
+    map-side before the shuffle.
     """
     others = [c for c in df.columns if c not in keys]
-    if order_key is not None:
-        agg = df.groupBy(*keys).agg(*[F.max_by(c, order_key).alias(c) for c in others])
-        return agg.select(*df.columns)
     agg = df.groupBy(*keys).agg(F.max_by(F.struct(*others), F.struct(*order_cols)).alias("_r"))
     return agg.select(*[F.col(c) if c in keys else F.col(f"_r.{c}").alias(c) for c in df.columns])
 

@@ -15,6 +15,7 @@ reach the driver.
 from __future__ import annotations
 
 import json
+import math
 import random
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -26,13 +27,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourgrid.functions.scalar import abs_error, trunc_ts
-from hourgrid.operators.joins import fits_in_rows
 
 __all__ = [
     "month_folds",
     "share_folds",
     "assign_folds",
     "sample_holdout",
+    "holdout_split",
     "naive_predictions",
     "fold_scores",
     "FitSpec",
@@ -46,8 +47,6 @@ __all__ = [
 ]
 
 NS_PER_DAY = 86_400_000_000_000
-MAX_FOLDS = 10_000
-MAX_SEGMENTS = 10_000
 
 
 def _ts(x: Any) -> Column:
@@ -88,7 +87,7 @@ def share_folds(df: DataFrame, time_col: str, train_share: float = 0.64, val_sha
     slides with the fold. Output: kind ('val'/'test'), fold, train/test bounds.
     """
     if train_share + val_share >= 1.0:
-        raise ValueError("train_share + val_share must be strictly less than 1.0")
+        raise ValueError(f"no days left for testing: train and validation take {train_share + val_share:.0%}")
     day = F.to_date(time_col)
     b = df.agg(F.min(day).alias("d0"), F.max(day).alias("d1"))
     d0 = F.col("d0").cast("timestamp_ntz")
@@ -140,15 +139,14 @@ def assign_folds(df: DataFrame, folds: DataFrame, time_col: str, eval_days: int
     A row belongs to fold ``f`` when ``train_start <= t <= test_end``; it is
     ``test`` inside the test bounds, ``eval`` in the last ``eval_days`` of the
     train window (from midnight of the last train day), else ``train``.
-    ``eval_days=None`` keeps the whole train window as train. The fold table
-    is bounded by the number of splits (checked) and broadcast; the join is a
-    range condition, so each row meets only the folds it falls into.
+    ``eval_days=None`` keeps the whole train window as train. The fold list (one
+    entry per split) is a scalar array; each row generates the folds that it
+    falls into, so there is no join.
     """
-    if not fits_in_rows(folds, MAX_FOLDS):
-        raise ValueError(f"more than {MAX_FOLDS} folds")
     t = F.col(time_col)
-    fb = F.broadcast(folds)
-    j = df.join(fb, (t >= fb["train_start"]) & (t <= fb["test_end"]), "inner")
+    listed = folds.agg(F.collect_list(F.struct(*folds.columns))).scalar()
+    hit = F.filter(F.col("_folds"), lambda f: (t >= f["train_start"]) & (t <= f["test_end"]))
+    j = df.withColumn("_folds", listed).select(*df.columns, F.inline(hit))
     part = F.when(t >= F.col("test_start"), F.lit("test"))
     if eval_days:
         eval_start = F.timestamp_add("DAY", F.lit(-eval_days), trunc_ts("day", "train_end"))
@@ -167,6 +165,20 @@ def sample_holdout(df: DataFrame, n: int, keys: Sequence[str], seed: int = 10) -
     return df.withColumn("_h", h).orderBy("_h", *keys).limit(n).drop("_h")
 
 
+def holdout_split(df: DataFrame, n: int, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """A repeatable sample of ``n`` rows and the remainder (T4).
+
+    Rows are ordered by the MD5 of their keys, so the split is the same in any
+    engine. Only the sample's last key is looked up; both parts are filters.
+    """
+    text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+    h = df.withColumn("_h", F.md5(text.cast("binary")))
+    limit = h.select("_h", *keys).orderBy("_h", *keys).limit(n).agg(F.max("_h").alias("m"), F.count(F.lit(1)).alias("c"))
+    edge = limit.select("m").scalar()
+    inside = F.coalesce(F.col("_h") <= edge, F.lit(False))
+    return h.filter(inside).drop("_h"), h.filter(~inside).drop("_h")
+
+
 def naive_predictions(df: DataFrame, lag_col: str = "target_lag_2d", pred_col: str = "preds") -> DataFrame:
     """Baseline forecast: the lagged value; rows without one are not scored (M5)."""
     return df.filter(F.col(lag_col).isNotNull()).withColumn(pred_col, F.col(lag_col))
@@ -235,7 +247,7 @@ def fit_predict(train: DataFrame, test: DataFrame, spec: FitSpec, label: str, nu
     ``part`` is 'eval' drive GBT early stopping through
     ``validationIndicatorCol`` and are not used as training rows.
     """
-    from pyspark.ml import Pipeline
+    from pyspark.ml import Pipeline, PipelineModel
     from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
 
     num = list(num)
@@ -247,19 +259,27 @@ def fit_predict(train: DataFrame, test: DataFrame, spec: FitSpec, label: str, nu
     te = test.select(*[F.col(c).cast("double").alias(f"_n_{c}") for c in num],
                      *[F.col(c).cast("string").alias(f"_c_{c}") for c in cat], label, "part",
                      *[F.col(c).alias(f"_keep_{c}") for c in test.columns if c not in (label, "part")])
-    if num_in:
-        stages.append(Imputer(inputCols=num_in, outputCols=[f"{c}_i" for c in num_in], strategy="median"))
+    tr = tr.withColumn("_is_eval", F.col("part") == "eval")
+    # a feature without any value in the train rows has no median and is left out;
+    # without eval rows there is nothing to stop early on
+    own = ~F.col("_is_eval")
+    seen = tr.agg(F.count_if(F.col("_is_eval")).alias("_eval"),
+                  *[F.count_if(own & F.col(c).isNotNull() & ~F.isnan(c)).alias(c) for c in num_in]).first()
+    num_in = [c for c in num_in if seen[c]]
+    with_val = use_eval and spec.kind == "gbt" and seen["_eval"] > 0
+    if not with_val:
+        tr = tr.filter(own)
+    imputer = Imputer(inputCols=num_in, outputCols=[f"{c}_i" for c in num_in], strategy="median").fit(tr.filter(own)) if num_in else None
     if cat:
         stages.append(StringIndexer(inputCols=[f"_c_{c}" for c in cat], outputCols=[f"_ix_{c}" for c in cat],
                                     handleInvalid="keep"))
     assembled = [f"{c}_i" for c in num_in] + [f"_ix_{c}" for c in cat]
     stages.append(VectorAssembler(inputCols=assembled, outputCol="_features", handleInvalid="keep"))
-    with_val = use_eval and spec.kind == "gbt"
-    tr = tr.withColumn("_is_eval", F.col("part") == "eval")
-    if not with_val:
-        tr = tr.filter(~F.col("_is_eval"))
     stages.append(_estimator(spec, label, with_val))
-    model = Pipeline(stages=stages).fit(tr)
+    if imputer:
+        tr = imputer.transform(tr)
+    fitted = Pipeline(stages=stages).fit(tr)
+    model = PipelineModel(stages=[*([imputer] if imputer else []), *fitted.stages])
     pred = model.transform(te.withColumn("_is_eval", F.lit(False)))
     keep = [c for c in pred.columns if c.startswith("_keep_")]
     out = pred.select(*[F.col(c).alias(c[len("_keep_"):]) for c in keep], label, "preds")
@@ -280,23 +300,19 @@ def backtest_models(
 ) -> DataFrame:
     """Train one model per (fold, segment, spec) and predict the fold's test rows (M1-M4).
 
-    The feature table is written once, sorted by time inside each task, under
-    the shared checkpoint folder; each fit's time-range filter is pushed to
+    The feature table is written once, partitioned by segment and sorted by time
+    inside each task, under the shared checkpoint folder; each fit's time-range filter is pushed to
     the Parquet scan and skips row groups outside its fold, and train / eval /
-    test come from the fold's literal bounds. The fold table (bounded, checked) and the segment values
+    test come from the fold's literal bounds. The fold table and the segment values
     are the only things brought to the driver. Returns the union of the
     prediction tables with fold, segment, model label, target and preds.
     """
     from hourgrid.session import materialize
 
-    if not fits_in_rows(folds, MAX_FOLDS):
-        raise ValueError(f"more than {MAX_FOLDS} folds")
     fold_rows = folds.collect()
-    feats = materialize(df, "features", sort_by=[time_col])
-    seg_df = feats.select(*segment_cols).distinct()
-    if not fits_in_rows(seg_df, MAX_SEGMENTS):
-        raise ValueError(f"more than {MAX_SEGMENTS} segments: one model per segment and fold is not sensible")
-    segments = seg_df.collect()
+    # a segment's fits read only its own folder
+    feats = materialize(df, "features", partition_by=list(segment_cols), sort_by=[*segment_cols, time_col])
+    segments = feats.select(*segment_cols).distinct().collect()
     drop = set(exclude) | {time_col, label, *segment_cols}
     num, cat = feature_columns(df, sorted(drop))
     t = F.col(time_col)
@@ -305,7 +321,7 @@ def backtest_models(
         fold, seg, spec = args
         cond = t.between(F.lit(fold["train_start"]), F.lit(fold["test_end"]))
         for k in segment_cols:
-            cond = cond & (F.col(k) == F.lit(seg[k]))
+            cond = cond & F.col(k).eqNullSafe(F.lit(seg[k]))
         part = F.when(t >= F.lit(fold["test_start"]), F.lit("test"))
         if eval_days:
             eval_start = F.timestamp_add("DAY", F.lit(-eval_days), trunc_ts("day", F.lit(fold["train_end"])))
@@ -342,12 +358,17 @@ def sample_candidates(space: Mapping[str, Any], n_candidates: int = 4, seed: int
     """Seeded random candidates from a search space (M6).
 
     A list/set of values is a categorical choice; a ``(lo, hi)`` tuple is a
-    uniform range (integers when both ends are ints). Duplicates are skipped.
+    uniform range (integers when both ends are ints). Duplicates are skipped;
+    a space of choices that holds fewer candidates than asked for is an error.
     """
+    sizes = [len(d) if not (isinstance(d, tuple) and len(d) == 2) else
+             (d[1] - d[0] + 1 if all(isinstance(x, int) for x in d) else math.inf) for d in space.values()]
+    if math.prod(sizes) < n_candidates:
+        raise ValueError(f"{n_candidates} candidates asked for, the space holds {math.prod(sizes)}")
     rng = random.Random(seed)
     keys = sorted(space)
     out, seen = [], set()
-    for _ in range(n_candidates * 20):
+    while len(out) < n_candidates:
         params = {}
         for k in keys:
             dom = space[k]
@@ -360,8 +381,6 @@ def sample_candidates(space: Mapping[str, Any], n_candidates: int = 4, seed: int
         if sig not in seen:
             seen.add(sig)
             out.append(FitSpec(label=f"cand{len(out)}", kind=kind, params={**(base or {}), **params}))
-        if len(out) == n_candidates:
-            break
     return out
 
 

@@ -31,7 +31,6 @@ from hourgrid.plans.features import (
     MergeKeys,
     add_ratio_features,
     add_time_features,
-    forecast_order_key,
     merge_alternate,
     merge_fact,
     prepare_holidays,
@@ -58,10 +57,15 @@ def merged_hourly(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _money(df: DataFrame) -> DataFrame:
+    """Sums rounded for the comparison with the oracle; the reports themselves don't round them."""
+    return df.withColumns({c: rounded(c, 4) for c in ("consumption", "MoM_diff", "total_target") if c in df.columns})
+
+
 def monthly_change(spark: SparkSession, d: str) -> DataFrame:
     """A7 + W1: monthly totals of final orders and month-over-month change."""
     o = standins.orders_fact(spark, d)
-    return reports.monthly_change(o, "o_orderdate", "o_totalprice", F.col("is_final"), name="consumption")
+    return _money(reports.monthly_change(o, "o_orderdate", "o_totalprice", F.col("is_final"), name="consumption"))
 
 
 # ------------------------------------------------------------- time series
@@ -135,8 +139,7 @@ def forecast_county(spark: SparkSession, d: str) -> DataFrame:
 
 def _forecast_dedup(spark: SparkSession, d: str) -> DataFrame:
     agg = county_mean(standins.forecast_grid(spark, d), standins.stations(spark, d), ["station"], "county")
-    return keep_last(agg, ["county", "forecast_datetime", "data_block_id"], ["origin_datetime", "hours_ahead"],
-                     order_key=forecast_order_key())
+    return keep_last(agg, ["county", "forecast_datetime", "data_block_id"], ["origin_datetime", "hours_ahead"])
 
 
 def forecast_dedup(spark: SparkSession, d: str) -> DataFrame:
@@ -237,36 +240,36 @@ def growth_rate(spark: SparkSession, d: str) -> DataFrame:
 
 def category_segment(spark: SparkSession, d: str) -> DataFrame:
     """A6 for the segment column."""
-    return reports.category_summary(_orders(spark, d), "c_mktsegment", "is_final", "o_totalprice")
+    return _money(reports.category_summary(_orders(spark, d), "c_mktsegment", "is_final", "o_totalprice"))
 
 
 def category_priority(spark: SparkSession, d: str) -> DataFrame:
     """A6 for the priority column."""
-    return reports.category_summary(_orders(spark, d), "o_orderpriority", "is_final", "o_totalprice")
+    return _money(reports.category_summary(_orders(spark, d), "o_orderpriority", "is_final", "o_totalprice"))
 
 
 def category_nation(spark: SparkSession, d: str) -> DataFrame:
     """A6 for the nation column."""
-    return reports.category_summary(_orders(spark, d), "c_nationkey", "is_final", "o_totalprice")
+    return _money(reports.category_summary(_orders(spark, d), "c_nationkey", "is_final", "o_totalprice"))
 
 
 def category_all(spark: SparkSession, d: str) -> DataFrame:
     """A6 for all three category columns from one grouping-sets aggregate."""
-    return reports.category_summaries(_orders(spark, d), ["c_mktsegment", "o_orderpriority", "c_nationkey"],
-                                      "is_final", "o_totalprice")
+    return _money(reports.category_summaries(_orders(spark, d), ["c_mktsegment", "o_orderpriority", "c_nationkey"],
+                                             "is_final", "o_totalprice"))
 
 
 def top5_month(spark: SparkSession, d: str) -> DataFrame:
     """O2 + P9: top-5 (nation, segment) totals of final orders in March 1996."""
-    return reports.top_groups_in_period(_orders(spark, d), ["c_nationkey", "c_mktsegment"], "o_orderdate",
-                                        "o_totalprice", "1996-03-01", "1996-04-01", F.col("is_final"), 5)
+    return _money(reports.top_groups_in_period(_orders(spark, d), ["c_nationkey", "c_mktsegment"], "o_orderdate",
+                                               "o_totalprice", "1996-03-01", "1996-04-01", F.col("is_final"), 5))
 
 
 def daily_moving_avg(spark: SparkSession, d: str) -> DataFrame:
     """A8 + W2: daily totals, 3/7-row means, then the March 1996 filter."""
     out = reports.daily_moving_averages(_orders(spark, d), "o_orderdate", "o_totalprice", "1996-03-01",
                                         "1996-04-01", F.col("is_final") & (F.col("c_mktsegment") == "BUILDING"))
-    return out.withColumns({c: rounded(c, 4) for c in ["consumption_MA_3d", "consumption_MA_7d"]})
+    return _money(out).withColumns({c: rounded(c, 4) for c in ["consumption_MA_3d", "consumption_MA_7d"]})
 
 
 def holiday_pivot(spark: SparkSession, d: str) -> DataFrame:
@@ -280,12 +283,9 @@ def holiday_pivot(spark: SparkSession, d: str) -> DataFrame:
 def calendar_features(spark: SparkSession, d: str) -> DataFrame:
     """F3 + F4 + F5 on event timestamps."""
     ev = read_events(spark, d).select("event_id", "ts")
-    out = cal.add_calendar_features(ev, "ts").withColumn("dst", cal.dst_flag("ts"))
-    cyc = cal.add_cyclic_features(ev, "ts", drop_raw=True)
-    cyc_cols = [c for c in cyc.columns if c.endswith("_sin") or c.endswith("_cos")]
-    out = out.join(cyc.select("event_id", *[rounded(F.col(c).cast("double"), 4).alias(c) for c in cyc_cols]),
-                   "event_id")
-    return out
+    out = cal.add_cyclic_features(ev, "ts", drop_raw=False).withColumn("dst", cal.dst_flag("ts"))
+    cyc_cols = [c for c in out.columns if c.endswith("_sin") or c.endswith("_cos")]
+    return out.withColumns({c: rounded(F.col(c).cast("double"), 4) for c in cyc_cols})
 
 
 def scalar_functions(spark: SparkSession, d: str) -> DataFrame:
@@ -401,6 +401,89 @@ def csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return read_csv_table(spark, path, ORDERS_SCHEMA)
 
 
+FLAG_SCHEMA = T.StructType([
+    T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()), T.StructField("value", T.DoubleType()),
+    T.StructField("is_high", T.BooleanType()), T.StructField("is_view", T.BooleanType()),
+])
+
+
+def csv_flags_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Flags written as 0/1 and true/false, columns in another order and one too many; read by name."""
+    from hourgrid.sources.readers import read_csv_table
+
+    ev = read_events(spark, d)
+    path = _scratch_path(spark, "events-csv")
+    ev.select((F.col("event_type") == "view").alias("is_view"), "value", F.col("user_id").alias("spare"),
+              F.when(F.col("value") >= 100, 1).otherwise(0).alias("is_high"), "event_id", "ts").write.option("header", True).option(
+        "timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").csv(path)
+    return read_csv_table(spark, path, FLAG_SCHEMA)
+
+
+def negated_list(spark: SparkSession, d: str) -> DataFrame:
+    """A negated literal list keeps rows without a value."""
+    ev = read_events(spark, d).select("event_id", F.when(F.col("event_type") != "click", F.col("event_type")).alias("kind"))
+    return clean.semi_filter(ev, ["view", "error"], "kind", negate=True)
+
+
+def null_group_percentiles(spark: SparkSession, d: str) -> DataFrame:
+    """Percentiles of a group whose key is NULL."""
+    ev = read_events(spark, d).select("value", F.when(F.col("event_type") != "click", F.col("event_type")).alias("kind"))
+    return _round_cols(agg.exact_percentiles(ev, ["kind"], "value", [0.25, 0.5, 0.9]), ["p25", "p50", "p90"])
+
+
+def fine_sums(spark: SparkSession, d: str) -> DataFrame:
+    """Sums of small values with many decimals."""
+    li = from_table(spark, d, "lineitem").select("l_returnflag", "l_linestatus", (F.col("l_tax") / 1000.0).alias("share"))
+    out = reports.category_summary(li, "l_returnflag", "l_linestatus", "share").select("l_returnflag", "l_linestatus", "total_target")
+    return _round_cols(out, ["total_target"], 5)
+
+
+def station_names(spark: SparkSession, d: str) -> DataFrame:
+    """F12 + S5: lower-cased names of the stations, written with overwrite and read back."""
+    from hourgrid.sources import sinks
+
+    path = _scratch_path(spark, "stations")
+    sinks.write_overwrite(standins.stations(spark, d), path)
+    return spark.read.parquet(path)
+
+
+def declared_tables(spark: SparkSession, d: str) -> DataFrame:
+    """S4 + S6: the hourly table under its declared schema, replaced as a managed table and read by name."""
+    import uuid
+
+    from hourgrid.sources import sinks
+
+    name = f"hourly_{uuid.uuid4().hex}"
+    sinks.replace_table(standins.hourly(spark, d).select("event_type", "datetime", "target", "n"), name)
+    return spark.read.table(name)
+
+
+def holdout_remainder(spark: SparkSession, d: str) -> DataFrame:
+    """T4: every row with the part it falls into, the md5-ordered sample or the remainder."""
+    h = standins.hourly(spark, d).select("event_type", "datetime")
+    sample, rest = bt.holdout_split(h, 100, ["event_type", "datetime"])
+    return sample.withColumn("part", F.lit("sample")).unionByName(rest.withColumn("part", F.lit("rest")))
+
+
+def column_kinds(spark: SparkSession, d: str) -> DataFrame:
+    """Non-null values per categorical column of the orders table."""
+    o = _orders(spark, d)
+    cats = clean.categorical_columns(o, ["c_nationkey"])
+    return agg.column_profile(o.select(*cats)).select("column", "non_null", "dtype")
+
+
+def linear_trend(spark: SparkSession, d: str) -> DataFrame:
+    """M1: an unregularised one-feature linear fit of the daily revenue; its slope and intercept."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    li = from_table(spark, d, "lineitem").select(F.col("l_quantity").alias("x"), F.col("l_extendedprice").alias("y"))
+    rows = VectorAssembler(inputCols=["x"], outputCol="features").transform(li)
+    m = LinearRegression(labelCol="y", solver="normal").fit(rows)
+    n = from_table(spark, d, "lineitem").agg(F.count(F.lit(1)).alias("n"))
+    return n.select("n", rounded(F.lit(float(m.coefficients[0])), 2).alias("slope"), rounded(F.lit(float(m.intercept)), 1).alias("intercept"))
+
+
 def json_map_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """An id → name JSON object (nation → "name:customers"), parsed back into rows.
 
@@ -621,9 +704,8 @@ def gain_summary(spark: SparkSession, d: str) -> DataFrame:
             rows.append((str(meta["is_consumption"]), int(meta["fold"]), name, v))
 
     folds = _hourly_folds(spark, d).filter(F.col("kind") == "test")
-    preds = bt.backtest_models(_ml_frame(spark, d), folds, "datetime", ["is_consumption"],
-                               [bt.FitSpec("gbt", "gbt", {"maxIter": 10})], eval_days=EVAL_DAYS, on_model=keep)
-    preds.count()
+    bt.backtest_models(_ml_frame(spark, d), folds, "datetime", ["is_consumption"],
+                       [bt.FitSpec("gbt", "gbt", {"maxIter": 10})], eval_days=EVAL_DAYS, on_model=keep)
     imp = spark.createDataFrame(rows, "segment string, fold int, feature string, gain double")
     return agg.top_bottom_by_group(imp, ["segment"], "feature", "gain", 5)
 
@@ -659,7 +741,7 @@ def supplier_daily_features(spark: SparkSession, d: str) -> DataFrame:
     """
     li = from_table(spark, d, "lineitem")
     daily = li.groupBy("l_suppkey", F.col("l_shipdate").alias("day")).agg(
-        agg.exact_sum("l_extendedprice").alias("revenue"))
+        rounded(agg.total("l_extendedprice"), 4).alias("revenue"))
     out = add_lags_and_rollings(daily, "revenue", SUPPLIER_SPECS, "day", ["l_suppkey"], dtype=None)
     return _round_new(out, daily.columns)
 
@@ -672,7 +754,8 @@ def supplier_gbt_backtest(spark: SparkSession, d: str) -> DataFrame:
     segmentation: one model per fold over all suppliers.
     """
     feats = cal.add_calendar_features(supplier_daily_features(spark, d), "day")
-    folds = bt.month_folds(feats, "day", train_range=60, test_range=1, shift=1, splits=2)
+    # the fold bounds need only the first ship day, not the features
+    folds = bt.month_folds(from_table(spark, d, "lineitem").select(F.col("l_shipdate").alias("day")), "day", train_range=60, test_range=1, shift=1, splits=2)
     preds = bt.backtest_models(feats, folds, "day", [], [bt.FitSpec("gbt", "gbt", {"maxIter": 20, "maxDepth": 6})],
                                label="revenue", exclude=["l_suppkey"], eval_days=None, parallelism=2)
     return bt.fold_scores(preds, ["model_label", "kind", "fold"], "revenue")
@@ -685,53 +768,49 @@ def sql_null_profile(spark: SparkSession, d: str) -> DataFrame:
     """S8 + A2 as SQL text."""
     cols = ["target", "datetime", "eic_count", "installed_capacity", "lowest_price_per_mwh",
             "highest_price_per_mwh", "euros_per_mwh"]
-    counts = ", ".join(f"CAST(COUNT_IF({c} IS NULL) AS BIGINT) AS {c}_nulls" for c in cols)
-    return rsql.run_report(merged_hourly(spark, d), rsql.NULLS, counts=counts)
+    return rsql.run_report(merged_hourly(spark, d), rsql.null_profile(cols))
 
 
 def sql_series_completeness(spark: SparkSession, d: str) -> DataFrame:
     """S8 + A3 as SQL text."""
-    return rsql.run_report(read_events(spark, d), rsql.COMPLETENESS, series="user_id, event_type", v="value")
+    return rsql.run_report(read_events(spark, d), rsql.completeness("user_id, event_type", "value"))
 
 
 def sql_avg_monthly_by_flag(spark: SparkSession, d: str) -> DataFrame:
     """S8 + A4 as SQL text."""
-    return rsql.run_report(_orders(spark, d), rsql.AVG_MONTHLY, t="o_orderdate", v="o_totalprice", flag="is_final")
+    return rsql.run_report(_orders(spark, d), rsql.avg_monthly("o_orderdate", "o_totalprice", "is_final"))
 
 
 def sql_growth_rate(spark: SparkSession, d: str) -> DataFrame:
     """S8 + A5 as SQL text."""
-    return rsql.run_report(_orders(spark, d), rsql.GROWTH, t="o_orderdate", v="o_totalprice")
+    return rsql.run_report(_orders(spark, d), rsql.growth("o_orderdate", "o_totalprice"))
 
 
 def sql_category_segment(spark: SparkSession, d: str) -> DataFrame:
-    """S8 + A6 as SQL text (one template per category column, as in the original loop)."""
-    return rsql.run_report(_orders(spark, d), rsql.CATEGORY, cat="c_mktsegment", flag="is_final", v="o_totalprice")
+    """S8 + A6 as SQL text."""
+    return _money(rsql.run_report(_orders(spark, d), rsql.category("c_mktsegment", "is_final", "o_totalprice")))
 
 
 def sql_monthly_change(spark: SparkSession, d: str) -> DataFrame:
     """S8 + A7/W1 as SQL text."""
-    return rsql.run_report(_orders(spark, d), rsql.MONTHLY_CHANGE, t="o_orderdate", v="o_totalprice",
-                           pred="is_final")
+    return _money(rsql.run_report(_orders(spark, d), rsql.monthly_change("o_orderdate", "o_totalprice", "is_final")))
 
 
 def sql_top5_month(spark: SparkSession, d: str) -> DataFrame:
     """S8 + O2 as SQL text."""
-    return rsql.run_report(_orders(spark, d), rsql.TOP_GROUPS, groups="c_nationkey, c_mktsegment",
-                           t="o_orderdate", v="o_totalprice", pred="is_final", start="1996-03-01 00:00:00",
-                           end="1996-04-01 00:00:00", n=5)
+    return _money(rsql.run_report(_orders(spark, d), rsql.top_groups(
+        "c_nationkey, c_mktsegment", "o_orderdate", "o_totalprice", "1996-03-01 00:00:00", "1996-04-01 00:00:00", "is_final", 5)))
 
 
 def sql_daily_moving_avg(spark: SparkSession, d: str) -> DataFrame:
     """S8 + A8/W2 as SQL text."""
-    return rsql.run_report(_orders(spark, d), rsql.MOVING_AVG, t="o_orderdate", v="o_totalprice",
-                           pred="is_final AND c_mktsegment = 'BUILDING'", start="1996-03-01", end="1996-04-01")
+    return _money(rsql.run_report(_orders(spark, d), rsql.moving_avg(
+        "o_orderdate", "o_totalprice", "is_final AND c_mktsegment = 'BUILDING'", "1996-03-01", "1996-04-01")))
 
 
 def sql_first_rows(spark: SparkSession, d: str) -> DataFrame:
     """S8 + O1 as SQL text."""
-    return rsql.run_report(merged_hourly(spark, d), rsql.FIRST_ROWS,
-                           order="datetime, event_type, is_consumption, target, n, eic_count", n=5)
+    return rsql.run_report(merged_hourly(spark, d), rsql.first_rows("datetime, event_type, is_consumption, target, n, eic_count", 5))
 
 
 def sql_merged(spark: SparkSession, d: str) -> DataFrame:
@@ -798,6 +877,15 @@ _QUERIES: dict[str, Query] = {
     "drop_nulls": drop_nulls,
     "day_partition_roundtrip": day_partition_roundtrip,
     "csv_roundtrip": csv_roundtrip,
+    "csv_flags_roundtrip": csv_flags_roundtrip,
+    "negated_list": negated_list,
+    "null_group_percentiles": null_group_percentiles,
+    "fine_sums": fine_sums,
+    "station_names": station_names,
+    "declared_tables": declared_tables,
+    "holdout_remainder": holdout_remainder,
+    "column_kinds": column_kinds,
+    "linear_trend": linear_trend,
     "json_map_roundtrip": json_map_roundtrip,
     "semi_join_filter": semi_join_filter,
     "anti_join_filter": anti_join_filter,

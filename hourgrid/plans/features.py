@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from hourgrid.functions.calendar import add_calendar_features, dst_flag
 from hourgrid.functions.scalar import (
     clip_lower,
-    epoch_us,
     grid_key,
     m_to_mm,
     safe_ratio,
@@ -36,8 +35,6 @@ from hourgrid.functions.scalar import (
 from hourgrid.operators.aggregate import county_mean, pivot_any
 from hourgrid.operators.clean import drop_null_rows, fill_constants
 from hourgrid.operators.joins import (
-    BROADCAST_MAX_ROWS,
-    checked_broadcast_all,
     lookup_join,
     multi_shift_lookup,
     shifted_lookup,
@@ -150,10 +147,12 @@ def prepare_historical_weather(hw: DataFrame) -> DataFrame:
     """Unit fixes and wind components; duplicate readings keep one copy.
 
     The source drops two fixed row positions; positions do not exist here,
-    so exact duplicates of (point, datetime, block) are reduced to the copy
-    that is smallest by its measures.
+    so duplicates of (point, datetime, block) are reduced to the copy that is
+    smallest by its measures. Points are told apart by their coordinates as
+    read: two points of one grid cell both stay for the county mean.
     """
-    out = hw.select(
+    hw = keep_first(hw, ["latitude", "longitude", "datetime", "data_block_id"])
+    return hw.select(
         grid_key("latitude").alias("latitude"), grid_key("longitude").alias("longitude"), "datetime",
         "data_block_id", "temperature", "dewpoint", snow_cm_to_mm("snowfall").alias("snowfall_mm"),
         F.col("rain").alias("rain_mm"), "surface_pressure", "cloudcover_low", "cloudcover_mid", "cloudcover_high",
@@ -162,7 +161,6 @@ def prepare_historical_weather(hw: DataFrame) -> DataFrame:
         wind_v("windspeed_10m", "winddirection_10m").alias("v_component"),
         "shortwave_radiation", "direct_solar_radiation", "diffuse_radiation",
     )
-    return keep_first(out, ["latitude", "longitude", "datetime", "data_block_id"])
 
 
 def prepare_stations(st: DataFrame, unknown_county: int = 12) -> DataFrame:
@@ -185,18 +183,7 @@ def aggregate_forecast(fw: DataFrame, stations: DataFrame, point_cols=("latitude
     origin, then the longest horizon, wins.
     """
     agg = county_mean(fw, stations, point_cols, county_col, validate=validate)
-    return keep_last(agg, [county_col, keys.forecast_time, keys.block], ["origin_datetime", "hours_ahead"],
-                     order_key=forecast_order_key())
-
-
-def forecast_order_key(origin: str = "origin_datetime", hours_ahead: str = "hours_ahead"):
-    """(origin, horizon) packed into one long: epoch µs x 1000 + horizon.
-
-    Orders like (origin, hours_ahead) for horizons in [0, 1000) and dates
-    before 2262; unique within a (county, forecast hour, block) group, since
-    the origin fixes the horizon there. ANSI mode raises on overflow.
-    """
-    return epoch_us(origin) * 1000 + F.col(hours_ahead)
+    return keep_last(agg, [county_col, keys.forecast_time, keys.block], ["origin_datetime", "hours_ahead"])
 
 
 def aggregate_historical(hw: DataFrame, stations: DataFrame, point_cols=("latitude", "longitude"),
@@ -217,11 +204,10 @@ def merge_fact(
     historical: DataFrame | None = None,
     holidays: DataFrame | None = None,
     keys: MergeKeys = MergeKeys(),
-    validate: bool = False,
+    validate: bool = True,
     how: str = "left",
     h2d_block_shift: bool = True,
     drop_helpers: bool = True,
-    broadcast_max_rows: int | None = BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Left-join chain from the hourly fact to its dimensions.
 
@@ -234,30 +220,26 @@ def merge_fact(
       when ``h2d_block_shift``; prefix h2d_) and 1 day ago (h1d_) — J6, J7
     * holiday flags by date, absent → False — J8
 
-    ``validate`` checks every dimension key for uniqueness first (J11).
+    ``validate`` (on by default) is the m:1 contract: a dimension key that
+    occurs twice raises when the merge runs (J11).
     ``how`` is passed to every join (J12). Each weather aggregate is computed
     once and joined once: its two shifted copies are folded into one wide
     row per (county, time, block) before the join (:func:`multi_shift_lookup`).
     """
     p = keys.prefixes
     df = train
-    if broadcast_max_rows:
-        # size checks of the small dimensions run as concurrent jobs
-        client, gas, electricity, holidays = checked_broadcast_all([client, gas, electricity, holidays],
-                                                                   broadcast_max_rows)
-    b = None
     if client is not None:
-        df = lookup_join(df, client, [*keys.unit, keys.block], how, validate, b, "client")
+        df = lookup_join(df, client, [*keys.unit, keys.block], how, validate, "client")
     if gas is not None:
-        df = lookup_join(df, gas, [keys.block], how, validate, b, "gas_prices")
+        df = lookup_join(df, gas, [keys.block], how, validate, "gas_prices")
     if electricity is not None:
-        df = lookup_join(df, electricity, [keys.time, keys.block], how, validate, b, "electricity_prices")
+        df = lookup_join(df, electricity, [keys.time, keys.block], how, validate, "electricity_prices")
     fkeys = [keys.county, keys.time, keys.block]
     if forecast is not None:
         dk = [keys.county, keys.forecast_time, keys.block]
         df = multi_shift_lookup(df, forecast, fkeys, dk,
                                 [(p["f0d"], {keys.forecast_time: "1d"}), (p["f1d"], None)],
-                                drop=keys.forecast_drop, how=how, validate=validate)
+                                drop=keys.forecast_drop, how=how)
     if historical is not None:
         dk = [keys.county, keys.time, keys.block]
         shift2: dict = {keys.time: "2d"}
@@ -266,8 +248,7 @@ def merge_fact(
             shift2[keys.block] = F.when(F.hour(keys.time) <= 10, blk + 1).otherwise(blk).cast(
                 historical.schema[keys.block].dataType)
             df = multi_shift_lookup(df, historical, fkeys, dk,
-                                    [(p["h2d"], shift2), (p["h1d"], {keys.time: "1d"})], how=how,
-                                    validate=validate)
+                                    [(p["h2d"], shift2), (p["h1d"], {keys.time: "1d"})], how=how)
         else:
             df = shifted_lookup(df, historical, fkeys[:2], dk[:2], p["h2d"], shift2, drop=[keys.block], how=how,
                                 validate=validate)
@@ -275,7 +256,7 @@ def merge_fact(
                                 validate=validate)
     if holidays is not None:
         flags = [c for c in holidays.columns if c != keys.date]
-        df = lookup_join(df, holidays, [keys.date], how, validate, b, "holidays")
+        df = lookup_join(df, holidays, [keys.date], how, validate, "holidays")
         df = df.withColumns({c: F.coalesce(F.col(c), F.lit(False)) for c in flags})
     if drop_helpers:
         df = df.drop(keys.block, keys.date)
@@ -311,7 +292,7 @@ def build_feature_table(
     hol = prepare_holidays(tables["holidays"]) if "holidays" in tables else None
     merged = merge_fact(
         prepare_train(tables["train"]), prepare_client(tables["client"]), prepare_gas_prices(tables["gas_prices"]),
-        prepare_electricity_prices(tables["electricity_prices"]), fw, hw, hol, validate=validate,
+        prepare_electricity_prices(tables["electricity_prices"]), fw, hw, hol,
     )
     out = add_time_features(merged)
     out = add_lags_and_rollings(out, "target", lag_specs, "datetime", list(group_cols), bucket=bucket,
@@ -331,21 +312,23 @@ def merge_alternate(
     keys: MergeKeys = MergeKeys(),
     f_prefix: str = "f1_",
     h_prefix: str = "h2_",
+    drop_helpers: bool = True,
 ) -> DataFrame:
     """The second merge variant (J12): join type as a parameter.
 
     The forecast aggregate is joined unshifted on (county, forecast time,
     block) with prefix ``f1_`` (no keep-last step); the historical aggregate
     is joined on (county, time + 2 days) *without* the block key, prefix
-    ``h2_``. Holidays as in :func:`merge_fact`.
+    ``h2_``. Holidays as in :func:`merge_fact`. The block and the date are
+    dropped at the end.
     """
     df = train
     if client is not None:
-        df = lookup_join(df, client, [*keys.unit, keys.block], how, False, BROADCAST_MAX_ROWS, "client")
+        df = lookup_join(df, client, [*keys.unit, keys.block], how, False, "client")
     if gas is not None:
-        df = lookup_join(df, gas, [keys.block], how, False, BROADCAST_MAX_ROWS, "gas_prices")
+        df = lookup_join(df, gas, [keys.block], how, False, "gas_prices")
     if electricity is not None:
-        df = lookup_join(df, electricity, [keys.time, keys.block], how, False, BROADCAST_MAX_ROWS, "electricity")
+        df = lookup_join(df, electricity, [keys.time, keys.block], how, False, "electricity")
     if forecast is not None:
         df = shifted_lookup(df, forecast, [keys.county, keys.time, keys.block],
                             [keys.county, keys.forecast_time, keys.block], f_prefix, None,
@@ -355,6 +338,8 @@ def merge_alternate(
                             {keys.time: "2d"}, drop=[keys.block], how=how)
     if holidays is not None:
         flags = [c for c in holidays.columns if c != keys.date]
-        df = lookup_join(df, holidays, [keys.date], how, False, BROADCAST_MAX_ROWS, "holidays")
+        df = lookup_join(df, holidays, [keys.date], how, False, "holidays")
         df = df.withColumns({c: F.coalesce(F.col(c), F.lit(False)) for c in flags})
+    if drop_helpers:
+        df = df.drop(keys.block, keys.date)
     return df

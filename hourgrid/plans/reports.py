@@ -1,7 +1,7 @@
 """SQL-style reports over the merged hourly table.
 
 Each report is a function of column names, returning a lazy DataFrame. Sums
-of money-like doubles are exact (DECIMAL) and rounding is half-up through
+are sums of doubles; where a report rounds a result, it rounds half-up through
 DECIMAL, as the SQL originals do with ``::numeric``.
 """
 
@@ -9,12 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourgrid.functions.scalar import trunc_ts
-from hourgrid.operators.aggregate import exact_percentiles, exact_sum, null_counts, rounded, top_k
-from hourgrid.operators.joins import with_scalars
+from hourgrid.operators.aggregate import null_counts, rounded, top_k, total
 from hourgrid.operators.timeseries import moving_average, period_over_period
 
 __all__ = [
@@ -45,28 +44,27 @@ def series_completeness(df: DataFrame, series_cols: Sequence[str], value_col: st
     """Non-null values per series, summarised: count/min/avg/median/max (A3).
 
     The median is the discrete one (a value that occurs), like
-    ``PERCENTILE_DISC(0.5)``; it comes from the distributed order statistic
-    (:func:`exact_percentiles`), so no single task buffers one value per
-    series, and is attached to the one-row summary as a scalar subquery.
+    ``PERCENTILE_DISC(0.5)``. Series are counted by their number of entries
+    first; everything else is read off that small histogram.
     """
     per = df.groupBy(*series_cols).agg(F.count(value_col).cast("long").alias("number_of_entries"))
-    n = F.col("number_of_entries")
-    summary = per.agg(
-        F.count(F.lit(1)).cast("long").alias("number_of_timeseries"),
-        F.min(n).alias("min_entries"),
-        rounded(F.avg(n), 2).alias("avg_entries"),
-        F.max(n).alias("max_entries"),
+    n, c = F.col("number_of_entries"), F.col("_series")
+    # one row per distinct count of entries: the windows below see only these
+    hist = per.groupBy(n).agg(F.count(F.lit(1)).alias("_series"))
+    upto = F.sum(c).over(Window.orderBy(n).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    every = F.sum(c).over(Window.partitionBy())
+    hist = hist.select(n, c, F.when(2 * upto >= every, n).alias("_upper"))
+    return hist.agg(
+        F.coalesce(F.sum(c), F.lit(0)).cast("long").alias("number_of_timeseries"), F.min(n).alias("min_entries"),
+        rounded(F.try_divide(F.sum(n * c), F.sum(c)), 2).alias("avg_entries"), F.min("_upper").alias("median_entries"), F.max(n).alias("max_entries"),
     )
-    med = exact_percentiles(per, [], "number_of_entries", [0.5], discrete=True)
-    out = with_scalars(summary, med.select(F.col("p50").cast("long").alias("median_entries")))
-    return out.select("number_of_timeseries", "min_entries", "avg_entries", "median_entries", "max_entries")
 
 
 def avg_monthly_total(df: DataFrame, time_col: str, value_col: str, flag_col: str,
                       scale: float = 1_000_000.0, name: str = "avg_monthly_target_GWh") -> DataFrame:
     """Average over months of the monthly total, per flag, rounded, scaled (A4)."""
     monthly = df.groupBy(trunc_ts("month", time_col).alias("month"), flag_col).agg(
-        exact_sum(value_col).alias("sum_target")
+        total(value_col).alias("sum_target")
     )
     return monthly.groupBy(flag_col).agg((rounded(F.avg("sum_target"), 2) / scale).alias(name))
 
@@ -79,7 +77,7 @@ def growth_rate(df: DataFrame, time_col: str, value_col: str, name: str = "capac
     distinct timestamps that picks the first and last totals with
     ``min_by``/``max_by``: no join at all.
     """
-    per_ts = df.filter(F.col(value_col).isNotNull()).groupBy(time_col).agg(exact_sum(value_col).alias("_v"))
+    per_ts = df.filter(F.col(value_col).isNotNull()).groupBy(time_col).agg(total(value_col).alias("_v"))
     t = F.col(time_col)
     b = per_ts.agg(
         F.min(t).alias("first_dt"), F.max(t).alias("last_dt"),
@@ -93,7 +91,7 @@ def growth_rate(df: DataFrame, time_col: str, value_col: str, name: str = "capac
 def category_summary(df: DataFrame, category: str, flag_col: str, value_col: str) -> DataFrame:
     """Average (rounded) and total of the value per (category, flag)."""
     return df.groupBy(category, flag_col).agg(
-        rounded(F.avg(value_col), 2).alias("avg_hourly_target"), exact_sum(value_col).alias("total_target")
+        rounded(F.avg(value_col), 2).alias("avg_hourly_target"), total(value_col).alias("total_target")
     ).orderBy(F.col(flag_col).asc_nulls_last(), F.col("avg_hourly_target").desc_nulls_first())
 
 
@@ -104,7 +102,7 @@ def category_summaries(df: DataFrame, categories: Sequence[str], flag_col: str,
     """
     sets = [[c, flag_col] for c in categories]
     g = df.groupingSets(sets, *categories, flag_col).agg(
-        rounded(F.avg(value_col), 2).alias("avg_hourly_target"), exact_sum(value_col).alias("total_target"),
+        rounded(F.avg(value_col), 2).alias("avg_hourly_target"), total(value_col).alias("total_target"),
         *[F.grouping(c).alias(f"_g_{c}") for c in categories],
     )
     name = F.lit(None).cast("string")
@@ -121,7 +119,7 @@ def monthly_change(df: DataFrame, time_col: str, value_col: str, predicate: Colu
                    name: str = "consumption") -> DataFrame:
     """Monthly total and month-over-month difference / %."""
     src = df.filter(predicate) if predicate is not None else df
-    m = src.groupBy(trunc_ts("month", time_col).alias("month")).agg(exact_sum(value_col).alias(name))
+    m = src.groupBy(trunc_ts("month", time_col).alias("month")).agg(total(value_col).alias(name))
     out = period_over_period(m, "month", name, prefix="MoM")
     return out.withColumn("MoM_diff_pct", rounded("MoM_diff_pct", 2))
 
@@ -133,7 +131,7 @@ def top_groups_in_period(df: DataFrame, group_cols: Sequence[str], time_col: str
     cond = (F.col(time_col) >= F.lit(start).cast("timestamp_ntz")) & (F.col(time_col) < F.lit(end).cast("timestamp_ntz"))
     if predicate is not None:
         cond = cond & predicate
-    g = df.filter(cond).groupBy(*group_cols).agg(exact_sum(value_col).alias(name))
+    g = df.filter(cond).groupBy(*group_cols).agg(total(value_col).alias(name))
     return top_k(g, [F.col(name).desc_nulls_last(), *[F.col(c).asc_nulls_last() for c in group_cols]], n)
 
 
@@ -146,6 +144,6 @@ def daily_moving_averages(df: DataFrame, time_col: str, value_col: str, start: s
     period average over days before it.
     """
     src = df.filter(predicate) if predicate is not None else df
-    d = src.groupBy(F.to_date(time_col).alias("date")).agg(exact_sum(value_col).alias(name))
+    d = src.groupBy(F.to_date(time_col).alias("date")).agg(total(value_col).alias(name))
     out = moving_average(d, "date", name, sizes, name="{value}_MA_{n}d")
     return out.filter((F.col("date") >= F.lit(start).cast("date")) & (F.col("date") < F.lit(end).cast("date")))

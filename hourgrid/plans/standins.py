@@ -8,7 +8,7 @@ inputs; every one is a plain DataFrame derivation.
 =============  =====================================================  =========
 stand-in       definition                                             plays
 =============  =====================================================  =========
-hourly         events by (event_type, hour): exact sum of value       train
+hourly         events by (event_type, hour): sum of value       train
 daily_dim      events by (event_type, day): distinct users, sum       client
 daily_price    events by day: min / max value                         gas
 hour_price     events by hour: mean value, origin = hour - 2 days     electricity
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourgrid.functions.scalar import shift_time, trunc_ts
-from hourgrid.operators.aggregate import exact_sum
+from hourgrid.operators.aggregate import rounded, total
 from hourgrid.sources.readers import read_table
 
 __all__ = [
@@ -70,7 +70,7 @@ def hourly(spark: SparkSession, d: str) -> DataFrame:
     ev = read_table(spark, d, "events")
     hour = trunc_ts("hour", "ts")
     out = ev.groupBy("event_type", hour.alias("datetime")).agg(
-        exact_sum("value").alias("target"), F.count(F.lit(1)).cast("long").alias("n")
+        rounded(total("value"), 4).alias("target"), F.count(F.lit(1)).cast("long").alias("n")
     )
     return out.withColumns({
         "data_block_id": _block(F.to_date("datetime"), EVENT_BASE),
@@ -81,7 +81,7 @@ def hourly(spark: SparkSession, d: str) -> DataFrame:
 def daily_dim(spark: SparkSession, d: str) -> DataFrame:
     ev = read_table(spark, d, "events")
     out = ev.groupBy("event_type", F.to_date("ts").alias("date")).agg(
-        F.count_distinct("user_id").cast("double").alias("eic_count"), exact_sum("value").alias("installed_capacity")
+        F.count_distinct("user_id").cast("double").alias("eic_count"), rounded(total("value"), 4).alias("installed_capacity")
     )
     return out.select("event_type", "eic_count", "installed_capacity",
                       _block(F.col("date"), EVENT_BASE, 2).alias("data_block_id"))
@@ -100,7 +100,7 @@ def hour_price(spark: SparkSession, d: str) -> DataFrame:
     """Hourly price with its origin two days earlier (raw electricity shape)."""
     ev = read_table(spark, d, "events")
     out = ev.groupBy(trunc_ts("hour", "ts").alias("hour")).agg(
-        (exact_sum("value") / F.count(F.lit(1))).alias("euros_per_mwh")
+        (rounded(total("value"), 4) / F.count(F.lit(1))).alias("euros_per_mwh")
     )
     return out.select(shift_time("hour", "-2d").alias("origin_date"), "euros_per_mwh",
                       _block(F.to_date("hour"), EVENT_BASE).alias("data_block_id"))
@@ -167,7 +167,7 @@ def county_fact(spark: SparkSession, d: str) -> DataFrame:
     block = _block(F.to_date(t), LINE_BASE, per=2)
     return li.join(s, li.l_suppkey == s.s_suppkey, "inner").groupBy(
         F.col("s_nationkey").cast("int").alias("county"), t.alias("datetime"), block.alias("data_block_id")
-    ).agg(exact_sum("l_extendedprice").alias("target")).select("county", "datetime", "target", "data_block_id")
+    ).agg(rounded(total("l_extendedprice"), 4).alias("target")).select("county", "datetime", "target", "data_block_id")
 
 
 def orders_fact(spark: SparkSession, d: str) -> DataFrame:

@@ -53,11 +53,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a local one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/S3) folder and is
-    used as is. Only when it is unset (tests, local runs) a scratch folder is
-    made under the system temp dir.
+    used as is; a folder given by ``setCheckpointDir`` comes next. Only a local
+    master (tests, local runs) gets a scratch folder under the system temp dir.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
+    given = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if given.isDefined():
+        return path or given.get()
     if not path:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="hourgrid-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
@@ -83,4 +88,5 @@ def materialize(df, name: str, partition_by: list[str] | None = None, sort_by: l
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return spark.read.parquet(path)
+    # folder names carry no types: read partition columns back as they were
+    return (spark.read.schema(df.schema) if partition_by else spark.read).parquet(path)

@@ -11,13 +11,13 @@ hourly AS (
          CAST(date_diff('day', DATE '2024-01-01', CAST(datetime AS DATE)) AS INTEGER) AS data_block_id,
          event_type IN ('click', 'view') AS is_consumption
   FROM (SELECT event_type, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS datetime,
-               CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS target, CAST(COUNT(*) AS BIGINT) AS n
+               CAST(ROUND(CAST(SUM(value) AS DECIMAL(38,6)), 4) AS DOUBLE) AS target, CAST(COUNT(*) AS BIGINT) AS n
         FROM events GROUP BY 1, 2) x)"""
 
 DAILY_DIM = """
 daily_dim AS (
   SELECT event_type, CAST(COUNT(DISTINCT user_id) AS DOUBLE) AS eic_count,
-         CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS installed_capacity,
+         CAST(ROUND(CAST(SUM(value) AS DECIMAL(38,6)), 4) AS DOUBLE) AS installed_capacity,
          CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) + 2 AS INTEGER) AS data_block_id
   FROM events GROUP BY event_type, CAST(ts AS DATE))"""
 
@@ -32,7 +32,7 @@ hour_price AS (
   SELECT hour - INTERVAL 2 DAY AS origin_date, euros_per_mwh,
          CAST(date_diff('day', DATE '2024-01-01', CAST(hour AS DATE)) AS INTEGER) AS data_block_id
   FROM (SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS hour,
-               CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*) AS euros_per_mwh
+               CAST(ROUND(CAST(SUM(value) AS DECIMAL(38,6)), 4) AS DOUBLE) / COUNT(*) AS euros_per_mwh
         FROM events GROUP BY 1) x)"""
 
 FLAGS = """
@@ -82,7 +82,7 @@ LEFT JOIN flags_pivot f ON f.date = CAST(h.datetime AS DATE)
 SQL["monthly_change"] = _with(ORDERS_FACT) + f"""
 , monthly AS (
   SELECT CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) AS month,
-         CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS consumption
+         CAST(ROUND(CAST(SUM(o_totalprice) AS DECIMAL(38,6)), 4) AS DOUBLE) AS consumption
   FROM orders_fact WHERE is_final GROUP BY 1)
 SELECT month, consumption, consumption - LAG(consumption) OVER (ORDER BY month) AS MoM_diff,
        {rnd("(consumption - LAG(consumption) OVER (ORDER BY month)) / NULLIF(LAG(consumption) OVER (ORDER BY month), 0) * 100.0", 2)} AS MoM_diff_pct
@@ -296,7 +296,7 @@ county_fact AS (
   SELECT county, datetime, target,
          CAST(floor(date_diff('day', DATE '1995-01-01', CAST(datetime AS DATE)) / 2) AS INTEGER) AS data_block_id
   FROM (SELECT CAST(s_nationkey AS INTEGER) AS county, l_shipdate + to_hours(l_linenumber * 6) AS datetime,
-               CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS target
+               CAST(ROUND(CAST(SUM(l_extendedprice) AS DECIMAL(38,6)), 4) AS DOUBLE) AS target
         FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2) x)"""
 
 
@@ -325,7 +325,7 @@ _MERGED_CTES, _MERGED_BODY = SQL["merged_hourly"].split("\nSELECT h.event_type",
 MERGED = _MERGED_CTES + "\n, merged AS (SELECT h.event_type" + _MERGED_BODY + ")\n"
 
 SQL["weather_joined_alt"] = _with(STATIONS, FGRID, HGRID, FCOUNTY, HCOUNTY, COUNTY_FACT) + f"""
-SELECT c.county, c.datetime, c.target, c.data_block_id, {_pref("f1", "f1")}, {_pref("h2", "h2")}
+SELECT c.county, c.datetime, c.target, {_pref("f1", "f1")}, {_pref("h2", "h2")}
 FROM county_fact c
 JOIN fcounty f1 ON f1.county = c.county AND f1.forecast_datetime = c.datetime AND f1.data_block_id = c.data_block_id
 JOIN hcounty h2 ON h2.county = c.county AND h2.datetime + INTERVAL 2 DAY = c.datetime
@@ -373,7 +373,7 @@ SELECT CAST(COUNT(*) AS BIGINT) AS number_of_timeseries, MIN(number_of_entries)
 FROM (SELECT user_id, event_type, COUNT(value) AS number_of_entries FROM events GROUP BY 1, 2) t
 """
 
-_OSUM = "CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE)"
+_OSUM = "CAST(ROUND(CAST(SUM(o_totalprice) AS DECIMAL(38,6)), 4) AS DOUBLE)"
 
 SQL["avg_monthly_by_flag"] = _with(ORDERS_FACT) + f"""
 SELECT is_final, {rnd("AVG(sum_target)", 2)} / 1000000.0 AS avg_monthly_target_GWh
@@ -632,7 +632,7 @@ FROM s2 LEFT JOIN s7 ON s2.kind = s7.kind AND s2.fold = s7.fold AND s2.is_consum
 """
 
 SQL["supplier_daily_features"] = f"""
-WITH daily AS (SELECT l_suppkey, l_shipdate AS day, CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue
+WITH daily AS (SELECT l_suppkey, l_shipdate AS day, CAST(ROUND(CAST(SUM(l_extendedprice) AS DECIMAL(38,6)), 4) AS DOUBLE) AS revenue
                FROM lineitem GROUP BY 1, 2)
 , lagged AS (
   SELECT b.*, a.revenue AS revenue_lag_7d, c.revenue AS revenue_lag_28d, e.revenue AS revenue_lag_364d FROM daily b
@@ -689,3 +689,43 @@ r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_returnflag ORDER BY mq DESC NU
 SELECT l_returnflag, l_suppkey, {rnd("mq", 6)} AS mean_l_quantity, rank_top, rank_bottom
 FROM r WHERE rank_top <= 5 OR rank_bottom <= 5
 """
+
+SQL["csv_flags_roundtrip"] = """
+SELECT event_id, ts, value, value >= 100 AS is_high, event_type = 'view' AS is_view FROM events
+"""
+
+SQL["negated_list"] = """
+SELECT event_id, CASE WHEN event_type <> 'click' THEN event_type END AS kind FROM events WHERE event_type NOT IN ('view', 'error')
+"""
+
+SQL["null_group_percentiles"] = f"""
+SELECT kind, {rnd("quantile_cont(value, 0.25)", 4)} AS p25, {rnd("quantile_cont(value, 0.5)", 4)} AS p50, {rnd("quantile_cont(value, 0.9)", 4)} AS p90
+FROM (SELECT value, CASE WHEN event_type <> 'click' THEN event_type END AS kind FROM events) e GROUP BY kind
+"""
+
+SQL["fine_sums"] = f"""
+SELECT l_returnflag, l_linestatus, {rnd("SUM(l_tax / 1000.0)", 5)} AS total_target FROM lineitem GROUP BY 1, 2
+"""
+
+SQL["station_names"] = """
+SELECT s_suppkey AS station, lower(n_name) AS county_name, CAST(s_nationkey AS INTEGER) AS county
+FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey
+"""
+
+SQL["declared_tables"] = _with(HOURLY) + "SELECT event_type, datetime, target, n FROM hourly"
+
+SQL["holdout_remainder"] = _with(HOURLY) + """
+SELECT event_type, datetime, CASE WHEN rn <= 100 THEN 'sample' ELSE 'rest' END AS part FROM (
+  SELECT event_type, datetime,
+         ROW_NUMBER() OVER (ORDER BY md5(event_type || '|' || strftime(datetime, '%Y-%m-%d %H:%M:%S'))) AS rn FROM hourly) z
+"""
+
+SQL["column_kinds"] = _with(ORDERS_FACT) + "\nUNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", COUNT({c}) AS non_null, '{t}' AS dtype FROM orders_fact"
+    for c, t in [("o_orderpriority", "string"), ("o_orderstatus", "string"), ("c_mktsegment", "string"),
+                 ("is_final", "boolean"), ("c_nationkey", "int")])
+
+SQL["linear_trend"] = f"""
+SELECT COUNT(*) AS n, {rnd("regr_slope(l_extendedprice, l_quantity)", 2)} AS slope,
+       {rnd("regr_intercept(l_extendedprice, l_quantity)", 1)} AS intercept FROM lineitem
+"""

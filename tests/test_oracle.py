@@ -1,6 +1,7 @@
 """Every registered query with an oracle SQL must match DuckDB (sf0.001)."""
 
 import math
+import re
 
 import duckdb
 import pandas as pd
@@ -11,7 +12,8 @@ from tests.conftest import SF_SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
-SQL = entry.oracle_sql()
+# queries of numbered operators have tests of their own
+SQL = {k: v for k, v in entry.oracle_sql().items() if not re.match(r"op\d+_|pipeline", k)}
 ML_ONLY = {"gbt_backtest", "objective_comparison", "param_search", "gain_summary", "best_model_holdout", "supplier_gbt_backtest", "yield_backtest"}
 
 
@@ -58,7 +60,7 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_oracle_or_is_ml():
-    missing = set(entry.queries()) - set(SQL)
+    missing = {k for k in entry.queries() if not re.match(r"op\d+_|pipeline", k)} - set(SQL)
     assert missing <= ML_ONLY | {"eval_holdout"}
 
 

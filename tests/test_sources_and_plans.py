@@ -7,7 +7,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from hourgrid.operators.joins import DuplicateKeyError, check_unique, checked_broadcast, duplicate_keys
+from hourgrid.operators.joins import DuplicateKeyError, check_unique, duplicate_keys
 from hourgrid.plans import catalog, standins
 from hourgrid.sources import readers, schemas, sinks
 from tests.conftest import SF_SMALL
@@ -81,12 +81,33 @@ def test_unique_contract(spark):
     check_unique(readers.read_table(spark, SF_SMALL, "orders"), ["o_orderkey"])
 
 
-def test_checked_broadcast_falls_back(spark):
-    small = readers.read_table(spark, SF_SMALL, "nation")
-    big = readers.read_table(spark, SF_SMALL, "lineitem")
-    assert "ResolvedHint" in small.hint("broadcast")._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in checked_broadcast(small, 100)._jdf.queryExecution().analyzed().toString().lower()
-    assert "broadcast" not in checked_broadcast(big, 100)._jdf.queryExecution().analyzed().toString().lower()
+def test_joins_leave_the_strategy_to_the_planner(spark):
+    assert "ResolvedHint" not in catalog.QUERIES["merged_hourly"](spark, SF_SMALL)._jdf.queryExecution().analyzed().toString()
+
+
+def test_csv_by_name_with_flags(spark):
+    d = _scratch()
+    path = os.path.join(d, "train.csv")
+    with open(path, "w") as f:
+        f.write("row_id,target,is_business,county,is_consumption,datetime,data_block_id,extra,product_type,prediction_unit_id\n")
+        f.write("0,0.713,0,3,1,2021-09-01 00:00:00,0,x,1,7\n1,,1,3,true,2021-09-01 01:00:00,0,x,1,7\n")
+    rows = readers.read_csv_table(spark, path, schemas.TRAIN).orderBy("row_id").collect()
+    assert [(r.is_business, r.is_consumption, r.target, r.prediction_unit_id) for r in rows] == [(False, True, 0.713, 7), (True, True, None, 7)]
+
+
+def test_csv_bad_fields_raise(spark):
+    d = _scratch()
+    for name, line in (("a", "1,maybe"), ("b", "x,1")):
+        path = os.path.join(d, f"{name}.csv")
+        with open(path, "w") as f:
+            f.write(f"n,flag\n{line}\n")
+        from pyspark.sql import types as T
+
+        schema = T.StructType([T.StructField("n", T.IntegerType()), T.StructField("flag", T.BooleanType())])
+        with pytest.raises(Exception, match="not a flag|CAST_INVALID_INPUT"):
+            readers.read_csv_table(spark, path, schema).collect()
+    with pytest.raises(ValueError, match="no column"):
+        readers.read_csv_table(spark, path, T.StructType([T.StructField("other", T.IntegerType())]))
 
 
 def test_dimension_joins_broadcast(spark):

@@ -167,12 +167,6 @@ def test_keep_last_picks_latest_origin(spark):
     got = {r["county"]: r["temperature"] for r in out.collect()}
     assert got == {1: 2.0, 2: 5.0}
     assert out.columns == df.columns
-    from hourgrid.plans.features import forecast_order_key
-
-    packed = keep_last(df, ["county", "forecast_datetime", "data_block_id"], ["origin_datetime", "hours_ahead"],
-                       order_key=forecast_order_key())
-    assert packed.exceptAll(out).count() == 0 and out.exceptAll(packed).count() == 0
-    assert "SortAggregate" not in packed._jdf.queryExecution().executedPlan().toString()
 
 
 def test_period_over_period_and_moving_average(spark):
@@ -236,7 +230,7 @@ def test_exact_percentiles_large_path_has_no_single_buffer(spark):
     from hourgrid.operators.aggregate import exact_percentiles
 
     df = spark.range(2000).selectExpr("id % 3 AS g", "CAST(id AS DOUBLE) AS x")
-    out = exact_percentiles(df, ["g"], "x", [0.5], small_group=10)
+    out = exact_percentiles(df, ["g"], "x", [0.5])
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "percentile(" not in plan and "percentile_disc" not in plan
     assert {r["g"]: r["p50"] for r in out.collect()} == {0: 999.0, 1: 1000.0, 2: 999.5}
