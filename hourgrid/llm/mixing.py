@@ -155,4 +155,5 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def op9_mix_by_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(read(spark, sf_dir, "documents"))
+    taken = mix(read(spark, sf_dir, "documents"))
+    return taken.select("doc_id", "size", "source_size", F.round("target", 4).alias("target"), "taken")

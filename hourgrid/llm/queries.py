@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from hourgrid.llm import oracle
 from hourgrid.llm.bpe import op3_bpe_transducer
 from hourgrid.llm.cover_tree import op8_cover_tree
 from hourgrid.llm.licenses import op5_signature_rules
@@ -30,4 +31,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_zip_archives": op10_zip_archives,
 }
 
-SQL: dict[str, str] = {}
+#: The others are beyond SQL (XXH64, CRC-32, BPE, checksums, learned rules): tested against brute force.
+SQL: dict[str, str] = {
+    "op7_url_reputation": oracle.URLS,
+    "op8_cover_tree": oracle.VECTORS,
+    "op9_mix_by_threshold": oracle.MIX,
+    "op10_zip_archives": oracle.PACKAGES,
+}

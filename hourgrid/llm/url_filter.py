@@ -134,4 +134,5 @@ def page_outcomes(labels: DataFrame) -> DataFrame:
 
 
 def op7_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge_urls(read(spark, sf_dir, "pages"), page_outcomes(read(spark, sf_dir, "labels")))
+    judged = judge_urls(read(spark, sf_dir, "pages"), page_outcomes(read(spark, sf_dir, "labels")))
+    return judged.withColumn("reputation", F.round("reputation", 6))
