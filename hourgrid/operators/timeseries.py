@@ -45,6 +45,8 @@ _BK = "_bk"
 _HOME = "_home"
 
 DAY_US = 86_400_000_000
+#: Lags beyond this many days are copied to their instant, not reached by a window.
+LONG_LAG_DAYS = 28
 
 
 def lag_name(value_col: str, lag: str) -> str:
@@ -117,7 +119,9 @@ def add_lags_and_rollings(
 
     ``bucket``: "auto" (halo-bucketed windows), microseconds, or None for one
     window partition per series. The result is the same; only the physical
-    layout differs.
+    layout differs. A lag longer than ``LONG_LAG_DAYS`` does not widen the halo:
+    its values are copied to the instant at which they are due, and the windows
+    reach back only as far as the rollings do.
     """
     if validate:
         check_unique(df, [*group_cols, time_col], "series")
@@ -125,9 +129,12 @@ def add_lags_and_rollings(
     specs = {lag: (dict(w) if w else {}) for lag, w in lag_specs.items()}
     lag_us = {lag: parse_duration_us(lag) for lag in specs}
     win_us = {(lag, w): parse_duration_us(w) for lag, ws in specs.items() for w in ws}
-    halo = max([lag_us[lag] + win_us.get((lag, w), 0) for lag, ws in specs.items() for w in (ws or [None])] or [0])
+    far = [lag for lag in specs if bucket is not None and lag_us[lag] > LONG_LAG_DAYS * DAY_US]
+    halo = max([(0 if lag in far else lag_us[lag]) + win_us.get((lag, w), 0) for lag, ws in specs.items() for w in (ws or [None])] or [0])
 
     out = df.withColumn(_T, epoch_us(time_col))
+    if far:
+        out = _due_values(out, value_col, {lag_name(value_col, lag): lag_us[lag] for lag in far}, list(group_cols))
     parts = list(group_cols)
     if bucket is not None and halo > 0:
         b = auto_bucket_us(halo) if bucket == "auto" else int(bucket)
@@ -136,8 +143,11 @@ def add_lags_and_rollings(
     base = Window.partitionBy(*parts).orderBy(_T)
     x = F.col(value_col)
 
-    lag_cols = {lag_name(value_col, lag): F.max(x).over(base.rangeBetween(-lag_us[lag], -lag_us[lag])) for lag in specs}
-    out = out.withColumns(lag_cols)
+    # rows without a time are peers of each other in a RANGE frame: they have no past
+    timed = F.col(_T).isNotNull()
+    lag_cols = {lag_name(value_col, lag): F.when(timed, F.max(x).over(base.rangeBetween(-lag_us[lag], -lag_us[lag]))) for lag in specs if lag not in far}
+    if lag_cols:
+        out = out.withColumns(lag_cols)
 
     roll_cols = {}
     for lag, ws in specs.items():
@@ -145,16 +155,33 @@ def add_lags_and_rollings(
         for w, funcs in ws.items():
             frame = base.rangeBetween(-win_us[(lag, w)], -1)
             for func in funcs:
-                e = _rolling_expr(func, F.col(src), frame)
+                e = F.when(timed, _rolling_expr(func, F.col(src), frame))
                 roll_cols[rolling_name(src, w, func)] = e.cast(dtype) if dtype else e
     if roll_cols:
         out = out.withColumns(roll_cols)
     if _HOME in out.columns:
         out = out.filter(F.col(_HOME))
-    new = [*lag_cols, *roll_cols]
+    new = [*(lag_name(value_col, lag) for lag in specs), *roll_cols]
     return out.select(*cols, *new)
 
 
+def _due_values(df: DataFrame, value_col: str, due_us: Mapping[str, int], group_cols: list[str]) -> DataFrame:
+    """Add the value due at each row's instant, per named lag: rows and narrow copies meet by (series, instant)."""
+    cols = list(df.columns)
+    empty = F.lit(None).cast(df.schema[value_col].dataType)
+    row = F.struct(*cols)
+    own = F.struct(F.col(_T).alias("at"), row.alias("row"), empty.alias("due"), F.lit(-1).alias("kind"))
+    copies = [F.struct((F.col(_T) + F.lit(us)).alias("at"), F.when(F.lit(False), row).alias("row"), F.col(value_col).alias("due"), F.lit(i).alias("kind"))
+              for i, us in enumerate(due_us.values())]
+    # a row without a time is due nowhere
+    sent = F.when(F.col(_T).isNotNull(), F.array(own, *copies)).otherwise(F.array(own))
+    met = df.select(*[F.col(c).alias(f"_s{i}") for i, c in enumerate(group_cols)], F.explode(sent).alias("_m")).select(
+        *[f"_s{i}" for i in range(len(group_cols))], "_m.*")
+    w = Window.partitionBy(*[f"_s{i}" for i in range(len(group_cols))], "at")
+    lagged = met.withColumns({name: F.max(F.when(F.col("kind") == i, F.col("due"))).over(w) for i, name in enumerate(due_us)})
+    return lagged.filter(F.col("kind") == -1).select(*[F.col("row")[c].alias(c) for c in cols], *due_us)
+
+
 def add_lags(df: DataFrame, value_col: str, lags: Sequence[str], time_col: str,
              group_cols: Sequence[str], bucket: str | int | None = "auto") -> DataFrame:
     """Exact time lags only."""
@@ -185,7 +212,7 @@ def add_rollings(
     for w, funcs in windows.items():
         frame = base.rangeBetween(-parse_duration_us(w), -1)
         for func in funcs:
-            e = _rolling_expr(func, F.col(value_col), frame)
+            e = F.when(F.col(_T).isNotNull(), _rolling_expr(func, F.col(value_col), frame))
             new[rolling_name(value_col, w, func)] = e.cast(dtype) if dtype else e
     out = out.withColumns(new)
     if _HOME in out.columns:

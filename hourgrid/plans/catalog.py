@@ -288,6 +288,15 @@ def calendar_features(spark: SparkSession, d: str) -> DataFrame:
     return out.withColumns({c: rounded(F.col(c).cast("double"), 4) for c in cyc_cols})
 
 
+def calendar_years(spark: SparkSession, d: str) -> DataFrame:
+    """F3 + F4 over seven years in both DST states: ship times moved to 2019-2025, three hours per line."""
+    li = from_table(spark, d, "lineitem")
+    moved = F.timestamp_add("YEAR", F.lit(27), F.col("l_shipdate"))
+    ts = F.timestamp_add("HOUR", (F.col("l_linenumber") * 3).cast("int"), moved)
+    out = li.select("l_orderkey", "l_linenumber", ts.alias("ts"))
+    return cal.add_calendar_features(out, "ts").withColumn("dst", cal.dst_flag("ts"))
+
+
 def scalar_functions(spark: SparkSession, d: str) -> DataFrame:
     """F1, F2, F6-F11, F13, F14, F16-F19 on lineitem columns."""
     li = from_table(spark, d, "lineitem")
@@ -637,6 +646,25 @@ def score_compare(spark: SparkSession, d: str) -> DataFrame:
     return _round_cols(s2.join(s7, keys, "left"), ["mae_lag_2d", "mae_lag_7d"])
 
 
+def best_lag(spark: SparkSession, d: str) -> DataFrame:
+    """M6: the selection step over lag baselines: mean MAE over validation folds, the best candidate marked."""
+    lab = _labelled(spark, d).filter((F.col("part") == "test") & (F.col("kind") == "val"))
+    per_fold = agg.union_all([
+        bt.fold_scores(bt.naive_predictions(lab, f"target_lag_{lag}"), ["fold"]).withColumn("model_label", F.lit(f"lag_{lag}")) for lag in ("2d", "7d")])
+    per_cand = per_fold.groupBy("model_label").agg(F.avg("mae").alias("mean_mae"), F.count(F.lit(1)).cast("long").alias("n_folds"))
+    best = per_cand.agg(F.min_by("model_label", "mean_mae")).scalar()
+    return _round_cols(per_cand.withColumn("is_best", F.col("model_label") == best), ["mean_mae"])
+
+
+def prediction_rows(spark: SparkSession, d: str) -> DataFrame:
+    """M1 + M3 + M4: keys and targets of the prediction table, one row per test row, fold and segment."""
+    folds = _hourly_folds(spark, d).filter(F.col("kind") == "test")
+    h = standins.hourly(spark, d).select("event_type", "datetime", "target", "is_consumption")
+    frame = add_lags(h, "target", ["2d", "7d"], "datetime", SERIES)
+    preds = bt.backtest_models(frame, folds, "datetime", ["is_consumption"], [bt.FitSpec("linear", "linear", {"maxIter": 10})], eval_days=EVAL_DAYS)
+    return preds.select("event_type", "datetime", "kind", "fold", "is_consumption", "target", "model_label", F.col("preds").isNotNull().alias("scored"))
+
+
 def _ml_frame(spark: SparkSession, d: str) -> DataFrame:
     """Hourly features for the learners: lags, rollings, calendar."""
     h = standins.hourly(spark, d).select("event_type", "datetime", "target", "is_consumption")
@@ -656,11 +684,11 @@ def gbt_backtest(spark: SparkSession, d: str) -> DataFrame:
 
 def objective_comparison(spark: SparkSession, d: str) -> DataFrame:
     """M2: absolute / squared GBT, Huber linear, Tweedie GLM; MAE per fold and flag, best per flag."""
-    folds = _hourly_folds(spark, d).filter((F.col("kind") == "test") & (F.col("fold") == 0))
+    folds = _hourly_folds(spark, d).filter(F.col("kind") == "test")
     specs = [
         bt.FitSpec("gbt_absolute", "gbt", {"lossType": "absolute", "maxIter": 10}),
         bt.FitSpec("gbt_squared", "gbt", {"lossType": "squared", "maxIter": 10}),
-        bt.FitSpec("linear_huber", "linear", {"loss": "huber", "maxIter": 50}),
+        *[bt.FitSpec(f"linear_huber_{e}", "linear", {"loss": "huber", "epsilon": e, "maxIter": 50}) for e in (1.1, 1.35, 2.0, 4.0)],
         *[bt.FitSpec(f"glm_tweedie_{p}", "glm", {"family": "tweedie", "variancePower": p, "linkPower": 0.0,
                                                   "maxIter": 25}) for p in (1.35, 1.5, 1.65)],
     ]
@@ -673,11 +701,12 @@ def objective_comparison(spark: SparkSession, d: str) -> DataFrame:
     return scores.join(best, "is_consumption").withColumn("is_best", F.col("model_label") == F.col("best_model_label"))
 
 
-SEARCH_SPACE = {"maxDepth": (3, 6), "stepSize": (0.05, 0.3), "maxIter": [5, 10], "subsamplingRate": (0.5, 1.0)}
+SEARCH_SPACE = {"maxDepth": (3, 6), "stepSize": (0.05, 0.3), "maxIter": [5, 10], "subsamplingRate": (0.5, 1.0),
+                "minInstancesPerNode": (1, 20), "featureSubsetStrategy": ["all", "onethird", "0.6"], "minInfoGain": (0.0, 0.1)}
 
 
 def _search(spark: SparkSession, d: str):
-    folds = _hourly_folds(spark, d).filter((F.col("kind") == "val") & (F.col("fold") < 2))
+    folds = _hourly_folds(spark, d).filter(F.col("kind") == "val")
     return bt.param_search(_ml_frame(spark, d), folds, "datetime", [], SEARCH_SPACE, n_candidates=3,
                            eval_days=EVAL_DAYS)
 
@@ -867,6 +896,9 @@ _QUERIES: dict[str, Query] = {
     "daily_moving_avg": daily_moving_avg,
     "holiday_pivot": holiday_pivot,
     "calendar_features": calendar_features,
+    "calendar_years": calendar_years,
+    "prediction_rows": prediction_rows,
+    "best_lag": best_lag,
     "scalar_functions": scalar_functions,
     "yield_target": yield_target,
     "time_span": time_span,

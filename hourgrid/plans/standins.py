@@ -12,7 +12,7 @@ hourly         events by (event_type, hour): sum of value       train
 daily_dim      events by (event_type, day): distinct users, sum       client
 daily_price    events by day: min / max value                         gas
 hour_price     events by hour: mean value, origin = hour - 2 days     electricity
-flags          (day, event_type) of events with value >= 200          holidays
+flags          (day, event_type, or "none" below a value of 200)      holidays
 holes          hourly with target NULL every 17th hour since start    DST gaps
 stations       supplier → nation                                      stations
 forecast_grid  lineitem rows as point forecasts                       forecast
@@ -108,9 +108,9 @@ def hour_price(spark: SparkSession, d: str) -> DataFrame:
 
 def flags(spark: SparkSession, d: str) -> DataFrame:
     """Holiday-shaped rows: (date, name, holiday_type); several per date."""
-    ev = read_table(spark, d, "events").filter(F.col("value") >= FLAG_MIN_VALUE)
-    return ev.select(F.to_date("ts").alias("date"), F.col("event_id").cast("string").alias("name"),
-                     F.col("event_type").alias("holiday_type"))
+    ev = read_table(spark, d, "events")
+    kind = F.when(F.col("value") >= FLAG_MIN_VALUE, F.col("event_type")).otherwise(F.lit("none"))
+    return ev.select(F.to_date("ts").alias("date"), F.col("event_id").cast("string").alias("name"), kind.alias("holiday_type"))
 
 
 def holes(spark: SparkSession, d: str) -> DataFrame:

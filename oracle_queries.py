@@ -37,8 +37,9 @@ hour_price AS (
 
 FLAGS = """
 flags AS (
-  SELECT CAST(ts AS DATE) AS date, CAST(event_id AS VARCHAR) AS name, event_type AS holiday_type
-  FROM events WHERE value >= 200)"""
+  SELECT CAST(ts AS DATE) AS date, CAST(event_id AS VARCHAR) AS name,
+         CASE WHEN value >= 200 THEN event_type ELSE 'none' END AS holiday_type
+  FROM events)"""
 
 FLAGS_PIVOT = """
 flags_pivot AS (
@@ -729,3 +730,26 @@ SQL["linear_trend"] = f"""
 SELECT COUNT(*) AS n, {rnd("regr_slope(l_extendedprice, l_quantity)", 2)} AS slope,
        {rnd("regr_intercept(l_extendedprice, l_quantity)", 1)} AS intercept FROM lineitem
 """
+
+SQL["calendar_years"] = """
+SELECT l_orderkey, l_linenumber, ts, """ + ", ".join(f"CAST({e} AS INTEGER) AS {n}" for n, e, _ in _CYC) + """,
+       ts < TIMESTAMP '2021-10-31 03:00:00'
+         OR (ts >= TIMESTAMP '2022-03-27 03:00:00' AND ts < TIMESTAMP '2022-10-30 03:00:00')
+         OR ts >= TIMESTAMP '2023-03-26 03:00:00' AS dst
+FROM (SELECT l_orderkey, l_linenumber, l_shipdate + INTERVAL 27 YEAR + to_hours(CAST(3 * l_linenumber AS INTEGER)) AS ts FROM lineitem) t
+"""
+
+SQL["prediction_rows"] = _LAB + """
+SELECT event_type, datetime, kind, fold, is_consumption, target, 'linear' AS model_label, TRUE AS scored
+FROM labelled WHERE part = 'test' AND kind = 'test'
+"""
+
+SQL["best_lag"] = _LAB + f"""
+, e AS (SELECT 'lag_2d' AS model_label, fold, AVG(abs(target - target_lag_2d)) AS mae FROM labelled
+        WHERE part = 'test' AND kind = 'val' AND target_lag_2d IS NOT NULL GROUP BY fold
+        UNION ALL
+        SELECT 'lag_7d', fold, AVG(abs(target - target_lag_7d)) FROM labelled
+        WHERE part = 'test' AND kind = 'val' AND target_lag_7d IS NOT NULL GROUP BY fold)
+, m AS (SELECT model_label, AVG(mae) AS mean_mae, COUNT(*) AS n_folds FROM e GROUP BY 1)
+SELECT model_label, {rnd("mean_mae", 4)} AS mean_mae, n_folds, mean_mae = (SELECT MIN(mean_mae) FROM m) AS is_best FROM m
+"""

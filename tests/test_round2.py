@@ -100,6 +100,22 @@ def test_csv_set_has_the_county_map(spark, tmp_path):
     assert all(got[n].schema == s for n, s in schemas.SCHEMAS.items())
 
 
+@pytest.mark.parametrize("bucket", ["auto", 5 * timeseries.DAY_US])
+def test_long_lags_do_not_widen_the_halo(spark, bucket):
+    df = spark.range(900).selectExpr("id % 2 AS g", "timestamp_ntz'2022-01-01 00:00:00' + make_dt_interval(CAST(id DIV 2 AS INT)) AS t",
+                                     "CASE WHEN id % 11 <> 0 THEN CAST(id AS DOUBLE) END AS x").unionByName(
+        spark.createDataFrame([(1, None, 5.0)], "g long, t timestamp_ntz, x double"))
+    specs = {"7d": {"14d": ["mean", "count"]}, "364d": {"7d": ["sum"]}, "40d": None}
+    got = timeseries.add_lags_and_rollings(df, "x", specs, "t", ["g"], bucket=bucket)
+    want = timeseries.add_lags_and_rollings(df, "x", specs, "t", ["g"], bucket=None)
+    assert got.columns == want.columns and got.count() == 901
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2  # by (series, instant) and by (series, bucket)
+    if bucket == "auto":
+        assert f"{4 * 21 * timeseries.DAY_US:.4E}".replace("E+", "E") in plan or str(4 * 21 * timeseries.DAY_US) in plan
+
+
 def test_fold_cap_is_gone_and_split_is_whole(spark):
     df = spark.range(300).selectExpr("id", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, CAST(id AS INT)) AS t")
     sample, rest = bt.holdout_split(df, 40, ["id"])
