@@ -2,7 +2,7 @@
 
 Each licence has a label, patterns for its name, patterns for its short forms, and
 parts of its address. ``rules()`` makes the ordered list: for every licence a tag
-rule, a name rule, a rule for "licensed under ..." with a short form, an address
+rule, a name rule, a rule for "licensed under ..." with the name or a short form, an address
 rule and, where a short form is clear enough alone, a mention rule.
 """
 
@@ -138,7 +138,7 @@ def rules() -> list[Rule]:
     for label, spdx, name, short, address, clear in LICENCES:
         out.append(Rule(1, label, "spdx-license", rf"(?i)SPDX-License-Identifier\s*:\s*\(?\s*{spdx}(?![A-Za-z0-9])", 1.0))
         out.append(Rule(2, label, _name_clue(label, name), _word(name), 0.95))
-        out.append(Rule(3, label, "licen", rf"(?i)(?<![A-Za-z0-9])Licen[sc]ed\s+under\s+{_THE}(?:{short})(?![A-Za-z0-9])", 0.9))
+        out.append(Rule(3, label, "licen", rf"(?i)(?<![A-Za-z0-9])Licen[sc]ed\s+under\s+{_THE}(?:{name}|{short})(?![A-Za-z0-9])", 0.9))
         out.append(Rule(3, label, _clue(address), rf"(?i){address}", 0.85))
         if clear:
             out.append(Rule(5, label, _short_clue(label), _word(short), 0.6))
