@@ -39,7 +39,7 @@ from hourgrid.operators.joins import (
     multi_shift_lookup,
     shifted_lookup,
 )
-from hourgrid.operators.timeseries import add_lags_and_rollings, keep_first, keep_last
+from hourgrid.operators.timeseries import keep_first, keep_last
 
 __all__ = [
     "MergeKeys",
@@ -285,19 +285,11 @@ def build_feature_table(
     validate: bool = False,
     bucket: str | int | None = "auto",
 ) -> DataFrame:
-    """Domain pipeline from raw source tables to the wide feature table."""
-    st = prepare_stations(tables["weather_station_to_county_mapping"])
-    fw = aggregate_forecast(prepare_forecast_weather(tables["forecast_weather"]), st, validate=validate)
-    hw = aggregate_historical(prepare_historical_weather(tables["historical_weather"]), st, validate=validate)
-    hol = prepare_holidays(tables["holidays"]) if "holidays" in tables else None
-    merged = merge_fact(
-        prepare_train(tables["train"]), prepare_client(tables["client"]), prepare_gas_prices(tables["gas_prices"]),
-        prepare_electricity_prices(tables["electricity_prices"]), fw, hw, hol,
-    )
-    out = add_time_features(merged)
-    out = add_lags_and_rollings(out, "target", lag_specs, "datetime", list(group_cols), bucket=bucket,
-                                validate=validate)
-    return add_ratio_features(out)
+    """All steps of the staged workflow in one call: raw source tables to the wide feature table."""
+    from hourgrid.plans.workflow import FeatureWorkflow
+
+    return (FeatureWorkflow(tables["train"].sparkSession).load(tables).prepare().merge(validate).transform_datetime()
+            .add_lags_and_rollings("target", lag_specs, "datetime", group_cols, validate, bucket).add_ratio_features().df)
 
 
 def merge_alternate(

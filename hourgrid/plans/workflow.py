@@ -58,13 +58,14 @@ class FeatureWorkflow:
         return self
 
     def merge(self, validate: bool = False) -> FeatureWorkflow:
+        """Join everything to the hourly fact; dimension keys must be unique. ``validate`` also checks the stations."""
         p = self.prepared
         st = p["weather_station_to_county_mapping"]
         self.df = fe.merge_fact(
             p["train"], p["client"], p["gas_prices"], p["electricity_prices"],
             fe.aggregate_forecast(p["forecast_weather"], st, validate=validate),
             fe.aggregate_historical(p["historical_weather"], st, validate=validate),
-            p.get("holidays"), validate=validate,
+            p.get("holidays"),
         )
         return self
 
@@ -75,8 +76,8 @@ class FeatureWorkflow:
     def add_lags_and_rollings(self, value_col: str, lag_specs: Mapping[str, Mapping[str, Sequence[str]] | None],
                               datetime_col: str = "datetime",
                               group_cols: Sequence[str] = ("county", "product_type", "is_business", "is_consumption"),
-                              validate: bool = False) -> FeatureWorkflow:
-        self.df = add_lags_and_rollings(self._need(), value_col, lag_specs, datetime_col, list(group_cols),
+                              validate: bool = False, bucket: str | int | None = "auto") -> FeatureWorkflow:
+        self.df = add_lags_and_rollings(self._need(), value_col, lag_specs, datetime_col, list(group_cols), bucket=bucket,
                                         validate=validate)
         return self
 
