@@ -1,7 +1,7 @@
 """Licence scan by ordered signature rules, as DataFrame expressions.
 
-A keyword prefilter picks, per text, the rules that can match at all; only their
-patterns run. Their matches are intervals (code points) with the rule's priority.
+A keyword prefilter works in two steps: texts without any anchor word are passed
+over, and in the others only rules whose own keyword occurs run their pattern. Their matches are intervals (code points) with the rule's priority.
 An interval inside another one of equal or stronger priority is suppressed, so
 "GNU General Public License, version 3" leaves gpl-3.0 and not also gpl.
 
@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourgrid.llm.common import ascii_lower, read
-from hourgrid.llm.license_rules import Rule, rules
+from hourgrid.llm.license_rules import ANCHORS, Rule, rules
 
 # fixed values: words, base phrases and their labels
 _CHARS = r"0-9A-Za-z\x{80}-\x{10FFFF}"
@@ -74,7 +74,7 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     df = df.select(
         "doc_id", "text", F.regexp_count("text", F.lit(f"[{_CHARS}]+")).cast("long").alias("n_words"),
         F.when(has_base, F.transform(F.regexp_extract_all("text", F.lit(f"[{_CHARS}]+"), F.lit(0)), ascii_lower)).alias("words"),
-        F.when(_any(low, sorted({r.keyword for r in signatures})), chosen).alias("chosen"))
+        F.when(_any(low, list(ANCHORS)), chosen).alias("chosen"))
     # each rule's matches, and the pieces of the text between them, give its intervals
     found = F.transform("chosen", lambda r: F.struct(
         r["priority"].alias("priority"), r["rule"].alias("rule"), r["label"].alias("label"), r["confidence"].alias("confidence"),

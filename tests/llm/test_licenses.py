@@ -1,7 +1,7 @@
 import re
 
 from hourgrid.llm import licenses
-from hourgrid.llm.license_rules import rules
+from hourgrid.llm.license_rules import ANCHORS, rules
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 PATTERNS = [(r, re.compile(r.pattern.replace("(?i)", "(?ia)", 1))) for r in rules()]
@@ -11,7 +11,7 @@ def brute(text):
     text = text or ""
     words = re.findall("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate(LOWER))
     places = [(i, label) for i in range(len(words)) for p, label in licenses.PHRASES if words[i:i + len(p.split())] == p.split()]
-    found = [(m.start(), m.end(), r.priority, i, r.label, r.confidence) for i, (r, c) in enumerate(PATTERNS) for m in c.finditer(text)]
+    found = [(m.start(), m.end(), r.priority, i, r.label, r.confidence) for i, (r, c) in enumerate(PATTERNS) if any(a in text.lower() for a in ANCHORS) for m in c.finditer(text)]
 
     def inside(d, e):
         same = d[:2] == e[:2]
@@ -29,7 +29,7 @@ TEXTS = [
     "é" * 10 + " licensed under the terms of the BSD-3-Clause, İ CC0 1.0 Universal",
     "Creative Commons Attribution-ShareAlike 4.0 International cc\tby-sa 4.0",
     "Permission is hereby granted, free of charge, to any person. The Unlicense. 0BSD " * 3,
-    "apache\x7flicense cc-by 😀mit license mit license😀", "The license of the city. Copyright 2021 nobody", "Kelvin K licence" + "\u212a",
+    "apache\x7flicense cc-by 😀mit license mit license😀", "The license of the city. Copyright 2021 nobody", "Kelvin K licence" + "\u212a", "only GPLv3 and CC0 and gnu.org/copyleft/gpl here", "GPLv3 and CC0 and gnu.org/copyleft/gpl with copyright",
 ]
 
 
