@@ -4,7 +4,7 @@
    texts. Each task keeps one table of units between spaces; when it holds
    ``UNITS`` units it is written out, without the units seen once in it, so a
    count is short by at most one per table written.
-2. The ``LEXICON`` most frequent words are merged on the driver and compiled into
+2. The most frequent words, at most ``LEXICON``, are merged on the driver and compiled into
    a minimal acyclic automaton: words share prefixes and suffixes. Arc outputs
    add up to a word's number, which leads to its ids. It is written once to the
    shared folder, sent to every executor as a file, and memory-mapped there.
@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourgrid.llm.common import read
-from hourgrid.session import checkpoint_dir
+from hourgrid.session import checkpoint_dir, materialize
 
 LEXICON, UNITS = 100_000, 300_000
 #: Characters encoded at once; units remembered by a task.
@@ -260,7 +260,8 @@ class Encoder:
     """Encodes texts of a task; remembers units between spaces, up to ``MEMO`` of them."""
 
     def __init__(self, bpe: Bpe, lexicon: Lexicon | None):
-        self.bpe, self.lexicon, self.units = bpe, lexicon, {}
+        self.bpe, self.lexicon = bpe, lexicon
+        self.units = {w: (i,) for w, i in bpe.special.items()}
         self.pieces = regex.compile(_PIECE).findall
         self.knotty, self.safe_cut = re.compile(_KNOTTY).search, re.compile(_SAFE_CUT).search
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(bpe.special, key=len, reverse=True))) + ")") if bpe.special else None
@@ -282,25 +283,29 @@ class Encoder:
             return self.pieces(segment)
         return segment.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
 
-    def learn(self, units: set[str]) -> dict[str, tuple[int, ...]]:
-        """Ids of units that are not remembered."""
-        # a run of ASCII letters, with one space before it or not, is one piece
-        pieces = {u: (u,) if u in self.bpe.special or (u.isascii() and u.removeprefix(" ").isalpha()) else self.pieces(u) for u in units}
-        words = list(set(chain.from_iterable(pieces.values())))
-        raw = [w.encode() for w in words]
-        ids = dict(zip(words, self.lexicon.find(raw))) if self.lexicon else dict.fromkeys(words)
-        unseen = [(w, b) for w, b in zip(words, raw) if ids[w] is None]
-        ids |= zip([w for w, _ in unseen], self.bpe.merge([b for _, b in unseen]))
-        ids |= {w: (i,) for w, i in self.bpe.special.items()}
-        return {u: tuple(chain.from_iterable(map(ids.__getitem__, p))) for u, p in pieces.items()}
-
     def remember(self, units: set[str]) -> None:
         """Make sure that all of ``units`` are remembered: new ones are looked up together."""
-        if new := units.difference(self.units):
-            if len(self.units) + len(new) > MEMO:
-                self.units.clear()
-                new = units
-            self.units |= self.learn(new)
+        memo = self.units
+        new = [u for u in units if u not in memo]
+        if not new:
+            return
+        if len(memo) + len(new) > MEMO:
+            memo.clear()
+            memo |= {w: (i,) for w, i in self.bpe.special.items()}
+            new = [u for u in units if u not in memo]
+        # a run of ASCII letters, with one space before it or not, is one piece
+        cut = {u: self.pieces(u) for u in new if not (u.isascii() and u.removeprefix(" ").isalpha())}
+        words = [u for u in new if u not in cut]
+        words += set(chain.from_iterable(cut.values())).difference(memo, words)
+        raw = [w.encode() for w in words]
+        known = self.lexicon.find(raw) if self.lexicon else [None] * len(raw)
+        unseen = [i for i, ids in enumerate(known) if ids is None]
+        for i, ids in zip(unseen, self.bpe.merge([raw[i] for i in unseen])):
+            known[i] = ids
+        memo.update(zip(words, known))
+        get = memo.__getitem__
+        for unit, parts in cut.items():
+            memo[unit] = get(parts[0]) if len(parts) == 1 else tuple(chain.from_iterable(map(get, parts)))
 
     def encode(self, texts: list[str]):
         """Yield, for each text, its ids as lists, one per segment; texts are taken in groups of about CHUNK characters."""
@@ -360,7 +365,16 @@ def build_lexicon(docs: DataFrame, bpe: Bpe, text_col: str = "text", size: int =
     from pyarrow import fs
 
     spark = docs.sparkSession
-    top = count_words(docs, text_col).orderBy(F.desc("n"), "word").limit(size).collect()
+    counted = materialize(count_words(docs, text_col), "words")
+    # the least count that at most ``size`` words reach, from a histogram of some hundred rows
+    level = F.floor(F.log2(F.col("n").cast("double")) * 16).cast("int")
+    held, least = 0, None
+    for row in counted.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("words"), F.min("n").alias("n")).orderBy(F.desc("level")).collect():
+        held += row["words"]
+        if held > size:
+            break
+        least = row["n"]
+    top = counted.where(F.col("n") >= least).select("word").collect() if least else []
     words = [w for w in (r["word"].encode() for r in top) if w]
     data = compile_lexicon(dict(zip(words, bpe.merge(words))))
     name = f"lexicon-{uuid.uuid4().hex}.npy"
