@@ -41,8 +41,8 @@ from hourgrid.session import checkpoint_dir, materialize
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
 SEPARATOR = "\x1f"
-#: Records read as one range, and what a range may hold.
-RANGE_RECORDS, RANGE_BYTES = 512, 4 << 20
+#: Records read as one range, what a range may hold, and the ranges of a task.
+RANGE_RECORDS, RANGE_BYTES, TASK_RANGES = 512, 4 << 20, 16
 _STAMP = (0, 0x21)  # 1980-01-01: packages of equal records are equal
 _BIG = 0xFFFFFFFF
 
@@ -292,7 +292,9 @@ def read_packages(spark: SparkSession, folder: str, with_payload: bool = True) -
                 kinds = [pa.string(), pa.string(), pa.binary(), pa.int64(), pa.string(), pa.string(), pa.string()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=list(Record._fields))
 
-    return ranges.repartition(F.col("path"), F.col("starts")[0]).mapInArrow(fetch, schema)
+    # a range is a short row that stands for megabytes: tasks are cut by their number, not by their bytes
+    tasks = max(1, -(-ranges.count() // TASK_RANGES))
+    return ranges.repartition(tasks, F.col("path"), F.col("starts")[0]).mapInArrow(fetch, schema)
 
 
 def _range(path: str, starts: list[int], sizes: list[int]) -> pa.RecordBatch:
