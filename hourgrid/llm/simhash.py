@@ -267,8 +267,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")).alias("first")
     reps = wide.select("doc_id", "fp").distinct().join(groups.select("fp", "root"), "fp").groupBy("root").agg(first)
     reps = materialize(reps.select(F.col("first.doc_id").alias("rep_id"), F.col("first.fp").alias("rep_fp")), "simhash-kept")
-    kept = wide.join(reps, (F.col("fp") == F.col("rep_fp")) & F.col("doc_id").eqNullSafe(F.col("rep_id")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "fp"]).select(*[F.col("row")[c].alias(c) for c in names])
+    # one key that is never null, so that the join and the removal of equal rows share one exchange of the texts
+    kept = wide.withColumn("key", F.struct("doc_id", "fp")).join(
+        reps.select(F.struct(F.col("rep_id").alias("doc_id"), F.col("rep_fp").alias("fp")).alias("key")), "key", "left_semi")
+    return kept.dropDuplicates(["key"]).select(*[F.col("row")[c].alias(c) for c in names])
 
 
 def op2_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
