@@ -19,7 +19,7 @@ class Rule(NamedTuple):
     confidence: float
 
 
-_S = r"[\s,;:_-]+"
+_S = r"(?:[\s,;:_-]+)"
 _V = r"(?:[\s,(]*+(?:version|ver\.?|v\.?)?\s*+)"
 _THE = r"(?:the\s+)?(?:terms\s+(?:and\s+conditions\s+)?of\s+)?(?:the\s+)?"
 
@@ -36,7 +36,7 @@ LICENCES = (
     ("agpl-3.0", r"AGPL-3\.0(?:-only|-or-later|\+)?", r"GNU\s+Affero\s+General\s+Public\s+Licen[sc]e", rf"(?:GNU\s+)?AGPL(?:{_S}?v?3(?:\.0)?)?", r"gnu\.org/licenses/agpl", True),
     ("gfdl", r"GFDL-1\.[1-3](?:-only|-or-later)?", r"GNU\s+Free\s+Documentation\s+Licen[sc]e", r"(?:GNU\s+)?GFDL", r"gnu\.org/(?:licenses/fdl|copyleft/fdl)", True),
     ("apache-1.1", r"Apache-1\.1", rf"Apache(?:\s+Software)?\s+Licen[sc]e{_V}1\.1", r"Apache[\s-]1\.1", r"apache\.org/licenses/LICENSE-1\.1", True),
-    ("apache-2.0", r"Apache-2\.0", rf"Apache(?:\s+Software)?\s+Licen[sc]e{_V}2(?:\.0)?", r"Apache[\s-]2(?:\.0)?", r"apache\.org/licenses/LICENSE-2\.0", True),
+    ("apache-2.0", r"Apache-2\.0", rf"Apache(?:\s+Software)?\s+Licen[sc]e{_V}2(?:\.0)?", r"Apache[\s-]2(?:\.0)?|ASL\s+2(?:\.0)?", r"apache\.org/licenses/LICENSE-2\.0", True),
     ("mit", r"MIT(?![-\w])", r"(?:The\s+)?MIT\s+(?:/\s*X11\s+)?Licen[sc]e", r"MIT(?!\w)", r"opensource\.org/licenses/MIT", False),
     ("mit-0", r"MIT-0", r"MIT\s+No\s+Attribution(?:\s+Licen[sc]e)?", r"MIT-0", r"opensource\.org/licenses/MIT-0", True),
     ("x11", r"X11(?![-\w])", r"X11\s+Licen[sc]e", r"X11\s+terms", r"spdx\.org/licenses/X11", False),
@@ -106,26 +106,29 @@ LICENCES = (
     ("json", r"JSON(?![-\w])", r"JSON\s+Licen[sc]e", r"JSON\s+terms", r"json\.org/license", False),
 )
 
-#: Notices that name no licence: label, keyword, pattern, priority, confidence.
+#: Notices that name no licence: label, keyword, pattern, priority, confidence. A keyword is one
+#: word: white space between words may be a line end.
 NOTICES = (
-    ("all-rights-reserved", "rights reserved", r"All\s+rights\s+reserved", 4, 0.7),
+    ("all-rights-reserved", "reserved", r"All\s+rights\s+reserved", 4, 0.7),
     ("copyright-notice", "copyright", r"Copyright\s*+(?:\(c\)|©)?\s*+(?:19|20)\d{2}", 4, 0.4),
     ("copyright-notice", "©", r"©\s*+(?:19|20)\d{2}", 4, 0.4),
-    ("public-domain", "public domain", r"(?:(?:is|are)\s+(?:in|released\s+(?:in)?to)|dedicated\s+to)\s+the\s+public\s+domain", 3, 0.8),
+    ("public-domain", "domain", r"(?:(?:is|are)\s+(?:in|released\s+(?:in)?to)|dedicated\s+to)\s+the\s+public\s+domain", 3, 0.8),
     ("proprietary", "proprietary", r"proprietary\s+and\s+confidential|proprietary\s+licen[sc]e", 3, 0.8),
-    ("no-redistribution", "redistribut", r"(?:may|must)\s+not\s+be\s+(?:copied|reproduced|redistributed)(?:\s+or\s+\w+)*|redistribution\s+(?:is\s+)?(?:strictly\s+)?prohibited", 4, 0.6),
+    ("no-redistribution", "copied", r"(?:may|must)\s+not\s+be\s+copied(?:\s+or\s+\w+)*", 4, 0.6),
+    ("no-redistribution", "reproduced", r"(?:may|must)\s+not\s+be\s+reproduced(?:\s+or\s+\w+)*", 4, 0.6),
+    ("no-redistribution", "redistributed", r"(?:may|must)\s+not\s+be\s+redistributed(?:\s+or\s+\w+)*", 4, 0.6),
+    ("no-redistribution", "redistribution", r"redistribution\s+(?:is\s+)?(?:strictly\s+)?prohibited", 4, 0.6),
     ("non-commercial", "commercial", r"for\s+non-?\s?commercial\s+(?:use|purposes)(?:\s+only)?", 4, 0.5),
-    ("mit-text", "permission is hereby granted", r"Permission\s+is\s+hereby\s+granted,?\s+free\s+of\s+charge,?\s+to\s+any\s+person", 2, 0.95),
-    ("bsd-text", "redistribution and use", r"Redistribution\s+and\s+use\s+in\s+source\s+and\s+binary\s+forms", 2, 0.9),
-    ("isc-text", "permission to use", r"Permission\s+to\s+use,\s+copy,\s+modify,\s+and(?:/or)?\s+distribute", 2, 0.9),
-    ("warranty-disclaimer", "without warrant", r"without\s+warrant(?:y|ies)\s+of\s+any\s+kind", 5, 0.3),
+    ("mit-text", "permission", r"Permission\s+is\s+hereby\s+granted,?\s+free\s+of\s+charge,?\s+to\s+any\s+person", 2, 0.95),
+    ("bsd-text", "redistribution", r"Redistribution\s+and\s+use\s+in\s+source\s+and\s+binary\s+forms", 2, 0.9),
+    ("isc-text", "permission", r"Permission\s+to\s+use,\s+copy,\s+modify,\s+and(?:/or)?\s+distribute", 2, 0.9),
+    ("warranty-disclaimer", "warrant", r"without\s+warrant(?:y|ies)\s+of\s+any\s+kind", 5, 0.3),
     ("licensed-unknown", "licen", r"Licen[sc]ed\s+under\s+(?:the\s+)?", 6, 0.2),
 )
 
 
-#: A text without any of these is not scanned: every notice and nearly every name holds one of
-#: them, and a short form or an address counts only in a text that speaks of rights at all.
-ANCHORS = ("licen", "copyright", "©", "rights reserved", "public domain", "proprietary", "redistribut", "commercial", "permission", "warrant", "creative")
+#: Short forms that share no keyword are rules of their own: keyword, pattern.
+MENTIONS = {"apache-2.0": (("apache", r"Apache[\s-]2(?:\.0)?"), ("asl", r"ASL\s+2(?:\.0)?"))}
 
 
 def _word(pattern: str) -> str:
@@ -146,7 +149,8 @@ def rules() -> list[Rule]:
         out.append(Rule(3, label, "licen", rf"(?i)(?<![A-Za-z0-9])Licen[sc]ed\s+under\s+{_THE}(?:{name}|{short})(?![A-Za-z0-9])", 0.9))
         out.append(Rule(3, label, _clue(address), rf"(?i){address}", 0.85))
         if clear:
-            out.append(Rule(5, label, _short_clue(label), _word(short), 0.6))
+            for keyword, part in MENTIONS.get(label, ((_short_clue(label), short),)):
+                out.append(Rule(5, label, keyword, _word(part), 0.6))
     out += [Rule(priority, label, keyword, rf"(?i){pattern}", confidence) for label, keyword, pattern, priority, confidence in NOTICES]
     return sorted(out, key=lambda r: r.priority)
 
@@ -161,3 +165,7 @@ def _name_clue(label: str, name: str) -> str:
 def _short_clue(label: str) -> str:
     return {"artistic-1.0": "artistic", "artistic-2.0": "artistic", "mit-0": "mit-0", "ms-pl": "ms-pl", "ms-rl": "ms-rl", "elastic-2.0": "elv2", "mulanpsl-2.0": "mulan",
             "eupl-1.2": "eupl", "sspl-1.0": "sspl", "unlicense": "unlicense"}.get(label, label.split("-")[0])
+
+
+#: The keywords of all rules: a text without any of them matches no rule.
+ANCHORS = tuple(sorted({r.keyword for r in rules()}))

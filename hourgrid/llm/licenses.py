@@ -1,7 +1,8 @@
 """Licence scan by ordered signature rules, as DataFrame expressions.
 
-A keyword prefilter works in two steps: texts without any anchor word are passed
-over, and in the others only rules whose own keyword occurs run their pattern. Their matches are intervals (code points) with the rule's priority.
+A keyword prefilter picks, per text, the rules that can match at all: each keyword
+is looked for once, and only patterns whose keyword occurs run. No pattern matches a
+text without its keyword. The matches are intervals (code points) with the rule's priority.
 An interval inside another one of equal or stronger priority is suppressed, so
 "GNU General Public License, version 3" leaves gpl-3.0 and not also gpl.
 
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourgrid.llm.common import ascii_lower, read
-from hourgrid.llm.license_rules import ANCHORS, Rule, rules
+from hourgrid.llm.license_rules import Rule, rules
 
 # fixed values: words, base phrases and their labels
 _CHARS = r"0-9A-Za-z\x{80}-\x{10FFFF}"
@@ -62,19 +63,22 @@ def _lengths(parts: Column) -> Column:
 def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", signatures: list[Rule] | None = None) -> DataFrame:
     """One row per document: doc_id, n_words, places (base), detections (start, end, label, confidence), labels, score."""
     signatures = signatures or rules()
-    table = F.array(*[F.struct(F.lit(r.priority).alias("priority"), F.lit(i).alias("rule"), F.lit(r.label).alias("label"),
-                               F.lit(r.keyword).alias("keyword"), F.lit(r.pattern).alias("pattern"), F.lit(r.confidence).alias("confidence"))
-                      for i, r in enumerate(signatures)])
+    held: dict[str, list[Column]] = {}
+    for i, r in enumerate(signatures):
+        held.setdefault(r.keyword, []).append(F.struct(
+            F.lit(r.priority).alias("priority"), F.lit(i).alias("rule"), F.lit(r.label).alias("label"),
+            F.lit(r.pattern).alias("pattern"), F.lit(r.confidence).alias("confidence")))
+    table = F.array(*[F.struct(F.lit(k).alias("keyword"), F.array(*own).alias("rules")) for k, own in held.items()])
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     df = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text.alias("text"), F.lower(text).alias("low"))
     low = F.col("low")
     phrase_words = sorted({p.split()[-1] for p, _ in PHRASES} - {"by"}) + ["cc"]
     has_base = _any(low, phrase_words) & F.col("text").rlike(_has_phrase())
-    chosen = F.filter(table, lambda r: F.contains(low, r["keyword"]))
+    chosen = F.flatten(F.transform(F.filter(table, lambda k: F.contains(low, k["keyword"])), lambda k: k["rules"]))
     df = df.select(
         "doc_id", "text", F.regexp_count("text", F.lit(f"[{_CHARS}]+")).cast("long").alias("n_words"),
         F.when(has_base, F.transform(F.regexp_extract_all("text", F.lit(f"[{_CHARS}]+"), F.lit(0)), ascii_lower)).alias("words"),
-        F.when(_any(low, list(ANCHORS)), chosen).alias("chosen"))
+        chosen.alias("chosen"))
     # each rule's matches, and the pieces of the text between them, give its intervals
     found = F.transform("chosen", lambda r: F.struct(
         r["priority"].alias("priority"), r["rule"].alias("rule"), r["label"].alias("label"), r["confidence"].alias("confidence"),
