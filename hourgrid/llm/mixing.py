@@ -5,7 +5,10 @@ documents ``floor(target / source_size)`` times and, for the rest of its budget,
 once more those whose draw is below a threshold. The threshold is found without
 sorting: sizes are summed by (source, bucket of the draw), the bucket in which
 the budget ends is cut into buckets again, and so on until the draw's last bit.
-Only the boundary bucket is refined. Larger budgets only add documents (nested).
+Only the boundary bucket is refined. Rows that share the draw in which the budget
+ends (one id with several contents, null ids) are refined in the same way by a hash
+of their content, so they are not taken or left as one block. Larger budgets only
+add documents (nested).
 
 Targets: sources in code point order, null last, weigh 5, 2, 1, repeating, and
 share all words by weight; a target stops at 3 times its source's size and the
@@ -15,8 +18,8 @@ The document in which a budget ends is taken if that is nearer to the budget.
 
 Defined results: null texts have size 0 and take 0 words; a null source is a
 source of its own; a null id draws as an id of its own. Equal rows (id, source,
-size) get draws of their own by a copy number, so a row that is repeated very
-often is still split. An empty table gives no rows.
+size; in ``mixed_documents`` all columns) get draws of their own by a copy number,
+so a row that is repeated very often is still split. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,6 +32,8 @@ from hourgrid.session import materialize
 
 WEIGHTS, MOST = (5.0, 2.0, 1.0), 3
 DRAW_BITS, STEP_BITS = 52, 13
+#: Copies of a row are numbered in blocks of so many.
+COPY_BLOCK = 100_000
 
 
 def word_count(text: Column) -> Column:
@@ -39,6 +44,19 @@ def draw(doc_id: Column, copy: Column) -> Column:
     return md5_int(F.concat(F.lit("mix/"), key_text(doc_id), F.lit("/"), copy.cast("string")))
 
 
+def tie_break(*content: Column) -> Column:
+    """The order of rows with the same draw: as many bits as a draw, of a hash of the content."""
+    return F.shiftrightunsigned(F.xxhash64(*content), 64 - DRAW_BITS)
+
+
+def each_copy(groups: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` of every group ``_n`` times, with ``_copy`` from 1 to ``_n``."""
+    last = F.floor((F.col("_n") - 1) / COPY_BLOCK).cast("long")
+    blocks = groups.select(*columns, "_n", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("_block"))
+    first = F.col("_block") * COPY_BLOCK
+    return blocks.select(*columns, F.explode(F.sequence(first + 1, F.least(F.col("_n"), first + COPY_BLOCK))).alias("_copy"))
+
+
 def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOST) -> DataFrame:
     """(source, source_size) with the target of each source.
 
@@ -67,48 +85,63 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float
                         F.least(F.col("cap"), F.coalesce("level", F.lit(0.0)) * F.col("w")).alias("target"))
 
 
-def thresholds(rows: DataFrame, plan: DataFrame, draw_bits: int = DRAW_BITS, step_bits: int = STEP_BITS) -> DataFrame:
-    """(source, full, limit): copies of every document, and the draw below which one more is taken.
-
-    ``rows`` has (sid, size, draw) and is read once a level; ``plan`` has (sid,
-    source_size, target). Histograms have at most 2**step_bits rows per source.
-    """
-    full = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
-    state = plan.select("sid", full.alias("full"),
-                        (F.col("target") - full * F.col("source_size")).alias("budget"),
-                        F.lit(0).cast("long").alias("prefix"))
-    state = materialize(state, "mix-level")
-    bits = draw_bits
+def _descend(rows: DataFrame, state: DataFrame, bits: int, step_bits: int) -> DataFrame:
+    """``state`` (sid, full, budget, prefix) with the draw in which each budget ends as prefix, the budget left
+    before it, and the size (edge_size) and rows (edge_rows) of that draw."""
     while bits > 0:
         step = min(step_bits, bits)
         low = bits - step
         inside = F.shiftright("draw", bits) == F.col("prefix")
         bucket = F.shiftright("draw", low).alias("bucket")
         held = attach(rows, state, ["sid"], state.count(), F.col("draw"))
-        sums = held.where(inside).groupBy("sid", "budget", bucket).agg(F.sum("size").alias("s"))
+        sums = held.where(inside).groupBy("sid", "budget", bucket).agg(F.sum("size").alias("s"), F.count(F.lit(1)).alias("n"))
         upto = Window.partitionBy("sid").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        cum = sums.select("sid", "budget", "bucket", "s", F.sum("s").over(upto).alias("cum"))
+        cum = sums.select("sid", "budget", "bucket", "s", "n", F.sum("s").over(upto).alias("cum"))
         edge = (cum.where(F.col("cum") > F.col("budget")).groupBy("sid")
-                .agg(F.min(F.struct("bucket", (F.col("cum") - F.col("s")).alias("before"), "s")).alias("e")))
+                .agg(F.min(F.struct("bucket", (F.col("cum") - F.col("s")).alias("before"), "s", "n")).alias("e")))
         nxt = state.join(edge, "sid", "left").select(
             "sid", "full",
             F.when(F.col("e").isNotNull(), F.col("budget") - F.col("e.before")).otherwise(F.col("budget")).alias("budget"),
             # no boundary (all fits): a prefix beyond every draw takes all that is left
             F.when(F.col("e").isNotNull(), F.col("e.bucket")).otherwise(F.shiftleft(F.col("prefix") + 1, step) ).alias("prefix"),
-            F.col("e.s").alias("edge_size"))
+            F.col("e.s").alias("edge_size"), F.col("e.n").alias("edge_rows"))
         state = materialize(nxt, "mix-level")
         bits = low
-    # the last bucket is one draw: take it when that is nearer to the budget
-    near = F.coalesce(2 * F.col("budget") >= F.col("edge_size"), F.lit(False))
-    return state.select("sid", "full", (F.col("prefix") + near.cast("long")).alias("limit"))
+    return state
+
+
+def thresholds(rows: DataFrame, plan: DataFrame, draw_bits: int = DRAW_BITS, step_bits: int = STEP_BITS) -> DataFrame:
+    """(sid, full, limit, tie_limit): copies of every document, and the draw below which one more is taken;
+    of the rows whose draw is the limit, those with a tie below ``tie_limit``.
+
+    ``rows`` has (sid, size, draw, and tie if draws may be shared) and is read once a level; ``plan`` has (sid,
+    source_size, target). Histograms have at most 2**step_bits rows per source.
+    """
+    full = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
+    state = plan.select("sid", full.alias("full"),
+                        (F.col("target") - full * F.col("source_size")).alias("budget"),
+                        F.lit(0).cast("long").alias("prefix"))
+    state = _descend(rows, materialize(state, "mix-level"), draw_bits, step_bits)
+    # the last bucket is one draw (of one row, or one tie): take it when that is nearer to the budget
+    limit = F.col("prefix") + F.coalesce(2 * F.col("budget") >= F.col("edge_size"), F.lit(False)).cast("long")
+    shared = F.coalesce(F.col("edge_rows") > 1, F.lit(False))
+    whole = state.select("sid", "full", limit.alias("limit"), F.lit(0).cast("long").alias("tie_limit"))
+    if "tie" not in rows.columns or state.where(shared).isEmpty():
+        return whole
+    edges = state.where(shared)
+    own = attach(rows, edges.select("sid", F.col("prefix").alias("_edge")), ["sid"], edges.count(), F.col("tie"))
+    own = materialize(own.where(F.col("draw") == F.col("_edge")).select("sid", "size", F.col("tie").alias("draw")), "mix-ties")
+    ties = _descend(own, materialize(edges.select("sid", "full", "budget", F.lit(0).cast("long").alias("prefix")), "mix-level"), DRAW_BITS, step_bits)
+    ties = edges.select("sid", "full", F.col("prefix").alias("limit")).join(ties.select("sid", limit.alias("tie_limit")), "sid")
+    return whole.join(edges, "sid", "left_anti").unionByName(ties)
 
 
 def _planned(rows: DataFrame) -> tuple[DataFrame, int]:
-    """Per source its target, copies and threshold; ``rows`` (source, size, draw) is a stored table."""
+    """Per source its target, copies and threshold; ``rows`` (source, size, draw, tie) is a stored table."""
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     plan = targets(sizes).withColumn("sid", source_key(F.col("source")))
     plan = materialize(plan, "mix-targets")
-    limits = thresholds(rows.select(source_key(F.col("source")).alias("sid"), "size", "draw"),
+    limits = thresholds(rows.select(source_key(F.col("source")).alias("sid"), "size", "draw", "tie"),
                         plan.select("sid", "source_size", "target"))
     plan = materialize(plan.join(limits, "sid"), "mix-plan")
     return plan, plan.count()
@@ -119,20 +152,26 @@ def source_key(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), source), F.lit(""))
 
 
-def copies(full: Column, limit: Column, draw_: Column) -> Column:
-    return full + (draw_ < limit).cast("long")
+def copies(full: Column, limit: Column, tie_limit: Column, draw_: Column, tie: Column) -> Column:
+    return full + ((draw_ < limit) | ((draw_ == limit) & (tie < tie_limit))).cast("long")
+
+
+def _copies() -> Column:
+    return copies(F.col("full"), F.col("limit"), F.col("tie_limit"), F.col("draw"), F.col("tie"))
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """One row per input row: doc_id, size, source_size, target, taken (words), copies, source."""
     sized = docs.select(docs[id_col].alias("doc_id"), docs[source_col].alias("source"), word_count(docs[text_col]).alias("size"))
     groups = sized.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("_n"))
-    rows = groups.select("doc_id", "source", "size", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))).alias("_copy"))
-    rows = materialize(rows.select("doc_id", "source", "size", draw(F.col("doc_id"), F.col("_copy")).alias("draw")), "mix-rows")
+    rows = each_copy(groups, ["doc_id", "source", "size"])
+    # rows of a source with the same draw have the same id and differ in size
+    rows = materialize(rows.select("doc_id", "source", "size", draw(F.col("doc_id"), F.col("_copy")).alias("draw"),
+                                   tie_break(F.col("doc_id"), F.col("size")).alias("tie")), "mix-rows")
     plan, n = _planned(rows)
     placed = attach(rows.withColumn("sid", source_key(F.col("source"))),
-                    plan.select("sid", "source_size", "target", "full", "limit"), ["sid"], n, F.col("draw"))
-    times = copies(F.col("full"), F.col("limit"), F.col("draw"))
+                    plan.select("sid", "source_size", "target", "full", "limit", "tie_limit"), ["sid"], n, F.col("draw"))
+    times = _copies()
     return placed.select("doc_id", "size", "source_size", "target", (F.col("size") * times).alias("taken"),
                          times.alias("copies"), "source")
 
@@ -140,17 +179,29 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The mix itself: ``docs`` with each row as often as it is taken (0 to 3 times).
 
-    Rows equal in id, source and text draw together here.
+    Rows equal in all columns are numbered as in ``mix``; rows of one id that differ are told apart by a hash of all columns.
     """
     names = docs.columns
-    keyed = docs.select(F.struct("*").alias("_row"), docs[id_col].alias("_id"), docs[source_col].alias("_source"), docs[text_col].alias("_text"))
-    sized = keyed.select(F.col("_source").alias("source"), word_count(F.col("_text")).alias("size"),
-                         draw(F.col("_id"), F.lit(1)).alias("draw"))
-    plan, n = _planned(materialize(sized, "mix-rows"))
-    placed = attach(keyed.select("_row", source_key(F.col("_source")).alias("sid"), draw(F.col("_id"), F.lit(1)).alias("draw")),
-                    plan.select("sid", "full", "limit"), ["sid"], n, F.col("draw"))
-    times = copies(F.col("full"), F.col("limit"), F.col("draw")).cast("int")
-    taken = placed.select("_row", F.explode(F.when(times > 0, F.sequence(F.lit(1), times)).otherwise(F.array().cast("array<int>"))).alias("_copy"))
+    keyed = docs.select(F.struct("*").alias("_row"), docs[id_col].alias("_id"), docs[source_col].alias("_source"),
+                        word_count(docs[text_col]).alias("_size"), F.xxhash64(*[docs[c] for c in names]).alias("_hash"))
+    keys = ["_id", "_source", "_hash"]
+    groups = materialize(keyed.groupBy(*keys, "_size").agg(F.count(F.lit(1)).alias("_n")), "mix-groups")
+    draws = [draw(F.col("_id"), F.col("_copy")).alias("draw"), tie_break(F.col("_hash")).alias("tie")]
+    rows = each_copy(groups, [*keys, "_size"])
+    plan, n = _planned(materialize(rows.select(F.col("_source").alias("source"), F.col("_size").alias("size"), *draws), "mix-rows"))
+    again = groups.where(F.col("_n") > 1).select("_hash", F.lit(True).alias("_again")).distinct()
+    keyed = keyed.select("_row", *keys)
+    if not again.isEmpty():  # only repeated rows are exchanged, counted before that
+        marked = attach(keyed, again, ["_hash"], again.count(), F.spark_partition_id())
+        equal = marked.where("_again").groupBy("_row", *keys).agg(F.count(F.lit(1)).alias("_n"))
+        single = marked.where(F.col("_again").isNull()).select("_row", *keys, F.lit(1).cast("long").alias("_copy"))
+        keyed = single.unionByName(each_copy(equal, ["_row", *keys]))
+    else:
+        keyed = keyed.withColumn("_copy", F.lit(1).cast("long"))
+    placed = attach(keyed.select("_row", source_key(F.col("_source")).alias("sid"), *draws),
+                    plan.select("sid", "full", "limit", "tie_limit"), ["sid"], n, F.col("tie"))
+    times = _copies().cast("int")
+    taken = placed.select("_row", F.explode(F.when(times > 0, F.sequence(F.lit(1), times)).otherwise(F.array().cast("array<int>"))).alias("_time"))
     return taken.select(*[F.col("_row")[c].alias(c) for c in names])
 
 
