@@ -47,10 +47,19 @@ _DOMAIN = r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 _IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 _CARD = r"[0-9](?:[ -]?[0-9])++"
 _PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
-_IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}+(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+#: Looks ahead, as what follows an IBAN may look like a part of it and may be another one.
+_IBAN = r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}+(?: ?[A-Z0-9]{1,3})?))"
 _SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 
 
+#: Characters of an IBAN by country.
+IBAN_SIZES = {country: size for size, countries in {
+    15: "NO", 16: "BE", 18: "DK FK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU",
+    31: "MT SC", 32: "LC", 33: "RU"}.items() for country in countries.split()}
+
+
 def luhn(digits: str) -> bool:
     odd = sum(map(int, digits[-1::-2]))
     return (odd + sum(d * 2 - 9 * (d > 4) for d in map(int, digits[-2::-2]))) % 10 == 0
@@ -74,6 +83,23 @@ def _emails(text: str, domain) -> list[tuple[int, int]]:
     return found
 
 
+def _iban_end(text: str, start: int, end: int) -> int:
+    """Where the IBAN proposed at [start, end) ends, 0 if the check confirms no end.
+
+    Ends are where a run of letters and digits ends. The length of the country comes first, then
+    the longest end and, for a country without a known length, the shorter ones down to 15 characters.
+    """
+    ends, size = [], IBAN_SIZES.get(text[start:start + 2])
+    for e in range(end, start + 14, -1):
+        if text[e - 1] != " " and not (text[e:e + 1].isascii() and text[e:e + 1].isalnum()):
+            code = text[start:e].replace(" ", "")
+            if len(code) == size:
+                ends.insert(0, (e, code))
+            elif not size or not ends:
+                ends.append((e, code))
+    return next((e for e, code in ends if 15 <= len(code) <= 34 and mod97(code)), 0)
+
+
 def _octets(text: str) -> bool:
     return all(len(p := part.lstrip("0")) < 4 and int(p or 0) <= 255 for part in text.split("."))
 
@@ -112,10 +138,11 @@ class Finder:
         found = []
         if not self.digit(text):
             return found
+        free = 0
         for m in self.iban(text):
-            code = m[0].replace(" ", "")
-            if 15 <= len(code) <= 34 and mod97(code):
-                found.append((m.start(), m.end(), "iban"))
+            if m.start() >= free and (end := _iban_end(text, m.start(), m.end(1))):
+                found.append((m.start(), end, "iban"))
+                free = end
         for m in self.ssn(text):
             area, group, serial = m[0].split("-")
             if area not in ("000", "666") and area < "900" and group != "00" and serial != "0000":
