@@ -4,7 +4,7 @@
    texts. Each task keeps one table of units between spaces; when it holds
    ``UNITS`` units it is written out, without the units seen once in it, so a
    count is short by at most one per table written.
-2. The most frequent words, at most ``LEXICON``, are merged on the driver and compiled into
+2. The most frequent words, at most ``LEXICON`` and of at most ``LONGEST`` bytes, are merged on the driver and compiled into
    a minimal acyclic automaton: words share prefixes and suffixes. Arc outputs
    add up to a word's number, which leads to its ids. It is written once to the
    shared folder, sent to every executor as a file, and memory-mapped there.
@@ -40,6 +40,8 @@ from hourgrid.llm.common import read
 from hourgrid.session import checkpoint_dir, materialize
 
 LEXICON, UNITS = 100_000, 300_000
+#: Words of more bytes are not taken into the lexicon, which the driver holds; they are merged like other words that it lacks.
+LONGEST = 256
 #: Characters encoded at once; units remembered by a task.
 CHUNK, MEMO = 1 << 20, 300_000
 _SHORT = 64  # words up to this many bytes are merged together, longer ones by a heap
@@ -200,17 +202,20 @@ def compile_lexicon(entries: dict[bytes, tuple[int, ...]]) -> np.ndarray:
                 todo.append(target)
     below: dict[int, int] = {}
 
-    def words_below(state: int) -> int:  # depth is at most the longest word
-        if state not in below:
-            below[state] = final[state] + sum(words_below(t) for t in arcs[state].values())
-        return below[state]
-
+    todo = [0]
+    while todo:  # a state is counted after all that its arcs lead to
+        state = todo[-1]
+        missing = [t for t in arcs[state].values() if t not in below]
+        if missing:
+            todo += missing
+        else:
+            below[todo.pop()] = final[state] + sum(below[t] for t in arcs[state].values())
     rows = []
     for state in order:
         passed = int(final[state])
         for byte, target in sorted(arcs[state].items()):
             rows.append(((number[state] << 8) | byte, number[target], passed))
-            passed += words_below(target)
+            passed += below[target]
     rows.sort()
     table = np.array(rows, dtype=np.int64).reshape(-1, 3)
     ids = [entries[w] for w in words]
@@ -365,7 +370,7 @@ def build_lexicon(docs: DataFrame, bpe: Bpe, text_col: str = "text", size: int =
     from pyarrow import fs
 
     spark = docs.sparkSession
-    counted = materialize(count_words(docs, text_col), "words")
+    counted = materialize(count_words(docs, text_col).where(F.octet_length("word") <= LONGEST), "words")
     # the least count that at most ``size`` words reach, from a histogram of some hundred rows
     level = F.floor(F.log2(F.col("n").cast("double")) * 16).cast("int")
     held, least = 0, None
