@@ -94,8 +94,8 @@ def build(x: np.ndarray, members: np.ndarray | None = None, radius: float = 2.0)
     todo = [(root, radius)]
     while todo:
         node, r = todo.pop()
-        while len(node.members) > LEAF and r / 2 >= node.radius:
-            r /= 2  # a level that this node covers alone
+        while len(node.members) > LEAF and r >= 1e-6 and r / 2 >= node.radius:
+            r /= 2  # a level that this node covers alone; members in one point (radius 0) end as a leaf
         if len(node.members) <= LEAF or r < 1e-6:
             continue
         node.children = [Node(int(m[0]), d, m, []) for m, d in _net(x, node.members, r / 2)]
