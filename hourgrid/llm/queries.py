@@ -13,6 +13,7 @@ from hourgrid.llm.licenses import op5_signature_rules
 from hourgrid.llm.mixing import op9_mix_by_threshold
 from hourgrid.llm.pii import op1_pii_checksums
 from hourgrid.llm.quality import op6_decision_list
+from hourgrid.llm.secret_battery import op11_secret_battery
 from hourgrid.llm.sharding import op4_hash_tree_shards
 from hourgrid.llm.simhash import op2_simhash_trie
 from hourgrid.llm.url_filter import op7_url_reputation
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_cover_tree": op8_cover_tree,
     "op9_mix_by_threshold": op9_mix_by_threshold,
     "op10_zip_archives": op10_zip_archives,
+    "op11_secret_battery": op11_secret_battery,
 }
 
 #: The others are beyond SQL (XXH64, CRC-32, BPE, checksums, learned rules): tested against brute force.
