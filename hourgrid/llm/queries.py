@@ -11,6 +11,7 @@ from hourgrid.llm.bpe import op3_bpe_transducer
 from hourgrid.llm.cover_tree import op8_cover_tree
 from hourgrid.llm.licenses import op5_signature_rules
 from hourgrid.llm.mixing import op9_mix_by_threshold
+from hourgrid.llm.periodic_runs import op12_recompressed_runs
 from hourgrid.llm.pii import op1_pii_checksums
 from hourgrid.llm.quality import op6_decision_list
 from hourgrid.llm.secret_battery import op11_secret_battery
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mix_by_threshold": op9_mix_by_threshold,
     "op10_zip_archives": op10_zip_archives,
     "op11_secret_battery": op11_secret_battery,
+    "op12_recompressed_runs": op12_recompressed_runs,
 }
 
 #: The others are beyond SQL (XXH64, CRC-32, BPE, checksums, learned rules): tested against brute force.
