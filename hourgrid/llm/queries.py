@@ -17,6 +17,7 @@ from hourgrid.llm.quality import op6_decision_list
 from hourgrid.llm.secret_battery import op11_secret_battery
 from hourgrid.llm.sharding import op4_hash_tree_shards
 from hourgrid.llm.simhash import op2_simhash_trie
+from hourgrid.llm.token_alignment import op13_end_slices
 from hourgrid.llm.url_filter import op7_url_reputation
 from hourgrid.llm.warc import op10_zip_archives
 
@@ -33,6 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_zip_archives": op10_zip_archives,
     "op11_secret_battery": op11_secret_battery,
     "op12_recompressed_runs": op12_recompressed_runs,
+    "op13_end_slices": op13_end_slices,
 }
 
 #: The others are beyond SQL (XXH64, CRC-32, BPE, checksums, learned rules): tested against brute force.
