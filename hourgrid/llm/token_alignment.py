@@ -1,13 +1,13 @@
 """Alignment of two tokenizers' tokens over the same bytes, and corpus-wide counts of aligned id pairs.
 
-1. Each text is encoded by a byte-level BPE (A, with a space before it) and by a
-   sentencepiece model (B, which adds one). Texts of more than ``CHUNK`` characters
-   are encoded in parts, cut before a single space between other characters, where
-   neither tokenizer merges across.
+1. A text is cut before each single space between other characters, where neither
+   tokenizer merges across. The units between are encoded by a byte-level BPE (A, with
+   a space before each) and by a sentencepiece model (B, which adds one).
 2. Byte lengths of the tokens add up to their ends. The ends of each side are keys of
    a dictionary to token numbers; the keys that both hold, sorted, slice both id
    lists into groups, and the links of each slice are expanded: all pairs if one side
-   is a single token, else those that overlap by their ends.
+   is a single token, else those that overlap by their ends. All units that a task
+   has not met are aligned together, and each is remembered with its result.
 3. A document keeps its distinct linked pairs with their number, in one row. Pairs are
    counted by documents with map-side sums. Counts go back to the documents: the most
    frequent pairs, at most ``HOT``, are broadcast; the others meet the documents that
@@ -17,8 +17,8 @@
 Defined results: null and empty texts, and texts that a tokenizer does not give back
 byte by byte, have no tokens: zeros and an empty ``groups_sha256``. Repeated rows and
 null ids are documents of their own; an empty table gives no rows; other columns,
-whatever their names, are not read. A task holds ``CHUNK`` characters' tokens at a
-time and one document's distinct pairs, also for very long texts.
+whatever their names, are not read. A task holds up to ``MEMO`` units, and of very
+long texts ``CHUNK`` characters and the distinct pairs.
 """
 
 from __future__ import annotations
@@ -37,8 +37,10 @@ from hourgrid.llm.bpe import _byte_of_char, vocabulary_path
 from hourgrid.llm.common import read
 from hourgrid.session import materialize
 
-#: Characters encoded at once; pairs broadcast at most (16 bytes each, some 10 MB in a hash table).
-CHUNK, HOT = 1 << 18, 200_000
+#: Characters cut into units at once; units remembered by a task, and their characters.
+CHUNK, MEMO, MEMO_CHARS = 1 << 18, 500_000, 1 << 25
+#: Pairs broadcast at most (16 bytes each, some 10 MB in a hash table).
+HOT = 200_000
 _SAFE_CUT = r"(?<=\S) (?=\S)"
 
 
@@ -66,32 +68,43 @@ class Tokenizers:
         self.bytes_b = [bytes([int(m[1], 16)]) if (m := byte(p)) else p.replace("▁", " ").encode() for p in pieces]
         self.size_b = len(pieces)
         self.sizes_a, self.sizes_b = (np.array([len(x) for x in side], dtype=np.int64) for side in (self.bytes_a, self.bytes_b))
-        #: no piece of B goes on after its first other character into a space, so parts cut there are encoded alike
-        self.cut = None if any("▁" in p.lstrip("▁") for p in pieces) else re.compile(_SAFE_CUT).search
+        #: no piece of B goes on after its first other character into a space, so units are encoded alike
+        self.cut = None if any("▁" in p.lstrip("▁") for p in pieces) else re.compile(_SAFE_CUT)
         texts = lambda n, end: np.array([f"{i}{end}" for i in range(n)], dtype=object)
         self.text_a = (texts(len(self.bytes_a), ","), texts(len(self.bytes_a), "|"))
         self.text_b = (texts(self.size_b, ","), texts(self.size_b, ";"))
 
-    def parts(self, text: str, chunk: int):
-        """Parts that both tokenizers encode on their own; all but the first without the space before them."""
+    def blocks(self, text: str, chunk: int):
+        """Blocks of about ``chunk`` characters, cut where units are cut; all but the first without the space before them."""
         at = 0
-        while self.cut and len(text) - at > chunk and (m := self.cut(text, at + chunk)):
+        while self.cut and len(text) - at > chunk and (m := self.cut.search(text, at + chunk)):
             yield text[at:m.start()]
             at = m.start() + 1
         yield text[at:] if at else text
 
-    def encode(self, text: str, chunk: int = CHUNK) -> list[tuple[np.ndarray, np.ndarray]] | None:
-        """Ids of A and B part by part; None if either does not give the text back."""
-        out = []
-        for part in self.parts(text, chunk):
-            want = (" " + part).encode()
-            a = self.a.encode_batch_fast([" " + part], add_special_tokens=False)[0].ids
-            if b"".join(map(self.bytes_a.__getitem__, a)) != want:
-                return None
-            b = self.b.encode(part)
-            if b"".join(map(self.bytes_b.__getitem__, b)) != want:
-                return None
-            out.append((np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)))
+    def units(self, block: str) -> list[str]:
+        return self.cut.split(block) if self.cut else [block]
+
+    def together(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
+        """Ids of A and B of units that join to a text with the same cuts, and how many of them each has; None if a unit is not given back."""
+        text = " ".join(units)
+        want = (" " + text).encode()
+        a, b = self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids, self.b.encode(text)
+        if b"".join(map(self.bytes_a.__getitem__, a)) != want or b"".join(map(self.bytes_b.__getitem__, b)) != want:
+            return None
+        a, b = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
+        ends = np.cumsum([1 + (len(u) if u.isascii() else len(u.encode())) for u in units])
+        stops = [np.searchsorted(np.cumsum(size[ids]), ends, side="right") for size, ids in ((self.sizes_a, a), (self.sizes_b, b))]
+        return a, b, *(np.diff(np.append(0, stop)) for stop in stops)
+
+    def encode(self, units: list[str]) -> list[tuple[list[int], list[int]] | None]:
+        """Ids of A and B of each unit; None where either does not give the unit back."""
+        spaced = [" " + u for u in units]
+        out: list[tuple[list[int], list[int]] | None] = []
+        by_a, by_b = self.bytes_a.__getitem__, self.bytes_b.__getitem__
+        for text, a, b in zip(spaced, self.a.encode_batch_fast(spaced, add_special_tokens=False), self.b.encode(units)):
+            want, a = text.encode(), a.ids
+            out.append((a, b) if b"".join(map(by_a, a)) == want == b"".join(map(by_b, b)) else None)
         return out
 
 
@@ -126,8 +139,8 @@ def links_of(cut_a: np.ndarray, cut_b: np.ndarray, ends_a: np.ndarray, ends_b: n
     return np.concatenate(left), np.concatenate(right)
 
 
-def groups_text(tokens: Tokenizers, a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> str:
-    """``a1,a2|b1;a3|b2,b3;``: the ids of each slice, with a semicolon after each."""
+def group_words(tokens: Tokenizers, a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> np.ndarray:
+    """The ids of each slice in order: ``a1,`` ``a2|`` ``b1;`` and so on."""
     last_a, last_b = np.zeros(len(a), dtype=bool), np.zeros(len(b), dtype=bool)
     last_a[cut_a - 1], last_b[cut_b - 1] = True, True
     group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
@@ -137,33 +150,127 @@ def groups_text(tokens: Tokenizers, a: np.ndarray, b: np.ndarray, cut_a: np.ndar
     place_b = np.arange(len(b)) + cut_a[group_b]
     words[place_a] = np.where(last_a, tokens.text_a[1][a], tokens.text_a[0][a])
     words[place_b] = np.where(last_b, tokens.text_b[1][b], tokens.text_b[0][b])
-    return "".join(words.tolist())
-
-
-def align(tokens: Tokenizers, text: str | None, chunk: int = CHUNK, groups: bool = False) -> tuple:
-    """(n_a, n_b, n_groups, n_links, groups_sha256, distinct pairs, number of each[, text of the groups])."""
-    nothing = np.zeros(0, dtype=np.int64)
-    parts = tokens.encode(text, chunk) if text else None
-    if not parts:
-        return (0, 0, 0, 0, "", nothing, nothing, "") if groups else (0, 0, 0, 0, "", nothing, nothing)
-    counts, digest, pairs, times, shown = np.zeros(4, dtype=np.int64), hashlib.sha256(), [], [], []
-    for k, (a, b) in enumerate(parts):
+    return words
+
+
+class Aligner:
+    """Aligns texts unit by unit; remembers units."""
+
+    def __init__(self, tokens: Tokenizers):
+        self.tokens = tokens
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.said: list[str] = []                       # ids of the unit's groups, with a semicolon after each
+        self.counts = np.zeros((1024, 4), dtype=np.int64)   # n_a, n_b, n_groups, n_links; -1: not given back
+        self.pairs, self.first, self.used, self.chars = np.zeros(4096, dtype=np.int64), np.zeros(1025, dtype=np.int64), 0, 0
+
+    def learn(self, units: list[str]) -> None:
+        """Align new units together: they stand one behind the other, so every unit's end is a common end."""
+        tokens, n = self.tokens, len(self.said)
+        # joined by spaces, units with white space at their edges would be cut otherwise; a text that B can't give back is known by its mark
+        plain = [u for u in units if not (u[0].isspace() or u[-1].isspace() or "▁" in u)] if tokens.cut else []
+        joined = tokens.together(plain) if plain else None
+        if joined is None:
+            plain = []
+        odd = sorted(set(units).difference(plain))
+        units, coded = plain + odd, tokens.encode(odd)
+        a, b, size_a, size_b = joined or (np.zeros(0, dtype=np.int64),) * 4
+        a, b = (np.append(ids, [i for c in coded if c for i in c[k]]).astype(np.int64) for k, ids in enumerate((a, b)))
+        size_a, size_b = (np.append(size, [len(c[k]) if c else 0 for c in coded]).astype(np.int64) for k, size in enumerate((size_a, size_b)))
         ends_a, ends_b = np.cumsum(tokens.sizes_a[a]), np.cumsum(tokens.sizes_b[b])
         cut_a, cut_b = slices(ends_a, ends_b)
         x, y = links_of(cut_a, cut_b, ends_a.tolist(), ends_b.tolist())
-        said = groups_text(tokens, a, b, cut_a, cut_b)[:-1]
-        digest.update(((";" if k else "") + said).encode())
-        if groups:
-            shown.append(said)
-        found, n = np.unique(a[x] * tokens.size_b + b[y], return_counts=True)
-        pairs.append(found)
-        times.append(n)
-        counts += (len(a), len(b), len(cut_a), len(x))
-    if len(parts) > 1:
-        found, where = np.unique(np.concatenate(pairs), return_inverse=True)
-        n = np.bincount(where, weights=np.concatenate(times)).astype(np.int64)
-    row = (*counts.tolist(), digest.hexdigest(), found, n)
-    return (*row, ";".join(shown)) if groups else row
+        stop_a, stop_b = np.cumsum(size_a), np.cumsum(size_b)
+        owner = np.searchsorted(stop_a, x, side="right")
+        groups = np.diff(np.append(0, np.searchsorted(cut_a, stop_a, side="right")))
+        links = np.bincount(owner, minlength=len(units))
+        order = np.argsort(owner, kind="stable")
+        words = group_words(tokens, a, b, cut_a, cut_b).tolist()
+        at = 0
+        for stop in (stop_a + stop_b).tolist():
+            self.said.append("".join(words[at:stop]))
+            at = stop
+        self.counts = _room(self.counts, n + len(units))
+        self.counts[n:n + len(units)] = np.stack([size_a, size_b, groups, links], axis=1)
+        self.counts[n + len(plain) + np.array([i for i, c in enumerate(coded) if c is None], dtype=np.int64)] = -1
+        self.pairs = _room(self.pairs, self.used + len(x))
+        self.pairs[self.used:self.used + len(x)] = (a[x] * tokens.size_b + b[y])[order]
+        self.first = _room(self.first, n + len(units) + 1)
+        self.first[n + 1:n + len(units) + 1] = self.used + np.cumsum(links)
+        self.used += len(x)
+        self.chars += sum(map(len, units))
+        self.number.update(zip(units, range(n, n + len(units))))
+
+    def block(self, units: list[str]) -> np.ndarray:
+        """Numbers of the units, new ones learnt."""
+        new = set(units).difference(self.number)
+        if new:
+            if len(self.number) + len(new) > MEMO or self.chars > MEMO_CHARS:
+                self.forget()
+                new = set(units)
+            self.learn(sorted(new))
+        return np.fromiter(map(self.number.__getitem__, units), dtype=np.int64, count=len(units))
+
+    def align_all(self, texts: list[str | None], chunk: int = CHUNK, groups: bool = False):
+        """``align`` of each text; units of texts of about ``chunk`` characters in all are learnt together."""
+        held, size = [], 0
+        for text in texts:
+            held.append(text)
+            size += len(text or "")
+            if size >= chunk or len(held) > 1000:
+                yield from self._some(held, chunk, groups)
+                held, size = [], 0
+        yield from self._some(held, chunk, groups)
+
+    def _some(self, texts: list[str | None], chunk: int, groups: bool):
+        cut = [self.tokens.units(t) if t and len(t) <= chunk else None for t in texts]
+        if together := [u for units in cut if units for u in units]:
+            self.block(together)
+        for text, units in zip(texts, cut):
+            yield self.align(text, chunk, groups, units)
+
+    def align(self, text: str | None, chunk: int = CHUNK, groups: bool = False, units: list[str] | None = None) -> tuple:
+        """(n_a, n_b, n_groups, n_links, groups_sha256, distinct pairs, number of each[, text of the groups])."""
+        nothing = np.zeros(0, dtype=np.int64)
+        zeros = (0, 0, 0, 0, "", nothing, nothing, *[""] * groups)
+        if not text:
+            return zeros
+        counts, digest, pairs, times, shown, between = np.zeros(4, dtype=np.int64), hashlib.sha256(), [], [], [], ""
+        for part in [units] if units else map(self.tokens.units, self.tokens.blocks(text, chunk)):
+            at = self.block(part)
+            rows = self.counts[at]
+            if (rows[:, 0] < 0).any():
+                return zeros
+            counts += rows.sum(axis=0)
+            said = "".join(map(self.said.__getitem__, at.tolist()))[:-1]
+            digest.update((between + said).encode())
+            between = ";"
+            if groups:
+                shown.append(said)
+            kinds, often = np.unique(at, return_counts=True)
+            size = self.counts[kinds, 3]
+            place = np.repeat(self.first[kinds] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+            pairs.append(self.pairs[place])
+            times.append(np.repeat(often, size))
+            if len(pairs) > 16:  # a very long text holds its distinct pairs alone
+                pairs, times = ([x] for x in _summed(pairs, times))
+        return (*counts.tolist(), digest.hexdigest(), *_summed(pairs, times), *[";".join(shown)] * groups)
+
+
+def _room(held: np.ndarray, size: int) -> np.ndarray:
+    """``held``, or twice as much of it if it has no room for ``size`` rows."""
+    if size <= len(held):
+        return held
+    more = np.zeros((max(size, 2 * len(held)), *held.shape[1:]), dtype=held.dtype)
+    more[:len(held)] = held
+    return more
+
+
+def _summed(pairs: list[np.ndarray], times: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    found, where = np.unique(np.concatenate(pairs), return_inverse=True)
+    return found, np.bincount(where, weights=np.concatenate(times), minlength=len(found)).astype(np.int64)
 
 
 def aligned(docs: DataFrame, bpe_path: str, piece_path: str, id_col: str = "doc_id", text_col: str = "text", groups: bool = False) -> DataFrame:
@@ -174,11 +281,11 @@ def aligned(docs: DataFrame, bpe_path: str, piece_path: str, id_col: str = "doc_
     kinds = [pa.int64()] * 4 + [pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32())] + [pa.string()] * groups
 
     def run(batches):
-        tokens = Tokenizers(bpe_path, piece_path)
+        aligner = Aligner(Tokenizers(bpe_path, piece_path))
         for batch in batches:
             start, held, size = 0, [], 0
-            for i, text in enumerate(batch.column(1)):
-                held.append(align(tokens, text.as_py(), groups=groups))
+            for i, row in enumerate(aligner.align_all(batch.column(1).to_pylist(), groups=groups)):
+                held.append(row)
                 size += len(held[-1][5])
                 if size > 500_000 or i + 1 == batch.num_rows:
                     yield pa.RecordBatch.from_arrays(

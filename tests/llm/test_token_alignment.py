@@ -68,9 +68,10 @@ HARD = ["a", "  two  spaces ", "naïve café", "日本語のテキスト、漢
 def test_alignment_equals_brute_force(tokens):
     rng = random.Random(4)
     cases = HARD + [" ".join(rng.choice(HARD) for _ in range(rng.randint(1, 5))) for _ in range(300)]
+    aligner = ta.Aligner(tokens)
     for text in cases:
         a, b, groups, links = brute(tokens, text)
-        n_a, n_b, n_groups, n_links, digest, pairs, times, shown = ta.align(tokens, text, groups=True)
+        n_a, n_b, n_groups, n_links, digest, pairs, times, shown = aligner.align(text, groups=True)
         assert (n_a, n_b, n_links, shown) == (len(a), len(b), len(links), groups), text
         assert n_groups == (groups.count(";") + 1 if groups else 0)
         assert digest == (hashlib.sha256(groups.encode()).hexdigest() if groups else "")
@@ -81,13 +82,24 @@ def test_alignment_equals_brute_force(tokens):
 def test_parts_are_encoded_alike(tokens, texts):
     rng = random.Random(9)
     cases = [t for t in texts.values() if t][:60] + [" ".join(rng.choice(HARD) for _ in range(40)) for _ in range(60)]
+    aligner, other = ta.Aligner(tokens), ta.Aligner(tokens)
     for text in cases:
-        whole = ta.align(tokens, text, groups=True)
-        parts = ta.align(tokens, text, chunk=20, groups=True)
+        whole = aligner.align(text, groups=True)
+        parts = other.align(text, chunk=20, groups=True)
         assert whole[:5] == parts[:5] and whole[7] == parts[7]
         assert whole[5].tolist() == parts[5].tolist() and whole[6].tolist() == parts[6].tolist()
 
 
+def test_units_forgotten_are_learnt_again(tokens, texts, monkeypatch):
+    cases = [t for t in texts.values() if t][:40]
+    want = [ta.Aligner(tokens).align(t, groups=True) for t in cases]
+    monkeypatch.setattr(ta, "MEMO", 50)
+    aligner = ta.Aligner(tokens)
+    for text, row in zip(cases, want):
+        got = aligner.align(text, chunk=100, groups=True)
+        assert got[:5] == row[:5] and got[5].tolist() == row[5].tolist() and got[6].tolist() == row[6].tolist() and got[7] == row[7]
+
+
 def check(rows, texts, tokens):
     """Rows of the query against counts over ``texts`` (a list of (id, text))."""
     per = [brute(tokens, text) for _, text in texts]
