@@ -1,15 +1,15 @@
 """Rolling-origin backtest: folds, membership, baselines, scores, Spark ML.
 
 Folds are tiny DataFrames derived from the data's time bounds (one global
-aggregate) with ``explode(sequence(...))`` — no driver loop over data. Rows
-are assigned to folds by a broadcast range join whose fold side is bounded by
-the ``splits`` parameter. Models are Spark ML estimators: every fit is
-distributed over the rows of its (fold, segment); the independent fits are
-submitted a few at a time from a small driver thread pool, as
-``CrossValidator(parallelism=...)`` does. The feature table is materialised
-once (time-sorted Parquet in the shared checkpoint folder) so fits skip row
-groups outside their fold instead of recomputing features. Training rows never
-reach the driver.
+aggregate) with ``explode(sequence(...))`` — no driver loop over data. Each row
+generates the folds of a scalar array that it falls into. ``boosted_backtest``
+trains all folds, segments and parameters in the same jobs. ``backtest_models``
+fits Spark ML estimators: every fit is distributed over the rows of its
+(fold, segment); the independent fits are submitted a few at a time from a small
+driver thread pool, as ``CrossValidator(parallelism=...)`` does. The feature table
+is materialised once (time-sorted Parquet in the shared checkpoint folder) so fits
+skip row groups outside their fold instead of recomputing features. Training rows
+never reach the driver.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourgrid.functions.scalar import abs_error, trunc_ts
+from hourgrid.plans.boosting import Boosted, BoostParams, Halving, Patience, boost, gain_totals
 
 __all__ = [
     "month_folds",
@@ -40,6 +41,8 @@ __all__ = [
     "feature_columns",
     "fit_predict",
     "backtest_models",
+    "boosted_backtest",
+    "BoostedBacktest",
     "feature_importances",
     "sample_candidates",
     "param_search",
@@ -345,6 +348,83 @@ def backtest_models(
     return out
 
 
+def boosted_backtest(
+    df: DataFrame,
+    folds: DataFrame,
+    time_col: str,
+    segment_cols: Sequence[str],
+    specs: Mapping[str, BoostParams],
+    label: str = "target",
+    exclude: Sequence[str] = (),
+    eval_days: int | None = 21,
+    bins: int = 64,
+    patience: int | None = None,
+    halving: tuple[int, int] | None = None,
+) -> BoostedBacktest:
+    """All folds, segments and parameters as one training run of :mod:`hourgrid.plans.boosting` (M1-M4, M6, M7).
+
+    Rows get their folds and parts by :func:`assign_folds`, so a row is copied once per fold and
+    parameter set that it takes part in, and every tree level of every model is one query. Missing
+    values stay missing. The round of the lowest error on the eval rows is kept; ``patience`` stops a
+    model after so many rounds without gain. ``halving`` = (rounds of the first rung, eta) drops
+    candidates by their mean error over folds and segments on the eval rows, or on the test rows if
+    ``eval_days`` is None. Only folds x segments reach the driver.
+    """
+    spark = df.sparkSession
+    num, cat = feature_columns(df, sorted({*exclude, time_col, label, *segment_cols}))
+    listed = assign_folds(df, folds, time_col, eval_days)
+    keys = ["kind", "fold", *segment_cols]
+    groups = sorted(folds_of(listed, keys), key=lambda r: tuple(str(x) for x in r))
+    names = list(specs)
+    if not groups:
+        raise ValueError("no row falls into a fold")
+    schema = T.StructType([*[listed.schema[k] for k in keys], T.StructField("_group", T.IntegerType())])
+    numbers = spark.createDataFrame([(*r, i) for i, r in enumerate(groups)], schema)
+    same = [listed[k].eqNullSafe(numbers[k]) for k in keys]
+    rows = listed.join(F.broadcast(numbers), same).select(listed["*"], "_group")
+    rows = rows.withColumn("model", F.explode(F.transform(F.sequence(F.lit(0), F.lit(len(names) - 1)), lambda s: F.col("_group") * len(names) + s)))
+    params = [specs[name] for _ in groups for name in names]
+    part = "eval" if eval_days else "test"
+    stoppers: list[Any] = [Patience(patience, "eval")] if patience else []
+    rule = Halving({m: m % len(names) for m in range(len(params))}, halving[0], halving[1], part) if halving else None
+    keep = [c for c in df.columns if c != label]
+    fit = boost(rows, params, num + cat, label, bins, keep, [*stoppers, *([rule] if rule else [])], "eval")
+    meta = spark.createDataFrame([(*r, i * len(names) + j, name) for i, r in enumerate(groups) for j, name in enumerate(names)],
+                                 T.StructType([*[listed.schema[k] for k in keys], T.StructField("model", T.IntegerType()), T.StructField("model_label", T.StringType())]))
+    told = meta.drop(*segment_cols)
+    preds = fit.predictions.filter(F.col("part") == "test").join(F.broadcast(told), "model")
+    return BoostedBacktest(fit, meta, preds.select(*keep, label, "preds", "kind", "fold", "model_label"), rule, names)
+
+
+def folds_of(rows: DataFrame, keys: Sequence[str]) -> list[tuple]:
+    """The distinct (kind, fold, segment) of labelled rows: folds x segments values."""
+    return [tuple(r) for r in rows.select(*keys).distinct().collect()]
+
+
+@dataclass
+class BoostedBacktest:
+    """A fit with its models: ``models`` (kind, fold, segments, model, model_label), test ``predictions``, the ``halving`` rule."""
+
+    fit: Boosted
+    models: DataFrame
+    predictions: DataFrame
+    halving: Halving | None
+    names: Sequence[str]
+
+    def round_errors(self) -> DataFrame:
+        """Errors of every round with the model's fold, segment and label."""
+        return self.fit.errors.join(F.broadcast(self.models), "model")
+
+    def gains(self, keys: Sequence[str]) -> DataFrame:
+        """Total gain per ``keys`` (of ``models``) and feature."""
+        return gain_totals(self.fit.trees.join(F.broadcast(self.models), "model"), keys)
+
+    def rungs(self) -> DataFrame:
+        """(rung, rounds, model_label, mean_error, survives) of the halving."""
+        rows = [(rung, n, self.names[c], float(e), s) for rung, n, c, e, s in (self.halving.rungs if self.halving else [])]
+        return self.models.sparkSession.createDataFrame(rows, "rung int, rounds int, model_label string, mean_error double, survives boolean")
+
+
 def feature_importances(model, assembled: Sequence[str]) -> list[tuple[str, float]]:
     """(feature, importance) pairs of a fitted tree pipeline (M7)."""
     last = model.stages[-1]

@@ -7,9 +7,11 @@ oracle SQL in ``oracle_queries.py``.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from dataclasses import asdict
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,8 +25,10 @@ from hourgrid.operators.clean import clean_series_nulls
 from hourgrid.operators.joins import duplicate_keys
 from hourgrid.operators.timeseries import add_lags, add_lags_and_rollings, fill_segment, interpolate_segment, keep_last
 from hourgrid.plans import backtest as bt
+from hourgrid.plans import boosting
 from hourgrid.plans import report_sql as rsql
 from hourgrid.plans import reports, standins
+from hourgrid.plans.boosting import BoostParams, boost
 from hourgrid.sources.readers import read_table
 from hourgrid.plans.features import (
     LAG_SPECS_FEATURES,
@@ -682,61 +686,124 @@ def gbt_backtest(spark: SparkSession, d: str) -> DataFrame:
     return preds.withColumn("abs_error", fx.abs_error("target", "preds"))
 
 
+#: Rounds at most, patience and bins of the registered boosting queries on the hourly rows; the reference has 500 to 3,000 rounds and a patience of 100 to 200 (README).
+ROUNDS, PATIENCE, BINS = 30, 10, 32
+
+
+def _lag_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Line prices with three features of few values, one of them missing on every third line."""
+    li = from_table(spark, d, "lineitem")
+    return li.select(F.col("l_extendedprice").alias("price"), F.when(F.col("l_linenumber") % 3 != 0, F.col("l_quantity")).alias("quantity"),
+                     F.col("l_discount").alias("discount"), F.col("l_tax").alias("tax"))
+
+
+def _first_tree(spark: SparkSession, d: str):
+    rows = _lag_rows(spark, d).withColumns({"model": F.lit(0), "part": F.lit("train")})
+    return boost(rows, [BoostParams(rounds=1, learning_rate=1.0, max_depth=3, min_rows=50)], ["quantity", "discount", "tax"], "price").trees.filter("round = 1")
+
+
+def boosted_tree(spark: SparkSession, d: str) -> DataFrame:
+    """M1 + M7: one boosted tree over all lines: splits, the side of missing values, rows, gains and leaf values."""
+    t = _first_tree(spark, d)
+    finite = F.when(F.col("threshold") < float("inf"), F.col("threshold")).alias("threshold")
+    return t.select("node", "feature", finite, "missing_left", "n_rows", rounded(F.col("gain") / 1e6, 2).alias("gain_millions"), rounded("value", 3).alias("value"))
+
+
+def boosted_gains(spark: SparkSession, d: str) -> DataFrame:
+    """M7: total gain, splits and rows per feature, by SQL over the stored tree."""
+    from hourgrid.session import materialize
+
+    stored = materialize(_first_tree(spark, d), "trees")
+    sql = "SELECT feature, sum(gain) AS gain, count(*) AS n_splits, sum(n_rows) AS n_rows FROM {t} WHERE feature IS NOT NULL GROUP BY feature"
+    return spark.sql(sql, t=stored).select("feature", rounded(F.col("gain") / 1e6, 2).alias("gain_millions"), "n_splits", "n_rows")
+
+
+def _lag_errors(spark: SparkSession, d: str) -> DataFrame:
+    """(l_returnflag, round, error): error of guessing a line's price from the supplier's mean over its first ``round`` line numbers."""
+    li = from_table(spark, d, "lineitem")
+    sums = li.groupBy("l_returnflag", F.col("l_linenumber").cast("int").alias("round")).agg(agg.total("l_extendedprice").alias("s"), F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy("l_returnflag").orderBy("round")
+    whole = Window.partitionBy("l_returnflag")
+    run = F.sum("s").over(w) / F.sum("n").over(w)
+    mean = F.sum("s").over(whole) / F.sum("n").over(whole)
+    return sums.select("l_returnflag", "round", rounded(F.abs(run - mean), 2).alias("error"))
+
+
+def stopping_rounds(spark: SparkSession, d: str) -> DataFrame:
+    """M3: the rounds that training with a patience of 2 keeps and stops at, from a table of round errors."""
+    return boosting.stopping_rounds(_lag_errors(spark, d), ["l_returnflag"], patience=2)
+
+
+def halving_rungs(spark: SparkSession, d: str) -> DataFrame:
+    """M6: successive halving over eight lag baselines; rung r scores the survivors on r + 1 validation folds."""
+    h = standins.hourly(spark, d).select("event_type", "datetime", "target", "is_consumption")
+    lags = [f"{k}d" for k in range(1, 9)]
+    lab = bt.assign_folds(add_lags(h, "target", lags, "datetime", SERIES), _hourly_folds(spark, d).filter(F.col("kind") == "val"), "datetime", eval_days=None)
+    test = lab.filter(F.col("part") == "test")
+    long = test.select("fold", "target", F.explode(F.array(*[F.struct(F.lit(k + 1).alias("candidate"), F.col(f"target_lag_{lag}").alias("preds"))
+                                                              for k, lag in enumerate(lags)])).alias("_")).select("fold", "target", "_.*").filter("preds IS NOT NULL")
+    per_fold = bt.fold_scores(long, ["candidate", "fold"])
+    scores = per_fold.select("*", F.explode(F.sequence("fold", F.lit(2))).alias("rung")).withColumnRenamed("mae", "error")
+    return _round_cols(boosting.halving_survivors(scores, 3), ["mean_error"])
+
+
+def boost_backtest(spark: SparkSession, d: str) -> DataFrame:
+    """M1 + M3 + M4: boosted trees per (fold, flag), absolute loss, patience on the eval window; prediction table."""
+    folds = _hourly_folds(spark, d).filter(F.col("kind") == "test")
+    out = bt.boosted_backtest(_ml_frame(spark, d), folds, "datetime", ["is_consumption"], {"boost_abs": BoostParams("absolute", ROUNDS, max_depth=4)},
+                              eval_days=EVAL_DAYS, patience=PATIENCE, bins=BINS)
+    return out.predictions.withColumn("abs_error", fx.abs_error("target", "preds"))
+
+
 def objective_comparison(spark: SparkSession, d: str) -> DataFrame:
-    """M2: absolute / squared GBT, Huber linear, Tweedie GLM; MAE per fold and flag, best per flag."""
+    """M2: absolute, squared, Huber and Tweedie trees; MAE per fold and flag, the best objective per flag."""
     folds = _hourly_folds(spark, d).filter(F.col("kind") == "test")
-    specs = [
-        bt.FitSpec("gbt_absolute", "gbt", {"lossType": "absolute", "maxIter": 10}),
-        bt.FitSpec("gbt_squared", "gbt", {"lossType": "squared", "maxIter": 10}),
-        *[bt.FitSpec(f"linear_huber_{e}", "linear", {"loss": "huber", "epsilon": e, "maxIter": 50}) for e in (1.1, 1.35, 2.0, 4.0)],
-        *[bt.FitSpec(f"glm_tweedie_{p}", "glm", {"family": "tweedie", "variancePower": p, "linkPower": 0.0,
-                                                  "maxIter": 25}) for p in (1.35, 1.5, 1.65)],
-    ]
-    preds = bt.backtest_models(_ml_frame(spark, d), folds, "datetime", ["is_consumption"], specs,
-                               eval_days=EVAL_DAYS)
-    scores = bt.fold_scores(preds, ["model_label", "kind", "fold", "is_consumption"])
+    specs = {"absolute": BoostParams("absolute", ROUNDS, max_depth=4), "squared": BoostParams("squared", ROUNDS, max_depth=4),
+             "huber_100": BoostParams("huber", ROUNDS, max_depth=4, alpha=100.0),
+             **{f"tweedie_{p}": BoostParams("tweedie", ROUNDS, max_depth=4, power=p) for p in (1.35, 1.5, 1.65)}}
+    out = bt.boosted_backtest(_ml_frame(spark, d), folds, "datetime", ["is_consumption"], specs, eval_days=EVAL_DAYS, patience=PATIENCE, bins=BINS)
+    scores = bt.fold_scores(out.predictions, ["model_label", "kind", "fold", "is_consumption"])
     # the objective kept per segment: lowest mean MAE over the folds
     per_model = scores.groupBy("is_consumption", "model_label").agg(F.avg("mae").alias("_mean"))
     best = per_model.groupBy("is_consumption").agg(F.min_by("model_label", "_mean").alias("best_model_label"))
     return scores.join(best, "is_consumption").withColumn("is_best", F.col("model_label") == F.col("best_model_label"))
 
 
-SEARCH_SPACE = {"maxDepth": (3, 6), "stepSize": (0.05, 0.3), "maxIter": [5, 10], "subsamplingRate": (0.5, 1.0),
-                "minInstancesPerNode": (1, 20), "featureSubsetStrategy": ["all", "onethird", "0.6"], "minInfoGain": (0.0, 0.1)}
+SEARCH_SPACE = {"max_depth": (3, 5), "learning_rate": (0.03, 0.3), "rows_share": (0.5, 1.0), "min_rows": (1, 20),
+                "features_share": (0.4, 1.0), "l2": (0.0, 5.0)}
 
 
 def _search(spark: SparkSession, d: str):
+    """Eight candidates on all validation folds: rungs after 3, 6 and 12 rounds keep 4, 2 and 1 of them."""
     folds = _hourly_folds(spark, d).filter(F.col("kind") == "val")
-    return bt.param_search(_ml_frame(spark, d), folds, "datetime", [], SEARCH_SPACE, n_candidates=3,
-                           eval_days=EVAL_DAYS)
+    drawn = bt.sample_candidates(SEARCH_SPACE, 8)
+    specs = {c.label: BoostParams(rounds=ROUNDS, **c.params) for c in drawn}
+    return specs, bt.boosted_backtest(_ml_frame(spark, d), folds, "datetime", [], specs, eval_days=None, halving=(3, 2), bins=BINS)
 
 
 def param_search(spark: SparkSession, d: str) -> DataFrame:
-    """M6: seeded random search on validation folds; best candidate by mean MAE."""
-    per_cand, best = _search(spark, d)
-    return per_cand.join(best.select(F.col("model_label"), F.lit(True).alias("is_best")), "model_label", "left")
+    """M6: successive halving over eight seeded candidates on all validation folds: rungs, mean errors, survivors."""
+    specs, out = _search(spark, d)
+    shown = spark.createDataFrame([(name, json.dumps(asdict(p), sort_keys=True)) for name, p in specs.items()], "model_label string, params string")
+    best = out.names[out.halving.winner()]
+    return out.rungs().join(shown, "model_label").withColumn("is_best", F.col("model_label") == best)
 
 
 def best_model_holdout(spark: SparkSession, d: str) -> DataFrame:
     """M6: refit the selected candidate on the test folds and score the holdout."""
-    _, best = _search(spark, d)
+    specs, out = _search(spark, d)
+    name = out.names[out.halving.winner()]
     test = _hourly_folds(spark, d).filter(F.col("kind") == "test")
-    return bt.refit_best(_ml_frame(spark, d), best, test, "datetime", [])
+    refit = bt.boosted_backtest(_ml_frame(spark, d), test, "datetime", [], {name: specs[name]}, eval_days=None, bins=BINS)
+    return bt.fold_scores(refit.predictions, ["model_label", "kind", "fold"])
 
 
 def gain_summary(spark: SparkSession, d: str) -> DataFrame:
-    """M7 + A17: GBT feature importances per segment; top/bottom 5 features."""
-    rows = []
-
-    def keep(meta, model, assembled):
-        for name, v in bt.feature_importances(model, assembled):
-            rows.append((str(meta["is_consumption"]), int(meta["fold"]), name, v))
-
+    """M7 + A17: mean total gain per feature and segment over the folds; top and bottom 5 features."""
     folds = _hourly_folds(spark, d).filter(F.col("kind") == "test")
-    bt.backtest_models(_ml_frame(spark, d), folds, "datetime", ["is_consumption"],
-                       [bt.FitSpec("gbt", "gbt", {"maxIter": 10})], eval_days=EVAL_DAYS, on_model=keep)
-    imp = spark.createDataFrame(rows, "segment string, fold int, feature string, gain double")
-    return agg.top_bottom_by_group(imp, ["segment"], "feature", "gain", 5)
+    out = bt.boosted_backtest(_ml_frame(spark, d), folds, "datetime", ["is_consumption"], {"boost": BoostParams("squared", 10, max_depth=4)}, eval_days=EVAL_DAYS, bins=BINS)
+    gains = out.gains(["is_consumption", "fold"]).withColumn("segment", F.col("is_consumption").cast("string"))
+    return agg.top_bottom_by_group(gains, ["segment"], "feature", "gain", 5)
 
 
 SUPPLIER_SPECS = {"7d": {"28d": ["mean", "std", "count"], "7d": ["median"]}, "28d": None, "364d": None}
@@ -940,6 +1007,11 @@ _QUERIES: dict[str, Query] = {
     "param_search": param_search,
     "best_model_holdout": best_model_holdout,
     "gain_summary": gain_summary,
+    "boosted_tree": boosted_tree,
+    "boosted_gains": boosted_gains,
+    "stopping_rounds": stopping_rounds,
+    "halving_rungs": halving_rungs,
+    "boost_backtest": boost_backtest,
     "supplier_daily_features": supplier_daily_features,
     "sql_null_profile": sql_null_profile,
     "sql_series_completeness": sql_series_completeness,

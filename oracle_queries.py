@@ -753,3 +753,75 @@ SQL["best_lag"] = _LAB + f"""
 , m AS (SELECT model_label, AVG(mae) AS mean_mae, COUNT(*) AS n_folds FROM e GROUP BY 1)
 SELECT model_label, {rnd("mean_mae", 4)} AS mean_mae, n_folds, mean_mae = (SELECT MIN(mean_mae) FROM m) AS is_best FROM m
 """
+
+
+def boosted_tree_ctes(depth: int, least: int) -> str:
+    """CTEs ``tree`` (and its parts) of one boosted tree: all splits of all nodes are tried level by level."""
+    parts = ["""
+l0 AS (SELECT 1 AS node, (SELECT AVG(l_extendedprice) FROM lineitem) - l_extendedprice AS g,
+              CASE WHEN l_linenumber % 3 <> 0 THEN l_quantity END AS x0, l_discount AS x1, l_tax AS x2 FROM lineitem),
+tops AS (SELECT 0 AS feature, MAX(x0) AS top FROM l0 UNION ALL SELECT 1, MAX(x1) FROM l0 UNION ALL SELECT 2, MAX(x2) FROM l0)"""]
+    for k in range(depth + 1):
+        parts.append(f"t{k} AS (SELECT node, SUM(g) AS tg, COUNT(*) AS tn, SUM(g * g) AS tgg FROM l{k} GROUP BY node)")
+        if k == depth:
+            break
+        values = " UNION ALL ".join(f"SELECT node, {f} AS feature, x{f} AS v, SUM(g) AS g, COUNT(*) AS n FROM l{k} GROUP BY node, x{f}" for f in range(3))
+        parts.append(f"""
+c{k} AS (SELECT node, feature, v, SUM(g) OVER w AS lg, SUM(n) OVER w AS ln,
+                COALESCE((SELECT SUM(g) FROM h{k} m WHERE m.node = h{k}.node AND m.feature = h{k}.feature AND m.v IS NULL), 0) AS mg,
+                COALESCE((SELECT SUM(n) FROM h{k} m WHERE m.node = h{k}.node AND m.feature = h{k}.feature AND m.v IS NULL), 0) AS mn
+         FROM h{k} WHERE v IS NOT NULL WINDOW w AS (PARTITION BY node, feature ORDER BY v)),
+s{k} AS (SELECT node, feature, v, TRUE AS to_left, lg + mg AS lg, ln + mn AS ln FROM c{k} UNION ALL SELECT node, feature, v, FALSE, lg, ln FROM c{k}),
+g{k} AS (SELECT s{k}.*, tn, lg * lg / ln + (tg - lg) * (tg - lg) / NULLIF(tn - ln, 0) - tg * tg / tn AS gain, tgg FROM s{k} JOIN t{k} USING (node)
+         WHERE ln >= {least} AND tn - ln >= {least}),
+b{k} AS (SELECT * FROM g{k} WHERE ROUND(gain / tgg, 9) > 0
+         QUALIFY row_number() OVER (PARTITION BY node ORDER BY ROUND(gain / tgg, 9) DESC, feature, v, to_left DESC) = 1),
+l{k + 1} AS (SELECT 2 * l.node + CASE WHEN x IS NULL THEN CAST(NOT to_left AS INTEGER) ELSE CAST(x > v AS INTEGER) END AS node, g, x0, x1, x2
+             FROM (SELECT l{k}.*, b{k}.v, b{k}.to_left, CASE feature WHEN 0 THEN x0 WHEN 1 THEN x1 ELSE x2 END AS x FROM l{k} JOIN b{k} USING (node)) l)""".replace(
+            f"c{k} AS", f"h{k} AS ({values}),\nc{k} AS", 1))
+    splits = " UNION ALL ".join(f"SELECT b.node, b.feature, b.v, b.to_left, t.tn, b.gain, -t.tg / t.tn AS value FROM b{k} b JOIN t{k} t ON t.node = b.node" for k in range(depth))
+    leaves = " UNION ALL ".join([f"SELECT node, NULL, NULL, NULL, tn, NULL, -tg / tn FROM t{k} WHERE node NOT IN (SELECT node FROM b{k})" for k in range(depth)]
+                                + [f"SELECT node, NULL, NULL, NULL, tn, NULL, -tg / tn FROM t{depth}"])
+    parts.append(f"tree AS ({splits} UNION ALL {leaves})")
+    return ", ".join(parts)
+
+
+_NAMES = "CASE tree.feature WHEN 0 THEN 'quantity' WHEN 1 THEN 'discount' WHEN 2 THEN 'tax' END"
+
+SQL["boosted_tree"] = "WITH " + boosted_tree_ctes(3, 50) + f"""
+SELECT CAST(node AS INTEGER) AS node, {_NAMES} AS feature, CASE WHEN v < top THEN v END AS threshold, to_left AS missing_left,
+       CAST(tn AS BIGINT) AS n_rows, {rnd("gain / 1e6", 2)} AS gain_millions, {rnd("value", 3)} AS value
+FROM tree LEFT JOIN tops ON tops.feature = tree.feature
+"""
+
+SQL["boosted_gains"] = "WITH " + boosted_tree_ctes(3, 50) + f"""
+SELECT {_NAMES} AS feature, {rnd("SUM(gain) / 1e6", 2)} AS gain_millions, COUNT(*) AS n_splits, CAST(SUM(tn) AS BIGINT) AS n_rows
+FROM tree WHERE feature IS NOT NULL GROUP BY 1
+"""
+
+SQL["stopping_rounds"] = f"""
+WITH sums AS (SELECT l_returnflag, CAST(l_linenumber AS INTEGER) AS round, SUM(l_extendedprice) AS s, COUNT(*) AS n FROM lineitem GROUP BY 1, 2),
+means AS (SELECT l_returnflag AS f, SUM(s) / SUM(n) AS mean FROM sums GROUP BY 1),
+errors AS (SELECT a.l_returnflag, a.round, {rnd("abs(SUM(b.s) / SUM(b.n) - MAX(mean))", 2)} AS error
+           FROM sums a JOIN sums b ON b.l_returnflag = a.l_returnflag AND b.round <= a.round JOIN means ON f = a.l_returnflag GROUP BY 1, 2),
+best AS (SELECT e.l_returnflag, e.round, (SELECT MIN(x.round) FROM errors x WHERE x.l_returnflag = e.l_returnflag AND x.round <= e.round
+                AND x.error = (SELECT MIN(y.error) FROM errors y WHERE y.l_returnflag = e.l_returnflag AND y.round <= e.round)) AS best FROM errors e),
+stops AS (SELECT l_returnflag, COALESCE(MIN(CASE WHEN round - best >= 2 THEN round END), MAX(round)) AS stop_round FROM best GROUP BY 1)
+SELECT s.l_returnflag, b.best AS best_round, s.stop_round FROM stops s JOIN best b ON b.l_returnflag = s.l_returnflag AND b.round = s.stop_round
+"""
+
+_EIGHT = " UNION ALL ".join(f"SELECT x.target, {k} AS candidate, l.target AS preds, f.fold FROM hourly x JOIN folds f ON x.datetime BETWEEN f.test_start AND f.test_end AND f.kind = 'val' "
+                            f"JOIN hourly l ON l.event_type = x.event_type AND l.datetime = x.datetime - INTERVAL {k} DAY" for k in range(1, 9))
+
+SQL["halving_rungs"] = _with(HOURLY, SHARE_FOLDS) + f"""
+, errs AS (SELECT candidate, fold, AVG(abs(target - preds)) AS mae FROM ({_EIGHT}) GROUP BY 1, 2)
+, r0 AS (SELECT candidate, AVG(mae) AS e, row_number() OVER (ORDER BY AVG(mae), candidate) AS place FROM errs WHERE fold <= 0 GROUP BY 1)
+, r1 AS (SELECT candidate, AVG(mae) AS e, row_number() OVER (ORDER BY AVG(mae), candidate) AS place FROM errs
+         WHERE fold <= 1 AND candidate IN (SELECT candidate FROM r0 WHERE place <= (SELECT ceil(COUNT(*) / 2.0) FROM r0)) GROUP BY 1)
+, r2 AS (SELECT candidate, AVG(mae) AS e, row_number() OVER (ORDER BY AVG(mae), candidate) AS place FROM errs
+         WHERE fold <= 2 AND candidate IN (SELECT candidate FROM r1 WHERE place <= (SELECT ceil(COUNT(*) / 2.0) FROM r1)) GROUP BY 1)
+, every AS (SELECT 0 AS rung, *, (SELECT COUNT(*) FROM r0) AS n FROM r0 UNION ALL SELECT 1, *, (SELECT COUNT(*) FROM r1) FROM r1
+            UNION ALL SELECT 2, *, (SELECT COUNT(*) FROM r2) FROM r2)
+SELECT CAST(rung AS INTEGER) AS rung, CAST(candidate AS INTEGER) AS candidate, {rnd("e", 4)} AS mean_error, CAST(place AS INTEGER) AS place,
+       place <= ceil(n / 2.0) AS survives FROM every
+"""

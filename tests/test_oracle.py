@@ -14,7 +14,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "labels conversations").split()
 # queries of numbered operators have tests of their own
 SQL = {k: v for k, v in entry.oracle_sql().items() if not re.match(r"op\d+_|pipeline", k)}
-ML_ONLY = {"gbt_backtest", "objective_comparison", "param_search", "gain_summary", "best_model_holdout", "supplier_gbt_backtest", "yield_backtest"}
+ML_ONLY = {"gbt_backtest", "objective_comparison", "param_search", "gain_summary", "best_model_holdout", "supplier_gbt_backtest", "yield_backtest", "boost_backtest"}
 
 
 def _norm(v):
