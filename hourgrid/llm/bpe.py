@@ -42,8 +42,8 @@ from hourgrid.session import checkpoint_dir, materialize
 LEXICON, UNITS = 100_000, 300_000
 #: Words of more bytes are not taken into the lexicon, which the driver holds; they are merged like other words that it lacks.
 LONGEST = 256
-#: Characters encoded at once; units remembered by a task.
-CHUNK, MEMO = 1 << 20, 300_000
+#: Characters encoded at once; units remembered by a task (some 250 bytes each), half of them as the older ones.
+CHUNK, MEMO = 1 << 20, 600_000
 _SHORT = 64  # words up to this many bytes are merged together, longer ones by a heap
 _NONE = np.int64(2**62)
 # fixed values: white space of the split pattern, and the pattern
@@ -262,11 +262,15 @@ class Lexicon:
 
 
 class Encoder:
-    """Encodes texts of a task; remembers units between spaces, up to ``MEMO`` of them."""
+    """Encodes texts of a task; remembers units between spaces, about ``MEMO`` of them.
+
+    When half of ``MEMO`` is full it becomes the older half, whose units come back when they are seen again.
+    """
 
     def __init__(self, bpe: Bpe, lexicon: Lexicon | None):
         self.bpe, self.lexicon = bpe, lexicon
         self.units = {w: (i,) for w, i in bpe.special.items()}
+        self.older: dict[str, tuple[int, ...]] = {}
         self.pieces = regex.compile(_PIECE).findall
         self.knotty, self.safe_cut = re.compile(_KNOTTY).search, re.compile(_SAFE_CUT).search
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(bpe.special, key=len, reverse=True))) + ")") if bpe.special else None
@@ -294,10 +298,13 @@ class Encoder:
         new = [u for u in units if u not in memo]
         if not new:
             return
-        if len(memo) + len(new) > MEMO:
-            memo.clear()
-            memo |= {w: (i,) for w, i in self.bpe.special.items()}
+        if len(memo) + len(new) > MEMO // 2:
+            self.older = memo
+            memo = self.units = {w: (i,) for w, i in self.bpe.special.items()}
             new = [u for u in units if u not in memo]
+        if older := self.older:
+            memo.update([(u, older[u]) for u in new if u in older])
+            new = [u for u in new if u not in memo]
         # a run of ASCII letters, with one space before it or not, is one piece
         cut = {u: self.pieces(u) for u in new if not (u.isascii() and u.removeprefix(" ").isalpha())}
         words = [u for u in new if u not in cut]
