@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hourgrid.llm.common import WORD, attach, key_text, md5_int, read
+from hourgrid.llm.common import WORD, Hot, attach, hot_keys, key_text, mark_possible, md5_int, quoted, read
 from hourgrid.session import materialize
 
 WEIGHTS, MOST = (5.0, 2.0, 1.0), 3
@@ -85,7 +85,7 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float
                         F.least(F.col("cap"), F.coalesce("level", F.lit(0.0)) * F.col("w")).alias("target"))
 
 
-def _descend(rows: DataFrame, state: DataFrame, bits: int, step_bits: int) -> DataFrame:
+def _descend(rows: DataFrame, state: DataFrame, bits: int, step_bits: int, hot: Hot) -> DataFrame:
     """``state`` (sid, full, budget, prefix) with the draw in which each budget ends as prefix, the budget left
     before it, and the size (edge_size) and rows (edge_rows) of that draw."""
     while bits > 0:
@@ -93,7 +93,7 @@ def _descend(rows: DataFrame, state: DataFrame, bits: int, step_bits: int) -> Da
         low = bits - step
         inside = F.shiftright("draw", bits) == F.col("prefix")
         bucket = F.shiftright("draw", low).alias("bucket")
-        held = attach(rows, state, ["sid"], state.count(), F.col("draw"))
+        held = attach(rows, state, ["sid"], hot)
         sums = held.where(inside).groupBy("sid", "budget", bucket).agg(F.sum("size").alias("s"), F.count(F.lit(1)).alias("n"))
         upto = Window.partitionBy("sid").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         cum = sums.select("sid", "budget", "bucket", "s", "n", F.sum("s").over(upto).alias("cum"))
@@ -110,18 +110,19 @@ def _descend(rows: DataFrame, state: DataFrame, bits: int, step_bits: int) -> Da
     return state
 
 
-def thresholds(rows: DataFrame, plan: DataFrame, draw_bits: int = DRAW_BITS, step_bits: int = STEP_BITS) -> DataFrame:
+def thresholds(rows: DataFrame, plan: DataFrame, draw_bits: int = DRAW_BITS, step_bits: int = STEP_BITS, hot: Hot | None = None) -> DataFrame:
     """(sid, full, limit, tie_limit): copies of every document, and the draw below which one more is taken;
     of the rows whose draw is the limit, those with a tie below ``tie_limit``.
 
     ``rows`` has (sid, size, draw, and tie if draws may be shared) and is read once a level; ``plan`` has (sid,
     source_size, target). Histograms have at most 2**step_bits rows per source.
     """
+    hot = hot or hot_keys(rows.groupBy("sid").agg(F.count(F.lit(1)).alias("_rows")), ["sid"], "_rows")
     full = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     state = plan.select("sid", full.alias("full"),
                         (F.col("target") - full * F.col("source_size")).alias("budget"),
                         F.lit(0).cast("long").alias("prefix"))
-    state = _descend(rows, materialize(state, "mix-level"), draw_bits, step_bits)
+    state = _descend(rows, materialize(state, "mix-level"), draw_bits, step_bits, hot)
     # the last bucket is one draw (of one row, or one tie): take it when that is nearer to the budget
     limit = F.col("prefix") + F.coalesce(2 * F.col("budget") >= F.col("edge_size"), F.lit(False)).cast("long")
     shared = F.coalesce(F.col("edge_rows") > 1, F.lit(False))
@@ -129,22 +130,22 @@ def thresholds(rows: DataFrame, plan: DataFrame, draw_bits: int = DRAW_BITS, ste
     if "tie" not in rows.columns or state.where(shared).isEmpty():
         return whole
     edges = state.where(shared)
-    own = attach(rows, edges.select("sid", F.col("prefix").alias("_edge")), ["sid"], edges.count(), F.col("tie"))
+    own = attach(rows, edges.select("sid", F.col("prefix").alias("_edge")), ["sid"], hot)
     own = materialize(own.where(F.col("draw") == F.col("_edge")).select("sid", "size", F.col("tie").alias("draw")), "mix-ties")
-    ties = _descend(own, materialize(edges.select("sid", "full", "budget", F.lit(0).cast("long").alias("prefix")), "mix-level"), DRAW_BITS, step_bits)
+    ties = _descend(own, materialize(edges.select("sid", "full", "budget", F.lit(0).cast("long").alias("prefix")), "mix-level"), DRAW_BITS, step_bits, hot)
     ties = edges.select("sid", "full", F.col("prefix").alias("limit")).join(ties.select("sid", limit.alias("tie_limit")), "sid")
     return whole.join(edges, "sid", "left_anti").unionByName(ties)
 
 
-def _planned(rows: DataFrame) -> tuple[DataFrame, int]:
-    """Per source its target, copies and threshold; ``rows`` (source, size, draw, tie) is a stored table."""
-    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+def _planned(rows: DataFrame) -> tuple[DataFrame, Hot]:
+    """Per source its target, copies and threshold; ``rows`` (source, size, draw, tie) is a stored table. Also the sources with most rows."""
+    sizes = materialize(rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_rows")), "mix-sizes")
+    hot = hot_keys(sizes.withColumn("sid", source_key(F.col("source"))), ["sid"], "_rows")
     plan = targets(sizes).withColumn("sid", source_key(F.col("source")))
     plan = materialize(plan, "mix-targets")
     limits = thresholds(rows.select(source_key(F.col("source")).alias("sid"), "size", "draw", "tie"),
-                        plan.select("sid", "source_size", "target"))
-    plan = materialize(plan.join(limits, "sid"), "mix-plan")
-    return plan, plan.count()
+                        plan.select("sid", "source_size", "target"), hot=hot)
+    return materialize(plan.join(limits, "sid"), "mix-plan"), hot
 
 
 def source_key(source: Column) -> Column:
@@ -168,9 +169,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     # rows of a source with the same draw have the same id and differ in size
     rows = materialize(rows.select("doc_id", "source", "size", draw(F.col("doc_id"), F.col("_copy")).alias("draw"),
                                    tie_break(F.col("doc_id"), F.col("size")).alias("tie")), "mix-rows")
-    plan, n = _planned(rows)
+    plan, hot = _planned(rows)
     placed = attach(rows.withColumn("sid", source_key(F.col("source"))),
-                    plan.select("sid", "source_size", "target", "full", "limit", "tie_limit"), ["sid"], n, F.col("draw"))
+                    plan.select("sid", "source_size", "target", "full", "limit", "tie_limit"), ["sid"], hot)
     times = _copies()
     return placed.select("doc_id", "size", "source_size", "target", (F.col("size") * times).alias("taken"),
                          times.alias("copies"), "source")
@@ -179,30 +180,30 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The mix itself: ``docs`` with each row as often as it is taken (0 to 3 times).
 
-    Rows equal in all columns are numbered as in ``mix``; rows of one id that differ are told apart by a hash of all columns.
+    Rows equal in all columns are numbered as in ``mix``; rows of one id and source that differ are told apart by a 64-bit hash
+    of all columns. Columns may have any name and type.
     """
     names = docs.columns
-    keyed = docs.select(F.struct("*").alias("_row"), docs[id_col].alias("_id"), docs[source_col].alias("_source"),
-                        word_count(docs[text_col]).alias("_size"), F.xxhash64(*[docs[c] for c in names]).alias("_hash"))
+    # maps have neither a hash nor an order: their text stands for them
+    whole = [F.col(quoted(f.name)).cast("string") if "map<" in f.dataType.simpleString() else F.col(quoted(f.name)) for f in docs.schema.fields]
+    keyed = docs.select(F.struct("*").alias("_row"), F.col(quoted(id_col)).alias("_id"), F.col(quoted(source_col)).alias("_source"),
+                        word_count(F.col(quoted(text_col))).alias("_size"), F.xxhash64(*whole).alias("_hash"))
     keys = ["_id", "_source", "_hash"]
     groups = materialize(keyed.groupBy(*keys, "_size").agg(F.count(F.lit(1)).alias("_n")), "mix-groups")
     draws = [draw(F.col("_id"), F.col("_copy")).alias("draw"), tie_break(F.col("_hash")).alias("tie")]
     rows = each_copy(groups, [*keys, "_size"])
-    plan, n = _planned(materialize(rows.select(F.col("_source").alias("source"), F.col("_size").alias("size"), *draws), "mix-rows"))
-    again = groups.where(F.col("_n") > 1).select("_hash", F.lit(True).alias("_again")).distinct()
-    keyed = keyed.select("_row", *keys)
-    if not again.isEmpty():  # only repeated rows are exchanged, counted before that
-        marked = attach(keyed, again, ["_hash"], again.count(), F.spark_partition_id())
-        equal = marked.where("_again").groupBy("_row", *keys).agg(F.count(F.lit(1)).alias("_n"))
-        single = marked.where(F.col("_again").isNull()).select("_row", *keys, F.lit(1).cast("long").alias("_copy"))
-        keyed = single.unionByName(each_copy(equal, ["_row", *keys]))
-    else:
-        keyed = keyed.withColumn("_copy", F.lit(1).cast("long"))
+    plan, hot = _planned(materialize(rows.select(F.col("_source").alias("source"), F.col("_size").alias("size"), *draws), "mix-rows"))
+    # rows that may be repeated are exchanged, counted before that; the others stay where they are
+    again = groups.where(F.col("_n") > 1)
+    marked = mark_possible(keyed.select("_row", *keys), F.col("_hash"), again, F.col("_hash"), "_maybe")
+    equal = marked.where("_maybe").groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.first("_row").alias("_row"))
+    single = marked.where("NOT _maybe").select("_row", *keys, F.lit(1).cast("long").alias("_copy"))
+    keyed = single.unionByName(each_copy(equal, ["_row", *keys]))
     placed = attach(keyed.select("_row", source_key(F.col("_source")).alias("sid"), *draws),
-                    plan.select("sid", "full", "limit", "tie_limit"), ["sid"], n, F.col("tie"))
+                    plan.select("sid", "full", "limit", "tie_limit"), ["sid"], hot)
     times = _copies().cast("int")
     taken = placed.select("_row", F.explode(F.when(times > 0, F.sequence(F.lit(1), times)).otherwise(F.array().cast("array<int>"))).alias("_time"))
-    return taken.select(*[F.col("_row")[c].alias(c) for c in names])
+    return taken.select(*[F.col("_row").getField(c).alias(c) for c in names])
 
 
 def op9_mix_by_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:

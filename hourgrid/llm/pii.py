@@ -11,7 +11,9 @@ Patterns start at the edge of a run of their characters (or, for e-mail, at each
 ``@``), so the time is in proportion to the text, also for very long runs.
 
 Defined results: a null or empty text has no spans; offsets are code points, the
-end exclusive; repeated rows and null ids are judged like any other row.
+end exclusive; repeated rows and null ids are judged like any other row; very long
+texts are scanned whole; columns beside id and text may have any name and type and
+are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -210,8 +212,10 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
             columns[at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-    fields = [StructField(f.name, StringType() if f.name == text_col else f.dataType) for f in docs.schema.fields]
-    return docs.mapInArrow(run, StructType(fields))
+    # numbered names inside: a name may hold dots or backticks
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    fields = [StructField(f"c{i}", StringType() if i == at else f.dataType) for i, f in enumerate(docs.schema.fields)]
+    return plain.mapInArrow(run, StructType(fields)).toDF(*docs.columns)
 
 
 def _is(kind: str):

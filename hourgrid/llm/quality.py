@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourgrid.llm.common import WORD, read
+from hourgrid.llm.common import WORD, quoted, read
 
 MIN_WORDS, MAX_REPEAT_PCT = 50, 50
 FIT_ROWS, MAX_RULES, MAX_TERMS, CUTS = 5_000, 12, 3, 24
@@ -46,7 +46,7 @@ def with_statistics(docs: DataFrame, text_col: str, out: str) -> DataFrame:
     p = "_q"
     while any(c.startswith(p) for c in docs.columns):
         p += "_"
-    own = docs.columns
+    own = [quoted(c) for c in docs.columns]
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     df = docs.select("*", text.alias(f"{p}text"), F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias(f"{p}words"))
     t, w = F.col(f"{p}text"), F.col(f"{p}words")

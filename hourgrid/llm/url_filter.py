@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourgrid.llm.common import ascii_lower, attach, read
+from hourgrid.llm.common import ascii_lower, attach, hot_keys, read
 from hourgrid.session import materialize
 
 #: Fixed values: (verdict, host, path).
@@ -88,16 +88,16 @@ def reputation(pages: DataFrame, outcomes: DataFrame, threshold: float = THRESHO
     """
     counts = (pages.join(outcomes, "page_id").groupBy("host")
               .agg(F.sum("good").cast("double").alias("g"), F.count(F.lit(1)).cast("double").alias("n")))
-    every = pages.groupBy("host").agg(F.count(F.lit(1)).alias("_rows")).select("host")
+    every = pages.groupBy("host").agg(F.count(F.lit(1)).alias("n_pages"))
     hosts = every.join(counts, "host", "left").select(
-        "host", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"), "g", "n")
+        "host", "n_pages", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"), "g", "n")
     hosts = materialize(hosts, "host-outcomes")
     labelled = hosts.where("n > 0")
     domains = labelled.groupBy("domain", "suffix").agg(F.sum("g").alias("g"), F.sum("n").alias("n"))
     suffixes = domains.groupBy("suffix").agg(F.sum("g").alias("g"), F.sum("n").alias("n"))
     world = _moments(suffixes.withColumn("all", F.lit(0)), "all").first()
     if world is None:  # no label at all: nothing to learn from
-        return hosts.select("host", F.lit(None).cast("double").alias("mean"), F.lit(1.0).alias("upper"), F.lit(False).alias("blocked"))
+        return hosts.select("host", "n_pages", F.lit(None).cast("double").alias("mean"), F.lit(1.0).alias("upper"), F.lit(False).alias("blocked"))
     mean0 = F.lit(world["G"] / world["N"])
     # suffix: shrunk to the mean of all; domain: to its suffix; host: to its domain
     top = (hosts.select("suffix").distinct().join(_moments(domains, "suffix"), "suffix", "left")
@@ -110,7 +110,7 @@ def reputation(pages: DataFrame, outcomes: DataFrame, threshold: float = THRESHO
     b = F.coalesce("n", F.lit(0.0)) - F.coalesce("g", F.lit(0.0)) + F.col("m_d") * (1 - F.col("mu_d"))
     mean = a / (a + b)
     upper = mean + z * F.sqrt(mean * (1 - mean) / (a + b + 1))
-    return hosts.join(mid, "domain").select("host", mean.alias("mean"), upper.alias("upper"), (upper < threshold).alias("blocked"))
+    return hosts.join(mid, "domain").select("host", "n_pages", mean.alias("mean"), upper.alias("upper"), (upper < threshold).alias("blocked"))
 
 
 def judge_urls(pages: DataFrame, outcomes: DataFrame, id_col: str = "page_id", url_col: str = "url",
@@ -119,7 +119,7 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame, id_col: str = "page_id", u
     url = pages[url_col]
     rows = pages.select(pages[id_col].alias("page_id"), url_host(url).alias("host"), url_path(url).alias("path"))
     ranks = materialize(reputation(rows.select("page_id", "host"), outcomes, threshold, z), "host-reputation")
-    judged = attach(rows, ranks, ["host"], ranks.count(), F.struct("page_id", "path"))
+    judged = attach(rows, ranks, ["host"], hot_keys(ranks, ["host"], "n_pages"))
     rule, verdict = rule_of(F.col("host"), F.col("path"))
     method = F.when(F.col("blocked"), F.lit("block")).otherwise(F.lit("allow"))
     return judged.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, method).alias("verdict"),

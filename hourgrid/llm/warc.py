@@ -17,8 +17,10 @@ and range-reads them; nothing is extracted. Executors open packages through
 Defined results: a null payload is empty; of equal payloads (SHA-1) the one with
 the smallest id is the response and others revisit it, if they have at least
 ``least`` bytes; repeated rows with the smallest id are responses all; rows without
-an id are responses if no row with the payload has an id; a null or odd url is
-left out or escaped; empty tables give no rows.
+an id are responses if no row with the payload has an id; ids may be any text (line
+breaks and spaces are escaped), null and empty ids stay apart; a null or odd url is
+left out or escaped; very long payloads are records like others; other columns,
+whatever their names, are not read; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -30,13 +32,13 @@ import uuid
 import zlib
 from collections.abc import Callable
 from typing import NamedTuple
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourgrid.llm.common import attach, read
+from hourgrid.llm.common import attach, hot_keys, mark_possible, read
 from hourgrid.session import checkpoint_dir, materialize
 
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
@@ -59,15 +61,20 @@ def _gzip(data: bytes) -> bytes:
     return z.compress(data) + z.flush()
 
 
+def _name(page_id: str | None) -> str:
+    """An id as a URN: any text, on one line; null has a name of its own."""
+    return "urn:nopage" if page_id is None else "urn:page:" + quote(page_id, safe="")
+
+
 def record(page_id: str | None, url: str | None, payload: bytes, digest: str, kind: str, refers_to: str | None) -> bytes:
     """One WARC record; a revisit keeps the HTTP header (with the payload's length) and drops the payload."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if kind == "revisit" else http + payload
-    head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{page_id or ''}>", "WARC-Date: 1980-01-01T00:00:00Z"]
+    head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <{_name(page_id)}>", "WARC-Date: 1980-01-01T00:00:00Z"]
     if url:
         head.append(f"WARC-Target-URI: {quote(url, safe=':/?#[]@!$&()*+,;=%~')}")
     if kind == "revisit":
-        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:page:{refers_to or ''}>"]
+        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <{_name(refers_to)}>"]
     head += [f"WARC-Payload-Digest: sha1:{digest}", "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
@@ -95,7 +102,7 @@ def parse(raw: bytes) -> Record:
     digest, kind = fields["WARC-Payload-Digest"].removeprefix("sha1:"), fields["WARC-Type"]
     if kind == "response" and (len(payload) != size or base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest):
         raise ValueError(f"payload of {fields['WARC-Record-ID']} does not fit its digest")
-    plain = lambda x: fields[x][10:-1] or None if x in fields else None
+    plain = lambda x: unquote(fields[x][10:-1]) if fields.get(x, "<urn:nopage>") != "<urn:nopage>" else None
     return Record(plain("WARC-Record-ID"), fields.get("WARC-Target-URI"), payload if kind == "response" else None, size, digest, kind,
                   plain("WARC-Refers-To"))
 
@@ -221,8 +228,12 @@ def write_packages(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     rows = rows.withColumn("digest", digest32(F.col("payload")))
     long = rows.where(F.octet_length("payload") >= least)
     first = materialize(long.groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("_n"))
-                        .where("_n > 1").select("digest", "first", F.lit(True).alias("_again")), "warc-repeated")
-    placed = attach(rows, first, ["digest"], first.count(), F.coalesce(F.col("page_id").cast("string"), F.col("url")))
+                        .where("_n > 1").select("digest", "first", "_n", F.lit(True).alias("_again")), "warc-repeated")
+    # most payloads occur once: their rows are told by their digests alone and stay where they are
+    marked = mark_possible(rows, F.xxhash64("digest"), first, F.xxhash64("digest"), "_maybe")
+    some = attach(marked.where("_maybe").drop("_maybe"), first.drop("_n"), ["digest"], hot_keys(first, ["digest"], "_n"))
+    once = marked.where("NOT _maybe").select(*rows.columns, F.lit(None).cast(first.schema["first"].dataType).alias("first"), F.lit(None).cast("boolean").alias("_again"))
+    placed = once.union(some.select(*once.columns))
     again = F.coalesce(F.col("_again"), F.lit(False)) & ~F.col("page_id").eqNullSafe(F.col("first"))
     placed = placed.select(F.col("page_id").cast("string").alias("page_id"), "url", "payload", "digest",
                            F.when(again, "revisit").otherwise("response").alias("kind"),
@@ -233,7 +244,7 @@ def write_packages(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
             for batch in batches:
                 for row in zip(*(batch.column(i) for i in range(6))):
                     page_id, url, body, digest, kind, refers_to = (x.as_py() for x in row)
-                    yield f"urn:page:{page_id or ''} {kind}", record(page_id, url, body, digest, kind, refers_to)
+                    yield f"{_name(page_id)} {kind}", record(page_id, url, body, digest, kind, refers_to)
 
         found = records()
         head = next(found, None)
