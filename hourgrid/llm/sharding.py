@@ -27,6 +27,8 @@ from hourgrid.session import materialize
 
 SHARDS, BASE, PER_RACK, RACKS = 24, 24, 2, 3
 ROWS_PER_BLOCK = 1_000_000
+#: Slots of equal rows are made in arrays of at most so many.
+COPY_BLOCK = 100_000
 
 
 @dataclass(frozen=True)
@@ -95,7 +97,7 @@ def assign_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Slots are gapless from 0 in each shard. A shard is numbered in hash blocks of
     about ``rows_per_block`` rows: blocks are ranked on their own and shifted by
     the counts of the blocks before, so no task holds a shard. Equal rows are
-    counted before the shuffle and spread again after it.
+    counted before the shuffle and spread again after it; rows of one key with other content fall into blocks of their own.
     """
     text = F.coalesce(docs[text_col], F.lit(""))
     rows = docs.select(docs[id_col].alias("doc_id"), (F.octet_length(text) + 8).cast("long").alias("size"),
@@ -106,7 +108,9 @@ def assign_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     groups = materialize(groups, "shard-groups")
     total = groups.agg(F.sum("n")).first()[0] or 0
     blocks = max(1, -(-total // (rows_per_block * shards)))
-    groups = groups.withColumn("_block", F.pmod(md5_int(F.concat(F.lit("slot/"), F.col("_key")), 8), F.lit(blocks)))
+    # rows of one key, or without one, spread over the blocks by their content
+    content = F.concat_ws("/", F.lit("slot"), F.col("_key"), F.col("size").cast("string"), F.col("text_crc32").cast("string"))
+    groups = groups.withColumn("_block", F.pmod(md5_int(content, 8), F.lit(blocks)))
     before = Window.partitionBy("shard").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = (groups.groupBy("shard", "_block").agg(F.sum("n").alias("_n"))
               .select("shard", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")))
@@ -114,10 +118,14 @@ def assign_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
               .rowsBetween(Window.unboundedPreceding, -1))
     ranked = groups.withColumn("_first", F.coalesce(F.sum("n").over(inside), F.lit(0)))
     placed = ranked.join(starts, ["shard", "_block"])
+    # a group's slots are dealt in two steps: no array holds more than COPY_BLOCK of them
+    part = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / COPY_BLOCK).cast("long")))
     first = F.col("_start") + F.col("_first")
-    return placed.select(
+    dealt = placed.select("doc_id", "size", "text_crc32", "shard", "grown_shard", first.alias("_from"), (first + F.col("n") - 1).alias("_to"), part.alias("_part"))
+    low = F.col("_from") + F.col("_part") * COPY_BLOCK
+    return dealt.select(
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard",
-        F.explode(F.sequence(first, first + F.col("n") - 1)).alias("slot"), "grown_shard",
+        F.explode(F.sequence(low, F.least(F.col("_to"), low + COPY_BLOCK - 1))).alias("slot"), "grown_shard",
     )
 
 
