@@ -55,21 +55,22 @@ def check_unique(df: DataFrame, keys: Sequence[str], name: str = "table") -> Dat
     return df
 
 
-def unique_rows(df: DataFrame, keys: Sequence[str], name: str = "dimension") -> DataFrame:
+def unique_rows(df: DataFrame, keys: Sequence[str], name: str = "dimension", keep_null_keys: bool = True) -> DataFrame:
     """``df`` with one row per key; a key of several rows raises when it is computed.
 
-    The check is an aggregate inside the plan: no job runs before the query.
-    Rows whose key has a NULL never match a join and are not checked.
+    The check is an aggregate inside the plan: no job runs before the query. Each column is aggregated
+    on its own, so fixed-width columns stay in a hash aggregate. Rows whose key has a NULL never match a
+    join: they are not checked, and are kept as they are or, with ``keep_null_keys=False``, left out.
     """
     others = [c for c in df.columns if c not in keys]
     whole = F.lit(True)
     for k in keys:
         whole = whole & F.col(k).isNotNull()
-    once = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), F.first(F.struct(F.lit(0).alias("_one"), *others)).alias("_row"))
+    once = df.filter(whole).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *[F.first(c).alias(c) for c in others])
     error = F.raise_error(F.concat(F.lit(f"{name}: keys {list(keys)} not unique: "), F.to_json(F.struct(*keys))))
-    checked = F.when(whole & (F.col("_rows") > 1), error.cast("int")).otherwise(F.col("_row._one"))
     # the filter keeps the check in the plan even if no other column is used
-    return once.filter(checked == 0).select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
+    checked = once.filter(F.when(F.col("_rows") > 1, error.cast("int")).otherwise(F.lit(0)) == 0).select(*df.columns)
+    return checked.unionByName(df.filter(~whole)) if keep_null_keys else checked
 
 
 def prefix_columns(df: DataFrame, prefix: str, exclude: Sequence[str] = ()) -> DataFrame:
@@ -101,7 +102,8 @@ def lookup_join(
     if contract not in ("", "m:1", "1:m", "1:1"):
         raise ValueError(f"unknown join contract {validate!r}")
     if contract in ("m:1", "1:1"):
-        dim = unique_rows(dim, dim_keys, name)
+        # unmatched dimension rows come out of right and full joins only
+        dim = unique_rows(dim, dim_keys, name, keep_null_keys=how not in ("left", "inner", "left_outer", "leftouter"))
     if contract in ("1:m", "1:1"):
         check_unique(fact, fact_keys, "fact")
     if isinstance(on, dict):
@@ -137,7 +139,7 @@ def shifted_lookup(
     # All shifted expressions read the original row: evaluate in one select.
     shifted = dim.select(*[exprs.get(c, F.col(c)).alias(c) for c in dim.columns])
     if validate:
-        shifted = unique_rows(shifted, dim_keys, prefix.rstrip("_") or "dimension")
+        shifted = unique_rows(shifted, dim_keys, prefix.rstrip("_") or "dimension", keep_null_keys=how not in ("left", "inner"))
     shifted = prefix_columns(shifted, prefix)
     pk = [prefix + k for k in dim_keys]
     cond = [fact[f] == shifted[d] for f, d in zip(fact_keys, pk)]

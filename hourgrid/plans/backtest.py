@@ -169,17 +169,26 @@ def sample_holdout(df: DataFrame, n: int, keys: Sequence[str], seed: int = 10) -
 
 
 def holdout_split(df: DataFrame, n: int, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """A repeatable sample of ``n`` rows and the remainder (T4).
+    """A repeatable sample of ``min(n, rows)`` rows and the remainder (T4).
 
-    Rows are ordered by the MD5 of their keys, so the split is the same in any
-    engine. Only the sample's last key is looked up; both parts are filters.
+    Rows are ordered by the MD5 of their keys, the keys, and a hash of the row, so the split is the same
+    under any partitioning. Only the last row of the sample is looked up. Rows equal to it in the whole
+    order are counted and dealt to both parts, so that the sample has exactly ``n`` rows.
     """
     text = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
-    h = df.withColumn("_h", F.md5(text.cast("binary")))
-    limit = h.select("_h", *keys).orderBy("_h", *keys).limit(n).agg(F.max("_h").alias("m"), F.count(F.lit(1)).alias("c"))
-    edge = limit.select("m").scalar()
-    inside = F.coalesce(F.col("_h") <= edge, F.lit(False))
-    return h.filter(inside).drop("_h"), h.filter(~inside).drop("_h")
+    row = F.xxhash64(*[F.col(f.name).cast("string") if "map<" in f.dataType.simpleString() else F.col(f.name) for f in df.schema.fields])
+    place = F.struct(F.md5(text.cast("binary")).alias("h"), *[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], row.alias("row"))
+    h = df.withColumn("_at", place)
+    first = h.select("_at").orderBy("_at").limit(n)
+    edge = first.agg(F.max("_at").alias("m")).scalar()
+    taken = first.groupBy("_at").agg(F.count(F.lit(1)).alias("c")).agg(F.max_by("c", "_at")).scalar()
+    equal = h.filter(F.col("_at") == edge).groupBy("_at").agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*df.columns)).alias("_row"))
+
+    def copies(times: Column) -> DataFrame:
+        return equal.select("_row", F.explode(F.array_repeat(F.lit(0), times.cast("int")))).select("_row.*")
+
+    before, after = h.filter(F.col("_at") < edge), h.filter(F.coalesce(F.col("_at") > edge, F.lit(True)))
+    return before.drop("_at").unionByName(copies(taken)), after.drop("_at").unionByName(copies(F.col("_n") - taken))
 
 
 def naive_predictions(df: DataFrame, lag_col: str = "target_lag_2d", pred_col: str = "preds") -> DataFrame:

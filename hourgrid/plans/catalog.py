@@ -169,6 +169,18 @@ def weather_joined(spark: SparkSession, d: str) -> DataFrame:
     return _round_cols(out, meas)
 
 
+def weather_forecast_joined(spark: SparkSession, d: str) -> DataFrame:
+    """J4 + J5: the forecast as tomorrow's feature (+ 1 day) and unshifted; one measure of each."""
+    out = merge_fact(standins.county_fact(spark, d), forecast=_forecast_dedup(spark, d), keys=MergeKeys(unit=("county",)))
+    return _round_cols(out.select("county", "datetime", "f0d_price", "f1d_price"), ["f0d_price", "f1d_price"])
+
+
+def weather_history_joined(spark: SparkSession, d: str) -> DataFrame:
+    """J6 + J7: readings of two days ago, with the block shift up to 10:00, and of one day ago; one measure of each."""
+    out = merge_fact(standins.county_fact(spark, d), historical=_history_county(spark, d), keys=MergeKeys(unit=("county",)))
+    return _round_cols(out.select("county", "datetime", "h2d_price", "h1d_price"), ["h2d_price", "h1d_price"])
+
+
 def weather_joined_alt(spark: SparkSession, d: str) -> DataFrame:
     """Alternate merge with an inner join type, f1_ unshifted, h2_ without block."""
     fact = standins.county_fact(spark, d)
@@ -461,16 +473,53 @@ def station_names(spark: SparkSession, d: str) -> DataFrame:
 
 
 def declared_tables(spark: SparkSession, d: str) -> DataFrame:
-    """S4 + S6: the hourly table under its declared schema, replaced as a managed table and read by name."""
-    import uuid
-
+    """The hourly table, replaced as a managed table and read by name."""
     from hourgrid.sources import sinks
 
-    name = f"hourly_{uuid.uuid4().hex}"
+    name = "hourgrid_hourly"  # one name, so that one table stays
     sinks.replace_table(standins.hourly(spark, d).select("event_type", "datetime", "target", "n"), name)
     return spark.read.table(name)
 
 
+def ddl_gas_prices(spark: SparkSession, d: str) -> DataFrame:
+    """S4 + S5: gas prices loaded twice into the table that the declared DDL creates; its types are the declared ones."""
+    from hourgrid.sources import sinks
+
+    p = standins.daily_price(spark, d)
+    day = F.date_add(F.lit(standins.EVENT_BASE).cast("date"), F.col("data_block_id") - 1)
+    rows = p.select((F.col("data_block_id").cast("long") * 1).alias("data_block_id"), day.alias("origin_date"), F.date_add(day, 1).alias("forecast_date"),
+                    "highest_price_per_mwh", "lowest_price_per_mwh")
+    for _ in range(2):
+        sinks.load_declared(rows, "gas_prices", "hourgrid_gas_prices")
+    return spark.read.table("hourgrid_gas_prices")
+
+
+def ddl_clients(spark: SparkSession, d: str) -> DataFrame:
+    """Clients under the declared schema: customers by nation and segment, one row per order day."""
+    from hourgrid.sources import sinks
+
+    o = _orders(spark, d).filter("c_nationkey IS NOT NULL")
+    segment = F.dense_rank().over(Window.orderBy("c_mktsegment")).alias("product_type")
+    kinds = o.select("c_mktsegment").distinct().select("c_mktsegment", segment)
+    rows = o.join(kinds, "c_mktsegment").groupBy("product_type", F.col("c_nationkey").alias("county"), F.col("is_final").alias("is_business"),
+                                                 F.to_date("o_orderdate").alias("date")).agg(
+        F.count(F.lit(1)).alias("eic_count"), rounded(agg.total("o_totalprice"), 2).alias("installed_capacity"))
+    rows = rows.withColumn("data_block_id", F.datediff("date", F.lit(standins.LINE_BASE).cast("date")))
+    sinks.load_declared(rows, "client", "hourgrid_client")
+    return spark.read.table("hourgrid_client")
+
+
+def versioned_reload(spark: SparkSession, d: str) -> DataFrame:
+    """S5 + S6: a table reloaded from itself: the second version reads the first one that it replaces."""
+    from hourgrid.sources import sinks
+
+    path = _scratch_path(spark, "versions")
+    sinks.publish_version(standins.hourly(spark, d).select("event_type", "datetime", "n"), path)
+    old = sinks.read_version(spark, path)
+    sinks.publish_version(old.filter("n > 1").withColumn("n", F.col("n") * 10), path)
+    return sinks.read_version(spark, path)
+
+
 def holdout_remainder(spark: SparkSession, d: str) -> DataFrame:
     """T4: every row with the part it falls into, the md5-ordered sample or the remainder."""
     h = standins.hourly(spark, d).select("event_type", "datetime")
@@ -486,7 +535,7 @@ def column_kinds(spark: SparkSession, d: str) -> DataFrame:
 
 
 def linear_trend(spark: SparkSession, d: str) -> DataFrame:
-    """M1: an unregularised one-feature linear fit of the daily revenue; its slope and intercept."""
+    """M1: an unregularised one-feature linear fit of price on quantity; its slope and intercept."""
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import LinearRegression
 
@@ -946,6 +995,8 @@ _QUERIES: dict[str, Query] = {
     "forecast_dedup": forecast_dedup,
     "history_county": history_county,
     "weather_joined": weather_joined,
+    "weather_forecast_joined": weather_forecast_joined,
+    "weather_history_joined": weather_history_joined,
     "weather_joined_alt": weather_joined_alt,
     "forecast_county_union": forecast_county_union,
     "dedupe_readings": dedupe_readings,
@@ -982,6 +1033,9 @@ _QUERIES: dict[str, Query] = {
     "fine_sums": fine_sums,
     "station_names": station_names,
     "declared_tables": declared_tables,
+    "ddl_gas_prices": ddl_gas_prices,
+    "ddl_clients": ddl_clients,
+    "versioned_reload": versioned_reload,
     "holdout_remainder": holdout_remainder,
     "column_kinds": column_kinds,
     "linear_trend": linear_trend,

@@ -83,7 +83,7 @@ def growth_rate(df: DataFrame, time_col: str, value_col: str, name: str = "capac
         F.min(t).alias("first_dt"), F.max(t).alias("last_dt"),
         F.min_by("_v", t).alias("first_val"), F.max_by("_v", t).alias("last_val"),
     )
-    years = F.timestamp_diff("SECOND", F.col("first_dt"), F.col("last_dt")) / 86400.0 / 365.25
+    years = F.timestamp_diff("MICROSECOND", F.col("first_dt"), F.col("last_dt")) / 1e6 / 86400.0 / 365.25
     cagr = (F.pow(F.try_divide(F.col("last_val"), F.col("first_val")), F.lit(1.0) / years) - 1.0) * 100.0
     return b.select(rounded(cagr, 2).alias(name))
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-__all__ = ["write_overwrite", "replace_table", "write_partitioned_by_day", "read_day_range"]
+from hourgrid.sources.schemas import SCHEMAS, ddl
+
+__all__ = ["write_overwrite", "replace_table", "load_declared", "write_partitioned_by_day", "read_day_range", "publish_version", "read_version", "remove_versions"]
 
 
 def write_overwrite(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -20,6 +24,74 @@ def replace_table(df: DataFrame, name: str) -> None:
     df.write.mode("overwrite").format("parquet").saveAsTable(name)
 
 
+def load_declared(df: DataFrame, name: str, table: str | None = None) -> None:
+    """Create a declared table unless it exists, then replace its rows by ``df``, matched by name and cast to the declared types."""
+    spark, table = df.sparkSession, table or name
+    spark.sql(ddl(name, table))
+    rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SCHEMAS[name].fields])
+    rows.write.insertInto(table, overwrite=True)
+
+
+MANIFEST = "version long, folder string"
+
+
+def publish_version(df: DataFrame, path: str) -> int:
+    """Write ``df`` as a new version of the table at ``path`` and switch readers to it in one step.
+
+    Rows go to a folder of their own; only then one file joins the manifest, by Spark's committer, so readers
+    see the old version or the new one and never a part. ``df`` may read the version that it replaces, and a
+    write that fails leaves the table as it was. Versions are numbered; of writers at the same time the one
+    with the larger folder name counts.
+    """
+    spark, folder = df.sparkSession, f"rows-{uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/{folder}")
+    newest = _manifest(spark, path)
+    version = (newest[0] if newest else 0) + 1
+    spark.createDataFrame([(version, folder)], MANIFEST).coalesce(1).write.mode("append").json(f"{path}/manifest")
+    return version
+
+
+def _manifest(spark: SparkSession, path: str) -> tuple[int, str] | None:
+    """(version, folder) that readers follow."""
+    try:
+        seen = spark.read.schema(MANIFEST).json(f"{path}/manifest")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    top = seen.agg(F.max(F.struct("version", "folder")).alias("m")).first()["m"]
+    return (top["version"], top["folder"]) if top else None
+
+
+def read_version(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The newest version of the table at ``path``, or version number ``version`` if it is still there."""
+    found = _manifest(spark, path)
+    if found is None:
+        raise FileNotFoundError(f"no version of {path}")
+    if version is not None and version != found[0]:
+        old = spark.read.schema(MANIFEST).json(f"{path}/manifest").filter(F.col("version") == version).agg(F.max("folder").alias("f")).first()["f"]
+        if old is None:
+            raise FileNotFoundError(f"no version {version} of {path}")
+        found = (version, old)
+    return spark.read.parquet(f"{path}/{found[1]}")
+
+
+def remove_versions(spark: SparkSession, path: str, keep: int = 2) -> int:
+    """Delete the rows of all but the newest ``keep`` versions; the manifest keeps its entries. Returns how many folders went."""
+    if keep < 1:
+        raise ValueError("the newest version can't be removed")
+    newest = _manifest(spark, path)
+    if newest is None:
+        return 0
+    old = spark.read.schema(MANIFEST).json(f"{path}/manifest").filter(F.col("version") <= newest[0] - keep).collect()
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    gone = 0
+    for r in old:
+        folder = hadoop.Path(f"{path}/{r['folder']}")
+        gone += bool(folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True))
+    return gone
+
+
 def write_partitioned_by_day(df: DataFrame, path: str, time_col: str = "datetime",
                              day_col: str = "day", extra_partitions: Sequence[str] = ()) -> None:
     """Fact sink partitioned by calendar day.

@@ -305,7 +305,12 @@ def _pref(alias: str, p: str) -> str:
     return ", ".join(f"{alias}.{m} AS {p}_{m}" for m in _M)
 
 
-SQL["weather_joined"] = _with(STATIONS, FGRID, HGRID, FCOUNTY, HCOUNTY, FDEDUP, COUNTY_FACT) + f"""
+def _stored(cte: str) -> str:
+    """A CTE that is computed once, however often it is read."""
+    return cte.replace(" AS (", " AS MATERIALIZED (", 1)
+
+
+SQL["weather_joined"] = _with(STATIONS, FGRID, HGRID, _stored(FCOUNTY), _stored(HCOUNTY), _stored(FDEDUP), _stored(COUNTY_FACT)) + f"""
 SELECT c.county, c.datetime, c.target, {_pref("f0", "f0d")}, {_pref("f1", "f1d")}, {_pref("h2", "h2d")},
        {_pref("h1", "h1d")}
 FROM county_fact c
@@ -325,6 +330,22 @@ LEFT JOIN hcounty h1 ON h1.county = c.county AND h1.datetime + INTERVAL 1 DAY =
 _MERGED_CTES, _MERGED_BODY = SQL["merged_hourly"].split("\nSELECT h.event_type", 1)
 MERGED = _MERGED_CTES + "\n, merged AS (SELECT h.event_type" + _MERGED_BODY + ")\n"
 
+SQL["weather_forecast_joined"] = _with(STATIONS, FGRID, _stored(FCOUNTY), _stored(FDEDUP), _stored(COUNTY_FACT)) + """
+SELECT c.county, c.datetime, f0.price AS f0d_price, f1.price AS f1d_price FROM county_fact c
+LEFT JOIN (SELECT county, forecast_datetime + INTERVAL 1 DAY AS t, data_block_id, price FROM fdedup) f0
+       ON f0.county = c.county AND f0.t = c.datetime AND f0.data_block_id = c.data_block_id
+LEFT JOIN fdedup f1 ON f1.county = c.county AND f1.forecast_datetime = c.datetime AND f1.data_block_id = c.data_block_id
+"""
+
+SQL["weather_history_joined"] = _with(STATIONS, HGRID, _stored(HCOUNTY), _stored(COUNTY_FACT)) + """
+SELECT c.county, c.datetime, h2.price AS h2d_price, h1.price AS h1d_price FROM county_fact c
+LEFT JOIN (SELECT county, datetime + INTERVAL 2 DAY AS t, price,
+                  CASE WHEN hour(datetime) <= 10 THEN data_block_id + 1 ELSE data_block_id END AS block FROM hcounty) h2
+       ON h2.county = c.county AND h2.t = c.datetime AND h2.block = c.data_block_id
+LEFT JOIN (SELECT county, datetime + INTERVAL 1 DAY AS t, price, data_block_id FROM hcounty) h1
+       ON h1.county = c.county AND h1.t = c.datetime AND h1.data_block_id = c.data_block_id
+"""
+
 SQL["weather_joined_alt"] = _with(STATIONS, FGRID, HGRID, FCOUNTY, HCOUNTY, COUNTY_FACT) + f"""
 SELECT c.county, c.datetime, c.target, {_pref("f1", "f1")}, {_pref("h2", "h2")}
 FROM county_fact c
@@ -825,3 +846,21 @@ SQL["halving_rungs"] = _with(HOURLY, SHARE_FOLDS) + f"""
 SELECT CAST(rung AS INTEGER) AS rung, CAST(candidate AS INTEGER) AS candidate, {rnd("e", 4)} AS mean_error, CAST(place AS INTEGER) AS place,
        place <= ceil(n / 2.0) AS survives FROM every
 """
+
+SQL["ddl_gas_prices"] = _with(DAILY_PRICE) + """
+SELECT CAST(DATE '2024-01-01' + data_block_id AS TIMESTAMP) AS forecast_date, CAST(lowest_price_per_mwh AS FLOAT) AS lowest_price_per_mwh,
+       CAST(highest_price_per_mwh AS FLOAT) AS highest_price_per_mwh, CAST(DATE '2024-01-01' + data_block_id - 1 AS TIMESTAMP) AS origin_date, data_block_id
+FROM daily_price
+"""
+
+SQL["ddl_clients"] = _with(ORDERS_FACT) + f"""
+, kinds AS (SELECT c_mktsegment, CAST(dense_rank() OVER (ORDER BY c_mktsegment) AS INTEGER) AS product_type
+            FROM (SELECT DISTINCT c_mktsegment FROM orders_fact WHERE c_nationkey IS NOT NULL))
+SELECT k.product_type, c_nationkey AS county, CAST(COUNT(*) AS INTEGER) AS eic_count, {rnd("SUM(o_totalprice)", 2)} AS installed_capacity,
+       is_final AS is_business, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS date,
+       CAST(date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) AS INTEGER) AS data_block_id
+FROM orders_fact o JOIN kinds k ON k.c_mktsegment = o.c_mktsegment WHERE c_nationkey IS NOT NULL
+GROUP BY k.product_type, c_nationkey, is_final, CAST(o_orderdate AS DATE)
+"""
+
+SQL["versioned_reload"] = _with(HOURLY) + "SELECT event_type, datetime, n * 10 AS n FROM hourly WHERE n > 1"
