@@ -6,21 +6,33 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hourgrid.llm.common import attach, hot_keys
 from hourgrid.session import materialize
 
 
+def _with_least(links: DataFrame) -> DataFrame:
+    """``links`` (a, b) and the smallest b of each a as m; the node that all others hang on may be one key, so hot nodes meet theirs by broadcast."""
+    least = links.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("_n"))
+    return attach(links, least.drop("_n"), ["a"], hot_keys(least, ["a"], "_n"))
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Each node hands its larger neighbours to the smallest node it knows."""
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m"))
-    return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct()
+    return _with_least(both).where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Each node hands itself and its smaller neighbours to the smallest of them (edges have a > b)."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    moved = edges.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
+    known = _with_least(edges)
+    moved = known.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return moved.unionByName(known.select("a", F.col("m").alias("b"))).distinct()
+
+
+def with_component(linked: DataFrame, root: str, least: str, out: str) -> DataFrame:
+    """A stored table of nodes with ``out``: the smallest ``least`` of all nodes of the same root; one root may hold most nodes."""
+    smallest = materialize(linked.groupBy(root).agg(F.min(least).alias(out), F.count(F.lit(1)).alias("_n")), "smallest")
+    return attach(linked, smallest.drop("_n"), [root], hot_keys(smallest, [root], "_n"))
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -38,7 +50,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     edges = materialize(edges.distinct(), "links")
     mark = _mark(edges)
     while mark[0]:
-        edges = materialize(_small_star(_large_star(edges)), "links")
+        edges = materialize(_small_star(materialize(_large_star(edges), "links")), "links")
         last, mark = mark, _mark(edges)
         if mark == last:
             break

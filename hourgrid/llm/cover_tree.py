@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourgrid.llm.common import read
-from hourgrid.llm.components import connected_components, find, unite
+from hourgrid.llm.components import connected_components, find, unite, with_component
 from hourgrid.session import materialize
 
 COSINE, BLOCK, SAMPLE = 0.93, 2048, 20_000
@@ -298,9 +298,8 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     part = materialize(cover_links(once, cosine, block), "cover-links")
     counts = part.groupBy("uid").agg(F.sum("links").alias("links"))
     roots = connected_components(part.select(F.col("uid").alias("a"), F.col("root").alias("b")))
-    least = once.join(roots, once.uid == roots.node).select("uid", "root", "least")
-    smallest = least.groupBy("root").agg(F.min("least").alias("component"))
-    grouped = least.join(smallest, "root").select("uid", "component", F.lit(True).alias("_in"))
+    least = materialize(once.join(roots, once.uid == roots.node).select("uid", "root", "least"), "cover-roots")
+    grouped = with_component(least, "root", "least", "component").select("uid", "component", F.lit(True).alias("_in"))
     found = once.join(counts, "uid", "left").join(grouped, "uid", "left").select(
         "label", "key", "vec", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
         F.when(F.col("_in"), F.col("component")).otherwise(F.col("least")).alias("component"), F.lit(True).alias("_found"))

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from hourgrid.llm.common import read
-from hourgrid.llm.components import connected_components, find, unite
+from hourgrid.llm.components import connected_components, find, unite, with_component
 from hourgrid.session import materialize
 
 SHINGLE, BITS = 3, 2
@@ -233,9 +233,8 @@ def near_groups(fps: DataFrame, bits: int = BITS, leaf: int = LEAF) -> DataFrame
     """
     keys = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-keys")
     roots = connected_components(trie_forest(keys, keys.count(), bits, leaf))
-    linked = keys.join(roots, keys.fp == roots.node).select("fp", "root", "least")
-    smallest = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    near = materialize(linked.join(smallest, "root").select("fp", "root", "component_id"), "simhash-linked")
+    linked = materialize(keys.join(roots, keys.fp == roots.node).select("fp", "root", "least"), "simhash-roots")
+    near = materialize(with_component(linked, "root", "least", "component_id").select("fp", "root", "component_id"), "simhash-linked")
     return keys.join(near, "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root"),
         F.when(F.col("root").isNotNull(), F.col("component_id")).otherwise(F.col("least")).alias("component_id"))
