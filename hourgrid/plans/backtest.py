@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourgrid.functions.scalar import abs_error, trunc_ts
+from hourgrid.functions.scalar import abs_error, epoch_us, trunc_ts
 from hourgrid.plans.boosting import Boosted, BoostParams, Halving, Patience, boost, gain_totals
 
 __all__ = [
@@ -37,6 +37,7 @@ __all__ = [
     "holdout_split",
     "naive_predictions",
     "fold_scores",
+    "fold_scores_by_slices",
     "FitSpec",
     "feature_columns",
     "fit_predict",
@@ -202,6 +203,33 @@ def fold_scores(pred: DataFrame, keys: Sequence[str], target: str = "target", pr
     return pred.groupBy(*keys).agg(F.avg(e).alias("mae"), F.count(e).cast("long").alias("n_scored"))
 
 
+def fold_scores_by_slices(pred: DataFrame, folds: DataFrame, time_col: str, keys: Sequence[str], eval_days: int | None = 21,
+                          target: str = "target", pred_col: str = "preds") -> DataFrame:
+    """:func:`fold_scores` of :func:`assign_folds` per (kind, fold, ``keys``, part), each row read once.
+
+    Expanding folds overlap, and :func:`assign_folds` copies a row into each of them. Here the bounds of
+    all folds cut the time line into slices; rows are summed per (slice, keys), and a part of a fold sums its
+    slices. The bounds are a scalar array; everything after the sums has folds x slices rows per key.
+    """
+    t = epoch_us(time_col)
+    us = {c: epoch_us(c) for c in ("train_start", "train_end", "test_start", "test_end")}
+    day = 86_400_000_000
+    eval_from = F.greatest(us["train_start"], F.floor(us["train_end"] / day) * day - eval_days * day) if eval_days else us["test_start"]
+    eval_from = F.least(eval_from, us["test_start"])
+    known = folds.select("kind", "fold", F.array(
+        *[F.struct(F.lit(name).alias("part"), lo.cast("long").alias("lo"), hi.cast("long").alias("hi")) for name, lo, hi in (
+            ("train", us["train_start"], eval_from), ("eval", eval_from, us["test_start"]), ("test", us["test_start"], us["test_end"] + 1))]).alias("parts"))
+    parts = known.select("kind", "fold", F.inline("parts")).filter("lo < hi")
+    bounds = parts.select(F.explode(F.array("lo", "hi")).alias("b")).agg(F.array_sort(F.collect_set("b"))).scalar()
+    e = abs_error(target, pred_col)
+    number = lambda x: F.size(F.filter("_bounds", lambda b: b <= x))
+    cut = pred.select(*keys, e.alias("_e"), t.alias("_t"), bounds.alias("_bounds")).withColumn("_slice", number(F.col("_t")))
+    sums = cut.filter(F.col("_t").isNotNull()).groupBy("_slice", *keys).agg(F.sum("_e").alias("_s"), F.count("_e").alias("_n"))
+    wanted = parts.withColumn("_bounds", bounds).select("kind", "fold", "part", F.explode(F.sequence(number(F.col("lo")), number(F.col("hi")) - 1)).alias("_slice"))
+    out = wanted.join(sums, "_slice").groupBy("kind", "fold", *keys, "part").agg(F.sum("_s").alias("_s"), F.sum("_n").alias("_n"))
+    return out.select("kind", "fold", *keys, "part", (F.col("_s") / F.when(F.col("_n") > 0, F.col("_n"))).alias("mae"), F.col("_n").cast("long").alias("n_scored"))
+
+
 # ---------------------------------------------------------------- Spark ML
 
 

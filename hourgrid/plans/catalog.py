@@ -402,6 +402,16 @@ def day_partition_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return sinks.read_day_range(spark, path, "2024-01-03", "2024-01-10")
 
 
+def clustered_range(spark: SparkSession, d: str) -> DataFrame:
+    """Line items written clustered by supplier and ship time, a range of both read back."""
+    from hourgrid.sources import sinks
+
+    path = _scratch_path(spark, "clustered")
+    li = from_table(spark, d, "lineitem").select("l_suppkey", "l_shipdate", "l_linenumber", "l_quantity", "l_extendedprice")
+    sinks.write_clustered(li, path, "l_suppkey", "l_shipdate", files=32)
+    return sinks.read_clustered(spark, path, "l_suppkey", (10, 40), "l_shipdate", "1996-01-01", "1997-01-01")
+
+
 def _scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
 
@@ -656,6 +666,13 @@ def naive_scores(spark: SparkSession, d: str) -> DataFrame:
     return _round_cols(bt.fold_scores(pred, ["kind", "fold", "is_consumption", "part"]), ["mae"])
 
 
+def naive_scores_sliced(spark: SparkSession, d: str) -> DataFrame:
+    """T3 + A14: the scores of ``naive_scores`` with each row read once: sums per time slice, folds as ranges of slices."""
+    h = standins.hourly(spark, d).select("event_type", "datetime", "target", "is_consumption")
+    pred = bt.naive_predictions(add_lags(h, "target", ["2d"], "datetime", SERIES), "target_lag_2d")
+    return _round_cols(bt.fold_scores_by_slices(pred, _hourly_folds(spark, d), "datetime", ["is_consumption"], EVAL_DAYS), ["mae"])
+
+
 def mae_ratio(spark: SparkSession, d: str) -> DataFrame:
     """Train and test MAE side by side and their ratio."""
     pred = bt.naive_predictions(_labelled(spark, d), "target_lag_2d")
@@ -671,6 +688,15 @@ def error_percentiles(spark: SparkSession, d: str) -> DataFrame:
     return _round_cols(out, ["p50", "p60", "p75"])
 
 
+def sketched_percentiles(spark: SparkSession, d: str) -> DataFrame:
+    """A3 + A15: percentiles of prices per customer segment from monthly KLL sketches, and whether their rank errors keep the bound."""
+    o = _orders(spark, d).withColumn("month", fx.trunc_ts("month", "o_orderdate"))
+    qs = [0.05, 0.25, 0.5, 0.75, 0.95]
+    merged = agg.merge_sketches(agg.percentile_sketches(o, ["c_mktsegment", "month"], "o_totalprice"), ["c_mktsegment"])
+    off = agg.rank_errors(o, ["c_mktsegment"], "o_totalprice", agg.sketch_percentiles(merged, qs), qs)
+    return off.join(merged.select("c_mktsegment", "n"), "c_mktsegment").select("c_mktsegment", "q", "n", (F.col("rank_error") <= 0.02).alias("within"))
+
+
 def residuals_by_hour(spark: SparkSession, d: str) -> DataFrame:
     """Mean absolute error by hour of day and weekday, per flag."""
     pred = bt.naive_predictions(_labelled(spark, d), "target_lag_2d").filter(F.col("part") == "test")
@@ -1051,6 +1077,9 @@ _QUERIES: dict[str, Query] = {
     "fold_membership": fold_membership,
     "eval_holdout": eval_holdout,
     "naive_scores": naive_scores,
+    "naive_scores_sliced": naive_scores_sliced,
+    "sketched_percentiles": sketched_percentiles,
+    "clustered_range": clustered_range,
     "mae_ratio": mae_ratio,
     "error_percentiles": error_percentiles,
     "residuals_by_hour": residuals_by_hour,

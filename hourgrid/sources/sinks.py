@@ -6,12 +6,13 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hourgrid.functions.scalar import epoch_us
 from hourgrid.sources.schemas import SCHEMAS, ddl
 
-__all__ = ["write_overwrite", "replace_table", "load_declared", "write_partitioned_by_day", "read_day_range", "publish_version", "read_version", "remove_versions"]
+__all__ = ["write_overwrite", "replace_table", "load_declared", "write_partitioned_by_day", "read_day_range", "write_clustered", "read_clustered", "publish_version", "read_version", "remove_versions"]
 
 
 def write_overwrite(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -117,3 +118,44 @@ def read_day_range(spark, path: str, start: str, end: str, day_col: str = "day")
     """Read a day-partitioned fact for ``start <= day < end`` (partition pruned)."""
     return spark.read.parquet(path).filter((F.col(day_col) >= F.lit(start).cast("date")) &
                                            (F.col(day_col) < F.lit(end).cast("date")))
+
+
+#: Bits of each side of a clustered key.
+CLUSTER_BITS = 12
+
+
+def _scaled(x: Column, low: Column, high: Column) -> Column:
+    """A number between ``low`` and ``high`` on a scale of 2 ** CLUSTER_BITS steps; NULL comes first."""
+    top = (1 << CLUSTER_BITS) - 1
+    share = F.when(high > low, (x - low) / (high - low)).otherwise(F.lit(0.0))
+    return F.coalesce(F.floor(share * top).cast("int"), F.lit(0))
+
+
+def interleaved(x: Column, y: Column) -> Column:
+    """The bits of two numbers of CLUSTER_BITS bits in turns, those of ``x`` first."""
+    out = F.lit(0)
+    for i in range(CLUSTER_BITS):
+        out = out.bitwiseOR(F.shiftleft(F.shiftright(x, i).bitwiseAND(1), 2 * i + 1)).bitwiseOR(F.shiftleft(F.shiftright(y, i).bitwiseAND(1), 2 * i))
+    return out
+
+
+def write_clustered(df: DataFrame, path: str, series_col: str, time_col: str, files: int = 64) -> None:
+    """Fact sink for filters on a numeric series, on time, or on both.
+
+    Rows are range-partitioned on the interleaved bits of series and time, so each file holds a small
+    rectangle of both and its Parquet statistics prune either filter; a day folder prunes the day alone.
+    The ranges are of equal numbers of rows, so a series or day with many rows is spread over many files.
+    """
+    t = epoch_us(time_col).cast("double")
+    s = F.col(series_col).cast("double")
+    b = df.agg(F.min(s).alias("s0"), F.max(s).alias("s1"), F.min(t).alias("t0"), F.max(t).alias("t1"))
+    low_high = {c: b.select(c).scalar() for c in b.columns}
+    z = interleaved(_scaled(s, low_high["s0"], low_high["s1"]), _scaled(t, low_high["t0"], low_high["t1"]))
+    # the last columns part rows of one cell; a hot cell is still one file's range at most of equal keys
+    df.withColumn("_z", z).repartitionByRange(files, "_z", series_col, time_col).sortWithinPartitions("_z", series_col, time_col).drop("_z").write.mode("overwrite").parquet(path)
+
+
+def read_clustered(spark: SparkSession, path: str, series_col: str, series: tuple, time_col: str, start: str, end: str) -> DataFrame:
+    """Rows with ``series[0] <= series <= series[1]`` and ``start <= time < end``; both filters reach the file statistics."""
+    t = F.col(time_col)
+    return spark.read.parquet(path).filter(F.col(series_col).between(*series) & (t >= F.lit(start).cast("timestamp_ntz")) & (t < F.lit(end).cast("timestamp_ntz")))

@@ -864,3 +864,15 @@ GROUP BY k.product_type, c_nationkey, is_final, CAST(o_orderdate AS DATE)
 """
 
 SQL["versioned_reload"] = _with(HOURLY) + "SELECT event_type, datetime, n * 10 AS n FROM hourly WHERE n > 1"
+
+SQL["naive_scores_sliced"] = SQL["naive_scores"]
+
+SQL["sketched_percentiles"] = _with(ORDERS_FACT) + """
+SELECT c_mktsegment, q, COUNT(*) AS n, TRUE AS within FROM orders_fact CROSS JOIN (VALUES (0.05::DOUBLE), (0.25::DOUBLE), (0.5::DOUBLE), (0.75::DOUBLE), (0.95::DOUBLE)) v(q)
+WHERE o_totalprice IS NOT NULL AND c_mktsegment IS NOT NULL GROUP BY c_mktsegment, q
+"""
+
+SQL["clustered_range"] = """
+SELECT l_suppkey, l_shipdate, l_linenumber, l_quantity, l_extendedprice FROM lineitem
+WHERE l_suppkey BETWEEN 10 AND 40 AND l_shipdate >= TIMESTAMP '1996-01-01' AND l_shipdate < TIMESTAMP '1997-01-01'
+"""

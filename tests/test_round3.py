@@ -98,3 +98,67 @@ def test_readers_follow_the_newest_whole_version(spark, tmp_path):
     with pytest.raises(ValueError):
         sinks.remove_versions(spark, path, keep=0)
     assert sinks.read_version(spark, path).count() == 1
+
+
+def test_sliced_fold_scores_equal_copied_rows(spark):
+    rows = [(i, f"2024-01-{1 + i // 24:02d} {i % 24:02d}:30:00", float(i % 17), float(i % 5) if i % 9 else None, "ab"[i % 2]) for i in range(24 * 28)]
+    rows += [(9999, None, 1.0, 1.0, "a")]
+    df = spark.createDataFrame(rows, "i int, t string, target double, preds double, k string").withColumn("t", F.col("t").cast("timestamp_ntz"))
+    for folds in (bt.share_folds(df, "t", fh=2), bt.share_folds(df, "t", fh=3, expanding=True)):
+        for days in (None, 2, 60):
+            want = bt.fold_scores(bt.assign_folds(df, folds, "t", days), ["kind", "fold", "k", "part"])
+            got = bt.fold_scores_by_slices(df, folds, "t", ["k"], days)
+            key = lambda r: (r.kind, r.fold, r.k, r.part)
+            a, b = ({key(r): (round(r.mae, 9), r.n_scored) for r in x.collect()} for x in (want, got))
+            assert a == b and a
+    # rows are not copied: no generator stands between the scan and the sums of the fact
+    plan = bt.fold_scores_by_slices(df, folds, "t", ["k"], 2)._jdf.queryExecution().optimizedPlan().toString()
+    fact = plan[plan.rindex("Aggregate ["):]
+    assert "Generate" not in fact
+
+
+def test_sketches_merge_within_their_rank_error(spark):
+    from hourgrid.operators import aggregate as agg
+
+    df = spark.range(0, 60000, 1, 6).select((F.col("id") % 5).alias("g"), (F.col("id") % 30).alias("day"), ((F.col("id") * 7919) % 60013).cast("double").alias("x"))
+    df = df.union(spark.sql("SELECT 7L, 0L, CAST(NULL AS DOUBLE) UNION ALL SELECT 0L, 0L, CAST('NaN' AS DOUBLE)"))
+    daily = agg.percentile_sketches(df, ["g", "day"], "x")
+    assert daily.agg(F.max(F.length("sketch"))).first()[0] < 8192
+    qs = [0.01, 0.5, 0.99]
+    weekly = agg.merge_sketches(daily, ["g"])
+    off = agg.rank_errors(df, ["g"], "x", agg.sketch_percentiles(weekly, qs), qs).collect()
+    assert len(off) == 15 and max(r.rank_error for r in off) < 0.02
+    assert sum(r.n for r in weekly.collect()) == 60000
+    few = agg.sketch_percentiles(agg.percentile_sketches(df.limit(0), ["g"], "x"), qs)
+    assert few.count() == 0
+
+
+def test_clustered_files_prune_by_series_and_by_time(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    path = str(tmp_path / "z")
+    df = spark.range(0, 64000).select((F.col("id") % 320).alias("s"), F.expr("timestampadd(HOUR, cast(id div 320 AS int), TIMESTAMP_NTZ'2024-01-01 00:00:00')").alias("t"), F.col("id").alias("v"))
+    sinks.write_clustered(df, path, "s", "t", files=64)
+    files = [pq.read_metadata(f) for f in glob.glob(f"{path}/*.parquet")]
+
+    def stats(meta, column):
+        at = [meta.schema.column(i).name for i in range(meta.num_columns)].index(column)
+        parts = [meta.row_group(g).column(at).statistics for g in range(meta.num_row_groups)]
+        return min(p.min for p in parts), max(p.max for p in parts)
+
+    by_series = sum(not (stats(m, "s")[1] < 10 or stats(m, "s")[0] > 40) for m in files)
+    from datetime import datetime
+    lo, hi = datetime(2024, 1, 2), datetime(2024, 1, 3)
+    by_time = sum(not (stats(m, "t")[1] < lo or stats(m, "t")[0] >= hi) for m in files)
+    assert len(files) == 64 and by_series <= 24 and by_time <= 24
+    got = sinks.read_clustered(spark, path, "s", (10, 40), "t", "2024-01-02", "2024-01-03")
+    assert got.count() == 31 * 24
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "GreaterThanOrEqual(s,10)" in plan and "LessThanOrEqual(s,40)" in plan
+    odd = df.select(F.when(F.col("v") % 2 == 0, F.col("s")).alias("s"), F.lit(None).cast("timestamp_ntz").alias("t"), "v")
+    sinks.write_clustered(odd, path, "s", "t", files=4)
+    assert spark.read.parquet(path).count() == 64000
+    sinks.write_clustered(df.limit(0), path, "s", "t")
+    assert spark.read.parquet(path).count() == 0
