@@ -31,7 +31,9 @@ from hourgrid.llm.common import read
 from hourgrid.llm.components import connected_components, find, unite, with_component
 from hourgrid.session import materialize
 
-COSINE, BLOCK, SAMPLE = 0.93, 2048, 20_000
+COSINE, BLOCK, SAMPLE, SAMPLE_BYTES = 0.93, 2048, 20_000, 32 << 20
+#: Tasks over which the pairs of blocks of one label are made.
+DEALS = 16
 #: A node of so few members is a leaf; the net of a node is found in tiles of so many members.
 LEAF, TILE = 12, 256
 _SLACK = 1e-9
@@ -196,7 +198,9 @@ def _distinct(vectors: DataFrame) -> DataFrame:
 def _pivots(vectors: DataFrame, block: int, sample: int) -> dict:
     """Per (label, dim) the centres of the top level: a farthest-first cover of its share of the sample."""
     counts = vectors.groupBy("label", "dim").count().where(F.col("count") > block)
-    # labels of one block need no pivots; the sample is bounded whatever the number of labels
+    # labels of one block need no pivots; the sample is bounded in rows and bytes whatever the number of labels and dimensions
+    widest = counts.agg(F.max("dim")).first()[0]
+    sample = min(sample, SAMPLE_BYTES // (8 * max(widest or 1, 1)))
     some = vectors.join(counts, ["label", "dim"], "left_semi").orderBy(F.xxhash64("uid")).limit(sample)
     rows = some.select("label", "dim", "uid", "vec").orderBy("label", "dim", "uid").collect()
     sizes = {(r["label"], r["dim"]): r["count"] for r in counts.join(F.broadcast(some.select("label", "dim").distinct()), ["label", "dim"], "left_semi").collect()}
@@ -250,13 +254,16 @@ def cover_links(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK,
     else:
         cells = cells.withColumn("centre", F.lit(None).cast("array<double>"))
     blocks = materialize(cells.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))), "cover-blocks")
-    a, b = blocks.alias("a"), blocks.alias("b")
     later = (F.col("a.cell") < F.col("b.cell")) | ((F.col("a.cell") == F.col("b.cell")) & (F.col("a.part") <= F.col("b.part")))
     dots = F.aggregate(F.zip_with("a.centre", "b.centre", lambda p, q: p * q), F.lit(0.0), lambda s, p: s + p)
     gap = F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * dots))
     tau = float(np.sqrt(2 - 2 * cosine))
     near = F.col("a.centre").isNull() | F.col("b.centre").isNull() | (gap <= F.col("a.radius") + F.col("b.radius") + tau + 1e-6)
-    pairs = (a.join(b, (F.col("a.label") == F.col("b.label")) & (F.col("a.dim") == F.col("b.dim"))).where(later & near)
+    # a label may have many blocks: one side is dealt by its cell, and the other is copied to every deal
+    a = blocks.withColumn("deal", F.pmod(F.xxhash64("cell", "part"), F.lit(DEALS)).cast("int")).alias("a")
+    b = blocks.withColumn("deal", F.explode(F.sequence(F.lit(0), F.lit(DEALS - 1)))).alias("b")
+    same = (F.col("a.label") == F.col("b.label")) & (F.col("a.dim") == F.col("b.dim")) & (F.col("a.deal") == F.col("b.deal"))
+    pairs = (a.join(b, same).where(later & near)
              .select(F.col("a.label").alias("label"), F.col("a.dim").alias("dim"), F.col("a.cell").alias("ca"), F.col("a.part").alias("pa"),
                      F.col("b.cell").alias("cb"), F.col("b.part").alias("pb"), F.monotonically_increasing_id().alias("pair")))
     pairs = materialize(pairs, "cover-pairs")

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 _AZ, _az = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_TWO = "'ac.uk', 'co.jp', 'co.kr', 'co.nz', 'co.uk', 'com.au', 'com.br', 'com.cn', 'com.mx', 'gov.uk', 'org.uk'"
+_TWO = "regexp_full_match(two, '(ac|co|com|edu|go|gob|gov|govt|gr|mil|ne|net|nom|or|org|sch)[.][a-z][a-z]')"
+_IP = "regexp_full_match(host, '[0-9]+([.][0-9]+){3}|\\[.*\\]')"
 
 
 def _moments(name: str, children: str, level: str) -> str:
@@ -21,14 +22,15 @@ URLS = f"""
 WITH p AS (
   SELECT page_id, coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1), '{_AZ}', '{_az}'), '') AS host,
          coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+q AS (SELECT page_id, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') AS host FROM p),
 o AS (SELECT doc_id AS page_id, min(CASE WHEN quality = 1 AND coalesce(toxic, 0) = 0 THEN 1 ELSE 0 END) AS good
       FROM labels WHERE quality IS NOT NULL AND doc_id IS NOT NULL GROUP BY 1),
 h0 AS (SELECT host, CAST(coalesce(sum(good), 0) AS DOUBLE) AS g, CAST(count(good) AS DOUBLE) AS n, string_split(host, '.') AS x
-       FROM p LEFT JOIN o USING (page_id) GROUP BY host),
+       FROM q LEFT JOIN o USING (page_id) GROUP BY host),
 h1 AS (SELECT *, CASE WHEN len(x) > 1 THEN x[-2] || '.' || x[-1] ELSE host END AS two,
               CASE WHEN len(x) > 2 THEN x[-3] || '.' || x[-2] || '.' || x[-1] ELSE host END AS three FROM h0),
-h AS (SELECT host, g, n, CASE WHEN two IN ({_TWO}) THEN three ELSE two END AS domain,
-             CASE WHEN two IN ({_TWO}) AND two <> host THEN two ELSE x[-1] END AS suffix FROM h1),
+h AS (SELECT host, g, n, CASE WHEN {_IP} THEN host WHEN {_TWO} THEN three ELSE two END AS domain,
+             CASE WHEN {_IP} THEN host WHEN {_TWO} AND two <> host THEN two ELSE x[-1] END AS suffix FROM h1),
 lab AS (SELECT * FROM h WHERE n > 0),
 d AS (SELECT domain, suffix, sum(g) AS g, sum(n) AS n FROM lab GROUP BY 1, 2),
 s AS (SELECT 0 AS everything, suffix, sum(g) AS g, sum(n) AS n FROM d GROUP BY 2),{_moments("w", "s", "everything")},{_moments("sm", "d", "suffix")},{_moments("dm", "lab", "domain")},
@@ -38,12 +40,13 @@ mid AS (SELECT h.domain, coalesce((gs + top.m * top.mu) / (ns + top.m), top.mu)
         FROM (SELECT DISTINCT domain, suffix FROM h) h LEFT JOIN dm USING (domain) JOIN top USING (suffix)),
 post AS (SELECT host, (g + m * mu) / (n + m) AS mean, n + m AS ab FROM h JOIN mid USING (domain)),
 r AS (SELECT p.*, post.mean, post.mean + 1.645 * sqrt(post.mean * (1 - post.mean) / (ab + 1)) < 0.6 AS blocked,
-  CASE WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/en/1') THEN 'example.org/en/1'
-       WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/es/') THEN 'example.org/es/'
-       WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/fr/') THEN 'com/fr/'
-       WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/de/') THEN 'com/de/'
-       WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/') THEN 'org/' END AS rule
-  FROM p LEFT JOIN post USING (host))
+  CASE WHEN (p.host = 'example.org' OR ends_with(p.host, '.example.org')) AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+       WHEN (p.host = 'example.org' OR ends_with(p.host, '.example.org')) AND starts_with(path, '/es/') THEN 'example.org/es/'
+       WHEN (p.host = 'com' OR ends_with(p.host, '.com')) AND starts_with(path, '/fr/') THEN 'com/fr/'
+       WHEN (p.host = 'com' OR ends_with(p.host, '.com')) AND starts_with(path, '/de/') THEN 'com/de/'
+       WHEN (p.host = 'org' OR ends_with(p.host, '.org')) AND starts_with(path, '/') THEN 'org/' END AS rule
+  FROM p JOIN (SELECT DISTINCT host AS raw, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') AS site FROM p) t ON t.raw = p.host
+  LEFT JOIN post ON post.host = t.site)
 SELECT page_id, host, path, rule,
        CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' WHEN blocked THEN 'block' ELSE 'allow' END AS verdict,
        round(mean, 6) AS reputation

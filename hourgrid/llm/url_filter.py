@@ -8,10 +8,17 @@ labelled rates below it (method of moments, between ``MIN_STRENGTH`` and
 host's good rate is under ``threshold``; hosts with few labels stay near their
 domain and are allowed.
 
+Reputations belong to sites: hosts without user names and ports. A site that is an IP
+address has no domain above it. Suffixes follow a rule, not a list: the last label, or
+the last two where a country's two letters follow one of ``SECOND``. The bound is the
+normal approximation of the posterior; with a prior of at least ``MIN_STRENGTH`` labels
+it is wide where labels are few, and such sites are allowed.
+
 Defined results: a null url, or one without ``://``, has empty host and path, no
 rule, and is judged by the reputation of the empty host; null labels count as
 no label; several labels of a page are one outcome (good only if all are good);
-without any label every page without a rule is allowed.
+without any label every page without a rule is allowed; very long urls, repeated rows
+and null ids are judged like others; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -19,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourgrid.llm.common import ascii_lower, attach, hot_keys, read
+from hourgrid.llm.common import ascii_lower, attach, hot_keys, quoted, read
 from hourgrid.session import materialize
 
 #: Fixed values: (verdict, host, path).
@@ -30,8 +37,8 @@ RULES = (
     ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 )
-#: Suffixes of two labels under which domains are registered.
-TWO_PART = ("ac.uk", "co.jp", "co.kr", "co.nz", "co.uk", "com.au", "com.br", "com.cn", "com.mx", "gov.uk", "org.uk")
+#: Second labels under which domains are registered where the last label is a country's two letters ("co.uk", "com.br").
+SECOND = ("ac", "co", "com", "edu", "go", "gob", "gov", "govt", "gr", "mil", "ne", "net", "nom", "or", "org", "sch")
 MIN_STRENGTH, MAX_STRENGTH = 2.0, 200.0
 THRESHOLD, Z = 0.6, 1.645
 
@@ -44,15 +51,28 @@ def url_path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def suffix_of(host: Column) -> Column:
-    two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*TWO_PART) & (two != host), two).otherwise(F.substring_index(host, ".", -1))
+def site_of(host: Column) -> Column:
+    """The host that a reputation belongs to: without user names and port."""
+    return F.regexp_replace(F.regexp_replace(host, r"^.*@", ""), r":[0-9]*$", "")
+
+
+def _whole(site: Column) -> Column:
+    """IP addresses have no registered domain above them."""
+    return site.rlike(r"^([0-9]+(\.[0-9]+){3}|\[.*\])$")
+
+
+def _two_part(site: Column) -> Column:
+    return F.substring_index(site, ".", -2).rlike(rf"^({'|'.join(SECOND)})\.[a-z][a-z]$")
+
+
+def suffix_of(site: Column) -> Column:
+    two = F.substring_index(site, ".", -2)
+    return F.when(_whole(site), site).when(_two_part(site) & (two != site), two).otherwise(F.substring_index(site, ".", -1))
 
 
-def domain_of(host: Column) -> Column:
-    three = F.substring_index(host, ".", -3)
-    two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*TWO_PART), three).otherwise(two)
+def domain_of(site: Column) -> Column:
+    two, three = (F.substring_index(site, ".", -n) for n in (2, 3))
+    return F.when(_whole(site), site).when(_two_part(site), three).otherwise(two)
 
 
 def rule_of(host: Column, path: Column) -> tuple[Column, Column]:
@@ -116,10 +136,12 @@ def reputation(pages: DataFrame, outcomes: DataFrame, threshold: float = THRESHO
 def judge_urls(pages: DataFrame, outcomes: DataFrame, id_col: str = "page_id", url_col: str = "url",
                threshold: float = THRESHOLD, z: float = Z) -> DataFrame:
     """One row per page: page_id, host, path, rule, verdict, reputation (mean; null: no label anywhere)."""
-    url = pages[url_col]
-    rows = pages.select(pages[id_col].alias("page_id"), url_host(url).alias("host"), url_path(url).alias("path"))
-    ranks = materialize(reputation(rows.select("page_id", "host"), outcomes, threshold, z), "host-reputation")
-    judged = attach(rows, ranks, ["host"], hot_keys(ranks, ["host"], "n_pages"))
+    url = F.col(quoted(url_col))
+    rows = pages.select(F.col(quoted(id_col)).alias("page_id"), url_host(url).alias("host"), url_path(url).alias("path"))
+    rows = rows.withColumn("site", site_of(F.col("host")))
+    ranks = reputation(rows.select("page_id", F.col("site").alias("host")), outcomes, threshold, z).withColumnRenamed("host", "site")
+    ranks = materialize(ranks, "host-reputation")
+    judged = attach(rows, ranks, ["site"], hot_keys(ranks, ["site"], "n_pages"))
     rule, verdict = rule_of(F.col("host"), F.col("path"))
     method = F.when(F.col("blocked"), F.lit("block")).otherwise(F.lit("allow"))
     return judged.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, method).alias("verdict"),

@@ -43,3 +43,21 @@ def test_domains(spark):
     df = spark.createDataFrame([("a.b.co.uk",), ("co.uk",), ("x",), ("a.b.c.com",), ("",)], "h string")
     got = {r.h: (r.d, r.s) for r in df.select("h", uf.domain_of(uf.F.col("h")).alias("d"), uf.suffix_of(uf.F.col("h")).alias("s")).collect()}
     assert got == {"a.b.co.uk": ("b.co.uk", "co.uk"), "co.uk": ("co.uk", "uk"), "x": ("x", "x"), "a.b.c.com": ("c.com", "com"), "": ("", "")}
+
+
+def test_sites_of_odd_hosts(spark):
+    cases = {"u:p@a.b.com:8080": ("a.b.com", "b.com", "com"), "1.2.3.4": ("1.2.3.4", "1.2.3.4", "1.2.3.4"), "1.2.3.4:80": ("1.2.3.4", "1.2.3.4", "1.2.3.4"),
+             "[::1]:443": ("[::1]", "[::1]", "[::1]"), "x.y.com.br": ("x.y.com.br", "y.com.br", "com.br"), "x.co.xyz": ("x.co.xyz", "co.xyz", "xyz"),
+             "shop.org.uk": ("shop.org.uk", "shop.org.uk", "org.uk"), "a.b.de": ("a.b.de", "b.de", "de")}
+    df = spark.createDataFrame([(h,) for h in cases], "h string").withColumn("site", uf.site_of(uf.F.col("h")))
+    got = {r.h: (r.site, r.d, r.s) for r in df.select("h", "site", uf.domain_of(uf.F.col("site")).alias("d"), uf.suffix_of(uf.F.col("site")).alias("s")).collect()}
+    assert got == cases
+
+
+def test_ports_share_a_reputation(spark):
+    rows = [(i, f"http://bad.net:{80 + i % 3}/p{i}") for i in range(60)] + [(100 + i, f"http://good.net/p{i}") for i in range(60)]
+    pages = spark.createDataFrame(rows, "page_id long, url string").withColumnRenamed("url", "the.url")
+    labels = spark.createDataFrame([(i, int(i >= 100)) for i, _ in rows], "page_id long, good int")
+    got = uf.judge_urls(pages, labels, url_col="the.url").collect()
+    assert {r.verdict for r in got if r.page_id < 100} == {"block"} and {r.verdict for r in got if r.page_id >= 100} == {"allow"}
+    assert {r.host for r in got if r.page_id < 3} == {"bad.net:80", "bad.net:81", "bad.net:82"}
