@@ -23,7 +23,7 @@ from hourgrid.operators import clean
 from hourgrid.operators.aggregate import county_mean, pivot_any, rounded
 from hourgrid.operators.clean import clean_series_nulls
 from hourgrid.operators.joins import duplicate_keys
-from hourgrid.operators.timeseries import add_lags, add_lags_and_rollings, fill_segment, interpolate_segment, keep_last
+from hourgrid.operators.timeseries import add_lags, add_lags_and_rollings, add_sliding_median, fill_segment, interpolate_segment, keep_last
 from hourgrid.plans import backtest as bt
 from hourgrid.plans import boosting
 from hourgrid.plans import report_sql as rsql
@@ -917,6 +917,12 @@ def supplier_daily_features(spark: SparkSession, d: str) -> DataFrame:
     return _round_new(out, daily.columns)
 
 
+def sliding_median(spark: SparkSession, d: str) -> DataFrame:
+    """The 28-day rolling median of each supplier's daily revenue, from histograms of the frames."""
+    daily = from_table(spark, d, "lineitem").groupBy("l_suppkey", F.col("l_shipdate").alias("day")).agg(rounded(agg.total("l_extendedprice"), 4).alias("revenue"))
+    return _round_cols(add_sliding_median(daily, "revenue", "28d", "day", ["l_suppkey"], dtype=None), ["revenue_28d_win_median"])
+
+
 def supplier_gbt_backtest(spark: SparkSession, d: str) -> DataFrame:
     """M1 + T1 at scale: one GBT per month fold on the supplier daily series (grows with the data).
 
@@ -1090,6 +1096,7 @@ _QUERIES: dict[str, Query] = {
     "param_search": param_search,
     "best_model_holdout": best_model_holdout,
     "gain_summary": gain_summary,
+    "sliding_median": sliding_median,
     "boosted_tree": boosted_tree,
     "boosted_gains": boosted_gains,
     "stopping_rounds": stopping_rounds,

@@ -876,3 +876,9 @@ SQL["clustered_range"] = """
 SELECT l_suppkey, l_shipdate, l_linenumber, l_quantity, l_extendedprice FROM lineitem
 WHERE l_suppkey BETWEEN 10 AND 40 AND l_shipdate >= TIMESTAMP '1996-01-01' AND l_shipdate < TIMESTAMP '1997-01-01'
 """
+
+SQL["sliding_median"] = f"""
+WITH daily AS (SELECT l_suppkey, l_shipdate AS day, CAST(ROUND(CAST(SUM(l_extendedprice) AS DECIMAL(38,6)), 4) AS DOUBLE) AS revenue FROM lineitem GROUP BY 1, 2)
+SELECT l_suppkey, day, revenue, {rnd("m", 4)} AS revenue_28d_win_median
+FROM (SELECT *, median(revenue) OVER (PARTITION BY l_suppkey ORDER BY day RANGE BETWEEN INTERVAL 28 DAY PRECEDING AND INTERVAL 1 MICROSECOND PRECEDING) AS m FROM daily)
+"""

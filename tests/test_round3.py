@@ -162,3 +162,29 @@ def test_clustered_files_prune_by_series_and_by_time(spark, tmp_path):
     assert spark.read.parquet(path).count() == 64000
     sinks.write_clustered(df.limit(0), path, "s", "t")
     assert spark.read.parquet(path).count() == 0
+
+
+@pytest.mark.parametrize("bins,bucket", [(2, "auto"), (5, None), (32, 3 * 86_400_000_000)])
+def test_sliding_median_equals_the_sorted_frame(spark, bins, bucket):
+    import random
+
+    from hourgrid.operators import timeseries as ts
+
+    rng = random.Random(bins)
+    rows = []
+    for g in ("a", "b", None):
+        for i in range(220):
+            day, hour = rng.randint(1, 28), rng.choice([0, 0, 6, 13])
+            x = None if rng.random() < .1 else float("nan") if rng.random() < .05 else float(rng.choice([rng.randint(0, 5), rng.randint(-50, 50)]))
+            rows.append((g, None if i == 0 else f"2024-01-{day:02d} {hour:02d}:00:00", x))
+    rows += [("c", "2024-01-05 00:00:00", 1.5), ("d", "2024-01-01 00:00:00", None), ("d", "2024-01-02 00:00:00", 2.0)]
+    df = spark.createDataFrame(rows, "g string, t string, x double").withColumn("t", F.col("t").cast("timestamp_ntz"))
+    clean = df.withColumn("x", F.when(~F.isnan("x"), F.col("x")))
+    for w in ("1d", "5d"):
+        want = ts.add_rollings(clean, "x", {w: ["median"]}, "t", ["g"], dtype=None)
+        got = ts.add_sliding_median(df, "x", w, "t", ["g"], bins=bins, bucket=bucket, dtype=None)
+        assert got.columns == want.columns
+        name = got.columns[-1]
+        key = lambda r: (r.g, r.t, None if r.x != r.x else r.x, None if r[name] is None else round(r[name], 9))
+        assert Counter(map(key, got.collect())) == Counter(map(key, want.collect()))
+    assert ts.add_sliding_median(df.limit(0), "x", "1d", "t", ["g"]).count() == 0
