@@ -43,7 +43,7 @@ LEXICON, UNITS = 100_000, 300_000
 #: Words of more bytes are not taken into the lexicon, which the driver holds; they are merged like other words that it lacks.
 LONGEST = 256
 #: Characters encoded at once; units remembered by a task (some 250 bytes each), half of them as the older ones.
-CHUNK, MEMO = 1 << 20, 600_000
+CHUNK, MEMO = 1 << 20, 400_000
 _SHORT = 64  # words up to this many bytes are merged together, longer ones by a heap
 _NONE = np.int64(2**62)
 # fixed values: white space of the split pattern, and the pattern

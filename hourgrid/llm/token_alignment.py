@@ -205,13 +205,18 @@ class Aligner:
 
     def block(self, units: list[str]) -> np.ndarray:
         """Numbers of the units, new ones learnt."""
-        new = set(units).difference(self.number)
-        if new:
+        found = list(map(self.number.get, units))
+        if None in found:
+            new = {u for u, n in zip(units, found) if n is None}
             if len(self.number) + len(new) > MEMO or self.chars > MEMO_CHARS:
                 self.forget()
-                new = set(units)
-            self.learn(sorted(new))
-        return np.fromiter(map(self.number.__getitem__, units), dtype=np.int64, count=len(units))
+                self.learn(list(set(units)))
+                found = list(map(self.number.__getitem__, units))
+            else:
+                self.learn(list(new))
+                known = self.number
+                found = [known[u] if n is None else n for u, n in zip(units, found)]
+        return np.array(found, dtype=np.int64)
 
     def align_all(self, texts: list[str | None], chunk: int = CHUNK, groups: bool = False):
         """``align`` of each text; units of texts of about ``chunk`` characters in all are learnt together."""
@@ -225,21 +230,23 @@ class Aligner:
         yield from self._some(held, chunk, groups)
 
     def _some(self, texts: list[str | None], chunk: int, groups: bool):
-        cut = [self.tokens.units(t) if t and len(t) <= chunk else None for t in texts]
-        if together := [u for units in cut if units for u in units]:
-            self.block(together)
-        for text, units in zip(texts, cut):
-            yield self.align(text, chunk, groups, units)
-
-    def align(self, text: str | None, chunk: int = CHUNK, groups: bool = False, units: list[str] | None = None) -> tuple:
+        cut = [self.tokens.units(t) if t and len(t) <= chunk else () for t in texts]
+        numbers = self.block([u for units in cut for u in units])
+        stops = np.cumsum([len(units) for units in cut])
+        long = [self.align(t, chunk, groups) if t and len(t) > chunk else None for t in texts] if any(t and len(t) > chunk for t in texts) else None
+        if long:  # other units may have been learnt in their place since
+            numbers = self.block([u for units in cut for u in units])
+        for i, (text, units, stop) in enumerate(zip(texts, cut, stops.tolist())):
+            yield long[i] if long and long[i] else self.align(text, chunk, groups, numbers[stop - len(units):stop] if units else None)
+
+    def align(self, text: str | None, chunk: int = CHUNK, groups: bool = False, numbers: np.ndarray | None = None) -> tuple:
         """(n_a, n_b, n_groups, n_links, groups_sha256, distinct pairs, number of each[, text of the groups])."""
         nothing = np.zeros(0, dtype=np.int64)
         zeros = (0, 0, 0, 0, "", nothing, nothing, *[""] * groups)
         if not text:
             return zeros
         counts, digest, pairs, times, shown, between = np.zeros(4, dtype=np.int64), hashlib.sha256(), [], [], [], ""
-        for part in [units] if units else map(self.tokens.units, self.tokens.blocks(text, chunk)):
-            at = self.block(part)
+        for at in [numbers] if numbers is not None else (self.block(self.tokens.units(b)) for b in self.tokens.blocks(text, chunk)):
             rows = self.counts[at]
             if (rows[:, 0] < 0).any():
                 return zeros
