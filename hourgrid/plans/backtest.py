@@ -14,7 +14,6 @@ never reach the driver.
 
 from __future__ import annotations
 
-import json
 import math
 import random
 from collections.abc import Callable, Mapping, Sequence
@@ -46,8 +45,6 @@ __all__ = [
     "BoostedBacktest",
     "feature_importances",
     "sample_candidates",
-    "param_search",
-    "refit_best",
 ]
 
 NS_PER_DAY = 86_400_000_000_000
@@ -499,58 +496,3 @@ def sample_candidates(space: Mapping[str, Any], n_candidates: int = 4, seed: int
             seen.add(sig)
             out.append(FitSpec(label=f"cand{len(out)}", kind=kind, params={**(base or {}), **params}))
     return out
-
-
-def param_search(
-    df: DataFrame,
-    val_folds: DataFrame,
-    time_col: str,
-    segment_cols: Sequence[str],
-    grid: Mapping[str, Any],
-    n_candidates: int = 4,
-    seed: int = 10,
-    label: str = "target",
-    exclude: Sequence[str] = (),
-    parallelism: int = 8,
-    eval_days: int | None = 21,
-) -> tuple[DataFrame, DataFrame]:
-    """Seeded random search on validation folds (M6).
-
-    Every candidate is scored on every validation fold; the mean of fold MAEs
-    per candidate is computed in Spark and the best one is picked with
-    ``min_by``. Returns (per-candidate scores with params, best candidate).
-    """
-    specs = sample_candidates(grid, n_candidates, seed)
-    preds = backtest_models(df, val_folds, time_col, segment_cols, specs, label, exclude, eval_days=eval_days,
-                            parallelism=parallelism)
-    per_fold = fold_scores(preds, ["model_label", "kind", "fold"], label)
-    per_cand = per_fold.groupBy("model_label").agg(F.avg("mae").alias("mean_mae"),
-                                                   F.count(F.lit(1)).cast("long").alias("n_folds"))
-    params = df.sparkSession.createDataFrame(
-        [(s.label, json.dumps(dict(s.params or {}), sort_keys=True)) for s in specs],
-        "model_label string, params string")
-    per_cand = per_cand.join(F.broadcast(params), "model_label")
-    best = per_cand.agg(F.min_by("model_label", "mean_mae").alias("model_label"),
-                        F.min("mean_mae").alias("mean_mae"), F.min_by("params", "mean_mae").alias("params"))
-    return per_cand, best
-
-
-def refit_best(
-    df: DataFrame,
-    best: DataFrame,
-    test_folds: DataFrame,
-    time_col: str,
-    segment_cols: Sequence[str],
-    label: str = "target",
-    exclude: Sequence[str] = (),
-    parallelism: int = 8,
-) -> DataFrame:
-    """Refit the selected candidate on each test fold (no eval split) and score it (M6).
-
-    Only the one-row selection (label and params) is read on the driver.
-    """
-    row = best.first()
-    spec = FitSpec(label=row["model_label"], kind="gbt", params=json.loads(row["params"]))
-    preds = backtest_models(df, test_folds, time_col, segment_cols, [spec], label, exclude, eval_days=None,
-                            parallelism=parallelism)
-    return fold_scores(preds, ["model_label", "kind", "fold", *segment_cols], label)

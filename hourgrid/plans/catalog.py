@@ -483,11 +483,11 @@ def station_names(spark: SparkSession, d: str) -> DataFrame:
 
 
 def declared_tables(spark: SparkSession, d: str) -> DataFrame:
-    """The hourly table, replaced as a managed table and read by name."""
+    """The hourly table, dropped and recreated, and read by name."""
     from hourgrid.sources import sinks
 
-    name = "hourgrid_hourly"  # one name, so that one table stays
-    sinks.replace_table(standins.hourly(spark, d).select("event_type", "datetime", "target", "n"), name)
+    name = "hourgrid_hourly"  # one name; its files are in the shared folder and go with it
+    sinks.replace_table(standins.hourly(spark, d).select("event_type", "datetime", "target", "n"), name, _scratch_path(spark, "declared"))
     return spark.read.table(name)
 
 
@@ -499,8 +499,10 @@ def ddl_gas_prices(spark: SparkSession, d: str) -> DataFrame:
     day = F.date_add(F.lit(standins.EVENT_BASE).cast("date"), F.col("data_block_id") - 1)
     rows = p.select((F.col("data_block_id").cast("long") * 1).alias("data_block_id"), day.alias("origin_date"), F.date_add(day, 1).alias("forecast_date"),
                     "highest_price_per_mwh", "lowest_price_per_mwh")
+    spark.sql("DROP TABLE IF EXISTS hourgrid_gas_prices")
+    path = _scratch_path(spark, "gas-prices")
     for _ in range(2):
-        sinks.load_declared(rows, "gas_prices", "hourgrid_gas_prices")
+        sinks.load_declared(rows, "gas_prices", "hourgrid_gas_prices", path)
     return spark.read.table("hourgrid_gas_prices")
 
 
@@ -515,7 +517,8 @@ def ddl_clients(spark: SparkSession, d: str) -> DataFrame:
                                                  F.to_date("o_orderdate").alias("date")).agg(
         F.count(F.lit(1)).alias("eic_count"), rounded(agg.total("o_totalprice"), 2).alias("installed_capacity"))
     rows = rows.withColumn("data_block_id", F.datediff("date", F.lit(standins.LINE_BASE).cast("date")))
-    sinks.load_declared(rows, "client", "hourgrid_client")
+    spark.sql("DROP TABLE IF EXISTS hourgrid_client")
+    sinks.load_declared(rows, "client", "hourgrid_client", _scratch_path(spark, "clients"))
     return spark.read.table("hourgrid_client")
 
 

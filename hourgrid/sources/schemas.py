@@ -61,7 +61,7 @@ SCHEMAS: dict[str, T.StructType] = {
 SOURCE_TABLES = tuple(SCHEMAS)
 
 
-def ddl(name: str, table: str | None = None) -> str:
-    """``CREATE TABLE IF NOT EXISTS … USING parquet`` text for a declared table (S4), under its own name or another one."""
+def ddl(name: str, table: str | None = None, path: str | None = None) -> str:
+    """``CREATE TABLE IF NOT EXISTS … USING parquet`` text for a declared table (S4), under its own name or another one, in the warehouse or at ``path``."""
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString().upper()}" for f in SCHEMAS[name].fields)
-    return f"CREATE TABLE IF NOT EXISTS {table or name} ({cols}) USING parquet"
+    return f"CREATE TABLE IF NOT EXISTS {table or name} ({cols}) USING parquet" + (f" LOCATION '{path}'" if path else "")

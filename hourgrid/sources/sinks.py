@@ -20,15 +20,16 @@ def write_overwrite(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.mode("overwrite").format(fmt).save(path)
 
 
-def replace_table(df: DataFrame, name: str) -> None:
-    """Drop-and-recreate a derived table."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+def replace_table(df: DataFrame, name: str, path: str | None = None) -> None:
+    """Drop-and-recreate a derived table (S6); with ``path`` its files are there and not in the warehouse."""
+    w = df.write.mode("overwrite").format("parquet")
+    (w.option("path", path) if path else w).saveAsTable(name)
 
 
-def load_declared(df: DataFrame, name: str, table: str | None = None) -> None:
+def load_declared(df: DataFrame, name: str, table: str | None = None, path: str | None = None) -> None:
     """Create a declared table unless it exists, then replace its rows by ``df``, matched by name and cast to the declared types."""
     spark, table = df.sparkSession, table or name
-    spark.sql(ddl(name, table))
+    spark.sql(ddl(name, table, path))
     rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SCHEMAS[name].fields])
     rows.write.insertInto(table, overwrite=True)
 

@@ -140,3 +140,11 @@ def test_discrete_percentiles_match_percentile_disc(spark):
         for q in qs:
             want = df.selectExpr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY x)").first()[0]
             assert float(got[f"p{int(q * 100)}"]) == float(want), (n, q)
+
+
+def test_library_trees_give_importances(spark):
+    rows = [(i, float(i % 10), float(i % 3), 2.0 * (i % 10), "test" if i % 4 == 0 else "train") for i in range(200)]
+    df = spark.createDataFrame(rows, "i int, a double, b double, target double, part string")
+    model, pred, names = bt.fit_predict(df.filter("part = 'train'"), df.filter("part = 'test'"), bt.FitSpec("gbt", "gbt", {"maxIter": 2}), "target", ["a", "b"], [], use_eval=False)
+    got = dict(bt.feature_importances(model, names))
+    assert set(got) == {"a", "b"} and abs(sum(got.values()) - 1) < 1e-9 and got["a"] > 0.9 and pred.count() == 50

@@ -65,17 +65,17 @@ def test_month_change_keeps_a_small_month_before_a_huge_one(spark):
 
 
 @pytest.mark.parametrize("name", ["train", "client", "gas_prices", "electricity_prices"])
-def test_declared_ddl_loads_by_name_and_type(spark, name):
-    table = f"declared_{name}"
+def test_declared_ddl_loads_by_name_and_type(spark, name, tmp_path):
+    table, path = f"declared_{name}", str(tmp_path / name)
     row = {f.name: ("2024-01-02" if f.dataType.simpleString() == "date" else "2024-01-02 03:00:00" if "timestamp" in f.dataType.simpleString()
                     else "true" if f.dataType.simpleString() == "boolean" else "7") for f in schemas.SCHEMAS[name].fields}
     backwards = spark.createDataFrame([tuple(reversed(row.values()))], ", ".join(f"`{c}` string" for c in reversed(list(row))))
     for _ in range(2):  # a reload replaces
-        sinks.load_declared(backwards, name, table)
+        sinks.load_declared(backwards, name, table, path)
     read = spark.read.table(table)
     assert [(f.name, f.dataType) for f in read.schema] == [(f.name, f.dataType) for f in schemas.SCHEMAS[name].fields] and read.count() == 1
     with pytest.raises(Exception):
-        sinks.load_declared(backwards.drop(next(iter(row))), name, table)
+        sinks.load_declared(backwards.drop(next(iter(row))), name, table, path)
     assert read.count() == 1
     spark.sql(f"DROP TABLE {table}")
 
