@@ -43,7 +43,7 @@ LEXICON, UNITS = 100_000, 300_000
 #: Words of more bytes are not taken into the lexicon, which the driver holds; they are merged like other words that it lacks.
 LONGEST = 256
 #: Characters encoded at once; units remembered by a task (some 250 bytes each), half of them as the older ones.
-CHUNK, MEMO = 1 << 20, 400_000
+CHUNK, MEMO = 1 << 20, 500_000
 _SHORT = 64  # words up to this many bytes are merged together, longer ones by a heap
 _NONE = np.int64(2**62)
 # fixed values: white space of the split pattern, and the pattern
@@ -337,10 +337,20 @@ class Encoder:
 
     def _group(self, texts: list[str]):
         cut = [[self.units_of(segment) for segment in self.segments(text)] for text in texts]
-        self.remember(set(chain.from_iterable(chain.from_iterable(cut))))
-        get = self.units.__getitem__
+        units = list(chain.from_iterable(chain.from_iterable(cut)))
+        found = list(map(self.units.get, units))
+        if None in found:
+            new = {u for u, ids in zip(units, found) if ids is None}
+            self.remember(new)
+            known = self.units
+            found = [known[u] if ids is None else ids for u, ids in zip(units, found)]
+        at = 0
         for segments in cut:
-            yield [list(chain.from_iterable(map(get, units))) for units in segments]
+            ids = []
+            for part in segments:
+                ids.append(list(chain.from_iterable(found[at:at + len(part)])))
+                at += len(part)
+            yield ids
 
 
 def count_words(docs: DataFrame, text_col: str = "text", units: int = UNITS) -> DataFrame:
