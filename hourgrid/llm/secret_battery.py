@@ -253,8 +253,10 @@ def op11_secret_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = F.array(*map(F.lit, KINDS))
     text = lambda s: F.concat_ws(":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))
     count = lambda test: F.size(F.filter("spans", test)).cast("long")
+    # one parameter: a second one, also with a default, would be the span's place in the list
+    of_kind = lambda i: count(lambda s: s["kind"] == i)
     return found.select(
-        "doc_id", *[count(lambda s, i=i: s["kind"] == i).alias(f"n_{name}") for i, name in enumerate(BASE)],
+        "doc_id", *[of_kind(i).alias(f"n_{name}") for i, name in enumerate(BASE)],
         F.sha2(F.array_join(F.transform(F.filter("spans", lambda s: s["kind"] < len(BASE)), text), ","), 256).alias("base_sha256"),
         F.array_join(F.transform("spans", text), ",").alias("spans"),
         count(lambda s: s["kind"] >= len(BASE)).alias("n_random"))

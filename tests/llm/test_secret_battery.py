@@ -102,3 +102,14 @@ def test_edges(table):
     assert sb.find_secrets(df.limit(0)).count() == 0
     odd = df.withColumnRenamed("size", "a.b").selectExpr("*", "map('k', 1) AS m")
     assert sb.find_secrets(odd).count() == 5
+
+
+def test_counts_are_by_kind_wherever_a_span_stands(spark, tmp_path):
+    access, hexa = "AKIA" + "Z9" * 8, "0af9" * 6
+    texts = {1: f"password=abcdef {access} {hexa}", 2: f"{hexa} x {hexa}", 3: f"{access} token: abcdef secret=abcdef", 4: "api_key = abcdef", 5: "none", 6: None}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in sb.op11_secret_battery(spark, str(tmp_path)).collect()}
+    for doc, text in texts.items():
+        want = brute(text or "")
+        assert (got[doc].n_assign, got[doc].n_access, got[doc].n_hex) == tuple(sum(w[1] == k for w in want) for k in range(3)), doc
+        assert got[doc].base_sha256 == hashlib.sha256(",".join(f"{sb.BASE[k]}:{a}:{b}" for a, k, b in want).encode()).hexdigest()
