@@ -17,8 +17,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hourgrid.functions.scalar import epoch_us, parse_duration_us
 from hourgrid.operators.joins import check_unique
@@ -226,52 +229,104 @@ def add_sliding_median(df: DataFrame, value_col: str, window: str, time_col: str
     """The exact rolling median of ``[t - w, t)`` without sorting every frame (W3); named like :func:`add_rollings` names it.
 
     1. Values fall into ``bins`` ranges of about equal numbers of rows (their bounds only balance the work).
-    2. Per row, running counts of each range up to t and up to t - w: frames that only grow, one step per row.
-       Their differences are the histogram of the row's frame, and tell the ranges that hold its middle ranks.
+    2. Per row, running counts of each range up to t and up to t - w: their differences are the histogram of the
+       row's frame, and tell the ranges that hold its middle ranks.
     3. In such a range alone, the values of the frame are sorted, about 1 / ``bins`` of them.
 
     A row costs ``bins`` counters and 1 / ``bins`` of its frame, where ``percentile`` over the frame costs all of
     it. Rows are copied into the time buckets that they reach, as for the other rollings, so a long
-    series is many tasks. NULL and NaN values are left out; a frame without values gives NULL.
+    series is many tasks; they are exchanged and sorted once, and tasks count a batch of rows at a time, holding
+    but the frames that later rows reach back to. NULL and NaN values are left out; a frame without values gives NULL.
     """
     cols, w = list(df.columns), parse_duration_us(window)
     name, keys = rolling_name(value_col, window, "median"), [f"_s{i}" for i in range(len(group_cols))]
     x = F.col(value_col).cast("double")
     rows = materialize(df.select(F.struct(*cols).alias("_all"), *[F.col(c).alias(k) for c, k in zip(group_cols, keys)], epoch_us(time_col).alias(_T),
-                                 F.when(~F.isnan(x), x).alias("_x"), F.monotonically_increasing_id().alias("_row")), "median-rows")
+                                 F.when(~F.isnan(x), x).alias("_x")), "median-rows")
     cuts = rows.agg(F.percentile_approx("_x", F.array(*[F.lit(i / bins) for i in range(1, bins)]), 10000).alias("c")).first()["c"]
-    edges = sorted(set(cuts or []))
-    bin_ = F.size(F.filter(F.array(*map(F.lit, edges)), lambda e: e < F.col("_x"))) if edges else F.lit(0)
-    narrow = rows.filter(F.col(_T).isNotNull()).select("_row", *keys, _T, "_x", F.when(F.col("_x").isNotNull(), bin_).alias("_bin"))
-    parts = list(keys)
+    timed, parts = rows.filter(F.col(_T).isNotNull()).withColumn(_HOME, F.lit(True)), list(keys)
     if bucket is not None:
-        narrow = _with_buckets(narrow, w, auto_bucket_us(w) if bucket == "auto" else int(bucket))
-        parts = [*keys, _BK]
-    base = Window.partitionBy(*parts).orderBy(_T)
-    upto, gone = (base.rangeBetween(Window.unboundedPreceding, -n) for n in (1, w + 1))
-    held = [F.coalesce(F.count_if(F.col("_bin") == k).over(upto), F.lit(0)) - F.coalesce(F.count_if(F.col("_bin") == k).over(gone), F.lit(0)) for k in range(len(edges) + 1)]
-    counted = narrow.withColumn("_held", F.array(*held))
-    if bucket is not None:
-        counted = counted.filter(_HOME)
-    counted = counted.withColumn("_n", F.aggregate("_held", F.lit(0).cast("long"), lambda a, c: a + c)).filter("_n > 0")
-
-    def place(rank: Column) -> Column:
-        """(bin, rank inside it) of the row of a rank, from 0."""
-        zero = F.struct(F.lit(0).cast("long").alias("before"), F.lit(0).alias("k"), F.lit(-1).alias("bin"), F.lit(0).cast("long").alias("rank"))
-        def step(s, c):
-            here = (s["bin"] < 0) & (rank < s["before"] + c)
-            return F.struct((s["before"] + c).alias("before"), (s["k"] + 1).alias("k"), F.when(here, s["k"]).otherwise(s["bin"]).alias("bin"),
-                            F.when(here, rank - s["before"]).otherwise(s["rank"]).alias("rank"))
-        return F.aggregate("_held", zero, step, lambda s: F.struct(s["bin"].alias("bin"), s["rank"].alias("rank")))
-
-    asked = counted.select("_row", *parts, _T, F.explode(F.array_distinct(F.array(place(F.expr("(_n - 1) div 2")), place(F.expr("_n div 2"))))).alias("_at"))
-    asked = asked.select("_row", *parts, _T, F.col("_at.bin").alias("_bin"), F.col("_at.rank").alias("_rank"), F.lit(None).cast("double").alias("_x"))
-    values = narrow.filter(F.col("_bin").isNotNull()).select(F.lit(None).cast("long").alias("_row"), *parts, _T, F.col("_bin").cast("int").alias("_bin"), F.lit(None).cast("long").alias("_rank"), "_x")
-    frame = Window.partitionBy(*parts, "_bin").orderBy(_T).rangeBetween(-w, -1)
-    met = asked.unionByName(values).withColumn("_in", F.collect_list("_x").over(frame)).filter(F.col("_row").isNotNull())
-    found = met.select("_row", F.element_at(F.sort_array("_in"), (F.col("_rank") + 1).cast("int")).alias("_v")).groupBy("_row").agg(F.avg("_v").alias(name))
-    out = rows.join(found, "_row", "left")
-    return out.select(*[F.col("_all")[c].alias(c) for c in cols], F.col(name).cast(dtype).alias(name) if dtype else F.col(name))
+        timed = _with_buckets(timed, w, auto_bucket_us(w) if bucket == "auto" else int(bucket))
+        parts = [*parts, _BK]
+    # a series starts at position 1; the window leaves its rows in order
+    place = F.row_number().over(Window.partitionBy(*parts).orderBy(_T))
+    ordered = timed.select(place.alias("_place"), _HOME, F.when(F.col(_HOME), F.col("_all")).alias("_all"), _T, "_x")
+    schema = T.StructType([T.StructField("_all", rows.schema["_all"].dataType), T.StructField("_median", T.DoubleType())])
+    found = ordered.mapInArrow(_median_task(sorted(set(cuts or [])), w), schema)
+    out = found.unionByName(rows.filter(F.col(_T).isNull()).select("_all", F.lit(None).cast("double").alias("_median")))
+    return out.select(*[F.col("_all")[c].alias(c) for c in cols], F.col("_median").cast(dtype or "double").alias(name))
+
+
+def _median_task(edges: Sequence[float], w: int):
+    """Task of :func:`add_sliding_median`: from ordered rows to the home rows with their medians."""
+
+    def medians(group, at, values, asked_group, asked):
+        # frames as ranges of the rows with a value, which are in order of (series, time)
+        times = np.unique(at)
+        key = group * (len(times) + 1) + np.searchsorted(times, at)
+        lo, hi = (np.searchsorted(key, asked_group * (len(times) + 1) + np.searchsorted(times, t)) for t in (asked - w, asked))
+        n, bin_ = hi - lo, np.searchsorted(np.array(edges, dtype=np.float64), values)
+        ranks, before = ((n - 1) // 2, n // 2), np.zeros(len(n), dtype=np.int64)
+        middle = [np.full(len(n), np.nan) for _ in ranks]
+        for k in range(len(edges) + 1):
+            upto = np.concatenate([[0], np.cumsum(bin_ == k)])
+            first, held = upto[lo], upto[hi] - upto[lo]
+            inside = values[bin_ == k]
+            for rank, out in zip(ranks, middle):
+                hit = np.nonzero((rank >= before) & (rank < before + held))[0]
+                out[hit] = _ranked(inside, first[hit], held[hit], rank[hit] - before[hit])
+            before += held
+        # adding zero turns -0.0 into 0.0, as a sum does
+        return np.where(n % 2 == 1, middle[0] + 0.0, (middle[0] + middle[1] + 0.0) / 2), n > 0
+
+    def run(batches):
+        held = (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0))
+        waiting, last = [], 0
+
+        def answer():
+            nonlocal held, last
+            place, t = (np.concatenate([b.column(c).to_numpy(zero_copy_only=False) for b in waiting]) for c in ("_place", _T))
+            x = np.concatenate([b.column("_x").to_numpy(zero_copy_only=False).astype(np.float64) for b in waiting])
+            home = np.concatenate([b.column(_HOME).to_numpy(zero_copy_only=False) for b in waiting]).astype(bool)
+            group, has = last + np.cumsum(place == 1), ~np.isnan(x)
+            last = group[-1]
+            rows = [np.concatenate([a, b[has]]) for a, b in zip(held, (group, t, x))]
+            got, some = medians(*rows, group[home], t[home])
+            reach = (rows[0] == last) & (rows[1] >= t[-1] - w)
+            held, start = tuple(r[reach] for r in rows), 0
+            out = pa.array(got, pa.float64(), mask=~some)
+            for b in waiting:
+                own = b.column("_all").filter(b.column(_HOME))
+                yield pa.RecordBatch.from_arrays([own, out.slice(start, len(own))], names=["_all", "_median"])
+                start += len(own)
+            waiting.clear()
+
+        for batch in batches:
+            if batch.num_rows:
+                waiting.append(batch)
+            if sum(b.num_rows for b in waiting) > len(held[0]):
+                yield from answer()
+        if waiting:
+            yield from answer()
+
+    return run
+
+
+def _ranked(values: np.ndarray, first: np.ndarray, size: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Per row the value of a rank (from 0) among ``size`` values from ``first`` on; rows of like sizes are sorted together."""
+    out, width = np.empty(len(first)), 1
+    todo = np.argsort(size, kind="stable")
+    while len(todo):
+        now, todo = np.split(todo, [np.searchsorted(size[todo], width, side="right")])
+        step, offset = max(1, (1 << 20) // width), np.arange(width)
+        for i in range(0, len(now), step):
+            part = now[i:i + step]
+            cells = values[np.minimum(first[part, None] + offset, len(values) - 1)]
+            cells[offset >= size[part, None]] = np.inf
+            cells.sort(axis=1)
+            out[part] = cells[np.arange(len(part)), rank[part]]
+        width *= 2
+    return out
 
 
 # ---------------------------------------------------------------- scans

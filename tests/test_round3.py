@@ -188,3 +188,20 @@ def test_sliding_median_equals_the_sorted_frame(spark, bins, bucket):
         key = lambda r: (r.g, r.t, None if r.x != r.x else r.x, None if r[name] is None else round(r[name], 9))
         assert Counter(map(key, got.collect())) == Counter(map(key, want.collect()))
     assert ts.add_sliding_median(df.limit(0), "x", "1d", "t", ["g"]).count() == 0
+
+
+def test_sliding_median_exchanges_rows_once_and_frames_span_batches(spark):
+    from hourgrid.operators import timeseries as ts
+
+    df = spark.range(600).selectExpr("CAST(id % 3 AS int) AS g", "CAST('2024-01-01' AS timestamp_ntz) + make_interval(0, 0, 0, 0, CAST(id div 6 AS int)) AS t",
+                                     "CAST((id * 7919) % 101 AS double) AS x")
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = ts.add_sliding_median(df, "x", "2d", "t", ["g"], dtype=None)
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "count_if" not in plan and plan.count("Window [") == 1
+        want = ts.add_rollings(df, "x", {"2d": ["median"]}, "t", ["g"], dtype=None)
+        assert Counter(map(tuple, got.collect())) == Counter(map(tuple, want.collect()))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
