@@ -18,6 +18,7 @@ import math
 import random
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 from typing import Any
 
@@ -48,6 +49,8 @@ __all__ = [
 ]
 
 NS_PER_DAY = 86_400_000_000_000
+#: Rows of the feature table that one training task reads and keeps (some 400 bytes each), and bytes of the table's row groups.
+TASK_ROWS, GROUP_BYTES = 250_000, 2 << 20
 
 
 def _ts(x: Any) -> Column:
@@ -323,6 +326,22 @@ def fit_predict(train: DataFrame, test: DataFrame, spec: FitSpec, label: str, nu
     return model, out, assembled
 
 
+@contextmanager
+def _task_rows(feats: DataFrame, rows: int):
+    """Inside, a task scans about ``rows`` rows of a written table at most, whatever its size and however well it is packed."""
+    spark, name = feats.sparkSession, "spark.sql.files.maxPartitionBytes"
+    files = feats.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"))
+    held = files.groupBy("path").agg(F.max("size").alias("size"), F.count(F.lit(1)).alias("n")).agg(F.sum("size").alias("size"), F.sum("n").alias("n")).first()
+    old = spark.conf.get(name)
+    if held["n"] and held["n"] > rows:
+        # rows so wide that Spark's default (128 MB) holds fewer of them keep it
+        spark.conf.set(name, str(min(128 << 20, max(1, held["size"] * rows // held["n"]))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old)
+
+
 def backtest_models(
     df: DataFrame,
     folds: DataFrame,
@@ -339,8 +358,8 @@ def backtest_models(
 
     The feature table is written once, partitioned by segment and sorted by time
     inside each task, under the shared checkpoint folder; each fit's time-range filter is pushed to
-    the Parquet scan and skips row groups outside its fold, and train / eval /
-    test come from the fold's literal bounds. The fold table and the segment values
+    the Parquet scan and skips row groups outside its fold. Spark ML keeps a fit's rows in the parts in which
+    they were scanned, so a part is about ``TASK_ROWS`` rows at most. Train / eval / test come from the fold's literal bounds. The fold table and the segment values
     are the only things brought to the driver. Returns the union of the
     prediction tables with fold, segment, model label, target and preds.
     """
@@ -348,7 +367,7 @@ def backtest_models(
 
     fold_rows = folds.collect()
     # a segment's fits read only its own folder
-    feats = materialize(df, "features", partition_by=list(segment_cols), sort_by=[*segment_cols, time_col])
+    feats = materialize(df, "features", partition_by=list(segment_cols), sort_by=[*segment_cols, time_col], options={"parquet.block.size": GROUP_BYTES})
     segments = feats.select(*segment_cols).distinct().collect()
     drop = set(exclude) | {time_col, label, *segment_cols}
     num, cat = feature_columns(df, sorted(drop))
@@ -374,7 +393,7 @@ def backtest_models(
         return pred.withColumn("model_label", F.lit(spec.label))
 
     jobs = [(f, s, sp) for f in fold_rows for s in segments for sp in specs]
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+    with _task_rows(feats, TASK_ROWS), ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         preds = list(pool.map(run, jobs))
     out = preds[0]
     for p in preds[1:]:

@@ -148,3 +148,18 @@ def test_library_trees_give_importances(spark):
     model, pred, names = bt.fit_predict(df.filter("part = 'train'"), df.filter("part = 'test'"), bt.FitSpec("gbt", "gbt", {"maxIter": 2}), "target", ["a", "b"], [], use_eval=False)
     got = dict(bt.feature_importances(model, names))
     assert set(got) == {"a", "b"} and abs(sum(got.values()) - 1) < 1e-9 and got["a"] > 0.9 and pred.count() == 50
+
+
+def test_a_training_task_scans_a_bounded_number_of_rows(spark):
+    from hourgrid.session import materialize
+
+    name = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(name)
+    feats = materialize(spark.range(200_000).select("id", F.rand(1).alias("x")).coalesce(1), "bounded", options={"parquet.block.size": 1 << 16})
+    most = lambda: max(r["count"] for r in feats.groupBy(F.spark_partition_id()).count().collect())
+    whole = most()
+    with bt._task_rows(feats, 20_000):
+        assert most() <= 40_000 < whole
+    assert spark.conf.get(name) == old and most() == whole
+    with bt._task_rows(feats.limit(0), 20_000):
+        assert spark.conf.get(name) == old
