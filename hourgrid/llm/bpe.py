@@ -84,6 +84,7 @@ class Bpe:
             a, b = pair.split(" ") if isinstance(pair, str) else pair
             self.merges.setdefault((vocab[a] << 20) | vocab[b], (rank, vocab[a + b]))
         self.texts = [str(i) for i in range(size)]
+        self.comma_texts = [f"{i}," for i in range(size)]
         keys = sorted(self.merges)
         self.pair_keys = np.array(keys, dtype=np.int64)
         self.pair_ranks = np.array([self.merges[k][0] for k in keys], dtype=np.int64)
@@ -269,12 +270,23 @@ class Encoder:
 
     def __init__(self, bpe: Bpe, lexicon: Lexicon | None):
         self.bpe, self.lexicon = bpe, lexicon
-        self.units = {w: (i,) for w, i in bpe.special.items()}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.units = self.special_units()
+        self.older: dict = {}
         self.pieces = regex.compile(_PIECE).findall
         self.knotty, self.safe_cut = re.compile(_KNOTTY).search, re.compile(_SAFE_CUT).search
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(bpe.special, key=len, reverse=True))) + ")") if bpe.special else None
 
+    def special_units(self) -> dict:
+        return {w: self.packed(w, (i,)) for w, i in self.bpe.special.items()}
+
+    def packed(self, word: str, ids: tuple[int, ...]):
+        """What is remembered of a word."""
+        return ids
+
+    def joined(self, found, units: list[str]):
+        """What is yielded of a segment, from what is remembered of its units."""
+        return list(chain.from_iterable(found))
+
     def segments(self, text: str):
         """Parts of at most about CHUNK characters that can be encoded on their own; special tokens apart."""
         parts = self.special.split(text) if self.special and any(s in text for s in self.bpe.special) else [text]
@@ -300,7 +312,7 @@ class Encoder:
             return
         if len(memo) + len(new) > MEMO // 2:
             self.older = memo
-            memo = self.units = {w: (i,) for w, i in self.bpe.special.items()}
+            memo = self.units = self.special_units()
             new = [u for u in units if u not in memo]
         if older := self.older:
             memo.update([(u, older[u]) for u in new if u in older])
@@ -314,13 +326,17 @@ class Encoder:
         unseen = [i for i, ids in enumerate(known) if ids is None]
         for i, ids in zip(unseen, self.bpe.merge([raw[i] for i in unseen])):
             known[i] = ids
-        memo.update(zip(words, known))
+        memo.update(zip(words, map(self.packed, words, known)))
         get = memo.__getitem__
         for unit, parts in cut.items():
-            memo[unit] = get(parts[0]) if len(parts) == 1 else tuple(chain.from_iterable(map(get, parts)))
+            memo[unit] = get(parts[0]) if len(parts) == 1 else self.strung(map(get, parts))
+
+    def strung(self, parts):
+        """What is remembered of a unit of several words."""
+        return tuple(chain.from_iterable(parts))
 
     def encode(self, texts: list[str]):
-        """Yield, for each text, its ids as lists, one per segment; texts are taken in groups of about CHUNK characters."""
+        """Yield, for each text, its ids as lists (see :meth:`joined`), one per segment; texts are taken in groups of about CHUNK characters."""
         group, size = [], 0
         for text in texts:
             if len(text) > CHUNK:  # segment by segment, so that only one is held
@@ -337,20 +353,37 @@ class Encoder:
 
     def _group(self, texts: list[str]):
         cut = [[self.units_of(segment) for segment in self.segments(text)] for text in texts]
-        units = list(chain.from_iterable(chain.from_iterable(cut)))
-        found = list(map(self.units.get, units))
-        if None in found:
-            new = {u for u, ids in zip(units, found) if ids is None}
-            self.remember(new)
-            known = self.units
-            found = [known[u] if ids is None else ids for u, ids in zip(units, found)]
-        at = 0
+        self.remember(set(chain.from_iterable(chain.from_iterable(cut))))
+        get = self.units.__getitem__
         for segments in cut:
-            ids = []
-            for part in segments:
-                ids.append(list(chain.from_iterable(found[at:at + len(part)])))
-                at += len(part)
-            yield ids
+            yield [self.joined(map(get, part), part) for part in segments]
+
+
+class Digester(Encoder):
+    """Encodes for digests: yields, per segment, its decimal ids, each with a comma after it, and its decoded text.
+
+    Both are written once per remembered word instead of once per place. A word's ids are decoded when it is
+    first seen; only where that gives another text than the word itself is it kept apart.
+    """
+
+    def __init__(self, bpe: Bpe, lexicon: Lexicon | None):
+        self.decoded: dict[str, str] = {}
+        super().__init__(bpe, lexicon)
+
+    def packed(self, word: str, ids: tuple[int, ...]) -> str:
+        text = b"".join(map(self.bpe.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
+        if text != word:
+            self.decoded[word] = text
+        return "".join(map(self.bpe.comma_texts.__getitem__, ids))
+
+    def strung(self, parts) -> str:
+        return "".join(parts)
+
+    def joined(self, found, units: list[str]) -> tuple[str, str]:
+        if self.decoded:
+            other, words = self.decoded, self.pieces
+            units = [other.get(w, w) for u in units for w in ([u] if u in self.bpe.special else words(u))]
+        return "".join(found), "".join(units)
 
 
 def count_words(docs: DataFrame, text_col: str = "text", units: int = UNITS) -> DataFrame:
@@ -424,7 +457,8 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
 
     def run(batches):
         tables = shared.value
-        encoder = Encoder(tables, Lexicon(np.load(SparkFiles.get(name), mmap_mode="r")))
+        only_digests = not {"ids", "decoded"}.intersection(columns)
+        encoder = (Digester if only_digests else Encoder)(tables, Lexicon(np.load(SparkFiles.get(name), mmap_mode="r")))
         texts_of, bytes_of = tables.texts.__getitem__, tables.bytes_of.__getitem__
 
         def row(segments):
@@ -443,11 +477,22 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
             return {"n_tokens": n, "ids": ids, "decoded": b"".join(parts).decode("utf-8", "replace"),
                     "ids_sha256": digest.hexdigest(), "decoded_sha256": plain.hexdigest()}
 
+        def digests(segments):
+            n, last, digest, plain = 0, "", hashlib.sha256(), hashlib.sha256()
+            for ids, text in segments:
+                if ids:
+                    # the comma after the last id is left out
+                    digest.update((last + ids[:-1]).encode())
+                    n, last = n + ids.count(","), ","
+                plain.update(text.encode())
+            return {"n_tokens": n, "ids_sha256": digest.hexdigest(), "decoded_sha256": plain.hexdigest()}
+
+        row_of = digests if only_digests else row
         for batch in batches:
             start, held = 0, []
             texts = (text.as_py() or "" for text in batch.column(1))
             for i, segments in enumerate(encoder.encode(texts)):
-                held.append(row(segments))
+                held.append(row_of(segments))
                 if i + 1 - start >= 2000 or i + 1 == batch.num_rows:
                     yield pa.RecordBatch.from_arrays(
                         [batch.column(0).slice(start, i + 1 - start), *[pa.array([h[c] for h in held], arrow[c]) for c in columns]],

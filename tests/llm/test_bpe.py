@@ -87,3 +87,22 @@ def test_edges_and_round_trip(table):
     back = {r.doc_id: r.decoded for r in bpe.decode(coded, bpe.vocabulary_path()).collect()}
     assert back == {1: "", 2: "", None: "Hello world", 3: "x y " * 50000}
     assert bpe.encode(df.limit(0), bpe.vocabulary_path()).count() == 0
+
+
+def test_digester_writes_the_ids_and_decoded_text_of_the_encoder(tables):
+    rng = random.Random(9)
+    parts = ["word", " a", "\n", "\n\n", "  ", "\t", "é", "漢字", "😀", "'ll", "12", "\x00", "<|endoftext|>", "", "\u00a0", "x" * 90, *tables.special]
+    texts = ["", " ", "\nfirst", *("".join(rng.choice(parts) for _ in range(rng.randint(0, 40))) for _ in range(300))]
+    plain, digests = bpe.Encoder(tables, None), bpe.Digester(tables, None)
+    for want, got in zip(plain.encode(texts), digests.encode(texts)):
+        for ids, (written, text) in zip(want, got, strict=True):
+            assert written == "".join(f"{i}," for i in ids)
+            assert text == b"".join(tables.bytes_of[i] for i in ids).decode("utf-8", "replace")
+    assert not digests.decoded
+    # a vocabulary whose tokens decode to other bytes
+    byte = tables.bytes_of[tables.byte_ids[ord("z")]]
+    tables.bytes_of[tables.byte_ids[ord("z")]] = b"?"
+    try:
+        assert [text for _, text in next(bpe.Digester(tables, None).encode(["1z9\n 1z\x01z"]))] == ["1?9\n 1?\x01?"]
+    finally:
+        tables.bytes_of[tables.byte_ids[ord("z")]] = byte
