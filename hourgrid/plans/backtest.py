@@ -6,7 +6,8 @@ generates the folds of a scalar array that it falls into. ``boosted_backtest``
 trains all folds, segments and parameters in the same jobs. ``backtest_models``
 fits Spark ML estimators: every fit is distributed over the rows of its
 (fold, segment); the independent fits are submitted a few at a time from a small
-driver thread pool, as ``CrossValidator(parallelism=...)`` does. The feature table
+driver thread pool, as ``CrossValidator(parallelism=...)`` does; boosted trees on numbers
+without early stopping are fitted by :mod:`hourgrid.plans.block_trees`. The feature table
 is materialised once (time-sorted Parquet in the shared checkpoint folder) so fits
 skip row groups outside their fold instead of recomputing features. Training rows
 never reach the driver.
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourgrid.functions.scalar import abs_error, epoch_us, trunc_ts
+from hourgrid.plans.block_trees import fit_blocks, fits_blocks
 from hourgrid.plans.boosting import Boosted, BoostParams, Halving, Patience, boost, gain_totals
 
 __all__ = [
@@ -285,7 +287,9 @@ def fit_predict(train: DataFrame, test: DataFrame, spec: FitSpec, label: str, nu
     Trees get no missing values (median imputation first); string/boolean
     columns are indexed with unseen values kept. With ``use_eval`` rows whose
     ``part`` is 'eval' drive GBT early stopping through
-    ``validationIndicatorCol`` and are not used as training rows.
+    ``validationIndicatorCol`` and are not used as training rows. Trees on numbers without
+    early stopping, whose parameters it knows, are fitted by :mod:`hourgrid.plans.block_trees`,
+    whose splits are those of Spark ML.
     """
     from pyspark.ml import Pipeline, PipelineModel
     from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
@@ -303,7 +307,7 @@ def fit_predict(train: DataFrame, test: DataFrame, spec: FitSpec, label: str, nu
     # a feature without any value in the train rows has no median and is left out;
     # without eval rows there is nothing to stop early on
     own = ~F.col("_is_eval")
-    seen = tr.agg(F.count_if(F.col("_is_eval")).alias("_eval"),
+    seen = tr.agg(F.count_if(F.col("_is_eval")).alias("_eval"), F.count_if(own).alias("_own"),
                   *[F.count_if(own & F.col(c).isNotNull() & ~F.isnan(c)).alias(c) for c in num_in]).first()
     num_in = [c for c in num_in if seen[c]]
     with_val = use_eval and spec.kind == "gbt" and seen["_eval"] > 0
@@ -315,11 +319,13 @@ def fit_predict(train: DataFrame, test: DataFrame, spec: FitSpec, label: str, nu
                                     handleInvalid="keep"))
     assembled = [f"{c}_i" for c in num_in] + [f"_ix_{c}" for c in cat]
     stages.append(VectorAssembler(inputCols=assembled, outputCol="_features", handleInvalid="keep"))
-    stages.append(_estimator(spec, label, with_val))
     if imputer:
         tr = imputer.transform(tr)
-    fitted = Pipeline(stages=stages).fit(tr)
-    model = PipelineModel(stages=[*([imputer] if imputer else []), *fitted.stages])
+    if spec.kind == "gbt" and not with_val and not cat and fits_blocks(spec.params):
+        fitted = [*stages, fit_blocks(tr, assembled, label, seen["_own"], spec.params)]
+    else:
+        fitted = Pipeline(stages=[*stages, _estimator(spec, label, with_val)]).fit(tr).stages
+    model = PipelineModel(stages=[*([imputer] if imputer else []), *fitted])
     pred = model.transform(te.withColumn("_is_eval", F.lit(False)))
     keep = [c for c in pred.columns if c.startswith("_keep_")]
     out = pred.select(*[F.col(c).alias(c[len("_keep_"):]) for c in keep], label, "preds")

@@ -163,3 +163,60 @@ def test_a_training_task_scans_a_bounded_number_of_rows(spark):
     assert spark.conf.get(name) == old and most() == whole
     with bt._task_rows(feats.limit(0), 20_000):
         assert spark.conf.get(name) == old
+
+
+def _tree_rows(spark, n, parts):
+    df = spark.range(0, n, 1, parts).select(F.col("id").cast("double").alias("d"), F.rand(1).alias("a"), F.floor(F.rand(2) * 5).cast("double").alias("b"),
+                                            F.when(F.rand(3) < 0.3, 0.0).otherwise(F.randn(4) * 50).alias("c"), F.lit(3.0).alias("same"))
+    y = F.col("a") * F.col("b") + F.sin("c") * 3 + F.rand(5) + F.when(F.col("d") > n / 2, 1.0).otherwise(0.0)
+    return df.withColumns({"target": y, "part": F.lit("train")}).localCheckpoint()
+
+
+def test_block_trees_are_those_of_the_library(spark, monkeypatch):
+    import numpy as np
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GBTRegressor
+
+    from hourgrid.plans import block_trees as trees
+
+    names, params = ["d", "a", "b", "c", "same"], {"maxIter": 4, "maxDepth": 4}
+    for n, parts, exact in ((40, 1, 65_536), (12_000, 3, 65_536), (12_000, 3, 500), (12_000, 3, 0)):
+        monkeypatch.setattr(trees, "EXACT_ROWS", exact)
+        monkeypatch.setattr(trees, "GATHER", 64 if exact else 1)
+        df = _tree_rows(spark, n, parts)
+        x = VectorAssembler(inputCols=names, outputCol="_features").transform(df)
+        own = trees.fit_blocks(df, names, "target", n, params)
+        lib = GBTRegressor(featuresCol="_features", labelCol="target", predictionCol="lib", seed=10, **params).fit(x)
+        both = own.transform(lib.transform(x)).select("lib", "preds").toArrow()
+        assert np.allclose(both["lib"].to_numpy(), both["preds"].to_numpy(), rtol=1e-9, atol=1e-9), (n, exact)
+        assert np.allclose(own.featureImportances.toArray(), lib.featureImportances.toArray(), rtol=1e-6)
+
+
+def test_a_fit_keeps_few_bytes_a_row(spark, monkeypatch):
+    from hourgrid.plans import block_trees as trees
+
+    n, most, plain = 40_000, [], trees._Growth.tree
+
+    def watched(self, *args):
+        out = plain(self, *args)
+        most.append(sum(i.memSize() + i.diskSize() for i in spark.sparkContext._jsc.sc().getRDDStorageInfo()))
+        return out
+
+    df, names = _tree_rows(spark, n, 2), ["d", "a", "b", "c"]
+    held = sum(i.memSize() + i.diskSize() for i in spark.sparkContext._jsc.sc().getRDDStorageInfo())
+    monkeypatch.setattr(trees._Growth, "tree", watched)
+    model, pred, _ = bt.fit_predict(df, df.limit(10), bt.FitSpec("gbt", "gbt", {"maxIter": 3, "maxDepth": 2}), "target", names, [], use_eval=False)
+    assert len(most) == 3 and max(most) - held < 60 * n and pred.count() == 10
+    assert sum(i.memSize() + i.diskSize() for i in spark.sparkContext._jsc.sc().getRDDStorageInfo()) <= held
+
+
+def test_block_trees_of_rows_without_a_split(spark):
+    from hourgrid.plans import block_trees as trees
+
+    df = spark.createDataFrame([(1.0, float(i)) for i in range(4)], "a double, y double").selectExpr("a", "y")
+    assert trees.fit_blocks(df, ["a"], "y", 4, {"maxIter": 2}).trees[0].values.tolist() == [1.5]
+    same = df.selectExpr("y AS a", "2D AS y")
+    assert trees.fit_blocks(same, ["a"], "y", 4, {"maxIter": 2}).trees[0].values.tolist() == [2.0]
+    with pytest.raises(Exception, match="missing"):
+        trees.fit_blocks(df.selectExpr("a", "CASE WHEN y > 1 THEN y END AS y"), ["a"], "y", 4)
+    assert not trees.fits_blocks({"lossType": "absolute"}) and not trees.fits_blocks({"subsamplingRate": 0.5}) and trees.fits_blocks(None)
