@@ -4,7 +4,8 @@ The trees are those of ``GBTRegressor`` with squared loss: the same candidate sp
 gains, the first tree on the label and the others on what is left of it. Only the layout differs:
 
 1. A row's features become the numbers of their bins, and features share a number while it stays small. A few bytes a
-   row, its label and its prediction are kept in blocks of rows, in memory or on disk as there is room.
+   row, its label and its prediction (or what is left of the label) are kept in blocks of rows, in memory or on disk
+   as there is room.
 2. A level of a tree is one pass: each task sums rows and residuals per (node, feature, bin) with numpy. Of two
    large children only the smaller is summed, the other is what its parent has besides.
 3. A finished tree moves the predictions, in the pass that sums the next tree's root; the old blocks are given up.
@@ -32,8 +33,8 @@ __all__ = ["BlockTrees", "fit_blocks", "fits_blocks"]
 
 #: Rows of a block, rows that a task passes over (some 30 bytes each), cells that features share, tasks from which sums are added up before the driver.
 BLOCK, TASK_ROWS, CELLS, GATHER = 32_768, 1_000_000, 1024, 64
-#: Nodes of at most so many rows are summed and split in Spark ML's own order and arithmetic.
-EXACT_ROWS = 65_536
+#: Nodes of at most so many rows are summed and split in Spark ML's own order and arithmetic; fits of more rows keep residuals in place of labels and predictions.
+EXACT_ROWS, EXACT_FIT = 65_536, 1_000_000
 DEFAULTS = {"maxIter": 20, "maxDepth": 5, "maxBins": 32, "stepSize": 0.1, "minInstancesPerNode": 1, "minInfoGain": 0.0, "seed": 10, "lossType": "squared"}
 #: Gains this close (as a share) are equal: the first feature and bin count.
 TIE, EPSILON = 1e-12, 2.220446049250313e-16
@@ -135,7 +136,7 @@ def fit_blocks(rows: DataFrame, features: Sequence[str], label: str, n_rows: int
     layout = _Layout.of(edges)
     tasks = max(-(-n_rows // TASK_ROWS), rows.sparkSession.sparkContext.defaultParallelism)
     packed = rows.select(*features, F.col(label).cast("double").alias("_label")).coalesce(tasks).mapInArrow(_pack(layout, edges), "codes binary, label binary")
-    blocks = packed.rdd.map(_unmoved).persist(StorageLevel.MEMORY_AND_DISK)
+    blocks = packed.rdd.map(_first if n_rows <= EXACT_FIT else _first_residual).persist(StorageLevel.MEMORY_AND_DISK_DESER)
     grow, trees, weights = _Growth(layout, edges, p, n_rows, tasks > GATHER), [], []
     old = None
     try:
@@ -145,7 +146,7 @@ def fit_blocks(rows: DataFrame, features: Sequence[str], label: str, n_rows: int
             tree, tables = grow.tree(blocks, old, scale)
             trees.append(tree)
             weights.append(weight)
-            old, blocks = blocks, blocks.mapPartitions(_moved(tables, weight * tree.values)).persist(StorageLevel.MEMORY_AND_DISK)
+            old, blocks = blocks, blocks.mapPartitions(_moved(tables, weight * tree.values)).persist(StorageLevel.MEMORY_AND_DISK_DESER)
     finally:
         for held in (old, blocks):
             if held is not None:
@@ -213,15 +214,19 @@ def _pack(layout: _Layout, edges: list[np.ndarray]):
     return run
 
 
-def _unmoved(row: Sequence[bytes]) -> tuple[bytes, bytes, bytes]:
+def _first(row: Sequence[bytes]) -> tuple[bytes, bytes, bytes]:
     codes, label = map(bytes, row)
     return codes, label, bytes(len(label))
 
 
-def _read(block: tuple[bytes, bytes, bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Codes, labels and predictions of a block."""
+def _first_residual(row: Sequence[bytes]) -> tuple[bytes, bytes, bytes]:
+    return *map(bytes, row), b""
+
+
+def _read(block: tuple[bytes, bytes, bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+    """Codes, labels and predictions of a block, or codes, residuals and None."""
     codes, label, preds = (np.frombuffer(v, dtype=kind) for v, kind in zip(block, (np.uint16, np.float64, np.float64)))
-    return codes.reshape(-1, len(label)), label, preds
+    return codes.reshape(-1, len(label)), label, preds if len(preds) else None
 
 
 def _routed(codes: np.ndarray, tables: list[tuple[np.ndarray, np.ndarray]], n: int) -> np.ndarray:
@@ -277,7 +282,7 @@ def _summed(layout: _Layout, tables: list[tuple[np.ndarray, np.ndarray]], slot_o
     def run(part: int, blocks: Iterator[tuple[bytes, bytes, bytes]]):
         sums, few = _Sums(layout, large), []
         for codes, label, preds in map(_read, blocks):
-            slot, resid = slot_of.take(_routed(codes, tables, len(label))), label - preds
+            slot, resid = slot_of.take(_routed(codes, tables, len(label))), label if preds is None else label - preds
             if large:
                 keep = np.flatnonzero((slot >= 0) & (slot < large))
                 sums.add(slot.take(keep), [c.take(keep) for c in codes], resid.take(keep))
@@ -309,7 +314,8 @@ def _moved(tables: list[tuple[np.ndarray, np.ndarray]], values: np.ndarray):
     def run(blocks: Iterator[tuple[bytes, bytes, bytes]]):
         for block in blocks:
             codes, label, preds = _read(block)
-            yield *block[:2], (preds + values.take(_routed(codes, tables, len(label)))).tobytes()
+            step = values.take(_routed(codes, tables, len(label)))
+            yield (block[0], (label - step).tobytes(), b"") if preds is None else (*block[:2], (preds + step).tobytes())
 
     return run
 

@@ -182,6 +182,7 @@ def test_block_trees_are_those_of_the_library(spark, monkeypatch):
     names, params = ["d", "a", "b", "c", "same"], {"maxIter": 4, "maxDepth": 4}
     for n, parts, exact in ((40, 1, 65_536), (12_000, 3, 65_536), (12_000, 3, 500), (12_000, 3, 0)):
         monkeypatch.setattr(trees, "EXACT_ROWS", exact)
+        monkeypatch.setattr(trees, "EXACT_FIT", exact)
         monkeypatch.setattr(trees, "GATHER", 64 if exact else 1)
         df = _tree_rows(spark, n, parts)
         x = VectorAssembler(inputCols=names, outputCol="_features").transform(df)
