@@ -321,7 +321,7 @@ def fit_predict(train: DataFrame, test: DataFrame, spec: FitSpec, label: str, nu
     stages.append(VectorAssembler(inputCols=assembled, outputCol="_features", handleInvalid="keep"))
     if imputer:
         tr = imputer.transform(tr)
-    if spec.kind == "gbt" and not with_val and not cat and fits_blocks(spec.params):
+    if spec.kind == "gbt" and not with_val and num_in and not cat and fits_blocks(spec.params):
         fitted = [*stages, fit_blocks(tr, assembled, label, seen["_own"], spec.params)]
     else:
         fitted = Pipeline(stages=[*stages, _estimator(spec, label, with_val)]).fit(tr).stages
